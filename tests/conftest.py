@@ -1,0 +1,70 @@
+from __future__ import annotations
+
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tidewater.session import build_session  # noqa: E402
+
+SF_SMALL = "/root/testdata/sf0.001"
+SF_CHECK = "/root/testdata/sf0.01"
+
+
+@pytest.fixture(scope="session")
+def spark():
+    s = build_session(master="local[4]", app="tidewater-tests", shuffle_partitions=4)
+    yield s
+    s.stop()
+
+
+def sensors(spark, rows):
+    """(seq, id, ts, vc) rows; ts is also given as event time in seconds."""
+    df = spark.createDataFrame(rows, "seq int, id string, ts bigint, vc int")
+    from pyspark.sql import functions as F
+    return df.withColumn("et", F.timestamp_seconds("ts"))
+
+
+SENSOR_A = [(1, "s1", 1, 1), (2, "s1", 11, 11), (3, "s2", 2, 2), (4, "s3", 3, 3)]
+SENSOR_B = [(1, "s1", 1, 1), (2, "s1", 11, 11), (3, "s1", 21, 21), (4, "s2", 2, 2),
+            (5, "s3", 3, 3)]
+STATE_KV = [(1, "a", 1), (2, "a", 11), (3, "a", 31), (4, "a", 53), (5, "b", 52), (6, "b", 81),
+            (7, "b", 99), (8, "e", 111)]
+JOIN_LEFT = [(1, "a", 1), (2, "a", 2), (3, "a", 4), (4, "a", 3), (5, "b", 2), (6, "b", 1),
+             (7, "b", 9), (8, "e", 1)]
+JOIN_RIGHT = [(1, "a", 1, "11"), (2, "a", 3, "2"), (3, "a", 4, "2"), (4, "b", 3, "7"),
+              (5, "b", 3, "8"), (6, "b", 19, "1"), (7, "e", 9, "1"), (8, "e", 1, "1")]
+URLS = [(1, "/user", 1, "11"), (2, "/login", 3, "2"), (3, "/logout", 4, "2"),
+        (4, "/user", 3, "7"), (5, "/login", 3, "8"), (6, "/modify", 19, "1"),
+        (7, "/info", 9, "1"), (8, "/info", 1, "1")]
+
+
+def state_kv(spark):
+    from pyspark.sql import functions as F
+    return (spark.createDataFrame(STATE_KV, "seq int, k string, v int")
+            .withColumn("et", F.timestamp_seconds("v")))
+
+
+def join_left(spark):
+    from pyspark.sql import functions as F
+    return (spark.createDataFrame(JOIN_LEFT, "seq int, k string, t bigint")
+            .withColumn("lt", F.timestamp_seconds("t")))
+
+
+def join_right(spark):
+    from pyspark.sql import functions as F
+    return (spark.createDataFrame(JOIN_RIGHT, "seq int, k string, t2 bigint, p string")
+            .withColumn("rt", F.timestamp_seconds("t2")))
+
+
+def urls(spark):
+    from pyspark.sql import functions as F
+    return (spark.createDataFrame(URLS, "seq int, url string, t int, user string")
+            .withColumn("et", F.timestamp_seconds("t")))
+
+
+def rows(df, *cols):
+    return sorted(tuple(r) for r in df.select(*cols).collect()) if cols else \
+        sorted(tuple(r) for r in df.collect())

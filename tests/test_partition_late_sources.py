@@ -1,0 +1,97 @@
+from pyspark.sql import functions as F
+
+from tidewater.operators import late, partition
+from tidewater.sources.core import decode_records, generate, number_label, text_lines
+
+from .conftest import join_left, join_right, rows
+
+
+def test_custom_partitioner(spark):
+    df = spark.createDataFrame([(str(i),) for i in range(8)], "key string")
+    out = partition.custom(df, 2, partition.int_key_partitioner("key"))
+    got = {r.p: sorted(r.keys) for r in out.groupBy(F.spark_partition_id().alias("p"))
+           .agg(F.collect_list("key").alias("keys")).collect()}
+    assert got == {0: ["0", "2", "4", "6"], 1: ["1", "3", "5", "7"]}
+
+
+def test_custom_partitioner_negative_key(spark):
+    df = spark.createDataFrame([("-3",)], "key string")
+    out = partition.custom(df, 2, partition.int_key_partitioner("key"))
+    assert out.select(F.spark_partition_id()).first()[0] == 1
+
+
+def test_broadcast_copies(spark):
+    df = spark.createDataFrame([(i,) for i in range(8)], "v int")
+    out = partition.broadcast_copies(df, 2)
+    assert out.count() == 16
+    assert out.filter(F.col("subtask") != F.spark_partition_id()).count() == 0
+
+
+def test_global_and_keyby(spark):
+    df = spark.range(0, 50, 1, 5)
+    g = partition.to_global(df, 3)
+    assert g.filter(F.spark_partition_id() != 0).count() == 0
+    k = partition.key_by(df.withColumn("k", F.col("id") % 7), 4, "k")
+    per_key = (k.withColumn("p", F.spark_partition_id())
+               .groupBy("k").agg(F.count_distinct("p").alias("n")))
+    assert {r.n for r in per_key.collect()} == {1}
+
+
+def test_shuffle_rebalance_rescale_keep_rows(spark):
+    df = spark.range(0, 100, 1, 4)
+    for out in (partition.shuffle(df, 3), partition.rebalance(df, 3),
+                partition.rescale(df, 2), partition.rescale(df, 6)):
+        assert rows(out) == [(i,) for i in range(100)]
+    assert partition.rescale(df, 2).rdd.getNumPartitions() == 2
+
+
+def test_generator_split(spark):
+    out = generate(spark, 100, number_label, num_partitions=2)
+    parts = {r.p: (r.lo, r.hi) for r in out.groupBy(F.spark_partition_id().alias("p"))
+             .agg(F.min("index").alias("lo"), F.max("index").alias("hi")).collect()}
+    assert parts == {0: (0, 49), 1: (50, 99)}
+    assert out.filter("index = 7").first().value == "Number:7"
+
+
+def test_decode_records(spark):
+    recs = spark.createDataFrame(
+        [(None, b"s1,1,1", "topic_1", 0, 5, "2024-01-01 00:00:00"),
+         (None, b"s2,2,2", "topic_1", 0, 9, "2024-01-01 00:00:01"),
+         (None, b"s3,3,3", "other", 0, 9, "2024-01-01 00:00:01"),
+         (None, b"s4,4,4", "topic_1", 1, 0, "2024-01-01 00:00:02")],
+        "key binary, value binary, topic string, partition int, offset long, timestamp string")
+    out = decode_records(recs, "topic_1", starting_offsets={0: 7})
+    assert rows(out, "value") == [("s2,2,2",), ("s4,4,4",)]
+
+
+def test_text_lines(spark, tmp_path):
+    p = tmp_path / "lines.txt"
+    p.write_text("a,1\nb,2\n")
+    assert rows(text_lines(spark, str(p))) == [("a,1",), ("b,2",)]
+
+
+def test_late_rows_per_stream_and_per_key(spark):
+    left = join_left(spark)
+    right = join_right(spark)
+    l_stream = late.flag_late(left, "lt", ["seq"], 1)
+    assert rows(l_stream.filter("is_late"), "k", "t") == [("b", 1), ("b", 2), ("e", 1)]
+    r_stream = late.flag_late(right, "rt", ["seq"], 1)
+    assert rows(r_stream.filter("is_late"), "k", "t2") == [("e", 1), ("e", 9)]
+    l_key = late.flag_late(left, "lt", ["seq"], 1, key=["k"])
+    assert l_key.filter("is_late").count() == 0
+    r_key = late.flag_late(right, "rt", ["seq"], 1, key=["k"])
+    assert rows(r_key.filter("is_late"), "k", "t2") == [("e", 1)]
+    parts = late.split_late(left, "lt", ["seq"], 1)
+    assert parts["late"].count() + parts["on_time"].count() == left.count()
+
+
+def test_late_rows_joint_watermark(spark):
+    left = join_left(spark).select("seq", "k", F.col("lt").alias("ts"))
+    right = join_right(spark).select(F.col("seq") + F.lit(0.5), "k", F.col("rt").alias("ts"))
+    right = right.withColumnRenamed(right.columns[0], "seq")
+    l, r = late.flag_late_pair(left.withColumn("seq", F.col("seq").cast("double")), right,
+                               "ts", ["seq"], 1, watermark="min")
+    # the joint watermark never exceeds either side's own watermark
+    own_l, own_r = late.flag_late_pair(left, right, "ts", ["seq"], 1, watermark="own")
+    assert l.filter("is_late").count() <= own_l.filter("is_late").count()
+    assert r.filter("is_late").count() <= own_r.filter("is_late").count()

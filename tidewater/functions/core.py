@@ -34,7 +34,7 @@ def parse_sensor(line: Column | str, permissive: bool = False) -> Column:
     Fields after the third are ignored.
     """
     parts = F.split(_c(line), SENSOR_SEPARATOR)
-    cast = (lambda c, t: F.try_cast(c, t)) if permissive else (lambda c, t: c.cast(t))
+    cast = (lambda c, t: c.try_cast(t)) if permissive else (lambda c, t: c.cast(t))
     if permissive:
         ts = cast(F.try_element_at(parts, F.lit(2)), "bigint")
         vc = cast(F.try_element_at(parts, F.lit(3)), "int")
