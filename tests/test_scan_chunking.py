@@ -76,3 +76,10 @@ def test_whole_stream_late_rows(ev):
     b = late.flag_late(perm, "ts", ["arrival"], 600, hot_rows=10**9)
     assert rows(a) == rows(b)
     assert a.filter("is_late").count() > 0
+
+
+def test_session_windows_hot_path(ev):
+    aggs = {"n": F.count(F.lit(1)), "s": F.sum("value")}
+    a = windows.session(ev, KEY, "ts", "30 minutes", aggs, tiebreak=["event_id"], hot_rows=HOT)
+    b = windows.session(ev, KEY, "ts", "30 minutes", aggs, hot_rows=10**9)
+    assert rows(a) == rows(b)

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .time import epoch_micros
+
 # The labels the two-input co-map puts in front of each value.
 NUMBER_STREAM_TAG = "来源于数字流:"
 LETTER_STREAM_TAG = "来源于字母流:"
@@ -75,16 +77,16 @@ def tag(value: Column | str, label: str) -> Column:
     return F.concat(F.lit(label), _c(value).cast("string"))
 
 
-def descending(col: Column | str, dtype: T.DataType | None = None) -> Column:
+def descending(df: DataFrame, col: str) -> Column:
     """A value that sorts in reverse order of ``col`` (numbers and times)."""
-    c = _c(col)
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return -F.unix_micros(c.cast("timestamp"))
-    return -c
+    dtype = df.schema[col].dataType
+    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return -epoch_micros(df, col)
+    return -F.col(col)
 
 
 def order_struct(df: DataFrame, cols: Sequence[str], reverse: bool = False) -> Column:
     """Struct of the order columns; ``reverse`` flips every component."""
     if not reverse:
         return F.struct(*[F.col(c) for c in cols])
-    return F.struct(*[descending(c, df.schema[c].dataType).alias(c) for c in cols])
+    return F.struct(*[descending(df, c).alias(c) for c in cols])

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.time import epoch_micros
+
 WSTART = "window_start"
 WEND = "window_end"
 
@@ -69,17 +71,16 @@ def interval_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts
     width = int(max(1.0, bucket_s or (upper_s - lower_s)) * 1_000_000)
     lo, hi = int(lower_s * 1_000_000), int(upper_s * 1_000_000)
 
-    def micros(c: str) -> Column:
-        return F.unix_micros(F.col(c).cast("timestamp"))
+    lt_us = epoch_micros(left, left_ts)
+    rt_us = epoch_micros(right, right_ts)
 
     def bucket(us: Column) -> Column:
         return F.floor(us / F.lit(width)).cast("bigint")
 
-    r = right.withColumn("_tw_b", bucket(micros(right_ts)))
-    l = left.withColumn("_tw_b", F.explode(F.sequence(bucket(micros(left_ts) + lo),
-                                                       bucket(micros(left_ts) + hi))))
+    r = right.withColumn("_tw_b", bucket(rt_us))
+    l = left.withColumn("_tw_b", F.explode(F.sequence(bucket(lt_us + lo), bucket(lt_us + hi))))
     joined = l.join(r, [*key, "_tw_b"], "inner")
-    delta = micros(right_ts) - micros(left_ts)
+    delta = rt_us - lt_us
     return joined.filter((delta >= lo) & (delta <= hi)).drop("_tw_b")
 
 

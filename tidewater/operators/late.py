@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.time import epoch_micros, from_epoch_micros
 from . import scan
 from .split import split_by
 
@@ -30,11 +31,11 @@ def flag_late(df: DataFrame, ts: str, arrival: Sequence[str], delay_seconds: flo
     a key gives every key its own watermark.
     """
     delay_us = int(delay_seconds * 1_000_000)
-    tnum = F.unix_micros(F.col(ts).cast("timestamp"))
+    tnum = epoch_micros(df, ts)
     out = scan.keyed_prefix(df, key, arrival,
                             {"_max": scan.running_max(tnum, inclusive=False)}, hot_rows)
     wm = F.col("_max") - F.lit(delay_us)
-    return (out.withColumn(WATERMARK, F.timestamp_micros(wm).cast(df.schema[ts].dataType))
+    return (out.withColumn(WATERMARK, from_epoch_micros(df, wm, df.schema[ts].dataType))
             .withColumn(LATE, F.coalesce(tnum < wm, F.lit(False)))
             .drop("_max"))
 
@@ -61,7 +62,7 @@ def flag_late_pair(left: DataFrame, right: DataFrame, ts: str, arrival: Sequence
     if watermark != "min":
         raise ValueError("watermark must be 'own' or 'min'")
     delay_us = int(delay_seconds * 1_000_000)
-    tnum = F.unix_micros(F.col(ts).cast("timestamp"))
+    tnum = epoch_micros(left, ts)
     both = (left.withColumn("_side", F.lit("L"))
             .unionByName(right.withColumn("_side", F.lit("R")), allowMissingColumns=True))
     out = scan.keyed_prefix(both, (), arrival, {
@@ -70,7 +71,7 @@ def flag_late_pair(left: DataFrame, right: DataFrame, ts: str, arrival: Sequence
         hot_rows)
     wm = F.when(F.col("_ml").isNotNull() & F.col("_mr").isNotNull(),
                 F.least(F.col("_ml"), F.col("_mr")) - F.lit(delay_us))
-    flagged = (out.withColumn(WATERMARK, F.timestamp_micros(wm).cast(left.schema[ts].dataType))
+    flagged = (out.withColumn(WATERMARK, from_epoch_micros(left, wm, left.schema[ts].dataType))
                .withColumn(LATE, F.coalesce(tnum < wm, F.lit(False)))
                .drop("_ml", "_mr"))
     l = flagged.filter(F.col("_side") == "L").select(*left.columns, WATERMARK, LATE)

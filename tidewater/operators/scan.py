@@ -32,6 +32,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.time import epoch_micros
+
 HOT_ROWS_CONF = "tidewater.scan.hotKeyRows"
 DEFAULT_HOT_ROWS = 4_000_000
 BROADCAST_ROWS_CONF = "tidewater.broadcast.maxRows"
@@ -140,7 +142,7 @@ def order_number(df: DataFrame, col: str) -> Column:
     """Numeric image of an order column, monotone in its order."""
     dtype = df.schema[col].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(col).cast("timestamp")).cast("double")
+        return epoch_micros(df, col).cast("double")
     if isinstance(dtype, T.DateType):
         return F.unix_date(F.col(col)).cast("double")
     return F.col(col).cast("double")
@@ -195,14 +197,19 @@ def with_chunks(df: DataFrame, key: Sequence[str], order0: str,
 
 # -- the scan -----------------------------------------------------------------
 
+_DETECT = object()
+
+
 def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
-                 outputs: dict[str, Prefix], hot_rows: int | None = None) -> DataFrame:
+                 outputs: dict[str, Prefix], hot_rows: int | None = None,
+                 plan: ChunkPlan | None | object = _DETECT) -> DataFrame:
     """Add one running column per entry of ``outputs`` (an output named like
     an input column replaces it).
 
     ``order`` must be a total order inside a key (e.g. ``ts, event_id``).
     An empty ``key`` scans the whole input as one stream (then the single
-    group is split into chunks like any hot key).
+    group is split into chunks like any hot key). ``plan`` reuses a chunk
+    plan made by :func:`plan_chunks` for the same input rows and key.
     """
     cols = [c for c in df.columns if c not in outputs]
     key = list(key)
@@ -210,7 +217,8 @@ def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
     if not key:
         src = df.withColumn(ALL, F.lit(0))
         key = [ALL]
-    plan = plan_chunks(src, key, order[0], hot_rows)
+    if plan is _DETECT:
+        plan = plan_chunks(src, key, order[0], hot_rows)
     parts = [*key] if plan is None else [*key, CHUNK]
     w = Window.partitionBy(*parts).orderBy(*order)
     frames = {True: w.rowsBetween(Window.unboundedPreceding, Window.currentRow),

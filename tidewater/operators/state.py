@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.core import order_struct
+from ..functions.time import epoch_micros
 from . import scan
 
 
@@ -135,7 +136,7 @@ def ttl_value(df: DataFrame, key: Sequence[str], order: Sequence[str], ts: str,
     deterministic.
     """
     ttl_us = int(ttl_seconds * 1_000_000)
-    tnum = F.unix_micros(F.col(ts).cast("timestamp"))
+    tnum = epoch_micros(df, ts)
     pos = F.struct(*[F.col(o) for o in order])
     written = F.when(F.coalesce(write_when, F.lit(False)),
                      F.struct(pos.alias("at"), tnum.alias("t"), F.col(value).alias("v")))

@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.time import epoch_micros
 from . import scan
 
 W = "_tw_window"
@@ -45,12 +46,36 @@ def sliding(df: DataFrame, key: Sequence[str], ts: str, size: str, slide: str,
 
 
 def session(df: DataFrame, key: Sequence[str], ts: str, gap: str,
-            aggs: dict[str, Column]) -> DataFrame:
+            aggs: dict[str, Column], tiebreak: Sequence[str] = (),
+            hot_rows: int | None = None) -> DataFrame:
     """Session windows closing after ``gap`` without rows; rows exactly one
-    gap apart share a session. ``window_end`` = last row + gap. Sessions are
-    merged inside each task before the shuffle."""
-    w = F.session_window(ts, gap)
-    return _flatten(df.groupBy(*key, w.alias(W)).agg(*_aliased(aggs)), key, list(aggs))
+    gap apart share a session. ``window_end`` = last row + gap.
+
+    Without hot keys this is Spark's session window (shuffle by key, sort,
+    merge sessions). A hot key would put all its rows in one sort, so then
+    sessions are numbered with the chunked keyed scan instead (a session
+    starts where the gap to the previous row exceeds ``gap``) and aggregated
+    by (key, session number) with partial aggregation."""
+    key = list(key)
+    plan = scan.plan_chunks(df, key, ts, hot_rows) if key else None
+    if plan is None:
+        w = F.session_window(ts, gap)
+        return _flatten(df.groupBy(*key, w.alias(W)).agg(*_aliased(aggs)), key, list(aggs))
+    gap_us = int(df.sparkSession.sql(
+        f"SELECT CAST(unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {gap}) AS BIGINT)"
+    ).first()[0])
+    order = [ts, *tiebreak]
+    t = epoch_micros(df, ts)
+    prev = scan.keyed_prefix(df, key, order, {
+        "_prev": scan.last_value(t, order, inclusive=False, ignore_nulls=False)},
+        plan=plan)
+    start = (F.col("_prev").isNull() | (t - F.col("_prev") > F.lit(gap_us))).cast("int")
+    numbered_ = scan.keyed_prefix(prev.withColumn("_start", start), key, order,
+                                  {"_sid": scan.running_sum("_start")}, plan=plan)
+    out = (numbered_.groupBy(*key, "_sid")
+           .agg(F.min(ts).alias("window_start"),
+                (F.max(ts) + F.expr(f"INTERVAL {gap}")).alias("window_end"), *_aliased(aggs)))
+    return out.select(*key, "window_start", "window_end", *aggs)
 
 
 def window_all(df: DataFrame, ts: str, size: str, slide: str | None,

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.time import epoch_micros
+
 
 class LateRouter:
     """``foreachBatch`` callable: writes ``<out>/on_time/batch_id=N`` and
@@ -35,7 +37,7 @@ class LateRouter:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         prev = self._previous_max(spark, batch_id)
-        tnum = F.unix_micros(F.col(self.ts).cast("timestamp"))
+        tnum = epoch_micros(batch, self.ts)
         if prev is None:
             flagged = batch.withColumn("is_late", F.lit(False))
         else:

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.time import epoch_micros
 from . import processors as P
 
 
@@ -85,7 +86,7 @@ def count_window(df: DataFrame, key: Sequence[str], order: Sequence[str], value:
 def late_flags_by_key(df: DataFrame, key: Sequence[str], order: Sequence[str], ts: str,
                       delay_seconds: float) -> DataFrame:
     cols = list(dict.fromkeys([*key, *order, ts]))
-    src = df.withColumn("tw_ts_us", F.unix_micros(F.col(ts).cast("timestamp")))
+    src = df.withColumn("tw_ts_us", epoch_micros(df, ts))
     proc = P.LateFlags(order, "tw_ts_us", cols, int(delay_seconds * 1_000_000))
     return keyed(src, key, proc, _schema(df, cols, "is_late boolean"))
 
