@@ -45,3 +45,16 @@ def from_epoch_micros(df: DataFrame, us: Column, dtype: T.DataType) -> Column:
         return inst.cast("timestamp_ntz")
     tz = df.sparkSession.conf.get("spark.sql.session.timeZone")
     return F.convert_timezone(F.lit(tz), F.lit("UTC"), inst.cast("timestamp_ntz"))
+
+
+def event_time_from(col: str | Column, unit: str = "seconds") -> Column:
+    """Timestamp assigner: an epoch number in ``unit`` (seconds, millis,
+    micros) as an event-time ``timestamp``."""
+    c = F.col(col) if isinstance(col, str) else col
+    if unit == "seconds":
+        return F.timestamp_seconds(c)
+    if unit == "millis":
+        return F.timestamp_millis(c)
+    if unit == "micros":
+        return F.timestamp_micros(c)
+    raise ValueError("unit must be seconds, millis or micros")

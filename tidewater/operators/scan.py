@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.time import epoch_micros
+from ..session import ensure_checkpoint_dir
 
 HOT_ROWS_CONF = "tidewater.scan.hotKeyRows"
 DEFAULT_HOT_ROWS = 4_000_000
@@ -176,6 +177,7 @@ def plan_chunks(df: DataFrame, key: Sequence[str], order0: str,
                    .alias(BOUNDS)))
     # The sketch's merge order is not fixed; a recomputed stage must see the
     # same boundaries, so the (small) table is written to the shared folder.
+    ensure_checkpoint_dir(df.sparkSession)
     bounds = bounds.checkpoint(eager=True)
     return ChunkPlan(bounds, n_chunks, n_hot * n_chunks <= max_bcast)
 

@@ -183,6 +183,14 @@ def interval_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts
                       *[r[c] for c in right.columns if c not in key])
 
 
+def stamp_ingest_time(df: DataFrame, col: str = "ingest_ts") -> DataFrame:
+    """Arrival-time column for processing-time joins and windows: stamp each
+    input once where it lands (write the stamped stream out, or join on it
+    in the same query); joins on the stamp are then ordinary event-time joins
+    and replay the same way after a restart."""
+    return df.withColumn(col, F.current_timestamp())
+
+
 def connect_join(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:
     """Inner equi-join of two streams with both sides kept in state (no
     watermark: state grows with distinct keys, as in the keyed connect)."""
