@@ -83,3 +83,13 @@ def test_session_windows_hot_path(ev):
     a = windows.session(ev, KEY, "ts", "30 minutes", aggs, tiebreak=["event_id"], hot_rows=HOT)
     b = windows.session(ev, KEY, "ts", "30 minutes", aggs, hot_rows=10**9)
     assert rows(a) == rows(b)
+
+
+def test_exact_quantile_matches_percentile(ev):
+    dv = ev.withColumn("value", F.col("value").cast("double"))
+    for q in (0.5, 0.25, 0.9):
+        a = agg.exact_quantile(dv, ["event_type"], "value", q, hot_rows=HOT)
+        b = dv.groupBy("event_type").agg(F.percentile("value", q).alias("quantile"))
+        got = dict(rows(a))
+        for k, v in rows(b):
+            assert abs(got[k] - v) < 1e-9

@@ -159,3 +159,41 @@ def value_counts_rolling(df, key, order, value, keep=(), hot_rows=None):
     """After each row: how often its value has been seen for its key so far."""
     return rolling(df, [*key, value], order, {"cnt": ("count", F.lit(1))},
                    keep=keep, hot_rows=hot_rows)
+
+
+def exact_quantile(df: DataFrame, group: Sequence[str], value: str, q: float = 0.5,
+                   hot_rows: int | None = None, out: str = "quantile") -> DataFrame:
+    """Exact quantile per group with linear interpolation between the two
+    ranks around ``q * (n - 1)`` (the median for ``q = 0.5``).
+
+    When the row counts prove that no group exceeds ``hot_rows`` rows, Spark's
+    exact ``percentile`` is used (it buffers a group's value counts, bounded
+    by the group size). Otherwise no group is gathered in one place: rows are
+    counted per (group, value) with map-side combine, cumulative counts in
+    value order come from the keyed prefix scan (hot groups are split into
+    chunks), and the one or two values whose rank range covers the target
+    ranks are picked by a second partial aggregation. Nulls are ignored.
+    """
+    group = list(group)
+    limit = hot_rows or scan._conf_int(df, scan.HOT_ROWS_CONF, scan.DEFAULT_HOT_ROWS)
+    if df.count() <= limit or (df.groupBy(*group).count()
+                               .agg(F.max("count")).first()[0] or 0) <= limit:
+        return df.groupBy(*group).agg(F.percentile(value, q).alias(out))
+    counts = (df.filter(F.col(value).isNotNull())
+              .groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c")))
+    ranked = scan.keyed_prefix(counts, group, [value],
+                               {"_cum": scan.running_sum("_c")}, hot_rows)
+    totals = counts.groupBy(*group).agg(F.sum("_c").alias("_n"))
+    pos = F.lit(float(q)) * (F.col("_n") - 1)
+    lo_r, hi_r = F.floor(pos), F.ceil(pos)
+    first = F.col("_cum") - F.col("_c")
+    covers = lambda r: (first <= r) & (r < F.col("_cum"))
+    picked = (ranked.join(totals, group)
+              .groupBy(*group)
+              .agg(F.max(F.when(covers(lo_r), F.col(value))).alias("_lo"),
+                   F.max(F.when(covers(hi_r), F.col(value))).alias("_hi"),
+                   F.first(pos).alias("_pos")))
+    lo, hi, p = F.col("_lo").cast("double"), F.col("_hi").cast("double"), F.col("_pos")
+    interp = F.when(F.floor(p) == F.ceil(p), lo).otherwise(
+        (F.ceil(p) - p) * lo + (p - F.floor(p)) * hi)
+    return picked.select(*group, interp.alias(out))

@@ -148,13 +148,15 @@ def ttl_value(df: DataFrame, key: Sequence[str], order: Sequence[str], ts: str,
         return out.withColumn("state", F.when(alive, last.getField("v"))).drop("_lw")
     if refresh != "read_write":
         raise ValueError("refresh must be 'read_write' or 'create_write'")
+    # one chunk plan for both passes (the second input is derived from the first)
+    plan = scan.plan_chunks(df, list(key), order[0], hot_rows) if key else scan._DETECT
     gaps = scan.keyed_prefix(df, key, order, {
         "_prev_t": scan.last_value(tnum, order, inclusive=False, ignore_nulls=False)},
-        hot_rows)
+        hot_rows, plan=plan)
     lapse = F.col("_prev_t").isNull() | (tnum - F.col("_prev_t") >= ttl_us)
     out = scan.keyed_prefix(gaps, key, order, {
         "_brk": scan.last_value(F.when(lapse, pos), order),
-        "_lw": scan.last_value(written, order, inclusive=False)}, hot_rows)
+        "_lw": scan.last_value(written, order, inclusive=False)}, hot_rows, plan=plan)
     alive = F.col("_lw").isNotNull() & (F.col("_lw").getField("at") >= F.col("_brk"))
     state = F.when(alive, F.col("_lw").getField("v"))
     return out.withColumn("state", state).drop("_prev_t", "_brk", "_lw")

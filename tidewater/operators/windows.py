@@ -95,6 +95,18 @@ def full_window(df: DataFrame, key: Sequence[str], ts: str, size: str,
     return tumbling(df, key, ts, size, aggs)
 
 
+def window_quantile(df: DataFrame, key: Sequence[str], ts: str, size: str, value: str,
+                    q: float = 0.5, out: str = "quantile",
+                    hot_rows: int | None = None) -> DataFrame:
+    """Full-window exact quantile (the median for ``q = 0.5``) per key and
+    tumbling window, computed by :func:`aggregates.exact_quantile` so no
+    window's values are gathered in one task."""
+    from .aggregates import exact_quantile
+    w = F.window(ts, size)
+    framed = df.select(*key, w.start.alias("window_start"), w.end.alias("window_end"), value)
+    return exact_quantile(framed, [*key, "window_start", "window_end"], value, q, hot_rows, out)
+
+
 # -- count windows ---------------------------------------------------------------
 
 RN = "_tw_rn"

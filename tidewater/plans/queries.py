@@ -307,8 +307,8 @@ def win_all(spark, base):
 
 
 def win_full_process(spark, base):
-    out = windows.full_window(events(spark, base), ["event_type"], "ts", "1 day",
-                              {"median_value": F.median("value")})
+    out = windows.window_quantile(events(spark, base), ["event_type"], "ts", "1 day", "value",
+                                  0.5, out="median_value")
     return out.withColumn("median_value", F.round("median_value", 4))
 
 
