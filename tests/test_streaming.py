@@ -227,3 +227,28 @@ def test_rolling_file_sink_exactly_once(spark):
     again = spark.read.text(f"{out}/sink")
     assert again.count() == 101
     assert again.select("value").distinct().count() == 101
+
+
+def test_window_cogroup_stream(spark, events):
+    src = _closed(spark, events, _single_dir(spark, events), "c")
+    src = src.filter(~F.col("_closing") | F.col("event_id").isNull())
+    l = src.filter((F.col("event_type") == "click") | F.col("_closing"))
+    r = src.filter((F.col("event_type") == "purchase") | F.col("_closing"))
+    out = ops.window_cogroup(l, r, KEY, "ts", "ts", "1 day", "0 seconds",
+                             {"l_cnt": ("count", "event_id")}, {"r_cnt": ("count", "event_id")})
+    got = collect(spark, out, "s_cog").filter(F.col("user_id").isNotNull())
+    bl = events.filter(F.col("event_type") == "click")
+    br = events.filter(F.col("event_type") == "purchase")
+    want = joins.window_cogroup(bl, br, KEY, "ts", "ts", "1 day",
+                                {"l_cnt": ("count", "event_id")}, {"r_cnt": ("count", "event_id")})
+    g = rows(got.withColumn("ws", F.col("window_start").cast("timestamp_ntz")),
+             "user_id", "ws", "l_cnt", "r_cnt")
+    assert g == rows(want, "user_id", "window_start", "l_cnt", "r_cnt")
+
+
+def _single_dir(spark, events):
+    d = scratch()
+    events.coalesce(1).write.parquet(f"{d}/all")
+    for f in os.listdir(f"{d}/all"):
+        os.utime(f"{d}/all/{f}", (time.time() - 50, time.time() - 50))
+    return d

@@ -25,8 +25,8 @@ def test_window_cogroup_lists(spark):
     r = join_right(spark)
     out = joins.window_cogroup(
         l, r, ["k"], "lt", "rt", "5 seconds",
-        {"left": F.sort_array(F.collect_list("t"))},
-        {"right": F.sort_array(F.collect_list(F.struct("t2", "p")))})
+        {"left": ("list", "t")},
+        {"right": ("list", F.struct("t2", "p"))})
     got = {(x.k, int(x.window_start.timestamp()) if hasattr(x.window_start, "timestamp")
             else x.window_start): (x.left, [tuple(s) for s in x.right] if x.right else None)
            for x in out.withColumn("window_start", _secs("window_start")).collect()}

@@ -37,22 +37,65 @@ def window_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts:
     return joined.select(*key, WSTART, end.alias(WEND), *rest)
 
 
+CoSpec = tuple[str, "str | Column"]
+
+
+def _side_agg(kind: str, col: Column, present: Column) -> Column:
+    if kind == "count":
+        agg = F.count(col)
+    elif kind == "sum":
+        agg = F.sum(col)
+    elif kind == "min":
+        agg = F.min(col)
+    elif kind == "max":
+        agg = F.max(col)
+    elif kind == "avg":
+        agg = F.avg(col)
+    elif kind == "list":
+        agg = F.sort_array(F.collect_list(col))
+    else:
+        raise ValueError(f"unknown coGroup aggregate {kind!r}")
+    return F.when(present > 0, agg)
+
+
+def cogroup_union(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str,
+                  right_ts: str, left_aggs: dict[str, CoSpec],
+                  right_aggs: dict[str, CoSpec]) -> tuple[DataFrame, list[Column]]:
+    """Both inputs as one frame (key, ``_ts``, side flag, one column per
+    aggregate input) and the side-restricted aggregate expressions."""
+    def side(df, ts, aggs, tag):
+        def col(c):
+            if isinstance(c, str):
+                return F.lit(1) if c == "*" else F.col(c)
+            return c
+        inputs = [col(c).alias(f"_{tag}_{n}") for n, (_, c) in aggs.items()]
+        return df.select(*key, F.col(ts).alias("_ts"), F.lit(tag).alias("_side"), *inputs)
+    u = side(left, left_ts, left_aggs, "l").unionByName(
+        side(right, right_ts, right_aggs, "r"), allowMissingColumns=True)
+    n_l = F.count(F.when(F.col("_side") == "l", 1))
+    n_r = F.count(F.when(F.col("_side") == "r", 1))
+    exprs = ([_side_agg(k, F.col(f"_l_{n}"), n_l).alias(n) for n, (k, _) in left_aggs.items()]
+             + [_side_agg(k, F.col(f"_r_{n}"), n_r).alias(n) for n, (k, _) in right_aggs.items()])
+    return u, exprs
+
+
 def window_cogroup(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str,
-                   right_ts: str, size: str, left_aggs: dict[str, Column],
-                   right_aggs: dict[str, Column]) -> DataFrame:
-    """Per (key, window), one result from both sides' rows; either side may be
-    empty (a full outer match). The per-side functions are aggregates, so
-    each side is reduced map-side before the join and a hot (key, window)
-    never has to be held as a list."""
-    def side(df: DataFrame, ts: str, aggs: dict[str, Column]) -> DataFrame:
-        w = F.window(ts, size)
-        return (df.groupBy(*key, w.alias("_w"))
-                .agg(*[c.alias(n) for n, c in aggs.items()])
-                .select(*key, F.col("_w").start.alias(WSTART), F.col("_w").end.alias(WEND),
-                        *aggs))
-    l = side(left, left_ts, left_aggs)
-    r = side(right, right_ts, right_aggs)
-    return l.join(r, [*key, WSTART, WEND], "full_outer")
+                   right_ts: str, size: str, left_aggs: dict[str, CoSpec],
+                   right_aggs: dict[str, CoSpec]) -> DataFrame:
+    """Per (key, tumbling window): one result from each side's rows; a side
+    without rows in that window gives nulls (full outer semantics).
+
+    Each side's function is an aggregate spec ``name: (kind, column)`` with
+    kind count (column ``"*"`` counts rows), sum, min, max, avg or list
+    (sorted values). The two inputs are tagged and unioned and a single
+    aggregation per (key, window) computes both sides, with partial
+    aggregation before its one shuffle; the same plan runs on streams.
+    """
+    u, exprs = cogroup_union(left, right, key, left_ts, right_ts, left_aggs, right_aggs)
+    w = F.window("_ts", size)
+    out = u.groupBy(*key, w.alias("_w")).agg(*exprs)
+    return out.select(*key, F.col("_w").start.alias(WSTART), F.col("_w").end.alias(WEND),
+                      *left_aggs, *right_aggs)
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str,

@@ -334,8 +334,8 @@ def join_cogroup(spark, base):
     right = ev.filter(F.col("event_type") == "purchase")
     out = joins.window_cogroup(
         left, right, KEY, "ts", "ts", JOIN_WINDOW,
-        {"l_cnt": F.count(F.lit(1)), "l_total": F.sum("value")},
-        {"r_cnt": F.count(F.lit(1)), "r_total": F.sum("value")})
+        {"l_cnt": ("count", "*"), "l_total": ("sum", "value")},
+        {"r_cnt": ("count", "*"), "r_total": ("sum", "value")})
     return (out.withColumn("l_total", as_double(F.col("l_total")))
             .withColumn("r_total", as_double(F.col("r_total"))))
 

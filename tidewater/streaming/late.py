@@ -25,14 +25,15 @@ class LateRouter:
         self.out, self.ts, self.delay_us, self.fmt = out.rstrip("/"), ts, int(delay_seconds * 1e6), fmt
 
     def _previous_max(self, spark, batch_id: int):
+        """Running max after the previous batch (one tiny file per batch id;
+        batch ids are consecutive, so only the previous one is read)."""
         if batch_id == 0:
             return None
         try:
-            rows = (spark.read.parquet(f"{self.out}/_max")
-                    .filter(F.col("batch_id") == batch_id - 1).collect())
-        except Exception:  # noqa: BLE001 - no batch written yet
+            row = spark.read.parquet(f"{self.out}/_max/batch_id={batch_id - 1}").first()
+        except Exception:  # noqa: BLE001 - nothing written before this batch
             return None
-        return rows[0]["max_us"] if rows else None
+        return row["max_us"] if row else None
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -51,7 +52,7 @@ class LateRouter:
             cur = flagged.agg(F.max(tnum).alias("m")).first()["m"]
             seen = [x for x in (prev, cur) if x is not None]
             new_max = max(seen) if seen else None
-            (spark.createDataFrame([(batch_id, new_max)], "batch_id long, max_us long")
+            (spark.createDataFrame([(new_max,)], "max_us long").coalesce(1)
              .write.mode("overwrite").parquet(f"{self.out}/_max/batch_id={batch_id}"))
         finally:
             flagged.unpersist()

@@ -183,6 +183,20 @@ def interval_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts
                       *[r[c] for c in right.columns if c not in key])
 
 
+def window_cogroup(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str,
+                   right_ts: str, size: str, delay: str, left_aggs: dict,
+                   right_aggs: dict) -> DataFrame:
+    """Stream window coGroup: the tagged union of both streams aggregated per
+    (key, window) under one watermark; append mode emits a (key, window)
+    once the watermark passes its end, with nulls for a side without rows."""
+    from ..operators.joins import cogroup_union
+    u, exprs = cogroup_union(left, right, key, left_ts, right_ts, left_aggs, right_aggs)
+    u = event_time(u, "_ts", delay)
+    out = u.groupBy(*key, F.window("_ts", size).alias("_w")).agg(*exprs)
+    return out.select(*key, F.col("_w").start.alias("window_start"),
+                      F.col("_w").end.alias("window_end"), *left_aggs, *right_aggs)
+
+
 def stamp_ingest_time(df: DataFrame, col: str = "ingest_ts") -> DataFrame:
     """Arrival-time column for processing-time joins and windows: stamp each
     input once where it lands (write the stamped stream out, or join on it
