@@ -252,3 +252,21 @@ def _single_dir(spark, events):
     for f in os.listdir(f"{d}/all"):
         os.utime(f"{d}/all/{f}", (time.time() - 50, time.time() - 50))
     return d
+
+
+def test_rolling_fields_and_extreme_rows_stream(spark, events, stream_dir):
+    fields = {"mx": ("max", "value"), "mn": ("min", "value"), "first_type": ("first", "event_type"),
+              "last_ts": ("last", "ts"), "cnt": ("count", "value")}
+    got = collect(spark, ops.rolling(stream(spark, events, stream_dir), KEY, ORDER, fields),
+                  "s_roll")
+    want = agg.rolling(events, KEY, ORDER, fields)
+    cols = ["user_id", "event_id", "mx", "mn", "first_type", "cnt"]
+    assert rows(got, *cols) == rows(want, *cols)
+    for largest in (True, False):
+        name = "s_maxby" if largest else "s_minby"
+        got = collect(spark, ops.extreme_row(stream(spark, events, stream_dir), KEY, ORDER,
+                                             "value", ["event_id", "value"], largest), name)
+        want = agg.extreme_row(events, KEY, ORDER, "value", ["event_id", "value"],
+                               largest=largest, rolling_=True)
+        assert rows(got, "at_event_id", "event_id", "value") == \
+            rows(want, "at_event_id", "event_id", "value")

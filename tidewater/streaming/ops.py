@@ -70,6 +70,34 @@ def running_sum(df: DataFrame, key: Sequence[str], order: Sequence[str], value:
     return keyed(df, key, proc, _schema(df, cols, "run_sum double, n long, mean double"))
 
 
+def rolling(df: DataFrame, key: Sequence[str], order: Sequence[str],
+            fields: dict[str, tuple[str, str]]) -> DataFrame:
+    """Stream form of ``aggregates.rolling``: one output row per input row
+    with each field's aggregate so far (sum, count, max, min, first, last)."""
+    cols = list(dict.fromkeys([*key, *order]))
+    state, extra = [], []
+    for n, (kind, c) in fields.items():
+        t = "bigint" if kind == "count" else _type(df, c)
+        state += [f"seen_{n} boolean", f"acc_{n} {t}"]
+        extra.append(f"`{n}` {t}")
+    proc = P.RollingFields(order, cols, fields, ", ".join(state))
+    return keyed(df, key, proc, _schema(df, cols, ", ".join(extra)))
+
+
+def extreme_row(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
+                columns: Sequence[str], largest: bool = True) -> DataFrame:
+    """Stream form of maxBy / minBy (rolling): key, ``at_<order>`` of the
+    current row, then the chosen row's ``columns``."""
+    row_cols = list(dict.fromkeys(columns))
+    out = [*[k for k in key if k not in row_cols], *[f"at_{o}" for o in order], *row_cols]
+    schema = ", ".join([*[f"`{k}` {_type(df, k)}" for k in key if k not in row_cols],
+                        *[f"`at_{o}` {_type(df, o)}" for o in order],
+                        *[f"`{c}` {_type(df, c)}" for c in row_cols]])
+    state = ", ".join(f"`{c}` {_type(df, c)}" for c in row_cols)
+    proc = P.ExtremeRow(order, value, row_cols, out, largest, state)
+    return keyed(df, key, proc, schema)
+
+
 def value_counts(df: DataFrame, key: Sequence[str], order: Sequence[str],
                  value: str) -> DataFrame:
     cols = list(dict.fromkeys([*key, *order, value]))

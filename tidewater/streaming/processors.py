@@ -265,3 +265,92 @@ class TtlValue(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class RollingFields(StatefulProcessor):
+    """Keyed rolling aggregate: after each row, every field's aggregate over
+    the key's rows so far. Kinds: sum, count, max, min, first, last (first
+    and last in order, nulls included, as a keyed stream keeps them). State:
+    a (seen, value) pair per field in one value cell."""
+
+    def __init__(self, order: Sequence[str], columns: Sequence[str],
+                 fields: dict[str, tuple[str, str]], state_schema: str):
+        self.order, self.columns, self.fields = list(order), list(columns), dict(fields)
+        self.state_schema = state_schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.acc = handle.getValueState("acc", self.state_schema)
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        pdf = _ordered(rows, self.order)
+        if pdf.empty:
+            return
+        names = list(self.fields)
+        have = self.acc.exists()
+        cur = list(self.acc.get()) if have else [None] * (2 * len(names))
+        outs = {n: [] for n in names}
+        cols = {n: pdf[c].tolist() for n, (_, c) in self.fields.items()}
+        for i in range(len(pdf)):
+            for j, n in enumerate(names):
+                kind = self.fields[n][0]
+                v = cols[n][i]
+                v = None if _missing(v) else v
+                seen, acc = cur[2 * j], cur[2 * j + 1]
+                if kind == "count":
+                    acc = (acc or 0) + (v is not None)
+                elif kind == "sum":
+                    acc = acc if v is None else (v if acc is None else acc + v)
+                elif kind == "max":
+                    acc = acc if v is None else (v if acc is None else max(acc, v))
+                elif kind == "min":
+                    acc = acc if v is None else (v if acc is None else min(acc, v))
+                elif kind == "first":
+                    acc = acc if seen else v
+                elif kind == "last":
+                    acc = v
+                cur[2 * j], cur[2 * j + 1] = True, acc
+                outs[n].append(acc)
+        self.acc.update(tuple(cur))
+        yield pdf.assign(**outs)[[*self.columns, *names]]
+
+    def close(self) -> None:
+        pass
+
+
+class ExtremeRow(StatefulProcessor):
+    """maxBy / minBy: after each row, the whole row with the largest (or
+    smallest) value so far; an earlier row keeps its place on a tie."""
+
+    def __init__(self, order: Sequence[str], value: str, row_cols: Sequence[str],
+                 out_cols: Sequence[str], largest: bool, state_schema: str):
+        self.order, self.value, self.row_cols = list(order), value, list(row_cols)
+        self.out_cols, self.largest, self.state_schema = list(out_cols), largest, state_schema
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.best = handle.getValueState("best", self.state_schema)
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        pdf = _ordered(rows, self.order)
+        if pdf.empty:
+            return
+        best = tuple(self.best.get()) if self.best.exists() else None
+        vi = self.row_cols.index(self.value)
+        picked = []
+        for rec in pdf[self.row_cols].itertuples(index=False, name=None):
+            v = rec[vi]
+            if not _missing(v):
+                if best is None or (v > best[vi] if self.largest else v < best[vi]):
+                    best = rec
+            picked.append(best)
+        if best is not None:
+            self.best.update(best)
+        at = pdf[self.order].rename(columns={o: f"at_{o}" for o in self.order})
+        chosen = pd.DataFrame([p if p is not None else (None,) * len(self.row_cols)
+                               for p in picked], columns=self.row_cols)
+        out = pd.concat([pdf[[c for c in self.out_cols if c not in self.row_cols
+                               and not c.startswith("at_")]].reset_index(drop=True),
+                         at.reset_index(drop=True), chosen], axis=1)
+        yield out[self.out_cols]
+
+    def close(self) -> None:
+        pass
