@@ -4,22 +4,16 @@ Each one answers, for every row, what a per-key state cell would give after
 (or before) that row: a jump alert from a value cell, a running top-k from a
 list cell, value counts from a map cell, sums and means from reducing and
 aggregating cells, and a value cell with time-to-live. Running forms go
-through the skew-aware keyed prefix scan; the top-k list is the one
-non-associative-window case and uses a sorted per-partition pass in pandas
-for the local part, with the same chunk carry-in for hot keys.
+through the skew-aware keyed prefix scan with native window frames.
 """
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.core import order_struct
 from ..functions.time import epoch_micros
 from . import scan
 
@@ -46,67 +40,39 @@ def value_jump_alert(df: DataFrame, key: Sequence[str], order: Sequence[str], va
 
 # -- list state: running top-k --------------------------------------------------
 
-def _local_topk(df: DataFrame, group: Sequence[str], order: Sequence[str], value: str,
-                k: int, out: str) -> DataFrame:
-    """Running top-k of ``value`` within each ``group`` in ``order``: rows are
-    hash-partitioned by group, sorted, and walked once with O(k) state."""
-    vtype = df.schema[value].dataType
-    schema = T.StructType([*df.schema.fields, T.StructField(out, T.ArrayType(vtype))])
-    ordered = df.repartition(*group).sortWithinPartitions(*group, *order)
-    group = list(group)
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, top = None, []
-        for pdf in batches:
-            keys = list(pdf[group].itertuples(index=False, name=None))
-            results = []
-            for g, v in zip(keys, pdf[value].tolist()):
-                if g != current:
-                    current, top = g, []
-                if v is not None and not (isinstance(v, float) and math.isnan(v)):
-                    if len(top) < k:
-                        top.append(v)
-                        top.sort(reverse=True)
-                    elif v > top[-1]:
-                        top[-1] = v
-                        top.sort(reverse=True)
-                results.append(list(top))
-            yield pdf.assign(**{out: results})
-
-    return ordered.mapInPandas(run, schema)
-
-
 def running_topk(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
                  k: int = 3, keep: Sequence[str] = (), hot_rows: int | None = None,
                  out: str = "top") -> DataFrame:
     """After each row: the ``k`` largest values of its key so far, largest
-    first, duplicates kept."""
-    base = df.select(*dict.fromkeys([*key, *order, value, *keep]))
+    first, duplicates kept (nulls are skipped).
+
+    The j-th largest value of a prefix is the running maximum of
+    ``min(v, (j-1)-th largest before the row)``: for j = 1 the running max,
+    for j > 1 the latest of the top j rows paired with the (j-1)-th largest
+    before it. So the list is j chained running-max passes of the keyed
+    prefix scan (native window frames, hot keys split into chunks with an
+    exact carry-in), with no per-row Python.
+    """
     key = list(key)
-    plan = scan.plan_chunks(base, key, order[0], hot_rows)
-    chunked = scan.with_chunks(base, key, order[0], plan)
-    local = _local_topk(chunked, [*key, scan.CHUNK], order, value, k, "_l_top")
     cols = list(dict.fromkeys([*key, *order, value, *keep]))
-    if plan is None:
-        return local.select(*cols, F.col("_l_top").alias(out))
-    # Carry-in for hot keys: top-k over all earlier chunks. The chunk tops
-    # (k values per chunk) are scanned in chunk order with the same local
-    # pass; that table has one row per hot chunk value, so it is small.
-    ordering = order_struct(local, order)
-    tops = (local.filter(F.col(scan.HOT)).groupBy(*key, scan.CHUNK)
-            .agg(F.max_by("_l_top", ordering).alias("_t"))
-            .select(*key, scan.CHUNK, F.posexplode("_t").alias("_p", "_v")))
-    upto = (_local_topk(tops, key, [scan.CHUNK, "_p"], "_v", k, "_upto")
-            .groupBy(*key, scan.CHUNK)
-            .agg(F.max_by("_upto", F.col("_p")).alias("_upto")))
-    carry = upto.select(*key, (F.col(scan.CHUNK) + 1).alias(scan.CHUNK),
-                        F.col("_upto").alias("_c_top"))
-    if plan.broadcastable:
-        carry = F.broadcast(carry)
-    merged = local.join(carry, [*key, scan.CHUNK], "left")
-    both = F.concat(F.coalesce(F.col("_c_top"), F.array().cast(T.ArrayType(
-        df.schema[value].dataType))), F.col("_l_top"))
-    return merged.select(*cols, F.slice(F.sort_array(both, asc=False), 1, k).alias(out))
+    cur = df.select(*cols)
+    plan = scan.plan_chunks(cur, key, order[0], hot_rows) if key else scan._DETECT
+    v = F.col(value)
+    prev_level = None
+    for j in range(1, k + 1):
+        cand = v if prev_level is None else F.when(
+            v.isNotNull() & F.col(prev_level).isNotNull(), F.least(v, F.col(prev_level)))
+        outputs = {f"_t{j}": scan.running_max(cand)}
+        if j < k:
+            outputs[f"_p{j}"] = scan.running_max(cand, inclusive=False)
+        cur = scan.keyed_prefix(cur.withColumn(f"_c{j}", cand), key, order, {
+            name: scan.Prefix(p.monoid, F.col(f"_c{j}"), p.inclusive)
+            for name, p in outputs.items()}, hot_rows, plan=plan).drop(f"_c{j}")
+        if prev_level is not None:
+            cur = cur.drop(prev_level)
+        prev_level = f"_p{j}" if j < k else None
+    levels = F.array(*[F.col(f"_t{j}") for j in range(1, k + 1)])
+    return cur.select(*cols, F.filter(levels, lambda x: x.isNotNull()).alias(out))
 
 
 def topk_final(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
