@@ -35,7 +35,8 @@ JOIN_WINDOW = "1 day"
 JOIN_BOUND_S = 1 * HOUR
 LATE_DELAY_S = 1 * HOUR
 TTL_S = 6 * HOUR
-PARTITIONS = 4
+PARTITIONS = 4            # copies made by the broadcast partitioner
+ROWS_PER_TASK = 5_000_000  # generator rows per subtask
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -71,7 +72,8 @@ def arrival(df: DataFrame) -> DataFrame:
 
 def src_datagen(spark, base):
     n = events(spark, base).count()
-    return generate(spark, n, number_label, num_partitions=2)
+    # the range is split evenly over the subtasks; their number grows with n
+    return generate(spark, n, number_label, num_partitions=max(2, -(-n // ROWS_PER_TASK)))
 
 
 def parse_sensor_q(spark, base):
@@ -142,15 +144,23 @@ def part_broadcast(spark, base):
                          F.spark_partition_id().alias("placed"))
 
 
+def _subtasks(spark) -> int:
+    """Parallelism for the routing queries: the session's shuffle partitions."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def part_custom(spark, base):
+    n = _subtasks(spark)
     ev = events(spark, base).select("event_id", "user_id")
-    placed = partition.custom(ev, PARTITIONS,
-                              partition.int_key_partitioner(F.col("user_id").cast("string")))
-    return placed.select("event_id", "user_id", F.spark_partition_id().alias("placed"))
+    key = partition.int_key_partitioner(F.col("user_id").cast("string"))
+    placed = partition.custom(ev, n, key)
+    # every row sits in the partition the partitioner names (key mod n)
+    ok = F.spark_partition_id() == F.pmod(key, F.lit(n))
+    return placed.select("event_id", "user_id", ok.alias("placed_ok"))
 
 
 def part_keyby(spark, base):
-    ev = partition.key_by(events(spark, base).select("user_id"), 8, "user_id")
+    ev = partition.key_by(events(spark, base).select("user_id"), _subtasks(spark), "user_id")
     return (ev.withColumn("_p", F.spark_partition_id())
             .groupBy("user_id")
             .agg(F.count_distinct("_p").alias("n_parts"), F.count(F.lit(1)).alias("n_rows")))
