@@ -270,3 +270,48 @@ def test_rolling_fields_and_extreme_rows_stream(spark, events, stream_dir):
                                largest=largest, rolling_=True)
         assert rows(got, "at_event_id", "event_id", "value") == \
             rows(want, "at_event_id", "event_id", "value")
+
+
+def test_session_agg_stream_matches_batch(spark, events):
+    src = _closed(spark, events, _single_dir(spark, events), "sess")
+    out = ops.session_agg(src, KEY, "ts", "30 minutes", "0 seconds",
+                          {"n": F.count("event_id")})
+    got = collect(spark, out, "s_sess").filter(F.col("user_id").isNotNull())
+    want = windows.session(events, KEY, "ts", "30 minutes", {"n": F.count("event_id")})
+    g = rows(got.withColumn("ws", F.col("window_start").cast("timestamp_ntz")), "user_id", "ws", "n")
+    assert g == rows(want, "user_id", "window_start", "n")
+
+
+def test_processing_time_window_and_ingest_stamp(spark, events):
+    src = stream(spark, events, _single_dir(spark, events))
+    stamped = ops.stamp_ingest_time(src)
+    out = ops.processing_time_window(stamped, ["event_type"], "1 hour", {"n": F.count(F.lit(1))})
+    got = collect(spark, out, "s_pt", mode="update", processing_time=True)
+    assert sum(r.n for r in got.collect()) == events.count()
+    assert got.filter(F.col("window_end") <= F.col("window_start")).count() == 0
+
+
+def test_generator_stream(spark):
+    from tidewater.sources.core import generate_stream, number_label
+    gen = generate_stream(spark, number_label, rows_per_batch=10, num_partitions=2)
+    q = (gen.writeStream.format("memory").queryName("s_gen")
+         .option("checkpointLocation", scratch()).trigger(processingTime="200 milliseconds")
+         .start())
+    try:
+        deadline = time.time() + 60
+        while time.time() < deadline and spark.table("s_gen").count() < 30:
+            time.sleep(0.5)
+    finally:
+        q.stop()
+    got = spark.table("s_gen").orderBy("index").collect()
+    assert len(got) >= 30
+    assert [r["index"] for r in got[:30]] == list(range(30))
+    assert got[7].value == "Number:7"
+
+
+def test_event_time_from(spark):
+    from tidewater.functions.time import event_time_from
+    df = spark.createDataFrame([(1, 1000, 1000000)], "s long, ms long, us long")
+    r = df.select(event_time_from("s").alias("a"), event_time_from("ms", "millis").alias("b"),
+                  event_time_from("us", "micros").alias("c")).first()
+    assert r.a == r.b == r.c
