@@ -238,6 +238,11 @@ where rn % 5 = 0""",
 select time_bucket(interval 1 hour, ts) as window_start,
        time_bucket(interval 1 hour, ts) + interval 1 hour as window_end,
        count(*) as cnt, cast(sum({DEC}) as double) as total
+from events group by all""",
+    "win_accumulate": """
+select user_id, time_bucket(interval 1 hour, ts) as window_start,
+       time_bucket(interval 1 hour, ts) + interval 1 hour as window_end,
+       cast(sum(cast(round(value * 100) as bigint)) as varchar) as total
 from events group by all""",
     "win_full_process": """
 select event_type, time_bucket(interval 1 day, ts) as window_start,

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.core import parse_sensor
 from ..operators import aggregates as agg
 from ..operators import joins, late, partition, rowops, scan, state, topn, windows
+from ..operators.accumulate import accumulate, sum_as_text
 from ..operators.split import split_by
 from ..sources.core import generate, number_label, table
 
@@ -316,6 +317,17 @@ def win_all(spark, base):
     return out.withColumn("total", as_double(F.col("total")))
 
 
+def win_accumulate(spark, base):
+    """User accumulator (create/add/merge/result) per key and tumbling window:
+    the demo's sum rendered as text, over exact cents."""
+    w = F.window("ts", TUMBLE)
+    framed = events(spark, base).select(
+        "user_id", w.start.alias("window_start"), w.end.alias("window_end"),
+        F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    return accumulate(framed, ["user_id", "window_start", "window_end"], sum_as_text("cents"),
+                      ["cents"], "total", "string")
+
+
 def win_full_process(spark, base):
     out = windows.window_quantile(events(spark, base), ["event_type"], "ts", "1 day", "value",
                                   0.5, out="median_value")
@@ -429,6 +441,7 @@ QUERIES: dict[str, Query] = {
     "win_count_sliding": win_count_sliding,
     "win_global": win_global,
     "win_all": win_all,
+    "win_accumulate": win_accumulate,
     "win_full_process": win_full_process,
     "join_window": join_window,
     "join_cogroup": join_cogroup,
