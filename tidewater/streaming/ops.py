@@ -162,22 +162,22 @@ def processing_time_window(df: DataFrame, key: Sequence[str], size: str,
 
 def window_topn(df: DataFrame, item: str, ts: str, size: str, slide: str, n: int,
                 delay: str, ascending: bool = False) -> DataFrame:
-    """Per-window top-N in a stream: counts per (item, window), then a second
-    aggregation on the same window column keeps the n best (count, item)
-    pairs; both steps are finalised by the watermark (append mode). Ties by
-    item."""
+    """Per-window top-N in a stream, in two stateful steps: counts per
+    (item, sliding window), emitted once per window when the watermark
+    passes it (append mode); then a processor keyed by window keeps only the
+    n best (count, item) pairs and emits them with their rank from an
+    event-time timer at the window end. Ties by item."""
     src = event_time(df, ts, delay)
     w = F.window(ts, size, slide)
-    counts = src.groupBy(F.col(item), w.alias("_w")).agg(F.count(F.lit(1)).alias("cnt"))
-    rank_key = F.col("cnt") if ascending else -F.col("cnt")
-    best = counts.groupBy("_w").agg(F.slice(F.sort_array(F.collect_list(
-        F.struct(rank_key.alias("r"), F.col(item).alias("i"), F.col("cnt").alias("c")))),
-        1, n).alias("best"))
-    return best.select(F.col("_w").start.alias("window_start"),
-                       F.col("_w").end.alias("window_end"),
-                       F.posexplode("best").alias("pos", "b")).select(
-        "window_start", "window_end", (F.col("pos") + 1).cast("bigint").alias("rank"),
-        F.col("b.i").alias(item), F.col("b.c").alias("cnt"))
+    counts = (src.groupBy(F.col(item), w.alias("w"))
+              .agg(F.count(F.lit(1)).alias("cnt"))
+              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                      F.col(item).cast("string").alias(item), "cnt",
+                      F.unix_millis(F.col("w.end")).alias("end_ms")))
+    proc = P.WindowTopN(n, item, ascending)
+    schema = (f"window_start timestamp, window_end timestamp, rank bigint, "
+              f"`{item}` string, cnt bigint")
+    return keyed(counts, ["window_start", "window_end"], proc, schema, time_mode="EventTime")
 
 
 # -- joins ------------------------------------------------------------------------

@@ -354,3 +354,47 @@ class ExtremeRow(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+class WindowTopN(StatefulProcessor):
+    """Per-window top-N after a windowed count: keyed by window, keeps only
+    the n best (count, item) pairs in list state and emits them with their
+    rank when the watermark passes the window end (event-time timer).
+    State per open window is O(n), however many items the window has."""
+
+    def __init__(self, n: int, item: str, ascending: bool = False, end_ms: str = "end_ms"):
+        self.n, self.item, self.ascending, self.end_ms = n, item, ascending, end_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.best = handle.getListState("best", "c long, i string")
+
+    def _order(self, pair):
+        # ties by item, a null item first (as in the batch ordering)
+        item = (pair[1] is not None, pair[1] or "")
+        return (pair[0], item) if self.ascending else (-pair[0], item)
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues):
+        best = list(self.best.get()) if self.best.exists() else []
+        end_ms = None
+        for pdf in rows:
+            best.extend(zip(pdf["cnt"].tolist(), pdf[self.item].tolist()))
+            best = sorted(best, key=self._order)[: self.n]
+            end_ms = int(pdf[self.end_ms].iloc[0])
+        self.best.put(best)
+        if end_ms is not None:
+            self.handle.registerTimer(end_ms)
+        return iter([])
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        best = sorted(self.best.get(), key=self._order) if self.best.exists() else []
+        self.best.clear()
+        if best:
+            yield pd.DataFrame({"window_start": [key[0]] * len(best),
+                                "window_end": [key[1]] * len(best),
+                                "rank": list(range(1, len(best) + 1)),
+                                self.item: [b[1] for b in best],
+                                "cnt": [int(b[0]) for b in best]})
+
+    def close(self) -> None:
+        pass
