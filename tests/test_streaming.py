@@ -315,3 +315,15 @@ def test_event_time_from(spark):
     r = df.select(event_time_from("s").alias("a"), event_time_from("ms", "millis").alias("b"),
                   event_time_from("us", "micros").alias("c")).first()
     assert r.a == r.b == r.c
+
+
+def test_split_writer_stream(spark, events, stream_dir):
+    from tidewater.streaming.split import SplitWriter
+    out = scratch()
+    writer = SplitWriter(out, {"s1": F.col("event_type") == "click",
+                               "s2": F.col("event_type") == "purchase"})
+    run_batches(stream(spark, events, stream_dir), "s_split", writer, checkpoint=scratch())
+    got = {name: spark.read.parquet(f"{out}/{name}") for name in ("s1", "s2", "main")}
+    assert sum(df.count() for df in got.values()) == events.count()
+    assert {r.event_type for r in got["s1"].select("event_type").distinct().collect()} == {"click"}
+    assert got["main"].filter(F.col("event_type").isin("click", "purchase")).count() == 0

@@ -67,11 +67,16 @@ def generate(spark: SparkSession, n: int, fn, num_partitions: int = 2,
 
 
 def generate_stream(spark: SparkSession, fn, rows_per_batch: int = 1000,
-                    num_partitions: int = 2) -> DataFrame:
-    """Unbounded generator at a fixed number of rows per micro-batch."""
-    src = (spark.readStream.format("rate-micro-batch")
-           .option("rowsPerBatch", str(rows_per_batch))
-           .option("numPartitions", str(num_partitions)).load())
+                    num_partitions: int = 2, rows_per_second: int | None = None) -> DataFrame:
+    """Unbounded generator: a fixed number of rows per micro-batch, or (with
+    ``rows_per_second``) a fixed rate on the processing clock."""
+    if rows_per_second:
+        src = (spark.readStream.format("rate").option("rowsPerSecond", str(rows_per_second))
+               .option("numPartitions", str(num_partitions)).load())
+    else:
+        src = (spark.readStream.format("rate-micro-batch")
+               .option("rowsPerBatch", str(rows_per_batch))
+               .option("numPartitions", str(num_partitions)).load())
     return src.select(F.col("value").alias("index"), fn(F.col("value")).alias("value"))
 
 
