@@ -7,7 +7,7 @@ one task. A key may hold a large share of all rows, so hot keys are split:
 
 1. rows are counted per key (map-side combined); keys above ``hot_rows`` rows
    are hot. No key can be hot when the whole input is below ``hot_rows``.
-2. per hot key, ``percentile_approx`` of the first order column gives chunk
+2. per hot key, a seeded sample of the first order column gives chunk
    boundaries, so a hot key becomes ordered chunks of ~``hot_rows`` rows. The
    boundary table is checkpointed to the shared folder so that a re-run stage
    assigns rows to the same chunks.
@@ -149,37 +149,53 @@ def order_number(df: DataFrame, col: str) -> Column:
     return F.col(col).cast("double")
 
 
+SAMPLES_PER_CHUNK = 64
+SAMPLE_SEED = 17
+
+
 def plan_chunks(df: DataFrame, key: Sequence[str], order0: str,
                 hot_rows: int | None = None) -> ChunkPlan | None:
     """Find keys above ``hot_rows`` rows and split them into ordered chunks.
 
     Returns ``None`` when no key is hot (then the plain keyed window is exact
     and no task holds more than a key's rows, each below ``hot_rows``).
+
+    Boundaries come from a seeded Bernoulli sample of the hot keys' rows
+    (about ``SAMPLES_PER_CHUNK`` per chunk, as a range partitioner samples):
+    numbered per key in order, every ``SAMPLES_PER_CHUNK``-th sampled value
+    is a boundary. Each hot key gets chunks in proportion to its own size,
+    so the boundary table has about ``rows / hot_rows`` entries in total.
     """
     hot_rows = hot_rows or _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     if df.count() <= hot_rows:
         return None
     hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > hot_rows))
-    n_hot, biggest = hot.agg(F.count(F.lit(1)), F.max("_n")).first()
+    n_hot, biggest, hot_total = hot.agg(F.count(F.lit(1)), F.max("_n"), F.sum("_n")).first()
     if not n_hot:
         return None
-    n_chunks = max(2, min(MAX_CHUNKS, math.ceil(biggest / hot_rows)))
-    fractions = [i / n_chunks for i in range(1, n_chunks)]
-    accuracy = max(10_000, 20 * n_chunks)
+    chunk_rows = max(hot_rows, math.ceil(biggest / MAX_CHUNKS))
+    fraction = min(1.0, SAMPLES_PER_CHUNK / chunk_rows)
+    stride = max(1, round(chunk_rows * fraction))
     max_bcast = _conf_int(df, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS)
     hot_keys = hot.select(*key)
     if n_hot <= max_bcast:
         hot_keys = F.broadcast(hot_keys)
-    bounds = (df.join(hot_keys, list(key), "left_semi")
-              .groupBy(*key)
-              .agg(F.percentile_approx(order_number(df, order0), fractions, accuracy)
-                   .alias(BOUNDS)))
-    # The sketch's merge order is not fixed; a recomputed stage must see the
-    # same boundaries, so the (small) table is written to the shared folder.
+    pos = order_number(df, order0)
+    sample = (df.join(hot_keys, list(key), "left_semi")
+              .sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
+              .select(*key, pos.alias("_pos")))
+    ranked = sample.withColumn("_r", F.row_number().over(
+        Window.partitionBy(*key).orderBy("_pos")))
+    bounds = (ranked.filter(F.col("_r") % stride == 0)
+              .groupBy(*key).agg(F.sort_array(F.collect_list("_pos")).alias(BOUNDS)))
+    # A re-run stage must see the same boundaries, so the (small) table is
+    # written to the shared folder instead of being recomputed.
     ensure_checkpoint_dir(df.sparkSession)
     bounds = bounds.checkpoint(eager=True)
-    return ChunkPlan(bounds, n_chunks, n_hot * n_chunks <= max_bcast)
+    n_chunks = math.ceil(biggest / chunk_rows)
+    total_chunks = math.ceil(hot_total / chunk_rows) + n_hot
+    return ChunkPlan(bounds, n_chunks, total_chunks <= max_bcast)
 
 
 def with_chunks(df: DataFrame, key: Sequence[str], order0: str,
