@@ -93,3 +93,17 @@ def test_exact_quantile_matches_percentile(ev):
         got = dict(rows(a))
         for k, v in rows(b):
             assert abs(got[k] - v) < 1e-9
+
+
+def test_whole_stream_scans_share_one_plan(ev):
+    a = state.running_topk(ev, [], ORDER, "value", 3, hot_rows=HOT)
+    b = state.running_topk(ev, [], ORDER, "value", 3, hot_rows=10**9)
+    assert rows(a) == rows(b)
+    w = F.col("value") > 100
+    a = state.ttl_value(ev, [], ORDER, "ts", "value", 3600, w, hot_rows=HOT)
+    b = state.ttl_value(ev, [], ORDER, "ts", "value", 3600, w, hot_rows=10**9)
+    assert rows(a) == rows(b)
+    aggs = {"n": F.count(F.lit(1))}
+    a = windows.session(ev, [], "ts", "30 minutes", aggs, tiebreak=["event_id"], hot_rows=HOT)
+    b = windows.session(ev, [], "ts", "30 minutes", aggs, hot_rows=10**9)
+    assert rows(a) == rows(b)

@@ -213,6 +213,15 @@ def with_chunks(df: DataFrame, key: Sequence[str], order0: str,
             .drop(BOUNDS))
 
 
+def keyed(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, list[str]]:
+    """``(df, key)`` with a constant key column added when ``key`` is empty,
+    so a whole-stream scan can share one chunk plan across passes (drop
+    ``ALL`` from the result)."""
+    if key:
+        return df, list(key)
+    return df.withColumn(ALL, F.lit(0)), [ALL]
+
+
 # -- the scan -----------------------------------------------------------------
 
 _DETECT = object()

@@ -53,10 +53,9 @@ def running_topk(df: DataFrame, key: Sequence[str], order: Sequence[str], value:
     prefix scan (native window frames, hot keys split into chunks with an
     exact carry-in), with no per-row Python.
     """
-    key = list(key)
     cols = list(dict.fromkeys([*key, *order, value, *keep]))
-    cur = df.select(*cols)
-    plan = scan.plan_chunks(cur, key, order[0], hot_rows) if key else scan._DETECT
+    cur, key = scan.keyed(df.select(*cols), key)
+    plan = scan.plan_chunks(cur, key, order[0], hot_rows)
     v = F.col(value)
     prev_level = None
     for j in range(1, k + 1):
@@ -115,7 +114,9 @@ def ttl_value(df: DataFrame, key: Sequence[str], order: Sequence[str], ts: str,
     if refresh != "read_write":
         raise ValueError("refresh must be 'read_write' or 'create_write'")
     # one chunk plan for both passes (the second input is derived from the first)
-    plan = scan.plan_chunks(df, list(key), order[0], hot_rows) if key else scan._DETECT
+    cols = list(df.columns)
+    df, key = scan.keyed(df, key)
+    plan = scan.plan_chunks(df, key, order[0], hot_rows)
     gaps = scan.keyed_prefix(df, key, order, {
         "_prev_t": scan.last_value(tnum, order, inclusive=False, ignore_nulls=False)},
         hot_rows, plan=plan)
@@ -125,4 +126,4 @@ def ttl_value(df: DataFrame, key: Sequence[str], order: Sequence[str], ts: str,
         "_lw": scan.last_value(written, order, inclusive=False)}, hot_rows, plan=plan)
     alive = F.col("_lw").isNotNull() & (F.col("_lw").getField("at") >= F.col("_brk"))
     state = F.when(alive, F.col("_lw").getField("v"))
-    return out.withColumn("state", state).drop("_prev_t", "_brk", "_lw")
+    return out.withColumn("state", state).select(*cols, "state")

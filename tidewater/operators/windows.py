@@ -56,11 +56,13 @@ def session(df: DataFrame, key: Sequence[str], ts: str, gap: str,
     sessions are numbered with the chunked keyed scan instead (a session
     starts where the gap to the previous row exceeds ``gap``) and aggregated
     by (key, session number) with partial aggregation."""
-    key = list(key)
-    plan = scan.plan_chunks(df, key, ts, hot_rows) if key else None
+    user_key = list(key)
+    df, key = scan.keyed(df, user_key)
+    plan = scan.plan_chunks(df, key, ts, hot_rows)
     if plan is None:
         w = F.session_window(ts, gap)
-        return _flatten(df.groupBy(*key, w.alias(W)).agg(*_aliased(aggs)), key, list(aggs))
+        out = df.groupBy(*user_key, w.alias(W)).agg(*_aliased(aggs))
+        return _flatten(out, user_key, list(aggs))
     gap_us = int(df.sparkSession.sql(
         f"SELECT CAST(unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {gap}) AS BIGINT)"
     ).first()[0])
@@ -75,7 +77,7 @@ def session(df: DataFrame, key: Sequence[str], ts: str, gap: str,
     out = (numbered_.groupBy(*key, "_sid")
            .agg(F.min(ts).alias("window_start"),
                 (F.max(ts) + F.expr(f"INTERVAL {gap}")).alias("window_end"), *_aliased(aggs)))
-    return out.select(*key, "window_start", "window_end", *aggs)
+    return out.select(*user_key, "window_start", "window_end", *aggs)
 
 
 def window_all(df: DataFrame, ts: str, size: str, slide: str | None,
