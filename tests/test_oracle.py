@@ -1,0 +1,31 @@
+"""The correctness gate inside the test suite: every registered query
+against its DuckDB oracle on the sf0.001 tables (rows, columns, values)."""
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from tidewater.sources.core import TABLES
+from tools.oracle_check import rows_of
+
+from .conftest import SF_SMALL
+
+
+@pytest.fixture(scope="module")
+def duck():
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"create view {t} as select * from '{SF_SMALL}/{t}.parquet'")
+    yield con
+    con.close()
+
+
+@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+def test_query_matches_oracle(spark, duck, name):
+    df = entry.queries()[name](spark, SF_SMALL)
+    got = [tuple(r) for r in df.collect()]
+    res = duck.execute(entry.oracle_sql()[name])
+    cols = [d[0] for d in res.description]
+    want = res.fetchall()
+    assert sorted(df.columns) == sorted(cols)
+    assert rows_of(df.columns, got) == rows_of(cols, want)
