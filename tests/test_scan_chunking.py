@@ -21,11 +21,23 @@ def ev(spark):
 
 
 def test_plan_finds_hot_keys(ev):
-    plan = scan.plan_chunks(ev, KEY, "ts", hot_rows=HOT)
+    plan = scan.plan_chunks(ev, KEY, ORDER, hot_rows=HOT)
     assert plan is not None and plan.n_chunks >= 2
-    chunked = scan.with_chunks(ev, KEY, "ts", plan)
+    chunked = scan.with_chunks(ev, KEY, plan)
     assert chunked.select(scan.CHUNK).distinct().count() > 1
-    assert scan.plan_chunks(ev, KEY, "ts", hot_rows=10**9) is None
+    assert scan.plan_chunks(ev, KEY, ORDER, hot_rows=10**9) is None
+
+
+def test_rows_tied_on_the_first_order_column_are_split(spark):
+    # one key, every row at the same time: only the tiebreak orders them
+    df = spark.range(0, 200, 1, 4).select(F.lit("k").alias("k"), F.lit(0).alias("t"),
+                                          F.col("id"), (F.col("id") % 7).alias("v"))
+    plan = scan.plan_chunks(df, ["k"], ["t", "id"], hot_rows=20)
+    chunks = scan.with_chunks(df, ["k"], plan).select(scan.CHUNK).distinct().count()
+    assert chunks >= 5
+    a = agg.rolling(df, ["k"], ["t", "id"], {"s": ("sum", "v")}, hot_rows=20)
+    b = agg.rolling(df, ["k"], ["t", "id"], {"s": ("sum", "v")}, hot_rows=10**9)
+    assert rows(a) == rows(b)
 
 
 @pytest.mark.parametrize("kind", ["sum", "count", "max", "min", "first", "last"])

@@ -7,10 +7,11 @@ one task. A key may hold a large share of all rows, so hot keys are split:
 
 1. rows are counted per key (map-side combined); keys above ``hot_rows`` rows
    are hot. No key can be hot when the whole input is below ``hot_rows``.
-2. per hot key, a seeded sample of the first order column gives chunk
-   boundaries, so a hot key becomes ordered chunks of ~``hot_rows`` rows. The
-   boundary table is checkpointed to the shared folder so that a re-run stage
-   assigns rows to the same chunks.
+2. per hot key, a seeded sample of the order (all order columns, so rows
+   tied on the first one are still split) gives chunk boundaries, and a hot
+   key becomes ordered chunks of ~``hot_rows`` rows. The boundary table is
+   checkpointed to the shared folder so that a re-run stage assigns rows to
+   the same chunks.
 3. the running frame is evaluated per (key, chunk), in parallel;
 4. per (key, chunk) summaries (one row per chunk) are combined over the
    earlier chunks to a carry-in and merged into every row.
@@ -30,9 +31,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.time import epoch_micros
 from ..session import ensure_checkpoint_dir
 
 HOT_ROWS_CONF = "tidewater.scan.hotKeyRows"
@@ -129,9 +128,10 @@ def _c(expr: Column | str) -> Column:
 
 @dataclass
 class ChunkPlan:
-    bounds: DataFrame          # key columns + BOUNDS array<double>, hot keys only
+    bounds: DataFrame          # key columns + BOUNDS array<struct(order)>, hot keys only
     n_chunks: int
     broadcastable: bool
+    order: list[str]           # the order columns the boundaries are made of
 
 
 def _conf_int(df: DataFrame, name: str, default: int) -> int:
@@ -139,21 +139,11 @@ def _conf_int(df: DataFrame, name: str, default: int) -> int:
     return int(value) if value else default
 
 
-def order_number(df: DataFrame, col: str) -> Column:
-    """Numeric image of an order column, monotone in its order."""
-    dtype = df.schema[col].dataType
-    if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
-        return epoch_micros(df, col).cast("double")
-    if isinstance(dtype, T.DateType):
-        return F.unix_date(F.col(col)).cast("double")
-    return F.col(col).cast("double")
-
-
 SAMPLES_PER_CHUNK = 64
 SAMPLE_SEED = 17
 
 
-def plan_chunks(df: DataFrame, key: Sequence[str], order0: str,
+def plan_chunks(df: DataFrame, key: Sequence[str], order: Sequence[str] | str,
                 hot_rows: int | None = None) -> ChunkPlan | None:
     """Find keys above ``hot_rows`` rows and split them into ordered chunks.
 
@@ -181,7 +171,8 @@ def plan_chunks(df: DataFrame, key: Sequence[str], order0: str,
     hot_keys = hot.select(*key)
     if n_hot <= max_bcast:
         hot_keys = F.broadcast(hot_keys)
-    pos = order_number(df, order0)
+    order = [order] if isinstance(order, str) else list(order)
+    pos = F.struct(*[F.col(o) for o in order])
     sample = (df.join(hot_keys, list(key), "left_semi")
               .sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
               .select(*key, pos.alias("_pos")))
@@ -195,16 +186,15 @@ def plan_chunks(df: DataFrame, key: Sequence[str], order0: str,
     bounds = bounds.checkpoint(eager=True)
     n_chunks = math.ceil(biggest / chunk_rows)
     total_chunks = math.ceil(hot_total / chunk_rows) + n_hot
-    return ChunkPlan(bounds, n_chunks, total_chunks <= max_bcast)
+    return ChunkPlan(bounds, n_chunks, total_chunks <= max_bcast, order)
 
 
-def with_chunks(df: DataFrame, key: Sequence[str], order0: str,
-                plan: ChunkPlan | None) -> DataFrame:
+def with_chunks(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> DataFrame:
     """Add CHUNK (0 for keys that are not hot) and HOT columns."""
     if plan is None:
         return df.withColumn(CHUNK, F.lit(0)).withColumn(HOT, F.lit(False))
     bounds = F.broadcast(plan.bounds) if plan.broadcastable else plan.bounds
-    pos = order_number(df, order0)
+    pos = F.struct(*[F.col(o) for o in plan.order])
     joined = df.join(bounds, list(key), "left")
     chunk = (F.when(F.col(BOUNDS).isNull(), F.lit(0))
              .otherwise(F.size(F.filter(F.col(BOUNDS), lambda b: b < pos))))
@@ -245,7 +235,7 @@ def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
         src = df.withColumn(ALL, F.lit(0))
         key = [ALL]
     if plan is _DETECT:
-        plan = plan_chunks(src, key, order[0], hot_rows)
+        plan = plan_chunks(src, key, order, hot_rows)
     parts = [*key] if plan is None else [*key, CHUNK]
     w = Window.partitionBy(*parts).orderBy(*order)
     frames = {True: w.rowsBetween(Window.unboundedPreceding, Window.currentRow),
@@ -259,7 +249,7 @@ def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
             finish(spec.monoid.partial(spec.expr).over(frames[spec.inclusive]), spec).alias(name)
             for name, spec in outputs.items()])
 
-    chunked = with_chunks(src, key, order[0], plan)
+    chunked = with_chunks(src, key, plan)
     local = chunked.select(*cols, *[k for k in key if k not in cols], CHUNK, *[
         spec.monoid.partial(spec.expr).over(frames[spec.inclusive]).alias(f"_l_{name}")
         for name, spec in outputs.items()])

@@ -58,7 +58,8 @@ def session(df: DataFrame, key: Sequence[str], ts: str, gap: str,
     by (key, session number) with partial aggregation."""
     user_key = list(key)
     df, key = scan.keyed(df, user_key)
-    plan = scan.plan_chunks(df, key, ts, hot_rows)
+    order = [ts, *tiebreak]
+    plan = scan.plan_chunks(df, key, order, hot_rows)
     if plan is None:
         w = F.session_window(ts, gap)
         out = df.groupBy(*user_key, w.alias(W)).agg(*_aliased(aggs))
@@ -66,7 +67,6 @@ def session(df: DataFrame, key: Sequence[str], ts: str, gap: str,
     gap_us = int(df.sparkSession.sql(
         f"SELECT CAST(unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {gap}) AS BIGINT)"
     ).first()[0])
-    order = [ts, *tiebreak]
     t = epoch_micros(df, ts)
     prev = scan.keyed_prefix(df, key, order, {
         "_prev": scan.last_value(t, order, inclusive=False, ignore_nulls=False)},
