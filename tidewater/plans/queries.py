@@ -289,7 +289,8 @@ def win_sliding_count(spark, base):
 
 def win_session(spark, base):
     out = windows.session(_ev_dec(spark, base), KEY, "ts", SESSION_GAP,
-                          {"cnt": F.count(F.lit(1)), "total": F.sum("value")})
+                          {"cnt": F.count(F.lit(1)), "total": F.sum("value")},
+                          tiebreak=["event_id"])
     return out.withColumn("total", as_double(F.col("total")))
 
 
