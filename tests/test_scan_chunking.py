@@ -119,3 +119,14 @@ def test_whole_stream_scans_share_one_plan(ev):
     a = windows.session(ev, [], "ts", "30 minutes", aggs, tiebreak=["event_id"], hot_rows=HOT)
     b = windows.session(ev, [], "ts", "30 minutes", aggs, hot_rows=10**9)
     assert rows(a) == rows(b)
+
+
+def test_two_level_chunk_lookup_matches_brute_force(spark):
+    df = spark.range(0, 1000, 1, 6).select(F.lit("k").alias("k"), (F.col("id") % 97).alias("t"),
+                                           F.col("id"))
+    plan = scan.plan_chunks(df, ["k"], ["t", "id"], hot_rows=7)
+    bounds = [tuple(b) for b in plan.bounds.first()[scan.BOUNDS]]
+    assert len(bounds) > 100
+    got = scan.with_chunks(df, ["k"], plan).select("t", "id", scan.CHUNK).collect()
+    for r in got:
+        assert r[scan.CHUNK] == sum(1 for b in bounds if b < (r.t, r.id))

@@ -38,7 +38,7 @@ HOT_ROWS_CONF = "tidewater.scan.hotKeyRows"
 DEFAULT_HOT_ROWS = 4_000_000
 BROADCAST_ROWS_CONF = "tidewater.broadcast.maxRows"
 DEFAULT_BROADCAST_ROWS = 2_000_000
-MAX_CHUNKS = 100_000
+MAX_CHUNKS = 10_000        # per key; a larger key gets proportionally larger chunks
 
 CHUNK = "_tw_chunk"
 HOT = "_tw_hot"
@@ -190,17 +190,41 @@ def plan_chunks(df: DataFrame, key: Sequence[str], order: Sequence[str] | str,
 
 
 def with_chunks(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> DataFrame:
-    """Add CHUNK (0 for keys that are not hot) and HOT columns."""
+    """Add CHUNK (0 for keys that are not hot) and HOT columns.
+
+    A row's chunk is the number of its key's boundaries below its position,
+    found in two steps so that no row is compared with every boundary: a
+    coarse array (every ceil(sqrt(n))-th boundary, joined on the key) picks
+    the block, then that block's <= sqrt(n) boundaries (joined on key and
+    block) give the exact count.
+    """
     if plan is None:
         return df.withColumn(CHUNK, F.lit(0)).withColumn(HOT, F.lit(False))
-    bounds = F.broadcast(plan.bounds) if plan.broadcastable else plan.bounds
+    key = list(key)
+    n = F.size(F.col(BOUNDS))
+    step = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
+    blocks = F.ceil(n / step).cast("int")
+    starts = F.sequence(F.lit(0), blocks - 1)
+    coarse = plan.bounds.select(
+        *key, step.alias("_step"),
+        F.transform(starts, lambda i: F.element_at(F.col(BOUNDS), i * step + 1)).alias("_coarse"))
+    fine = plan.bounds.select(*key, step.alias("_step"), F.posexplode(starts).alias("_pos_b", "_b")) \
+        .drop("_pos_b")
+    fine = fine.join(plan.bounds, key).select(
+        *key, F.col("_b").alias("_blk"),
+        F.slice(F.col(BOUNDS), F.col("_b") * F.col("_step") + 1, F.col("_step")).alias("_fine"))
+    if plan.broadcastable:
+        coarse, fine = F.broadcast(coarse), F.broadcast(fine)
     pos = F.struct(*[F.col(o) for o in plan.order])
-    joined = df.join(bounds, list(key), "left")
-    chunk = (F.when(F.col(BOUNDS).isNull(), F.lit(0))
-             .otherwise(F.size(F.filter(F.col(BOUNDS), lambda b: b < pos))))
+    with_blk = df.join(coarse, key, "left").withColumn(
+        "_blk", F.size(F.filter(F.col("_coarse"), lambda b: b < pos)) - 1)
+    joined = with_blk.join(fine, [*key, "_blk"], "left")
+    below = F.col("_blk") * F.col("_step") + F.size(F.filter(F.col("_fine"), lambda b: b < pos))
+    chunk = (F.when(F.col("_coarse").isNull() | (F.col("_blk") < 0), F.lit(0))
+             .otherwise(below))
     return (joined.withColumn(CHUNK, chunk)
-            .withColumn(HOT, F.col(BOUNDS).isNotNull())
-            .drop(BOUNDS))
+            .withColumn(HOT, F.col("_coarse").isNotNull())
+            .drop("_coarse", "_step", "_blk", "_fine"))
 
 
 def keyed(df: DataFrame, key: Sequence[str]) -> tuple[DataFrame, list[str]]:
