@@ -273,8 +273,10 @@ def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
             finish(spec.monoid.partial(spec.expr).over(frames[spec.inclusive]), spec).alias(name)
             for name, spec in outputs.items()])
 
-    chunked = with_chunks(src, key, plan)
-    local = chunked.select(*cols, *[k for k in key if k not in cols], CHUNK, *[
+    # an input that already carries chunks (multi-pass operators assign them
+    # once) is used as is
+    chunked = src if CHUNK in src.columns else with_chunks(src, key, plan)
+    local = chunked.select(*dict.fromkeys([*cols, *key, CHUNK, HOT]), *[
         spec.monoid.partial(spec.expr).over(frames[spec.inclusive]).alias(f"_l_{name}")
         for name, spec in outputs.items()])
     summary = (chunked.filter(F.col(HOT)).groupBy(*key, CHUNK)
@@ -290,3 +292,9 @@ def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
     return merged.select(*cols, *[
         finish(spec.monoid.merge(F.col(f"_c_{name}"), F.col(f"_l_{name}")), spec).alias(name)
         for name, spec in outputs.items()])
+
+
+def with_chunks_once(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> DataFrame:
+    """Assign chunks up front for several passes of :func:`keyed_prefix`
+    over the same rows (drop CHUNK and HOT from the final result)."""
+    return df if plan is None else with_chunks(df, key, plan)

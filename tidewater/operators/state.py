@@ -56,6 +56,7 @@ def running_topk(df: DataFrame, key: Sequence[str], order: Sequence[str], value:
     cols = list(dict.fromkeys([*key, *order, value, *keep]))
     cur, key = scan.keyed(df.select(*cols), key)
     plan = scan.plan_chunks(cur, key, order, hot_rows)
+    cur = scan.with_chunks_once(cur, key, plan)
     v = F.col(value)
     prev_level = None
     for j in range(1, k + 1):
@@ -117,6 +118,7 @@ def ttl_value(df: DataFrame, key: Sequence[str], order: Sequence[str], ts: str,
     cols = list(df.columns)
     df, key = scan.keyed(df, key)
     plan = scan.plan_chunks(df, key, order, hot_rows)
+    df = scan.with_chunks_once(df, key, plan)
     gaps = scan.keyed_prefix(df, key, order, {
         "_prev_t": scan.last_value(tnum, order, inclusive=False, ignore_nulls=False)},
         hot_rows, plan=plan)

@@ -68,6 +68,7 @@ def session(df: DataFrame, key: Sequence[str], ts: str, gap: str,
         f"SELECT CAST(unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {gap}) AS BIGINT)"
     ).first()[0])
     t = epoch_micros(df, ts)
+    df = scan.with_chunks_once(df, key, plan)
     prev = scan.keyed_prefix(df, key, order, {
         "_prev": scan.last_value(t, order, inclusive=False, ignore_nulls=False)},
         plan=plan)
