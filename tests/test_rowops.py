@@ -53,6 +53,16 @@ def test_parse_sensor_strict_and_permissive(spark):
     assert out["id"] == "s1" and out["ts"] == 5 and out["vc"] is None
 
 
+def test_parse_rejects_spaces_like_the_record_function(spark):
+    df = spark.createDataFrame([("s1, 7,1",)], "value string")
+    with pytest.raises(Exception):
+        df.select(parse_sensor("value").alias("s")).collect()
+    out = df.select(parse_sensor("value", permissive=True).alias("s"))
+    assert out.filter(is_bad_sensor("s")).count() == 1
+    ok = spark.createDataFrame([("s1,+7,-1",)], "value string")
+    assert tuple(ok.select(parse_sensor("value").alias("s")).first()[0]) == ("s1", 7, -1)
+
+
 def test_split_pair(spark):
     df = spark.createDataFrame([("a 1",)], "value string")
     assert tuple(df.select(split_pair("value").alias("p")).first()[0]) == ("a", "1")

@@ -27,22 +27,40 @@ def _c(expr: Column | str) -> Column:
     return F.col(expr) if isinstance(expr, str) else expr
 
 
+# Fixed value: the accepted number syntax (optional sign, decimal digits,
+# no surrounding spaces), as the record function's integer parse accepts.
+INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+
+
+def parse_integer(text: Column, dtype: str, permissive: bool) -> Column:
+    """Parse a whole-number field. Only ``[+-]digits`` is accepted (a plain
+    cast would also take surrounding spaces). Strict mode fails the query on
+    anything else or on overflow; permissive mode gives null."""
+    well_formed = text.rlike(INTEGER_PATTERN)
+    if permissive:
+        return F.when(well_formed, text.try_cast(dtype))
+    return F.when(text.isNull(), F.lit(None).cast(dtype)).when(
+        well_formed, text.cast(dtype)).otherwise(
+        F.raise_error(F.concat(F.lit("not a number: "), text)).cast(dtype))
+
+
 def parse_sensor(line: Column | str, permissive: bool = False) -> Column:
     """``"id,ts,vc"`` -> struct(id string, ts bigint, vc int).
 
-    Strict mode casts with ANSI semantics, so a bad number or a missing field
-    fails the query (as an exception in the record function would). In
-    permissive mode bad fields become null; see :func:`is_bad_sensor`.
-    Fields after the third are ignored.
+    Strict mode fails the query on a bad number or a missing field (as an
+    exception in the record function would). In permissive mode bad fields
+    become null; see :func:`is_bad_sensor`. Fields after the third are
+    ignored.
     """
     parts = F.split(_c(line), SENSOR_SEPARATOR)
-    cast = (lambda c, t: c.try_cast(t)) if permissive else (lambda c, t: c.cast(t))
     if permissive:
-        ts = cast(F.try_element_at(parts, F.lit(2)), "bigint")
-        vc = cast(F.try_element_at(parts, F.lit(3)), "int")
+        ts_text = F.try_element_at(parts, F.lit(2))
+        vc_text = F.try_element_at(parts, F.lit(3))
     else:
-        ts = cast(F.element_at(parts, 2), "bigint")
-        vc = cast(F.element_at(parts, 3), "int")
+        ts_text = F.element_at(parts, 2)
+        vc_text = F.element_at(parts, 3)
+    ts = parse_integer(ts_text, "bigint", permissive)
+    vc = parse_integer(vc_text, "int", permissive)
     return F.struct(F.element_at(parts, 1).alias("id"), ts.alias("ts"), vc.alias("vc"))
 
 
