@@ -41,9 +41,11 @@ def build_session(master: str | None = None, app: str = "tidewater",
     master = master or os.environ.get("TIDEWATER_MASTER", "local[*]")
     builder = SparkSession.builder.master(master).appName(app)
     conf = dict(DEFAULT_CONF)
-    conf["spark.driver.host"] = "127.0.0.1"
-    conf["spark.driver.bindAddress"] = "127.0.0.1"
-    conf["spark.driver.memory"] = os.environ.get("TIDEWATER_DRIVER_MEMORY", "16g")
+    if master.startswith("local"):
+        # single-machine runs: keep the driver on loopback, size its heap
+        conf["spark.driver.host"] = "127.0.0.1"
+        conf["spark.driver.bindAddress"] = "127.0.0.1"
+        conf["spark.driver.memory"] = os.environ.get("TIDEWATER_DRIVER_MEMORY", "16g")
     if shuffle_partitions is not None:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
