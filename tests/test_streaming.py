@@ -327,3 +327,30 @@ def test_split_writer_stream(spark, events, stream_dir):
     assert sum(df.count() for df in got.values()) == events.count()
     assert {r.event_type for r in got["s1"].select("event_type").distinct().collect()} == {"click"}
     assert got["main"].filter(F.col("event_type").isin("click", "purchase")).count() == 0
+
+
+def test_late_router_joint_watermark(spark, events):
+    d = scratch()
+    now = time.time() - 100
+    clicks = events.filter(F.col("event_type") == "click").withColumn("side", F.lit("left"))
+    buys = events.filter(F.col("event_type") == "purchase").withColumn("side", F.lit("right"))
+    parts = [clicks.filter("event_id >= 500"), buys.filter("event_id < 900"),
+             clicks.filter("event_id < 500"), buys.filter("event_id >= 900")]
+    for i, part in enumerate(parts):
+        part.coalesce(1).write.parquet(f"{d}/f{i}")
+        for f in os.listdir(f"{d}/f{i}"):
+            os.utime(f"{d}/f{i}/{f}", (now + i * 10, now + i * 10))
+    out = scratch()
+    schema = clicks.schema
+    src = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+           .option("recursiveFileLookup", "true").parquet(d))
+    run_batches(src, "s_router2", LateRouter(out, "ts", 3600, side="side"), checkpoint=scratch())
+    late_rows = spark.read.parquet(f"{out}/late")
+    # batch 0: only clicks seen -> no joint watermark yet, nothing late in batch 1;
+    # batch 2 (old clicks) is judged against min(max clicks, max purchases)
+    wm = min(clicks.filter("event_id >= 500").agg(F.max("ts")).first()[0],
+             buys.filter("event_id < 900").agg(F.max("ts")).first()[0])
+    want = parts[2].filter(F.col("ts") < F.lit(wm) - F.expr("INTERVAL 1 HOUR"))
+    assert rows(late_rows, "event_id") == rows(want, "event_id")
+    total = spark.read.parquet(f"{out}/on_time").count() + late_rows.count()
+    assert total == clicks.count() + buys.count()
