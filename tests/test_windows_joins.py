@@ -93,6 +93,13 @@ def test_count_windows(spark):
     assert rows(glob, "fire_at", "s") == [(3, 6), (6, 21)]
 
 
+def test_count_sliding_with_gaps(spark):
+    df = spark.createDataFrame([("k", i) for i in range(1, 13)], "k string, v int")
+    out = windows.count_sliding(df, ["k"], ["v"], 2, 5, {"s": F.sum("v")})
+    # fires after rows 5 and 10 over the last two rows
+    assert rows(out, "fire_at", "s") == [(5, 9), (10, 19)]
+
+
 def test_window_all_and_tumbling(spark):
     df = join_left(spark)
     out = windows.window_all(df, "lt", "5 seconds", None, {"n": F.count(F.lit(1))})

@@ -145,11 +145,11 @@ def count_sliding(df: DataFrame, key: Sequence[str], order: Sequence[str], size:
     exists (max row number in the group equals ``fire_at``).
     """
     rows = numbered(df, key, order, hot_rows)
-    first = F.ceil(F.col(RN) / slide) * slide
-    last = F.floor((F.col(RN) + size - 1) / slide) * slide
-    fires = rows.withColumn(
-        "fire_at", F.explode(F.sequence(first.cast("bigint"), last.cast("bigint"),
-                                        F.lit(slide).cast("bigint"))))
+    first = (F.ceil(F.col(RN) / slide) * slide).cast("bigint")
+    last = (F.floor((F.col(RN) + size - 1) / slide) * slide).cast("bigint")
+    # with slide > size some rows fall in no firing (first > last)
+    firings = F.when(first <= last, F.sequence(first, last, F.lit(slide).cast("bigint")))
+    fires = rows.withColumn("fire_at", F.explode(firings))
     grouped = (fires.groupBy(*key, "fire_at")
                .agg(F.max(RN).alias("_last"), *_aliased(aggs)))
     return grouped.filter(F.col("_last") == F.col("fire_at")).select(*key, "fire_at", *aggs)
