@@ -200,11 +200,13 @@ def interval_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts
     older than the watermark minus the range."""
     l = event_time(left, left_ts, delay)
     r = event_time(right, right_ts, delay)
-    lo = F.expr(f"INTERVAL {int(-lower_s) if lower_s < 0 else int(lower_s)} SECONDS")
-    hi = F.expr(f"INTERVAL {int(upper_s)} SECONDS")
-    lower = (F.col(left_ts) - lo) if lower_s < 0 else (F.col(left_ts) + lo)
-    cond = [l[k] == r[k] for k in key] + [F.col(right_ts) >= lower,
-                                          F.col(right_ts) <= F.col(left_ts) + hi]
+
+    def shifted(c: Column, secs: float) -> Column:
+        iv = F.expr(f"INTERVAL '{abs(secs)}' SECOND")
+        return c - iv if secs < 0 else c + iv
+
+    cond = [l[k] == r[k] for k in key] + [F.col(right_ts) >= shifted(F.col(left_ts), lower_s),
+                                          F.col(right_ts) <= shifted(F.col(left_ts), upper_s)]
     out = l.join(r, cond, "inner")
     return out.select(*[l[k] for k in key],
                       *[l[c] for c in left.columns if c not in key],
