@@ -130,3 +130,21 @@ def test_two_level_chunk_lookup_matches_brute_force(spark):
     got = scan.with_chunks(df, ["k"], plan).select("t", "id", scan.CHUNK).collect()
     for r in got:
         assert r[scan.CHUNK] == sum(1 for b in bounds if b < (r.t, r.id))
+
+
+def test_sampled_detection_path(spark):
+    from .conftest import SF_CHECK
+    ev = spark.read.parquet(f"{SF_CHECK}/events.parquet")   # 10 000 rows
+    perm = ev.withColumn("arrival", F.floor(F.col("event_id") / 100) * 100
+                         + F.pmod(F.col("event_id") * 37, F.lit(100)))
+    plan = scan.plan_chunks(perm, ["event_type"], ["arrival"],
+                            hot_rows=1000)
+    assert plan is not None          # every event type holds ~2000 rows
+    a = late.flag_late(perm, "ts", ["arrival"], 3600, hot_rows=1000)
+    b = late.flag_late(perm, "ts", ["arrival"], 3600, hot_rows=10**9)
+    assert rows(a) == rows(b) and a.filter("is_late").count() > 0
+    c = state.running_topk(ev, [], ORDER, "value", 3, hot_rows=1000)
+    d = state.running_topk(ev, [], ORDER, "value", 3, hot_rows=10**9)
+    assert rows(c) == rows(d)
+    whole = scan.plan_chunks(ev.withColumn(scan.ALL, F.lit(0)), [scan.ALL], ORDER, 1000)
+    assert whole.n_chunks >= 5

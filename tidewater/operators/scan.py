@@ -5,9 +5,9 @@ after each update. It is expressed with Spark window frames
 (``rowsBetween(unboundedPreceding, currentRow)``), which keep a whole key in
 one task. A key may hold a large share of all rows, so hot keys are split:
 
-1. rows are counted per key (map-side combined); keys above ``hot_rows`` rows
-   are hot. No key can be hot when the whole input is below ``hot_rows``.
-2. per hot key, a seeded sample of the order (all order columns, so rows
+1. no key can be hot when the whole input is below ``hot_rows`` rows (a
+   row count); otherwise a seeded sample finds the keys above ``hot_rows``.
+2. per hot key, the same sample of the order (all order columns, so rows
    tied on the first one are still split) gives chunk boundaries, and a hot
    key becomes ordered chunks of ~``hot_rows`` rows. The boundary table is
    checkpointed to the shared folder so that a re-run stage assigns rows to
@@ -139,7 +139,7 @@ def _conf_int(df: DataFrame, name: str, default: int) -> int:
     return int(value) if value else default
 
 
-SAMPLES_PER_CHUNK = 64
+SAMPLES_PER_CHUNK = 256
 SAMPLE_SEED = 17
 
 
@@ -150,43 +150,45 @@ def plan_chunks(df: DataFrame, key: Sequence[str], order: Sequence[str] | str,
     Returns ``None`` when no key is hot (then the plain keyed window is exact
     and no task holds more than a key's rows, each below ``hot_rows``).
 
-    Boundaries come from a seeded Bernoulli sample of the hot keys' rows
-    (about ``SAMPLES_PER_CHUNK`` per chunk, as a range partitioner samples):
-    numbered per key in order, every ``SAMPLES_PER_CHUNK``-th sampled value
-    is a boundary. Each hot key gets chunks in proportion to its own size,
-    so the boundary table has about ``rows / hot_rows`` entries in total.
+    One seeded Bernoulli sample (about ``SAMPLES_PER_CHUNK`` rows per
+    ``hot_rows`` input rows, as a range partitioner samples) serves both
+    steps: a key is hot when its sample count is above half of what a key of
+    exactly ``hot_rows`` rows would give (a key at the threshold yields
+    256 +- 16 samples), and, numbered in order per key, every
+    ``stride``-th sampled position is a boundary, so each hot key gets
+    chunks in proportion to its own size. No pass shuffles the full input.
+    With a sampling fraction of 1 (small thresholds) detection is exact.
+    Missing a barely hot key only costs speed (it stays one chunk).
     """
     hot_rows = hot_rows or _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
     if df.count() <= hot_rows:
         return None
-    hot = (df.groupBy(*key).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows))
-    n_hot, biggest, hot_total = hot.agg(F.count(F.lit(1)), F.max("_n"), F.sum("_n")).first()
-    if not n_hot:
-        return None
-    chunk_rows = max(hot_rows, math.ceil(biggest / MAX_CHUNKS))
-    fraction = min(1.0, SAMPLES_PER_CHUNK / chunk_rows)
-    stride = max(1, round(chunk_rows * fraction))
-    max_bcast = _conf_int(df, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS)
-    hot_keys = hot.select(*key)
-    if n_hot <= max_bcast:
-        hot_keys = F.broadcast(hot_keys)
+    key = list(key)
     order = [order] if isinstance(order, str) else list(order)
+    fraction = min(1.0, SAMPLES_PER_CHUNK / hot_rows)
     pos = F.struct(*[F.col(o) for o in order])
-    sample = (df.join(hot_keys, list(key), "left_semi")
-              .sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
+    sample = (df.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
               .select(*key, pos.alias("_pos")))
-    ranked = sample.withColumn("_r", F.row_number().over(
-        Window.partitionBy(*key).orderBy("_pos")))
-    bounds = (ranked.filter(F.col("_r") % stride == 0)
+    per_key = Window.partitionBy(*key)
+    ranked = (sample.withColumn("_n", F.count(F.lit(1)).over(per_key))
+              .withColumn("_r", F.row_number().over(per_key.orderBy("_pos"))))
+    threshold = hot_rows if fraction >= 1.0 else SAMPLES_PER_CHUNK / 2
+    est_rows = F.col("_n") / F.lit(fraction)
+    chunk_rows = F.greatest(F.lit(hot_rows), F.ceil(est_rows / MAX_CHUNKS))
+    stride = F.greatest(F.lit(1), F.round(chunk_rows * F.lit(fraction)).cast("long"))
+    bounds = (ranked.filter(F.col("_n") > threshold)
+              .filter(F.col("_r") % stride == 0)
               .groupBy(*key).agg(F.sort_array(F.collect_list("_pos")).alias(BOUNDS)))
     # A re-run stage must see the same boundaries, so the (small) table is
     # written to the shared folder instead of being recomputed.
     ensure_checkpoint_dir(df.sparkSession)
     bounds = bounds.checkpoint(eager=True)
-    n_chunks = math.ceil(biggest / chunk_rows)
-    total_chunks = math.ceil(hot_total / chunk_rows) + n_hot
-    return ChunkPlan(bounds, n_chunks, total_chunks <= max_bcast, order)
+    n_hot, n_bounds, widest = bounds.agg(F.count(F.lit(1)), F.sum(F.size(BOUNDS)),
+                                         F.max(F.size(BOUNDS))).first()
+    if not n_hot:
+        return None
+    max_bcast = _conf_int(df, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS)
+    return ChunkPlan(bounds, (widest or 0) + 1, (n_bounds or 0) + n_hot <= max_bcast, order)
 
 
 def with_chunks(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> DataFrame:
