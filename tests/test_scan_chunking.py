@@ -26,6 +26,7 @@ def test_plan_finds_hot_keys(ev):
     chunked = scan.with_chunks(ev, KEY, plan)
     assert chunked.select(scan.CHUNK).distinct().count() > 1
     assert scan.plan_chunks(ev, KEY, ORDER, hot_rows=10**9) is None
+    assert scan.plan_chunks(ev, KEY, ORDER, hot_rows=0) is None      # switched off
 
 
 def test_rows_tied_on_the_first_order_column_are_split(spark):

@@ -175,9 +175,10 @@ def exact_quantile(df: DataFrame, group: Sequence[str], value: str, q: float = 0
     ranks are picked by a second partial aggregation. Nulls are ignored.
     """
     group = list(group)
-    limit = hot_rows or scan._conf_int(df, scan.HOT_ROWS_CONF, scan.DEFAULT_HOT_ROWS)
-    if df.count() <= limit or (df.groupBy(*group).count()
-                               .agg(F.max("count")).first()[0] or 0) <= limit:
+    limit = hot_rows if hot_rows is not None else scan._conf_int(
+        df, scan.HOT_ROWS_CONF, scan.DEFAULT_HOT_ROWS)
+    if limit <= 0 or df.count() <= limit or (df.groupBy(*group).count()
+                                             .agg(F.max("count")).first()[0] or 0) <= limit:
         return df.groupBy(*group).agg(F.percentile(value, q).alias(out))
     counts = (df.filter(F.col(value).isNotNull())
               .groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c")))

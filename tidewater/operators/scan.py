@@ -136,7 +136,7 @@ class ChunkPlan:
 
 def _conf_int(df: DataFrame, name: str, default: int) -> int:
     value = df.sparkSession.conf.get(name, None)
-    return int(value) if value else default
+    return int(value) if value not in (None, "") else default
 
 
 SAMPLES_PER_CHUNK = 256
@@ -160,7 +160,10 @@ def plan_chunks(df: DataFrame, key: Sequence[str], order: Sequence[str] | str,
     With a sampling fraction of 1 (small thresholds) detection is exact.
     Missing a barely hot key only costs speed (it stays one chunk).
     """
-    hot_rows = hot_rows or _conf_int(df, HOT_ROWS_CONF, DEFAULT_HOT_ROWS)
+    hot_rows = hot_rows if hot_rows is not None else _conf_int(df, HOT_ROWS_CONF,
+                                                                DEFAULT_HOT_ROWS)
+    if hot_rows <= 0:            # splitting switched off: keys are known to be balanced
+        return None
     if df.count() <= hot_rows:
         return None
     key = list(key)
