@@ -1,0 +1 @@
+"""The registered queries over the test tables and their SQL oracle."""
