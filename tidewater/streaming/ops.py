@@ -186,7 +186,9 @@ def window_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts:
                 right_ts: str, size: str, delay: str) -> DataFrame:
     """Stream-stream join on (key, tumbling window). Each side carries one
     event-time column into the join: its window start (raw times are
-    dropped before the join)."""
+    dropped before the join). As in any stream-stream join, rows at or
+    before the current watermark are dropped, including at the first
+    micro-batch, whose watermark is the epoch."""
     def side(df, ts):
         src = event_time(df, ts)
         src = src.withColumn("window_start", F.window(ts, size).start).drop(ts)
