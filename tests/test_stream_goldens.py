@@ -68,3 +68,36 @@ def test_f10_stream_topn_without_closing_row(spark):
     top = sorted((r.rank, r.url, r.cnt) for r in
                  out.filter(F.unix_seconds("window_start") == BASE).collect())
     assert top == [(1, "/login", 2), (2, "/user", 2), (3, "/info", 1)]
+
+
+def test_f6_stream_cogroup_with_closing_row(spark):
+    rows_l = JOIN_LEFT + [(99, "zz", 10_000)]          # closing row moves the watermark on
+    rows_r = JOIN_RIGHT + [(99, "zz", 10_000, "x")]
+    left = (_stream_of(spark, rows_l, "seq int, k string, t bigint", "cl")
+            .select("k", "t", _at("t").alias("lt")))
+    right = (_stream_of(spark, rows_r, "seq int, k string, t2 bigint, p string", "cr")
+             .select("k", "t2", "p", _at("t2").alias("rt")))
+    out = _run(ops.window_cogroup(left, right, ["k"], "lt", "rt", "5 seconds", "0 seconds",
+                                  {"left": ("list", "t")},
+                                  {"right": ("list", F.struct("t2", "p"))}), "g_f6")
+    got = {(r.k, int(r.window_start.timestamp()) - BASE):
+           (r.left, [tuple(x) for x in r.right] if r.right else None)
+           for r in out.filter(F.col("k") != "zz").collect()}
+    assert got == {
+        ("a", 0): ([1, 2, 3, 4], [(1, "11"), (3, "2"), (4, "2")]),
+        ("b", 0): ([1, 2], [(3, "7"), (3, "8")]),
+        ("b", 5): ([9], None),
+        ("b", 15): (None, [(19, "1")]),
+        ("e", 0): ([1], [(1, "1")]),
+        ("e", 5): (None, [(9, "1")]),
+    }
+
+
+def test_f9_stream_sessions_merge_at_one_gap(spark):
+    src = (_stream_of(spark, [("x", 0), ("x", 5), ("y", 0), ("y", 4), ("zz", 10_000)],
+                      "k string, t int", "s")
+           .withColumn("et", _at("t")))
+    out = _run(ops.session_agg(src, ["k"], "et", "5 seconds", "0 seconds",
+                               {"n": F.count(F.lit(1))}), "g_f9")
+    assert sorted((r.k, r.n) for r in out.filter(F.col("k") != "zz").collect()) == [
+        ("x", 2), ("y", 2)]
