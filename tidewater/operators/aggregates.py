@@ -62,9 +62,25 @@ def _rolling_expr(kind: str, col: Column, order: Sequence[str]) -> scan.Prefix:
 
 def final(df: DataFrame, key: Sequence[str], order: Sequence[str],
           fields: dict[str, Spec]) -> DataFrame:
+    """One row per key. All ``first`` fields come from one ``min`` over a
+    single (order, fields) struct and all ``last`` fields from one ``max``,
+    so a row is compared once per direction however many fields it carries."""
     ordering = order_struct(df, order)
-    return df.groupBy(*key).agg(*[
-        _final_expr(kind, _c(col), ordering).alias(name) for name, (kind, col) in fields.items()])
+    aggs, result = [], {}
+    for name, (kind, col) in fields.items():
+        if kind not in ("first", "last"):
+            aggs.append(_final_expr(kind, _c(col), ordering).alias(name))
+            result[name] = F.col(name)
+    for kind, fn in (("first", F.min), ("last", F.max)):
+        chosen = [(n, _c(col)) for n, (k, col) in fields.items() if k == kind]
+        if chosen:
+            packed = F.struct(ordering.alias("_o"),
+                              *[c.alias(f"f{i}") for i, (_, c) in enumerate(chosen)])
+            aggs.append(fn(packed).alias(f"_{kind}"))
+            for i, (n, _) in enumerate(chosen):
+                result[n] = F.col(f"_{kind}").getField(f"f{i}")
+    out = df.groupBy(*key).agg(*aggs)
+    return out.select(*key, *[result[n].alias(n) for n in fields])
 
 
 def rolling(df: DataFrame, key: Sequence[str], order: Sequence[str],
