@@ -1,9 +1,11 @@
-"""Two-input joins: tumbling-window join, window coGroup, interval join and
-the keyed connect (symmetric hash) join.
-
-All are equi-joins on the key plus a time term, so Spark plans a shuffle (or
-broadcast, when the planner's size estimate allows) hash/sort-merge join; AQE
-splits skewed join partitions at run time.
+"""Two-input operators: tumbling-window join, window coGroup, interval join
+and the keyed connect (symmetric hash) join.
+
+The joins are equi-joins on the key plus a time term, so Spark plans a
+shuffle (or broadcast, when the planner's size estimate allows) hash or
+sort-merge join, and AQE splits skewed join partitions at run time. The
+coGroup is not a join: both inputs are tagged, unioned and aggregated once
+per (key, window).
 """
 
 from __future__ import annotations
