@@ -3,20 +3,24 @@
 These are the streaming forms of the keyed-state operators: running top-k
 (list state), jump alert (value state), running sum/mean (value state),
 value counts (map state), count windows (list buffer), late flags per key
-(value state) and a value cell with time-to-live.
+(value state), rolling fields and maxBy rows (value state), a value cell with
+time-to-live, and per-window top-N with event-time timers.
 
 Spark does not order rows inside a key within a micro-batch, so each
 processor sorts the key's rows of the current micro-batch by the order
-columns before applying them (this holds at most one micro-batch of one key;
-bound it with ``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``). State
-survives across micro-batches in the state store (RocksDB) and is
-checkpointed with the query.
+columns (this holds at most one micro-batch of one key; bound it with
+``maxFilesPerTrigger`` / ``maxOffsetsPerTrigger``). The update itself is
+vectorized over those rows (numpy/pandas: cumulative sums and maxima,
+shifts, prefix differences) with the state read once before and written
+once after, never row by row. State survives across micro-batches in the
+state store (RocksDB) and is checkpointed with the query.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import (StatefulProcessor,
                                                       StatefulProcessorHandle, TimerValues)
@@ -30,12 +34,35 @@ def _ordered(rows: Iterator[pd.DataFrame], order: Sequence[str]) -> pd.DataFrame
     return pdf.sort_values(list(order), kind="stable").reset_index(drop=True)
 
 
-def _missing(v) -> bool:
-    return v is None or (isinstance(v, float) and v != v)
+def _py(v):
+    """numpy scalar -> Python value for a state tuple (NaN -> None)."""
+    if v is None:
+        return None
+    if isinstance(v, np.generic):
+        v = v.item()
+    if isinstance(v, float) and v != v:
+        return None
+    return v
+
+
+def _numeric(s: pd.Series) -> tuple[np.ndarray, np.ndarray, object]:
+    """(values, valid mask, 'minus infinity' sentinel) of a numeric column."""
+    valid = s.notna().to_numpy()
+    if pd.api.types.is_integer_dtype(s.dtype):
+        return s.to_numpy(dtype=np.int64), valid, np.iinfo(np.int64).min
+    return s.to_numpy(dtype=np.float64, na_value=np.nan), valid, -np.inf
+
+
+def _as_objects(a: np.ndarray, mask: np.ndarray) -> list:
+    """Column values with ``None`` where ``mask`` is false."""
+    return [_py(x) if m else None for x, m in zip(a.tolist(), mask.tolist())]
 
 
 class RunningTopK(StatefulProcessor):
-    """After each row: the k largest values of the key so far (list state)."""
+    """After each row: the k largest values of the key so far (list state).
+
+    The j-th largest of a prefix is the running max of min(v, (j-1)-th
+    largest before the row); the stored top-k enters as k earlier rows."""
 
     def __init__(self, order: Sequence[str], value: str, k: int, columns: Sequence[str],
                  value_type: str = "double", out: str = "top"):
@@ -49,19 +76,21 @@ class RunningTopK(StatefulProcessor):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        top = [t[0] for t in self.top.get()] if self.top.exists() else []
-        results = []
-        for v in pdf[self.value].tolist():
-            if not _missing(v):
-                if len(top) < self.k:
-                    top.append(v)
-                    top.sort(reverse=True)
-                elif v > top[-1]:
-                    top[-1] = v
-                    top.sort(reverse=True)
-            results.append(list(top))
-        self.top.put([(v,) for v in top])
-        yield pdf.assign(**{self.out: results})[[*self.columns, self.out]]
+        x, valid, lo = _numeric(pdf[self.value])
+        carry = np.array([t[0] for t in self.top.get()] if self.top.exists() else [],
+                         dtype=x.dtype)
+        xs = np.concatenate([carry, np.where(valid, x, lo)])
+        levels, before = [], None
+        for _ in range(self.k):
+            cand = xs if before is None else np.where(
+                (xs != lo) & (before != lo), np.minimum(xs, before), lo)
+            level = np.maximum.accumulate(cand)
+            levels.append(level)
+            before = np.concatenate([np.array([lo], dtype=xs.dtype), level[:-1]])
+        grid = np.stack(levels, axis=1)[len(carry):]
+        tops = [[_py(v) for v in r[r != lo]] for r in grid]
+        self.top.put([(_py(v),) for v in grid[-1][grid[-1] != lo]])
+        yield pdf.assign(**{self.out: tops})[[*self.columns, self.out]]
 
     def close(self) -> None:
         pass
@@ -83,13 +112,13 @@ class JumpAlert(StatefulProcessor):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        prev = self.prev.get()[0] if self.prev.exists() else self.initial
-        prevs = []
-        for v in pdf[self.value].tolist():
-            prevs.append(prev)
-            prev = v
-        self.prev.update((prev,))
-        out = pdf.assign(prev=prevs)
+        first = self.prev.get()[0] if self.prev.exists() else self.initial
+        vals = pdf[self.value]
+        prev = vals.shift(1).astype(object)
+        prev.iloc[0] = first
+        prev = pd.to_numeric(prev)
+        self.prev.update((_py(vals.iloc[-1]),))
+        out = pdf.assign(prev=prev)
         keep = (out[self.value] - out["prev"]).abs() > self.threshold
         yield out[keep][[*self.columns, "prev"]]
 
@@ -113,15 +142,11 @@ class RunningSum(StatefulProcessor):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        s, n = self.acc.get() if self.acc.exists() else (0.0, 0)
-        sums, counts = [], []
-        for v in pdf[self.value].tolist():
-            if not _missing(v):
-                s += float(v)
-                n += 1
-            sums.append(s)
-            counts.append(n)
-        self.acc.update((s, n))
+        s0, n0 = self.acc.get() if self.acc.exists() else (0.0, 0)
+        x, valid, _ = _numeric(pdf[self.value])
+        sums = s0 + np.cumsum(np.where(valid, x, 0).astype(np.float64))
+        counts = n0 + np.cumsum(valid.astype(np.int64))
+        self.acc.update((float(sums[-1]), int(counts[-1])))
         out = pdf.assign(run_sum=sums, n=counts)
         out["mean"] = out["run_sum"] / out["n"].where(out["n"] > 0)
         if self.every > 1:
@@ -147,17 +172,15 @@ class ValueCounts(StatefulProcessor):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        seen: dict = {}
-        out = []
-        for v in pdf[self.value].tolist():
-            if v not in seen:
-                seen[v] = (self.counts.getValue((v,))[0]
-                           if self.counts.containsKey((v,)) else 0)
-            seen[v] += 1
-            out.append(seen[v])
-        for v, n in seen.items():
-            self.counts.updateValue((v,), (n,))
-        yield pdf.assign(cnt=out)[[*self.columns, "cnt"]]
+        vals = pdf[self.value]
+        base = {v: (self.counts.getValue((_py(v),))[0]
+                    if self.counts.containsKey((_py(v),)) else 0)
+                for v in vals.unique()}
+        cnt = vals.groupby(vals, sort=False).cumcount() + 1 + vals.map(base)
+        last = cnt.groupby(vals, sort=False).last()
+        for v, n in last.items():
+            self.counts.updateValue((_py(v),), (int(n),))
+        yield pdf.assign(cnt=cnt.astype(np.int64))[[*self.columns, "cnt"]]
 
     def close(self) -> None:
         pass
@@ -166,7 +189,8 @@ class ValueCounts(StatefulProcessor):
 class CountWindow(StatefulProcessor):
     """Count window per key: after every ``slide`` rows, the sum and count of
     the last ``size`` rows (``slide == size``: tumbling, an incomplete last
-    window never fires). The buffer holds at most ``size`` values."""
+    window never fires). The buffer holds at most ``size`` values; window
+    sums are prefix-sum differences over buffer + new rows."""
 
     def __init__(self, order: Sequence[str], value: str, key_cols: Sequence[str],
                  size: int, slide: int):
@@ -181,26 +205,34 @@ class CountWindow(StatefulProcessor):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        buf = [t[0] for t in self.buf.get()] if self.buf.exists() else []
-        n = self.seen.get()[0] if self.seen.exists() else 0
-        fired = []
-        for v in pdf[self.value].tolist():
-            buf.append(float(v))
-            buf = buf[-self.size:]
-            n += 1
-            if n % self.slide == 0:
-                fired.append((n, float(sum(buf)), len(buf)))
-                if self.slide == self.size:
-                    buf = []
-        if buf:
-            self.buf.put([(v,) for v in buf])
+        buf = np.array([t[0] for t in self.buf.get()] if self.buf.exists() else [],
+                       dtype=np.float64)
+        n0 = self.seen.get()[0] if self.seen.exists() else 0
+        x = pdf[self.value].to_numpy(dtype=np.float64, na_value=0.0)
+        seq = np.concatenate([buf, x])
+        prefix = np.concatenate([[0.0], np.cumsum(seq)])
+        number = n0 + np.arange(1, len(x) + 1)            # row number inside the key
+        pos = len(buf) + np.arange(len(x))                 # index in seq
+        fire = number % self.slide == 0
+        end = pos[fire] + 1
+        start = np.maximum(0, end - self.size)
+        n = n0 + len(x)
+        if self.slide == self.size:
+            rest = n % self.size
+            keep = seq[len(seq) - rest:] if rest else seq[:0]
+        else:
+            keep = seq[-self.size:]
+        if len(keep):
+            self.buf.put([(float(v),) for v in keep])
         else:
             self.buf.clear()
-        self.seen.update((n,))
-        if fired:
-            keys = dict(zip(self.key_cols, key))
-            yield pd.DataFrame([{**keys, "fire_at": f, "total": s, "cnt": c}
-                                for f, s, c in fired])
+        self.seen.update((int(n),))
+        if fire.any():
+            out = pd.DataFrame({c: [kv] * int(fire.sum()) for c, kv in zip(self.key_cols, key)})
+            out["fire_at"] = number[fire].astype(np.int64)
+            out["total"] = prefix[end] - prefix[start]
+            out["cnt"] = (end - start).astype(np.int64)
+            yield out[[*self.key_cols, "fire_at", "total", "cnt"]]
 
     def close(self) -> None:
         pass
@@ -221,12 +253,13 @@ class LateFlags(StatefulProcessor):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        top = self.maxts.get()[0] if self.maxts.exists() else None
-        late = []
-        for t in pdf[self.ts_us].tolist():
-            late.append(top is not None and t < top - self.delay_us)
-            top = t if top is None else max(top, t)
-        self.maxts.update((top,))
+        lo = np.iinfo(np.int64).min
+        t = pdf[self.ts_us].to_numpy(dtype=np.int64)
+        top = self.maxts.get()[0] if self.maxts.exists() else lo
+        running = np.maximum.accumulate(np.concatenate([np.array([top], dtype=np.int64), t]))
+        before = running[:-1]
+        late = (before != lo) & (t < before - self.delay_us)
+        self.maxts.update((int(running[-1]),))
         yield pdf.assign(is_late=late)[[*self.columns, "is_late"]]
 
     def close(self) -> None:
@@ -236,8 +269,10 @@ class LateFlags(StatefulProcessor):
 class TtlValue(StatefulProcessor):
     """Value cell with processing-time TTL: emit each row with the state
     before it, then store the row's value when it exceeds ``write_above``.
-    ``refresh="read_write"`` re-stores a value that was read, so reads extend
-    its life as writes do (the store's TTL restarts on every update)."""
+    The processing clock stands still within a micro-batch, so the state
+    before a row is the last value written earlier in the batch, else the
+    stored value. ``refresh="read_write"`` re-stores a value that was read,
+    so reads extend its life as writes do (the TTL restarts on update)."""
 
     def __init__(self, order: Sequence[str], value: str, columns: Sequence[str], ttl_ms: int,
                  write_above: float = 10, refresh: str = "read_write",
@@ -253,15 +288,18 @@ class TtlValue(StatefulProcessor):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        before = []
-        for v in pdf[self.value].tolist():
-            cur = self.cell.get()[0] if self.cell.exists() else None
-            before.append(cur)
-            if cur is not None and self.refresh == "read_write":
-                self.cell.update((cur,))
-            if not _missing(v) and v > self.write_above:
-                self.cell.update((v,))
-        yield pdf.assign(state=before)[[*self.columns, "state"]]
+        stored = self.cell.get()[0] if self.cell.exists() else None
+        vals = pdf[self.value]
+        writes = vals.notna() & (vals > self.write_above)
+        before = vals.where(writes).shift(1).ffill()
+        if stored is not None:
+            before = before.fillna(stored)
+        if writes.any():
+            self.cell.update((_py(vals[writes].iloc[-1]),))
+        elif stored is not None and self.refresh == "read_write":
+            self.cell.update((stored,))
+        state = _as_objects(before.to_numpy(dtype=object), before.notna().to_numpy())
+        yield pdf.assign(state=state)[[*self.columns, "state"]]
 
     def close(self) -> None:
         pass
@@ -281,35 +319,43 @@ class RollingFields(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.acc = handle.getValueState("acc", self.state_schema)
 
+    @staticmethod
+    def _running(kind: str, s: pd.Series, seen: bool, acc):
+        """(per-row outputs, new accumulator) for one field."""
+        valid = s.notna()
+        if kind == "count":
+            out = (acc or 0) + valid.cumsum().astype(np.int64)
+            return out, int(out.iloc[-1])
+        if kind == "last":
+            return s, _py(s.iloc[-1])
+        if kind == "first":
+            v = acc if seen else _py(s.iloc[0])
+            return pd.Series([v] * len(s), index=s.index, dtype=object), v
+        if kind == "sum":
+            out = (acc if acc is not None else 0) + s.fillna(0).cumsum()
+            if acc is None:
+                out = out.where(valid.cumsum() > 0)
+        elif kind in ("max", "min"):
+            ext = s if acc is None else pd.concat([pd.Series([acc]), s], ignore_index=True)
+            run = ext.cummax() if kind == "max" else ext.cummin()
+            out = run if acc is None else run.iloc[1:].set_axis(s.index)
+        else:
+            raise ValueError(f"unknown rolling kind {kind!r}")
+        last = out.iloc[-1]
+        return out, (None if pd.isna(last) else _py(last))
+
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
         names = list(self.fields)
-        have = self.acc.exists()
-        cur = list(self.acc.get()) if have else [None] * (2 * len(names))
-        outs = {n: [] for n in names}
-        cols = {n: pdf[c].tolist() for n, (_, c) in self.fields.items()}
-        for i in range(len(pdf)):
-            for j, n in enumerate(names):
-                kind = self.fields[n][0]
-                v = cols[n][i]
-                v = None if _missing(v) else v
-                seen, acc = cur[2 * j], cur[2 * j + 1]
-                if kind == "count":
-                    acc = (acc or 0) + (v is not None)
-                elif kind == "sum":
-                    acc = acc if v is None else (v if acc is None else acc + v)
-                elif kind == "max":
-                    acc = acc if v is None else (v if acc is None else max(acc, v))
-                elif kind == "min":
-                    acc = acc if v is None else (v if acc is None else min(acc, v))
-                elif kind == "first":
-                    acc = acc if seen else v
-                elif kind == "last":
-                    acc = v
-                cur[2 * j], cur[2 * j + 1] = True, acc
-                outs[n].append(acc)
+        cur = list(self.acc.get()) if self.acc.exists() else [None] * (2 * len(names))
+        outs = {}
+        for j, n in enumerate(names):
+            kind, col = self.fields[n]
+            vals, new_acc = self._running(kind, pdf[col], bool(cur[2 * j]), cur[2 * j + 1])
+            outs[n] = _as_objects(vals.to_numpy(dtype=object), vals.notna().to_numpy())
+            cur[2 * j], cur[2 * j + 1] = True, new_acc
         self.acc.update(tuple(cur))
         yield pdf.assign(**outs)[[*self.columns, *names]]
 
@@ -319,7 +365,8 @@ class RollingFields(StatefulProcessor):
 
 class ExtremeRow(StatefulProcessor):
     """maxBy / minBy: after each row, the whole row with the largest (or
-    smallest) value so far; an earlier row keeps its place on a tie."""
+    smallest) value so far; an earlier row keeps its place on a tie (only a
+    strictly better value takes over)."""
 
     def __init__(self, order: Sequence[str], value: str, row_cols: Sequence[str],
                  out_cols: Sequence[str], largest: bool, state_schema: str):
@@ -335,21 +382,25 @@ class ExtremeRow(StatefulProcessor):
             return
         best = tuple(self.best.get()) if self.best.exists() else None
         vi = self.row_cols.index(self.value)
-        picked = []
-        for rec in pdf[self.row_cols].itertuples(index=False, name=None):
-            v = rec[vi]
-            if not _missing(v):
-                if best is None or (v > best[vi] if self.largest else v < best[vi]):
-                    best = rec
-            picked.append(best)
-        if best is not None:
-            self.best.update(best)
+        x = pdf[self.value].to_numpy(dtype=np.float64, na_value=np.nan)
+        score = np.where(np.isnan(x), -np.inf, x if self.largest else -x)
+        start = -np.inf if best is None else (best[vi] if self.largest else -best[vi])
+        running = np.maximum.accumulate(np.concatenate([[start], score]))
+        better = score > running[:-1]
+        pick = np.maximum.accumulate(np.where(better, np.arange(len(x)), -1))
+        rows_new = pdf[self.row_cols].reset_index(drop=True)
+        chosen = rows_new.iloc[np.maximum(pick, 0)].reset_index(drop=True).astype(object)
+        if (pick < 0).any():
+            fill = best if best is not None else (None,) * len(self.row_cols)
+            chosen.loc[pick < 0, :] = [list(fill)] * int((pick < 0).sum())
+        if pick[-1] >= 0:
+            # column by column: a mixed-type row as one Series would turn ints into floats
+            last = int(pick[-1])
+            self.best.update(tuple(_py(rows_new[c].iloc[last]) for c in self.row_cols))
         at = pdf[self.order].rename(columns={o: f"at_{o}" for o in self.order})
-        chosen = pd.DataFrame([p if p is not None else (None,) * len(self.row_cols)
-                               for p in picked], columns=self.row_cols)
-        out = pd.concat([pdf[[c for c in self.out_cols if c not in self.row_cols
-                               and not c.startswith("at_")]].reset_index(drop=True),
-                         at.reset_index(drop=True), chosen], axis=1)
+        rest = [c for c in self.out_cols if c not in self.row_cols and not c.startswith("at_")]
+        out = pd.concat([pdf[rest].reset_index(drop=True), at.reset_index(drop=True), chosen],
+                        axis=1)
         yield out[self.out_cols]
 
     def close(self) -> None:
@@ -369,32 +420,37 @@ class WindowTopN(StatefulProcessor):
         self.handle = handle
         self.best = handle.getListState("best", "c long, i string")
 
-    def _order(self, pair):
-        # ties by item, a null item first (as in the batch ordering)
-        item = (pair[1] is not None, pair[1] or "")
-        return (pair[0], item) if self.ascending else (-pair[0], item)
+    def _best(self, frame: pd.DataFrame) -> pd.DataFrame:
+        # count first, ties by item with a null item first (as in the batch ordering)
+        return frame.sort_values(["c", "i"], ascending=[self.ascending, True],
+                                 na_position="first", kind="stable").head(self.n)
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
-        best = list(self.best.get()) if self.best.exists() else []
+        kept = list(self.best.get()) if self.best.exists() else []
+        frames = [pd.DataFrame(kept, columns=["c", "i"])] if kept else []
         end_ms = None
         for pdf in rows:
-            best.extend(zip(pdf["cnt"].tolist(), pdf[self.item].tolist()))
-            best = sorted(best, key=self._order)[: self.n]
-            end_ms = int(pdf[self.end_ms].iloc[0])
-        self.best.put(best)
+            if len(pdf):
+                frames.append(pd.DataFrame({"c": pdf["cnt"].to_numpy(),
+                                            "i": pdf[self.item].to_numpy(dtype=object)}))
+                end_ms = int(pdf[self.end_ms].iloc[0])
+        if frames:
+            best = self._best(pd.concat(frames, ignore_index=True))
+            self.best.put([(int(c), i) for c, i in zip(best["c"], best["i"])])
         if end_ms is not None:
             self.handle.registerTimer(end_ms)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
-        best = sorted(self.best.get(), key=self._order) if self.best.exists() else []
+        kept = list(self.best.get()) if self.best.exists() else []
         self.best.clear()
-        if best:
+        if kept:
+            best = self._best(pd.DataFrame(kept, columns=["c", "i"]))
             yield pd.DataFrame({"window_start": [key[0]] * len(best),
                                 "window_end": [key[1]] * len(best),
-                                "rank": list(range(1, len(best) + 1)),
-                                self.item: [b[1] for b in best],
-                                "cnt": [int(b[0]) for b in best]})
+                                "rank": np.arange(1, len(best) + 1, dtype=np.int64),
+                                self.item: best["i"].tolist(),
+                                "cnt": best["c"].astype(np.int64).tolist()})
 
     def close(self) -> None:
         pass
