@@ -62,6 +62,8 @@ def test_decode_records(spark):
         "key binary, value binary, topic string, partition int, offset long, timestamp string")
     out = decode_records(recs, "topic_1", starting_offsets={0: 7})
     assert rows(out, "value") == [("s2,2,2",), ("s4,4,4",)]
+    assert decode_records(recs, "topic_1", starting_offsets="earliest").count() == 3
+    assert decode_records(recs, "topic_1", starting_offsets="latest").count() == 0
 
 
 def test_text_lines(spark, tmp_path):

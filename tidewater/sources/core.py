@@ -29,20 +29,27 @@ def text_lines(spark: SparkSession, path: str, streaming: bool = False,
 
 
 def decode_records(records: DataFrame, topics: Sequence[str] | str | None = None,
-                   starting_offsets: dict[int, int] | None = None,
+                   starting_offsets: dict[int, int] | str | None = None,
                    watermark: str | None = "3 seconds") -> DataFrame:
     """Decode a frame in the message-log schema (key, value, topic, partition,
     offset, timestamp) into ``value string`` rows.
 
-    ``starting_offsets`` maps partition -> first offset to keep (an explicit
-    start position; committed group offsets play no part). The frame may be a
-    batch or a stream from ``read[Stream].format("kafka")``.
+    ``starting_offsets`` is the start position, and committed group offsets
+    play no part in it: ``"earliest"`` (or ``None``) keeps every record;
+    ``"latest"`` keeps none of the records already in a batch frame (only
+    records that arrive later, i.e. on a stream); a dict maps partition ->
+    first offset to keep. The frame may be a batch or a stream from
+    ``read[Stream].format("kafka")``.
     """
     out = records
     if topics is not None:
         names = [topics] if isinstance(topics, str) else list(topics)
         out = out.filter(F.col("topic").isin(names))
-    if starting_offsets:
+    if starting_offsets == "latest" and not out.isStreaming:
+        out = out.filter(F.lit(False))
+    elif isinstance(starting_offsets, str) and starting_offsets not in ("earliest", "latest"):
+        raise ValueError("starting_offsets must be 'earliest', 'latest' or a dict")
+    if isinstance(starting_offsets, dict) and starting_offsets:
         keep = F.lit(False)
         for part, first in starting_offsets.items():
             keep = keep | ((F.col("partition") == part) & (F.col("offset") >= first))
