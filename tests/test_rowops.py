@@ -85,6 +85,7 @@ def test_rich_map_lifecycle(spark):
 
     def body(pdf, ctx):
         import pandas as pd
+        assert ctx["task_name"].endswith(f"subtask {ctx['partition_id']}")
         return pd.DataFrame({"v": pdf["line"].astype("int64") + 1,
                              "part": ctx["partition_id"],
                              "opened": ctx.get("opened", False)})

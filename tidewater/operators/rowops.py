@@ -46,8 +46,9 @@ def rich_map(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame],
 
     ``open_fn(ctx)`` runs once per task before the first batch, ``close_fn``
     once after the last one (only on normal completion, as a failed task is
-    retried from scratch). ``ctx`` carries ``partition_id``, ``attempt`` and
-    ``stage_id`` from the task context, plus anything ``open_fn`` stores.
+    retried from scratch). ``ctx`` carries ``partition_id`` (the subtask
+    index), ``task_name``, ``attempt`` and ``stage_id`` from the task context,
+    plus anything ``open_fn`` stores.
     ``fn`` gets Arrow-backed pandas batches.
     """
 
@@ -58,6 +59,7 @@ def rich_map(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame],
         ctx = {"partition_id": tc.partitionId() if tc else 0,
                "attempt": tc.attemptNumber() if tc else 0,
                "stage_id": tc.stageId() if tc else 0}
+        ctx["task_name"] = f"stage {ctx['stage_id']} subtask {ctx['partition_id']}"
         if open_fn:
             open_fn(ctx)
         for pdf in batches:
