@@ -46,11 +46,11 @@ def accumulate(df: DataFrame, key: Sequence[str], acc: Accumulator, inputs: Sequ
     def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         states: dict[tuple, Any] = {}
         for pdf in batches:
-            keys = pdf[key].itertuples(index=False, name=None)
-            records = pdf[inputs].to_dict("records")
-            for k, rec in zip(keys, records):
+            keys = zip(*[pdf[c].tolist() for c in key])
+            cols = [pdf[c].tolist() for c in inputs]
+            for k, *vals in zip(keys, *cols):
                 st = states.get(k)
-                states[k] = acc.add(acc.zero() if st is None else st, rec)
+                states[k] = acc.add(acc.zero() if st is None else st, dict(zip(inputs, vals)))
         if states:
             rows = [(*k, pickle.dumps(s)) for k, s in states.items()]
             yield pd.DataFrame(rows, columns=[*key, "_state"])
@@ -62,8 +62,8 @@ def accumulate(df: DataFrame, key: Sequence[str], acc: Accumulator, inputs: Sequ
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         cur_key, cur_state, done = None, None, []
         for pdf in batches:
-            keys = pdf[key].itertuples(index=False, name=None)
-            for k, blob in zip(keys, pdf["_state"]):
+            keys = zip(*[pdf[c].tolist() for c in key])
+            for k, blob in zip(keys, pdf["_state"].tolist()):
                 s = pickle.loads(blob)
                 if k == cur_key:
                     cur_state = acc.merge(cur_state, s)
