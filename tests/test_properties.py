@@ -99,3 +99,35 @@ def test_count_windows_and_late_rows_against_brute_force(spark, data, hot):
             expect.append(i)
         top = t if top is None else max(top, t)
     assert sorted(r.seq for r in flagged.filter("is_late").collect()) == expect
+
+
+def _ttl_replay(items, ttl, refresh):
+    """Plain replay of a value cell with time-to-live (event time as clock)."""
+    value, touched, out = None, None, []
+    for t, v in items:
+        alive = value is not None and t - touched < ttl
+        out.append(value if alive else None)
+        if not alive:
+            value = None
+        elif refresh == "read_write":
+            touched = t
+        if v > 10:
+            value, touched = v, t
+    return out
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(gaps=st.lists(st.integers(min_value=1, max_value=9), min_size=1, max_size=30),
+       vals=st.lists(st.integers(min_value=0, max_value=20), min_size=30, max_size=30),
+       refresh=st.sampled_from(["read_write", "create_write"]),
+       hot=st.sampled_from([3, 10**9]))
+def test_ttl_against_brute_force(spark, gaps, vals, refresh, hot):
+    times = [sum(gaps[:i + 1]) for i in range(len(gaps))]
+    items = list(zip(times, vals))
+    df = (spark.createDataFrame([(i, "k", t, v) for i, (t, v) in enumerate(items)],
+                                "seq int, k string, t int, v int")
+          .withColumn("et", F.timestamp_seconds("t")))
+    got = state.ttl_value(df, ["k"], ["seq"], "et", "v", 5, F.col("v") > 10,
+                          refresh=refresh, hot_rows=hot)
+    assert [r.state for r in got.orderBy("seq").collect()] == _ttl_replay(items, 5, refresh)
