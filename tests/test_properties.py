@@ -131,3 +131,18 @@ def test_ttl_against_brute_force(spark, gaps, vals, refresh, hot):
     got = state.ttl_value(df, ["k"], ["seq"], "et", "v", 5, F.col("v") > 10,
                           refresh=refresh, hot_rows=hot)
     assert [r.state for r in got.orderBy("seq").collect()] == _ttl_replay(items, 5, refresh)
+
+
+@settings(max_examples=6, deadline=None,
+          suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(data=st.lists(st.tuples(st.sampled_from(["a", "b"]),
+                               st.integers(min_value=-50, max_value=50)),
+                     min_size=2, max_size=60),
+       q=st.sampled_from([0.0, 0.25, 0.5, 0.9, 1.0]))
+def test_exact_quantile_against_numpy(spark, data, q):
+    import numpy as np
+    df = spark.createDataFrame(data, "k string, v int").withColumn("v", F.col("v").cast("double"))
+    got = dict(rows(agg.exact_quantile(df, ["k"], "v", q, hot_rows=3)))   # distributed path
+    for k in {k for k, _ in data}:
+        want = float(np.percentile([v for kk, v in data if kk == k], q * 100))
+        assert abs(got[k] - want) < 1e-9
