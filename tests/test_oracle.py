@@ -5,6 +5,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from tidewater.plans.oracle import ORACLE
 from tidewater.sources.core import TABLES
 from tools.oracle_check import rows_of
 
@@ -20,7 +21,7 @@ def duck():
     con.close()
 
 
-@pytest.mark.parametrize("name", sorted(entry.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, duck, name):
     df = entry.queries()[name](spark, SF_SMALL)
     got = [tuple(r) for r in df.collect()]
