@@ -2,8 +2,10 @@
 
 ``encode`` gives the ids of the tokenizers library for every whole text. Texts
 up to ``leaf_chars`` are encoded where they are read: white space always
-separates tokens of this vocabulary, so each distinct word is encoded once per
-task and then looked up. A longer text is cut into leaves of about
+separates tokens of this vocabulary, so each distinct word is encoded by the
+library once per task and then looked up (in texts of plain Latin letters, each
+distinct stretch of letters, digit or other signs, as the vocabulary's own
+pattern cuts them). A longer text is cut into leaves of about
 ``leaf_chars`` characters, the leaves are encoded in parallel tasks, and halves
 are joined pairwise: a window around the join is re-encoded and doubled until
 its tokens agree with the left half's before the join and with the right
@@ -19,6 +21,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 import unicodedata
 
 import numpy as np
@@ -32,7 +35,14 @@ LEAF_CHARS = 32_768
 EDGE = 2_048        # offsets are shipped for tokens this near to a leaf's ends
 MARGIN = 16         # an agreeing token keeps this distance from cuts and window ends
 LONG_WORD = 256     # longer words get offsets of their own tokens
-CACHE = 300_000     # words whose ids a task keeps
+CACHE = 400_000     # words whose ids a task keeps
+ROWS = 256          # rows in hand at once
+
+# Texts of these characters need no normalisation but lower case, letter by letter.
+PLAIN = re.compile(r"[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ]*")
+# The pattern of word_bpe_49k.json (a fixed value) on lower-cased plain texts.
+PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
+STRETCH = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-z0-9ß-öø-ÿ]+")
 
 
 class Encoder:
@@ -45,28 +55,40 @@ class Encoder:
         self.tok.no_truncation()
         self.tok.no_padding()
         self.cache: dict[str, tuple[int, ...]] = {}
+        parts = json.loads(spec)
+        lower = {"type": "Sequence", "normalizers": [
+            {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+        split = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
+        # the short way holds for this pattern and normaliser, and if every added token starts alike
+        self.marks = {t["content"][:2] for t in parts.get("added_tokens", [])}
+        self.plain = parts.get("normalizer") == lower and split == PATTERN and self.marks <= {"<|"}
+
+    def cut(self, text: str) -> list[str]:
+        """Stretches that are encoded on their own: their ids in a row are the text's."""
+        if self.plain and PLAIN.fullmatch(text) and "<|" not in text:
+            return STRETCH.findall(text.lower())
+        return WORD.findall(text)
 
     def learn(self, words) -> None:
         new = [w for w in words if w not in self.cache and len(w) < LONG_WORD]
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
             new = [w for w in words if len(w) < LONG_WORD]
-        for w, e in zip(new, self.tok.encode_batch(new, add_special_tokens=False)):
-            self.cache[w] = tuple(e.ids)
-
-    def ids(self, text: str) -> list[int]:
-        words, out, cache = WORD.findall(text), [], self.cache
-        try:
+        for k in range(0, len(new), 4096):
+            some = new[k:k + 4096]
+            for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
+                self.cache[w] = tuple(e.ids)
+
+    def ids(self, texts: list[str]) -> list[list[int]]:
+        cuts_ = [self.cut(t) for t in texts]
+        self.learn(dict.fromkeys(w for words in cuts_ for w in words))
+        out, cache = [], self.cache
+        for words in cuts_:
+            ids: list[int] = []
             for w in words:
-                out += cache[w]
-            return out
-        except KeyError:
-            pass
-        self.learn(dict.fromkeys(words))
-        out = []
-        for w in words:
-            got = cache.get(w)
-            out += self.tok.encode(w, add_special_tokens=False).ids if got is None else got
+                got = cache.get(w)
+                ids += self.tok.encode(w, add_special_tokens=False).ids if got is None else got
+            out.append(ids)
         return out
 
     def spans(self, text: str, base: int) -> np.ndarray:
@@ -176,15 +198,14 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
 
     def short(batches):
         enc = Encoder(spec.value)
-        for b in batches:
-            flat, ends = [], [0]
-            keys = b.column(0)
-            for text in strings(b, "text"):
-                flat.append(np.array(enc.ids(text), np.int32))
-                ends.append(ends[-1] + len(flat[-1]))
-            ids = pa.ListArray.from_arrays(pa.array(np.array(ends, np.int32)),
-                                           pa.array(np.concatenate([np.zeros(0, np.int32), *flat])))
-            yield pa.RecordBatch.from_arrays([keys, ids], names=["doc_id", "ids"])
+        for whole in batches:
+            for at in range(0, whole.num_rows, ROWS):
+                b = whole.slice(at, ROWS)
+                got = enc.ids(list(strings(b, "text")))
+                ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
+                flat = np.fromiter((i for ids in got for i in ids), np.int32, int(ends[-1]))
+                yield pa.RecordBatch.from_arrays(
+                    [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"])
 
     def cut(batches):
         for b in batches:
@@ -255,19 +276,22 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
         size = tok.get_vocab_size(with_added_tokens=True)
         words = np.array([tok.id_to_token(i) for i in range(size)], dtype=object)
         at = columns.index("ids")
-        for b in batches:
-            out = []
-            for x in b.column(at):
-                if not x.is_valid:
-                    out.append(None)
-                elif plain:
-                    ids = x.values.to_numpy(zero_copy_only=False)
-                    ids = ids[(ids >= 0) & (ids < size)]
-                    out.append(" ".join(t for t in words[ids].tolist() if t is not None))
-                else:
-                    out.append(tok.decode(x.as_py(), skip_special_tokens=False))
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())],
-                                             names=[*columns, "decoded"])
+        whole_table = all(t is not None for t in words)
+        for whole in batches:
+            for k in range(0, whole.num_rows, ROWS):
+                b = whole.slice(k, ROWS)
+                out = []
+                for x in b.column(at):
+                    if not x.is_valid:
+                        out.append(None)
+                    elif plain:
+                        ids = x.values.to_numpy(zero_copy_only=False)
+                        got = words[ids[(ids >= 0) & (ids < size)]].tolist()
+                        out.append(" ".join(got if whole_table else [t for t in got if t is not None]))
+                    else:
+                        out.append(tok.decode(x.as_py(), skip_special_tokens=False))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.string())],
+                                                 names=[*columns, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
     return encoded.mapInArrow(run, f"{fields}, decoded string")

@@ -7,7 +7,9 @@ import re
 import uuid
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
+from pandas.util import hash_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -111,3 +113,92 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc", src: str =
     nodes = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
     roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
     return nodes.union(roots)
+
+
+def groups(batches, keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
+    """(key, rows) of a stream sorted by ``keys``; holds one group at a time.
+
+    Keys are non-null numbers or strings.
+    """
+    held: list[pa.RecordBatch] = []
+    last = None
+    for b in batches:
+        if not b.num_rows:
+            continue
+        cols = [b.column(b.schema.get_field_index(k)) for k in keys]
+        change = np.zeros(b.num_rows, bool)
+        for c in cols:
+            v = c.to_numpy(zero_copy_only=False)
+            change[1:] |= v[1:] != v[:-1]
+        edges = [0, *np.flatnonzero(change).tolist(), b.num_rows]
+        for s, e in zip(edges, edges[1:]):
+            key = tuple(c[s].as_py() for c in cols)
+            if key != last and held:
+                yield last, pa.Table.from_batches(held)
+                held = []
+            last = key
+            held.append(b.slice(s, e - s))
+    if held:
+        yield last, pa.Table.from_batches(held)
+
+
+def least_labels(linked: np.ndarray, names: np.ndarray) -> np.ndarray:
+    """For a symmetric boolean matrix of links: the least name in each row's component."""
+    label = names.copy()
+    while True:
+        reach = np.where(linked, label[None, :], np.iinfo(np.int64).max).min(axis=1, initial=np.iinfo(np.int64).max)
+        new = np.minimum(label, reach)
+        if (new == label).all():
+            return label
+        label = new
+
+
+def joined_labels(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For n rows and links (i, j) between them: the first row of each row's component."""
+    label = np.arange(n)
+    while True:
+        old = label.copy()
+        np.minimum.at(label, i, label[j])
+        np.minimum.at(label, j, label[i])
+        label = label[label]
+        if (label == old).all():
+            return label
+
+
+def spread(rows: DataFrame, key: str, member: str, block: int) -> DataFrame:
+    """Adds (lo, hi, side) so that every two members of a bucket meet in exactly one small group.
+
+    ``rows`` has the bucket's size n. A bucket of up to ``block`` members is one group
+    (0, 0). A larger one is cut into blocks by a hash of the member, and block i meets
+    block j >= i in group (i, j): no group holds more than about two blocks, however
+    large the bucket is.
+    """
+    return (rows.withColumn("of", F.ceil(F.col("n") / block).cast("int"))
+            .withColumn("own", F.pmod(F.xxhash64(member, key), F.col("of")).cast("int"))
+            .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1)))
+            .withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other"))
+            .withColumn("side", (F.col("own") == F.col("hi")).cast("int"))
+            .drop("of", "own", "other", "n"))
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
+    """64-bit hashes of words, the same in every process."""
+    return hash_array(np.array(words, dtype=object), categorize=False) if words else np.zeros(0, np.uint64)
+
+
+def mixed(h: np.ndarray) -> np.ndarray:
+    """Spreads every bit of 64-bit numbers over all of them (one to one)."""
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return h ^ (h >> np.uint64(31))
+
+
+def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all n consecutive words, from the words' hashes."""
+    width = len(h) - n + 1
+    if width <= 0:
+        return np.zeros(0, np.uint64)
+    out = h[:width].copy()
+    for k in range(1, n):
+        out = mixed(out) + h[k:k + width]
+    return mixed(out)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe
+from . import bpe, caps, html, lattice, quality, toxicity
 from .common import table
 
 #: Folder of the public tokenizer files (see the README).
@@ -18,11 +18,36 @@ def vocabulary(name: str) -> str:
     return os.path.join(TOKENIZERS, name)
 
 
+def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.main_texts(table(spark, sf_dir, "pages"))
+
+
+def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.scores(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op6_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return caps.near(table(spark, sf_dir, "embeddings"))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html": op1_html,
+    "op4_lattice": op4_lattice,
+    "op5_toxicity": op5_toxicity,
+    "op6_caps": op6_caps,
+    "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }
 
