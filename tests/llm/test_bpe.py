@@ -26,7 +26,7 @@ def test_tree_concatenation_is_exact(tok):
     rng, enc = random.Random(5), bpe.Encoder(open(VOCAB, encoding="utf-8").read())
     for text in texts(rng, 400):
         want = tok.encode(text, add_special_tokens=False).ids
-        assert enc.ids([text]) == [want]
+        assert enc.ids([text, "", text]) == (want + want, [len(want), len(want), 2 * len(want)])
         for leaf in (7, 40, 150):
             at = bpe.cuts(text, leaf)
             leaves = [bpe._edges(enc.spans(text[a:b], a), a, b) for a, b in zip(at, at[1:])]

@@ -61,7 +61,14 @@ class Encoder:
         split = (parts.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0].get("pattern", {}).get("Regex")
         # the short way holds for this pattern and normaliser, and if every added token starts alike
         self.marks = {t["content"][:2] for t in parts.get("added_tokens", [])}
-        self.plain = parts.get("normalizer") == lower and split == PATTERN and self.marks <= {"<|"}
+        suffix = parts["model"].get("end_of_word_suffix")
+        self.plain = parts.get("normalizer") == lower and split == PATTERN and self.marks <= {"<|"} and bool(suffix)
+        if self.plain:
+            self.bare = Tokenizer.from_str(json.dumps(dict(
+                parts, normalizer=None, added_tokens=[], post_processor=None, truncation=None, padding=None,
+                pre_tokenizer={"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False})))
+            self.ends = np.array([(self.tok.id_to_token(i) or "").endswith(suffix)
+                                  for i in range(self.tok.get_vocab_size(with_added_tokens=True))])
 
     def cut(self, text: str) -> list[str]:
         """Stretches that are encoded on their own: their ids in a row are the text's."""
@@ -74,22 +81,32 @@ class Encoder:
         if len(self.cache) + len(new) > CACHE:
             self.cache.clear()
             new = [w for w in words if len(w) < LONG_WORD]
+        ready = [w for w in new if PLAIN.fullmatch(w) and w == w.lower() and STRETCH.fullmatch(w)] if self.plain else []
+        for k in range(0, len(ready), 64):
+            # already cut and normalised: many at once; the mark of a word's end parts them again
+            some, ids, at = ready[k:k + 64], None, 0
+            ids = self.bare.encode(some, is_pretokenized=True, add_special_tokens=False).ids
+            for w, e in zip(some, np.flatnonzero(self.ends[ids]) + 1):
+                self.cache[w] = tuple(ids[at:e])
+                at = e
+        new = [w for w in new if w not in self.cache] if ready else new
         for k in range(0, len(new), 4096):
             some = new[k:k + 4096]
             for w, e in zip(some, self.tok.encode_batch_fast(some, add_special_tokens=False)):
                 self.cache[w] = tuple(e.ids)
 
-    def ids(self, texts: list[str]) -> list[list[int]]:
+    def ids(self, texts: list[str]) -> tuple[list[int], list[int]]:
+        """All ids in a row, and where each text's end."""
         cuts_ = [self.cut(t) for t in texts]
         self.learn(dict.fromkeys(w for words in cuts_ for w in words))
-        out, cache = [], self.cache
+        out: list[int] = []
+        ends, cache = [], self.cache
         for words in cuts_:
-            ids: list[int] = []
             for w in words:
                 got = cache.get(w)
-                ids += self.tok.encode(w, add_special_tokens=False).ids if got is None else got
-            out.append(ids)
-        return out
+                out += self.tok.encode(w, add_special_tokens=False).ids if got is None else got
+            ends.append(len(out))
+        return out, ends
 
     def spans(self, text: str, base: int) -> np.ndarray:
         """Rows (id, start, end); the tokens of a short word all carry its place."""
@@ -201,11 +218,9 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
         for whole in batches:
             for at in range(0, whole.num_rows, ROWS):
                 b = whole.slice(at, ROWS)
-                got = enc.ids(list(strings(b, "text")))
-                ends = np.cumsum([0, *map(len, got)]).astype(np.int32)
-                flat = np.fromiter((i for ids in got for i in ids), np.int32, int(ends[-1]))
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], names=["doc_id", "ids"])
+                flat, ends = enc.ids(list(strings(b, "text")))
+                ids = pa.ListArray.from_arrays(pa.array([0, *ends], pa.int32()), pa.array(flat, pa.int32()))
+                yield pa.RecordBatch.from_arrays([b.column(0), ids], names=["doc_id", "ids"])
 
     def cut(batches):
         for b in batches:
