@@ -1,0 +1,94 @@
+import html as entities
+import random
+import re
+
+import numpy as np
+
+from tidewater.llm import html, queries
+
+SF = "/root/testdata/sf0.01"
+
+
+def plain(page):
+    art = re.search(r"<article>(.*)</article>", page, re.S)[1]
+    art = re.sub(r"</?b>", "", re.sub(r"</?p>|</?h1>|<br>", " ", art))
+    return " ".join(entities.unescape(art).split())
+
+
+def test_blocks():
+    page = """<!DOCTYPE html><head><title>t</title></head><body class="x y"><script>var a="<p>no</p>";</script>
+    <p>One &amp; <b>two</b>three<br>four<p class='lead'>five&nbsp; six</p><div><a href="/x">link</a> tail</div>
+    <!-- <p>hidden</p> --><ul><li>a<li>b</ul><style>p{}</style>last &am"""
+    got = [(t, n) for _, t, n in html.blocks(page)]
+    assert got == [("One & twothree", 0), ("four", 0), ("five six", 0), ("link tail", 4), ("a", 0), ("b", 0), ("last &am", 0)]
+    assert html.blocks("") == [] and html.blocks("<div><p></p>") == []
+    path = html.blocks('<div class="post entry-body"><p>x</p></div>')[0][0]
+    assert path == ("div", "post", "entry", "body", "p")
+
+
+def test_gradients_by_differences():
+    rng = np.random.default_rng(0)
+    m = html.Labeller()
+    m.p = {k: v.astype(np.float64) for k, v in m.p.items()}
+    x, mask = html.pad([rng.normal(size=(n, html.PATH_DIM + html.WORD_DIM + 4)) for n in (5, 3)])
+    y = (rng.random(mask.shape) < 0.5).astype(float)
+
+    def loss():
+        p = m.forward(x, mask)[0]
+        return -((y * np.log(p) + (1 - y) * np.log(1 - p)) * mask).sum() / mask.sum()
+
+    grads = m.gradients(x, mask, y)
+    for name in ("Wf", "Wb", "bf", "bb", "Wo", "bo"):
+        at = tuple(rng.integers(0, s) for s in m.p[name].shape)
+        keep, e = m.p[name][at], 1e-3
+        m.p[name][at] = keep + e
+        up = loss()
+        m.p[name][at] = keep - e
+        down = loss()
+        m.p[name][at] = keep
+        assert abs((up - down) / 2 / e - grads[name][at]) < 2e-3
+
+
+def test_query_texts(spark):
+    rows = spark.read.parquet(f"{SF}/pages.parquet").collect()
+    got = {r.page_id: r for r in queries.op1_html(spark, SF).collect()}
+    assert len(got) == len(rows)
+    right = sum(got[r.page_id].text == plain(r.html) and got[r.page_id].n_chars == len(plain(r.html)) for r in rows)
+    assert right >= 0.99 * len(rows)
+
+
+def test_other_layouts(spark):
+    """Held-out pages whose markup is renamed and extended."""
+    rows = spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").collect()
+    rng, data = random.Random(11), []
+    for r in rows[:120]:
+        for seq, y in html.variants(html.blocks(r.html), rng):
+            data.append((html.vectors(seq), np.array(y, np.float32)))
+    model = html.Labeller().fit(data)
+    rng, wrong, n = random.Random(12), 0, 0
+    for r in rows[120:]:
+        for seq, y in list(html.variants(html.blocks(r.html), rng))[1:]:
+            wrong += int((model.label([html.vectors(seq)])[0] != np.array(y, bool)).sum())
+            n += len(y)
+    assert wrong <= 0.03 * n
+
+
+def test_odd_rows(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    page = pages.first().html
+    long = page.replace("</article>", "<p>deep words here</p>" * 3000 + "</article>")
+    rows = [(1, "u", None), (2, None, ""), (None, "u", page), (3, "u", page), (3, "u", page), (4, "u", "<script>x"), (5, "u", long)]
+    df = spark.createDataFrame([(i, u, h, "t") for i, u, h in rows], "page_id long, url string, html string, text string")
+    got = sorted(((r.page_id, r.url, r.text) for r in html.extract(df, model=html.train(pages)).collect()), key=repr)
+    want = [(i, u, plain(h) if h and "<article>" in h else "") for i, u, h in rows]
+    assert got == sorted(want, key=repr)
+
+
+def test_few_odd_pages_train(spark):
+    df = spark.createDataFrame([(1, "u", None), (1, "u", "<p>only text</p>")], "page_id long, url string, html string")
+    assert sorted(r.text for r in html.main_texts(df).collect()) == ["", "only text"]
+
+
+def test_empty_table(spark):
+    df = spark.createDataFrame([], "page_id long, url string, html string")
+    assert html.main_texts(df).count() == 0

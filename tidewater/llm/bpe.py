@@ -312,9 +312,9 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
     return encoded.mapInArrow(run, f"{fields}, decoded string")
 
 
-def digests(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """The query's row per document: counts and digests of ids and decoded text."""
+def digests(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:
+    """The query's row per document: counts and digests of ids and decoded text (and the ids)."""
     return decode(encode(docs, vocabulary), vocabulary).select(
-        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        "doc_id", *(["ids"] if with_ids else []), F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
         F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))

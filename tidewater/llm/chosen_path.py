@@ -311,3 +311,16 @@ def near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
             .join(per_set, "key", "left").join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left")
             .select("doc_id", F.coalesce("component", "doc_id").alias("class_id"),
                     F.coalesce("n", F.lit(0)).cast("long").alias("n_links")))
+
+
+def representatives(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
+                    text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that stay: of each class the row of its smallest
+    doc_id (of several, the one with the least text), and every row without id."""
+    stay = (near(docs, threshold, id_col, text_col).filter("doc_id = class_id").select(F.col("doc_id").alias("stay_id"))
+            .distinct())
+    row = F.struct(*docs.columns)
+    one = (docs.select(F.col(id_col).cast("long").alias("stay_id"), row.alias("row"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("order"))
+           .join(stay.hint("shuffle_hash"), "stay_id").groupBy("stay_id").agg(F.min_by("row", "order").alias("row")))
+    return one.select("row.*").unionByName(docs.filter(F.col(id_col).cast("long").isNull()))

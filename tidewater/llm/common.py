@@ -193,12 +193,13 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def run_hashes(h: np.ndarray, n: int) -> np.ndarray:
-    """Hashes of all n consecutive words, from the words' hashes."""
+def run_hashes(h: np.ndarray, n: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
+    """Hashes of all n consecutive words, from the words' hashes (a polynomial, then mixed)."""
     width = len(h) - n + 1
     if width <= 0:
         return np.zeros(0, np.uint64)
-    out = h[:width].copy()
+    out, base = h[:width].copy(), np.uint64(base)
     for k in range(1, n):
-        out = mixed(out) + h[k:k + width]
+        out *= base
+        out += h[k:k + width]
     return mixed(out)

@@ -10,22 +10,24 @@ from .common import remainder
 FOLDS = 5
 
 
-def training_labels(labels: DataFrame, column: str, per_class: int, folds: int = FOLDS) -> DataFrame:
-    """(doc_id, y): at most ``per_class`` rows of each class, chosen by a hash of the id.
+def training_labels_all(labels: DataFrame, column: str, folds: int = FOLDS) -> DataFrame:
+    """(doc_id, y) of every training row: ids whose crc32 remainder is not 0.
 
-    Only ids whose crc32 remainder is not 0. A document labelled more than once
-    counts as 1 if any label says so; null ids and labels are left out.
+    A document labelled more than once counts as 1 if any label says so; null ids
+    and labels other than 0 and 1 are left out.
     """
-    y = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y"))
-         .filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
-         .filter(remainder("doc_id", folds) != 0))
+    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y"))
+            .filter("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
+            .filter(remainder("doc_id", folds) != 0))
+
+
+def training_labels(labels: DataFrame, column: str, per_class: int, folds: int = FOLDS) -> DataFrame:
+    """At most ``per_class`` training rows of each class, chosen by a hash of the id."""
+    y = training_labels_all(labels, column, folds)
     pick = [y.filter(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
     return pick[0].union(pick[1])
 
 
 def class_counts(labels: DataFrame, column: str, folds: int = FOLDS) -> dict[int, int]:
     """All training rows of each class (the sample's rates are corrected by them)."""
-    y = (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y"))
-         .filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
-         .filter(remainder("doc_id", folds) != 0).groupBy("y").count())
-    return {r["y"]: r["count"] for r in y.collect()}
+    return {r["y"]: r["count"] for r in training_labels_all(labels, column, folds).groupBy("y").count().collect()}

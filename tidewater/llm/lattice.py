@@ -2,13 +2,19 @@
 
 A document is its words (A-Z lower-cased) and one end. A word, with its start
 mark, can be cut into pieces of an existing vocabulary in many ways; its
-probability is the sum over all of them of the product of the pieces'
+spelling probability is the sum over all of them of the product of the pieces'
 probabilities, by the forward recursion in log space. A character without a
 piece is the product of its bytes' pieces. The pieces' first weights come from
-the vocabulary's own scores; ROUNDS of expectation-maximisation over the counts
-of all training words then move them to the corpus, with the first weights as
-prior. ``score`` is the log10 probability of the whole text, which sums to at
-most 1 over all texts.
+the vocabulary's own scores; ROUNDS of expectation-maximisation over all
+distinct training words then move them to the corpus, with the first weights as
+prior. A word seen c times in training is one arc of its own beside these: its
+count less a discount, and the discounts of all words are shared out by spelling,
+
+    P(word) = (max(c - d, 0) + d * distinct * spelling(word)) / tokens,
+
+with d from the numbers of words seen once and twice, and the end as often as in
+training. ``score`` is the log10 probability of the whole text under this model,
+which sums to 1 over all texts. Without training rows it is the vocabulary's.
 
 Every word's count and lattice probability is computed once for the corpus:
 tasks write a dictionary of distinct words for each block of documents, the
@@ -35,6 +41,7 @@ from .common import Scratch, held_out, id_text, remainder
 FOLDS = 10
 ALPHA = 0.1                     # of the base model
 ROUNDS = 2
+UNTRAINED_END = 1 / 500         # chance of the end without training rows
 PRIOR = 1_000.0                 # pieces that the vocabulary's own weights count as
 BLOCK_WORDS, BLOCK_BYTES = 200_000, 16_000_000
 START = "▁"                # the vocabulary's mark of a word's start
@@ -67,19 +74,14 @@ class Pieces:
             pairs.sort()
             self.keys[n] = np.array([h for h, _ in pairs], np.uint64)
             self.ids[n] = np.array([i for _, i in pairs], np.int64)
-        end = weight.sum() / 500                            # a text of some hundred words ends once
-        self.log = np.log(np.maximum(weight, 1e-300) / (weight.sum() + end))
-        self.log[weight == 0] = -np.inf
-        self.end = float(np.log(end / (weight.sum() + end)))
-
-    def reestimate(self, counts: np.ndarray, ends: float) -> None:
-        prior = np.exp(self.first if hasattr(self, "first") else self.log)
-        if not hasattr(self, "first"):
-            self.first, self.first_end = self.log.copy(), self.end
-        total = counts.sum() + ends + PRIOR
+        # words end where a piece with the start mark follows, so that spellings sum to 1
+        self.first = weight / weight.sum()
+        with np.errstate(divide="ignore"):
+            self.log = np.log(self.first)
+
+    def reestimate(self, counts: np.ndarray) -> None:
         with np.errstate(divide="ignore"):
-            self.log = np.log((counts + PRIOR * prior) / total)
-            self.end = float(np.log((ends + PRIOR * np.exp(self.first_end)) / total))
+            self.log = np.log((counts + PRIOR * self.first) / (counts.sum() + PRIOR))
 
 
 def hashes(codes: np.ndarray, n: int) -> np.ndarray:
@@ -230,8 +232,8 @@ def blocks(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, BLOCK_SCHEMA)
 
 
-def learn(words: DataFrame, pieces: Pieces, ends: int, rounds: int = ROUNDS) -> Pieces:
-    """Rounds of expectation-maximisation over a table (word binary, c)."""
+def learn(words: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Pieces:
+    """Rounds of expectation-maximisation over a table (word binary, c), each training word once."""
     for _ in range(rounds):
         sent = words.sparkSession.sparkContext.broadcast(pieces)    # bounded by the vocabulary
         size = len(pieces.log)
@@ -240,18 +242,17 @@ def learn(words: DataFrame, pieces: Pieces, ends: int, rounds: int = ROUNDS) ->
             counts = np.zeros(size)
             for b in batches:
                 texts = [w.as_py().decode("utf-8", "replace") for w in b.column(0)]
-                c = b.column(1).to_numpy(zero_copy_only=False).astype(float)
                 for at in by_length(texts):
-                    expected(sent.value, [texts[i] for i in at], c[at], counts)
+                    expected(sent.value, [texts[i] for i in at], np.ones(len(at)), counts)
             has = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(has.astype(np.int32)), pa.array(counts[has])],
                                              names=["piece", "n"])
 
-        got = (words.filter("c > 0").select("word", "c").mapInArrow(run, "piece int, n double")
+        got = (words.filter("c > 0").select("word").mapInArrow(run, "piece int, n double")
                .groupBy("piece").agg(F.sum("n").alias("n")).toPandas())      # at most one row a piece
         counts = np.zeros(size)
         counts[got["piece"].to_numpy()] = got["n"].to_numpy()
-        pieces.reestimate(counts, ends)
+        pieces.reestimate(counts)
     return pieces
 
 
@@ -268,10 +269,13 @@ def scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     trained = F.coalesce(remainder("doc_id", folds) != 0, F.lit(False))
     ends = bags.filter(trained).count()
     words = scratch.write(rows.filter("kind = 0").groupBy("word").agg(F.sum("n").alias("c")), "words")
-    known = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.coalesce(F.sum((F.col("c") > 0).cast("long")), F.lit(0))).first()
-    tokens, distinct = int(known[0]) + ends, int(known[1]) + (ends > 0)
+    number = lambda x: F.coalesce(F.sum(x.cast("long")), F.lit(0))
+    c = F.col("c")
+    seen, types, once, twice = map(int, words.agg(number(c), number(c > 0), number(c == 1), number(c == 2)).first())
+    tokens, distinct = seen + ends, types + (ends > 0)
+    discount = min(max(once / (once + 2 * twice), 0.05), 0.95) if once else 0.5
     scratch.release()
-    pieces = learn(words, read_pieces(model_file), ends, rounds if ends else 0)
+    pieces = learn(words, read_pieces(model_file), rounds if types else 0)
     sent = spark.sparkContext.broadcast(pieces)
 
     def likelihood(batches):
@@ -293,7 +297,8 @@ def scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
         .repartition("block").sortWithinPartitions("block", "kind"))
     low = float(np.log10(ALPHA / (tokens + ALPHA * (distinct + 1))))
     scale = tokens + ALPHA * (distinct + 1)
-    end_base, end_score = float(np.log10((ends + ALPHA) / scale)), pieces.end / float(np.log(10))
+    end_base = float(np.log10((ends + ALPHA) / scale))
+    end_score = float(np.log10(ends / tokens)) if ends else float(np.log10(UNTRAINED_END))
 
     def score(batches):
         block, count, logp = None, np.zeros(0), np.zeros(0)
@@ -320,10 +325,18 @@ def scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
                     own, tf = np.cumsum(x[:len(x) // 2]), x[len(x) // 2:]
                     c = count[own]
                     base = np.where(c > 0, np.log10((c + ALPHA) / scale), low)
+                    if ends and types:
+                        with np.errstate(divide="ignore"):
+                            arc = np.log10(np.maximum(c - discount, 0) / tokens)
+                        spelt = logp[own] + np.log10(discount * types / tokens)
+                        top = np.maximum(arc, spelt)
+                        word = top + np.log10(10 ** (arc - top) + 10 ** (spelt - top))
+                    else:
+                        word = logp[own] + np.log10(1 - 10 ** end_score if end_score else 1.0)
                     got.append({"doc_id": docs_[i], "held_out": outs[i], "n_tokens": int(n[i]) + 1,
                                 "n_known": int(tf[c > 0].sum()) + (ends > 0), "train_tokens": tokens,
                                 "base_score": float((tf * base).sum() + end_base),
-                                "score": float((tf * logp[own]).sum() + end_score)})
+                                "score": float((tf * word).sum() + end_score)})
             yield pa.RecordBatch.from_pylist(got, schema=result)
 
     result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),

@@ -16,12 +16,13 @@ other (0.5 if there are no labels). Repeated rows are scored each.
 from __future__ import annotations
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import WORD, Scratch, held_out, id_text, strings
-from .labelled import FOLDS, training_labels
+from .labelled import FOLDS, training_labels, training_labels_all
 
 CALIBRATION_ROWS = 10_000   # of each class, for the logistic fit
 SHRINK_POOLED, SHRINK_DIAGONAL = 0.1, 0.05
@@ -169,11 +170,20 @@ def fit(x: DataFrame, labels: DataFrame, column: str = "quality", folds: int = F
     return model
 
 
-def training_labels_all(labels: DataFrame, column: str, folds: int) -> DataFrame:
-    from .common import remainder
-    return (labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(column).cast("int").alias("y"))
-            .filter("doc_id is not null and y in (0, 1)").groupBy("doc_id").agg(F.max("y").alias("y"))
-            .filter(remainder("doc_id", folds) != 0))
+def passing(docs: DataFrame, labels: DataFrame, column: str = "quality", threshold: float = 0.3,
+            folds: int = FOLDS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all their columns, that score at least the threshold."""
+    scratch = Scratch(docs.sparkSession, "quality")
+    src = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    x = scratch.write(features(src), "features")
+    model = fit(x, labels, column, folds)
+
+    @F.pandas_udf("double")
+    def score(texts: pd.Series) -> pd.Series:
+        at = np.array([statistics(t or "") for t in texts]).reshape(-1, len(STATS))
+        return pd.Series(model.score(at))
+
+    return docs.filter(score(F.col(text_col).cast("string")) >= threshold)
 
 
 def scores(docs: DataFrame, labels: DataFrame, column: str = "quality", threshold: float = 0.3,

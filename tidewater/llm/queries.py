@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, caps, html, lattice, quality, toxicity
+from . import bpe, caps, chosen_path, html, latent, lattice, quality, recompress, shards, toxicity
 from .common import table
 
 #: Folder of the public tokenizer files (see the README).
@@ -22,6 +22,14 @@ def op1_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.main_texts(table(spark, sf_dir, "pages"))
 
 
+def op2_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chosen_path.near(table(spark, sf_dir, "documents"))
+
+
+def op3_latent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latent.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_lattice(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lattice.scores(table(spark, sf_dir, "documents"), vocabulary("piece_bpe_32k.model"))
 
@@ -34,6 +42,14 @@ def op6_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return caps.near(table(spark, sf_dir, "embeddings"))
 
 
+def op7_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return shards.manifest(spark, table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
+
+
+def op8_recompress(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recompress.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -44,9 +60,13 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
+    "op2_chosen_path": op2_chosen_path,
+    "op3_latent": op3_latent,
     "op4_lattice": op4_lattice,
     "op5_toxicity": op5_toxicity,
     "op6_caps": op6_caps,
+    "op7_shards": op7_shards,
+    "op8_recompress": op8_recompress,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
 }

@@ -28,7 +28,7 @@ from .labelled import FOLDS, class_counts, training_labels
 
 SAMPLE = 4_000
 BITS, RANK = 18, 8
-EPOCHS, STEP, RIDGE = 12, 0.2, 1e-4
+EPOCHS, LEAST_STEPS, STEP, RIDGE = 12, 1_000, 0.2, 1e-4      # a small sample is gone through more often
 CHI_SQUARE = 10.83
 TERM = re.compile(r"\w+")
 
@@ -77,7 +77,7 @@ class Machine:
         own = [self.index[r] for r in rows]
         own = [r[r >= 0] for r in own]
         gw, gv, g0 = np.full(len(keep), 1e-6), np.full((len(keep), RANK), 1e-6), 1e-6
-        for _ in range(EPOCHS):
+        for _ in range(max(EPOCHS, -(-LEAST_STEPS * 64 // len(rows)))):
             order = rng.permutation(len(rows))
             for at in range(0, len(order), 64):
                 batch = order[at:at + 64]
