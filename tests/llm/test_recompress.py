@@ -65,7 +65,7 @@ def test_equal_windows_have_equal_anchors(letters):
 def test_symbols_shrink_and_tile():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 2 ** 63, 10_000).astype(np.uint64)
-    s = rc.parse(h, np.zeros(len(h), np.int64))
+    s = rc.parse(h, np.zeros(len(h), np.int64), rounds=2)
     assert s.start[0] == 0 and s.end[-1] == len(h) and (s.start[1:] == s.end[:-1]).all()
     assert len(s.name) < 0.62 * len(h) and (np.diff(s.lo) >= 0).all() and (np.diff(s.hi) >= 0).all()
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import re
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -71,6 +72,7 @@ class Scratch:
     def release(self) -> None:
         gc.collect()
         self.spark._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc", src: str = "a",

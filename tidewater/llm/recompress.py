@@ -8,9 +8,10 @@ task without an exchange. For each symbol the words are known that its forming
 depended on; a symbol whose words all lie inside a window is interior to it,
 and equal windows have equal interior symbols wherever they stand.
 
-A window's anchor is its interior symbol with the least priority (the window
-itself, if it is so uniform that none is interior). Spark then finds the anchors
-that documents share: only their windows can repeat. These windows are taken as
+A window's anchor is the one of least priority among its stretches of SPAN
+interior symbols, which themselves are named once more (the window itself, if it
+is so uniform that too few are interior). Spark then finds the anchors that
+documents share: only their windows can repeat. These windows are taken as
 96-bit hashes, the smallest document of each is found, and every document's
 words in a window that a smaller one has are removed.
 
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import Scratch, id_text, mixed, run_hashes, word_hashes
 
 WINDOW = 13
-ROUNDS = 2
+ROUNDS, SPAN = 1, 3        # words run and pair, then three symbols: some seven words of a window
 ROWS = 256                  # texts in hand at once
 RUN = np.uint64(0xA24BAED4963EE407)
 SECOND = 0xD1342543DE82EF95
@@ -111,19 +112,21 @@ def anchors(h: np.ndarray, doc: np.ndarray, at: np.ndarray, size: int = WINDOW)
     s, n = parse(h, doc), len(h)
     below = np.cumsum(np.bincount(s.lo + 1, minlength=n + 2))       # symbols that depend on a word before p
     within = np.cumsum(np.bincount(np.minimum(s.hi, n + 1), minlength=n + 2))
-    first, last = below[at], within[at + size] - 1
-    rank = mixed(s.name ^ RUN)
-    best, who = np.full(len(at), np.iinfo(np.uint64).max, np.uint64), np.full(len(at), -1, np.int64)
-    for k in range(size):
-        i = first + k
-        ok = i <= last
-        if not ok.any():
-            break
-        i = np.minimum(i, len(rank) - 1)
-        r = rank[i]
-        better = ok & ((r < best) | (who < 0))
-        best[better], who[better] = r[better], i[better]
-    out = np.where(who >= 0, s.name[np.maximum(who, 0)], np.uint64(0))
+    first, last = below[at], within[at + size] - SPAN               # first symbols of stretches inside the window
+    name = s.name
+    if len(name) >= SPAN:
+        name = run_hashes(s.name, SPAN)
+    rank = mixed(name ^ RUN)
+    most = int((last - first).max(initial=-1)) + 1
+    far = np.iinfo(np.uint64).max
+    padded = np.concatenate([rank, np.full(most + 1 + SPAN, far, np.uint64)])
+    best, who = np.full(len(at), far, np.uint64), np.full(len(at), -1, np.int64)
+    for k in range(most):
+        r = np.where(first + k <= last, padded[first + k], far)
+        better = r < best
+        np.copyto(best, r, where=better)
+        np.copyto(who, first + k, where=better)
+    out = np.where(who >= 0, name[np.maximum(who, 0)] if len(name) else np.uint64(0), np.uint64(0))
     alone = np.flatnonzero(who < 0)
     if len(alone):
         out[alone] = run_hashes(h, size)[at[alone]] ^ RUN
@@ -203,21 +206,23 @@ def covered(h: np.ndarray, repeated: np.ndarray, size: int = WINDOW) -> np.ndarr
 def repeats(docs: DataFrame, scratch: Scratch, size: int = WINDOW) -> DataFrame:
     """(doc_id, repeated array<long>): hashes of each document's windows that a smaller document has."""
     seen = scratch.write(anchor_rows(docs, size), "anchors")
-    shared = (seen.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-              .filter("a < b").select("anchor"))
+    shared = scratch.write(seen.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
+                           .filter("a < b").select("anchor"), "shared")
+    scratch.release()
     near = scratch.write(seen.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "near")
     scratch.release()
-    scratch.drop("anchors")
+    scratch.drop("anchors", "shared")
     texts = docs.filter("doc_id is not null").join(near.hint("shuffle_hash"), "doc_id")
     found = scratch.write(window_rows(texts, size), "windows")
     scratch.release()
     scratch.drop("near")
-    first = (found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
-             .filter("first < last").select("h1", "h2", "first"))
+    first = scratch.write(found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
+                          .filter("first < last").select("h1", "h2", "first"), "first")
+    scratch.release()
     out = scratch.write(found.join(first, ["h1", "h2"]).filter("doc_id > first")
                         .groupBy("doc_id").agg(F.collect_set("h1").alias("repeated")), "repeated")
     scratch.release()
-    scratch.drop("windows")
+    scratch.drop("windows", "first")
     return out
 
 
