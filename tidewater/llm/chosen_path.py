@@ -5,9 +5,10 @@ Every set is embedded as COORDINATES minimum hashes; two sets agree in a
 coordinate with the chance of their Jaccard similarity. A run starts with all
 sets in one node and splits each node by CHILDREN of its coordinates, chosen by
 a hash of the node: sets with the same value go to the same child. After DEPTH
-levels most nodes hold few sets, and these are compared with each other. A node
-that still holds many is compared in blocks if its sets are alike on average
-(splitting would not part them), and split further if not. Runs are repeated,
+levels most nodes hold few sets, and these are compared with each other, in
+blocks if there are more. A node that still holds very many is compared in
+blocks, too, if its sets are alike on average (splitting would not part them),
+and split by DEPTH more levels if not. Runs are repeated,
 each with other coordinates, until a pair at the threshold is missed with a
 chance below 1 - TARGET (``runs``).
 
@@ -38,10 +39,12 @@ from .common import (Scratch, components, groups, id_text, joined_labels, least_
 THRESHOLD = 0.8
 SHINGLE = 5
 COORDINATES = 128
-CHILDREN, DEPTH, MAX_DEPTH = 2, 3, 8
+CHILDREN, DEPTH, MAX_DEPTH = 2, 3, 9
 TARGET = 0.9999
 FEW = 64                # sets of a node that are compared at once
 BLOCK = 256             # sets of one block of a larger node or group
+MANY = 4_096            # sets of a node that is split further unless they are alike
+BROADCAST_ROWS = 200_000    # groups of up to so many sets (some 100 bytes each) go to the texts, not the texts to them
 SLACK = 0.14            # embeddings may fall short of the threshold by four standard deviations
 SEEDS = mixed(np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
 SALTS = mixed(SEEDS)
@@ -191,37 +194,41 @@ def candidates(sets: DataFrame, scratch: Scratch, threshold: float) -> DataFrame
     """Links (a, b) enough to hold together all sets whose embeddings are near."""
     least = threshold - SLACK
     found, level = [], DEPTH
+    coords = sets.select("rep", "coords")
     now = scratch.write(leaves(sets, runs(threshold)), "leaves3")
     while True:
         sizes = scratch.write(now.groupBy("leaf").agg(F.count("*").alias("n")).filter("n > 1"), f"sizes{level}")
-        few = (now.join(sizes.filter(F.col("n") <= FEW), "leaf").join(sets.select("rep", "coords"), "rep")
+        most = sizes.agg(F.max("n")).first()[0] or 0
+        few = (now.join(sizes.filter(F.col("n") <= FEW), "leaf").join(coords, "rep")
                .repartition("leaf").sortWithinPartitions("leaf"))
-        found.append(scratch.write(compare_few(few, least).distinct(), f"few{level}"))
-        big = sizes.filter(F.col("n") > FEW)
-        if not big.head(1):
+        found.append(scratch.write(compare_few(few, least), f"few{level}"))
+        if most <= FEW:
             break
-        many = scratch.write(now.join(big, "leaf").join(sets.select("rep", "coords"), "rep")
-                             .select("leaf", "rep", "coords", "n"), f"many{level}")
-        if level == MAX_DEPTH:
-            found.append(scratch.write(compare_blocks(many, least).distinct(), f"blocks{level}"))
+        last = most <= MANY or level >= MAX_DEPTH
+        some = now.join(sizes.filter((F.col("n") > FEW) & (F.lit(last) | (F.col("n") <= MANY))), "leaf").join(coords, "rep")
+        found.append(scratch.write(compare_blocks(some, least), f"blocks{level}"))
+        if last:
             break
+        many = scratch.write(now.join(sizes.filter(F.col("n") > MANY), "leaf").join(coords, "rep")
+                             .select("leaf", "rep", "coords", "n"), f"many{level}")
         mean = scratch.write(alike(many), f"alike{level}")
         found.append(scratch.write(compare_blocks(
-            many.join(mean.filter(F.col("mean") >= least), "leaf", "left_semi"), least).distinct(), f"blocks{level}"))
+            many.join(mean.filter(F.col("mean") >= least), "leaf", "left_semi"), least), f"dense{level}"))
 
         def split(batches):
             for b in batches:
                 if b.num_rows:
-                    node = children(b.column(0).to_numpy().view(np.uint64), _matrix(b.column(2))).view(np.int64)
+                    c = _matrix(b.column(2))
+                    node = b.column(0).to_numpy().view(np.uint64)[:, None]
+                    for _ in range(DEPTH):
+                        node = np.concatenate([children(node[:, k], c) for k in range(node.shape[1])], axis=1)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(node.ravel()), pa.array(np.repeat(b.column(1).to_numpy(), CHILDREN))],
+                        [pa.array(node.view(np.int64).ravel()), pa.array(np.repeat(b.column(1).to_numpy(), node.shape[1]))],
                         names=["leaf", "rep"])
 
         loose = many.join(mean.filter(F.col("mean") < least), "leaf", "left_semi").select("leaf", "rep", "coords")
-        level += 1
+        level += DEPTH
         now = scratch.write(loose.mapInArrow(split, "leaf long, rep long").distinct(), f"leaves{level}")
-        if not now.head(1):
-            break
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
@@ -280,7 +287,9 @@ def verify(docs: DataFrame, maybe: DataFrame, sets: DataFrame, threshold: float,
                     [pa.array([keys[i] for i in at]), pa.array(linked @ m[at]), pa.array(rep[at]),
                      pa.array(least_labels(linked, rep[at]))], names=["key", "links", "a", "b"])
 
-    texts = docs.filter("doc_id is not null").join(own.hint("shuffle_hash").withColumnRenamed("rep", "doc_id"), "doc_id")
+    own = own.withColumnRenamed("rep", "doc_id")
+    own = F.broadcast(own) if maybe.count() <= BROADCAST_ROWS else own.hint("shuffle_hash")
+    texts = docs.filter("doc_id is not null").join(own, "doc_id")
     return (spread(texts.withColumnRenamed("doc_id", "rep"), "component", "rep", block)
             .select("component", "lo", "hi", "side", "rep", "key", "m", F.col("text").cast("binary").alias("text"))
             .repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi")
@@ -297,8 +306,8 @@ def near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
         F.min("doc_id").alias("rep"), F.count("*").alias("m"), F.first("coords").alias("coords")), "sets")
     maybe = scratch.write(components(candidates(sets, scratch, threshold), scratch, "maybe"), "groups")
     scratch.release()
-    sized = maybe.join(maybe.groupBy("component").agg(F.count("*").alias("n")), "component").select(
-        F.col("node").alias("rep"), "component", "n")
+    sized = scratch.write(maybe.join(maybe.groupBy("component").agg(F.count("*").alias("n")), "component").select(
+        F.col("node").alias("rep"), "component", "n"), "sized")
     found = scratch.write(verify(id_text(docs, id_col, text_col), sized, sets, threshold, block), "found")
     scratch.release()
     links = found.groupBy("key").agg(F.sum("links").alias("links"))

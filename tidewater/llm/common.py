@@ -81,40 +81,35 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc", src: str =
 
     Alternating large-star and small-star steps; each is one map-side combined
     minimum per node and one join, so a node with very many edges is only a
-    skewed join key (AQE splits it). Ends when a round changes no edge.
+    skewed join key (AQE splits it). Ends when every node points to its root.
     """
     def canonical(e: DataFrame) -> DataFrame:
         return (e.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
                 .filter("u <> v").distinct())
 
-    def mark(e: DataFrame):
-        r = e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")),
-                                           F.lit(0))).first()
-        return r[0], int(r[1])
+    def done(e: DataFrame) -> bool:
+        """Every node has one edge to a root, or is a root."""
+        ends = e.select(F.col("u").alias("n"), F.lit(1).alias("out"), F.lit(0).alias("in")).union(
+            e.select("v", F.lit(0), F.lit(1)))
+        many = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
+        return not many.filter("out > 1 or (out = 1 and in = 1)").head(1)
 
     now = scratch.write(canonical(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))), f"{name}0")
-    state, rnd = mark(now), 0
-    while state[0]:
+    rnd = 0
+    while not done(now):
         rnd += 1
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = canonical(large)
-        # small star: edges go from the larger end to its smaller neighbours
+        # small star: a node's smaller neighbours and itself go to the least of them
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        after = scratch.write(canonical(small), f"{name}{rnd}")
-        new = mark(after)
+        now = scratch.write(canonical(small), f"{name}{rnd}")
         scratch.drop(f"{name}{rnd - 1}")
-        now = after
-        if new == state:
-            break
-        state = new
-    nodes = now.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("component"))
-    roots = now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node"))
-    return nodes.union(roots)
+    return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
+        now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node")))
 
 
 def groups(batches, keys: list[str]) -> Iterator[tuple[tuple, pa.Table]]:
