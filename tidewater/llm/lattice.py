@@ -43,7 +43,8 @@ ALPHA = 0.1                     # of the base model
 ROUNDS = 2
 UNTRAINED_END = 1 / 500         # chance of the end without training rows
 PRIOR = 1_000.0                 # pieces that the vocabulary's own weights count as
-BLOCK_WORDS, BLOCK_BYTES = 200_000, 16_000_000
+BLOCK_WORDS, BLOCK_BYTES = 600_000, 48_000_000
+BASE = np.uint64(0x9E3779B97F4A7C15)
 START = "▁"                # the vocabulary's mark of a word's start
 
 
@@ -86,30 +87,33 @@ class Pieces:
 
 def hashes(codes: np.ndarray, n: int) -> np.ndarray:
     """64-bit polynomial hashes of all stretches of n codes in each row."""
-    base, out = np.uint64(0x9E3779B97F4A7C15), None
+    out = None
     width = codes.shape[1] - n + 1
     for k in range(n):
         part = codes[:, k:k + width] + np.uint64(1)
-        out = part if out is None else out * base + part
+        out = part if out is None else out * BASE + part
     return out ^ (out >> np.uint64(29))
 
 
 def lattice(pieces: Pieces, words: list[str]):
     """For words of one length: log weights (word, end, length) and piece ids (-1 none, -2 - code: bytes)."""
-    codes = np.array([[ord(x) for x in START + w] for w in words], np.uint64)
+    text = "".join(START + w for w in words).encode("utf-32-le", "replace")
+    codes = np.frombuffer(text, "<u4").astype(np.uint64).reshape(len(words), -1)
     n, size = codes.shape
     wide = min(pieces.longest, size)
     lp = np.full((n, size + 1, wide), -np.inf)
     ids = np.full((n, size + 1, wide), -1, np.int64)
+    part, raw = codes + np.uint64(1), None
     for k in range(1, wide + 1):
+        raw = part if raw is None else raw[:, :-1] * BASE + part[:, k - 1:]     # as in hashes()
         if k not in pieces.keys:
             continue
-        h, keys = hashes(codes, k), pieces.keys[k]
+        h, keys = raw ^ (raw >> np.uint64(29)), pieces.keys[k]
         at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        found = keys[at] == h
-        own = pieces.ids[k][at]
-        lp[:, k:, k - 1] = np.where(found, pieces.log[own], -np.inf)
-        ids[:, k:, k - 1] = np.where(found, own, -1)
+        word, place = np.nonzero(keys[at] == h)
+        own = pieces.ids[k][at[word, place]]
+        lp[word, place + k, k - 1] = pieces.log[own]
+        ids[word, place + k, k - 1] = own
     bare = ids[:, 1:, 0] < 0
     if bare.any():
         odd = np.unique(codes[bare])
@@ -165,14 +169,13 @@ def expected(pieces: Pieces, words: list[str], weight: np.ndarray, counts: np.nd
 
 def by_length(words: list[str], most: int = 200_000):
     """Indices of words of one length, in groups of a bounded number of characters."""
-    order = sorted(range(len(words)), key=lambda i: len(words[i]))
-    at = 0
-    while at < len(order):
-        size, n = len(words[order[at]]), at
-        while n < len(order) and len(words[order[n]]) == size and (n - at) * (size + 1) < most // 8:
-            n += 1
-        yield order[at:n]
-        at = n
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    order = np.argsort(size, kind="stable")
+    edges = np.flatnonzero(np.diff(size[order], prepend=-1))
+    for s, e in zip(edges, [*edges[1:], len(order)]):
+        some = max(1, most // 8 // (int(size[order[s]]) + 1))
+        for k in range(s, e, some):
+            yield order[k:min(k + some, e)]
 
 
 def read_pieces(model_file: str) -> Pieces:
