@@ -27,8 +27,41 @@ def test_merge_is_used_for_partial_states(spark):
         calls.add(1)
         return a + b
 
-    acc = Accumulator(zero=lambda: 0, add=lambda s, r: s + 1, merge=merge, result=lambda s: s)
+    acc = Accumulator(zero=lambda: 0, add=lambda s, r: s + len(r["id"]), merge=merge, result=lambda s: s)
     df = spark.range(0, 100, 1, 5).withColumn("k", F.lit("x"))
     out = accumulate(df, ["k"], acc, ["id"], "n", "long")
     assert rows(out) == [("x", 100)]
     assert calls.value == 4          # five tasks -> five partial states -> four merges
+
+
+def test_null_nan_and_large_keys(spark):
+    big = 2 ** 53
+    df = spark.createDataFrame([(None, 1), (None, 2), (2, 4), (2, 5), (big, 7), (big + 1, 8), (None, None), (2, None)],
+                               "k bigint, v int").repartition(3)
+    for flush in (1, 2, 100_000):
+        out = accumulate(df, ["k"], sum_as_text("v"), ["v"], "t", "string", flush_keys=flush)
+        assert sorted(map(tuple, out.collect()), key=repr) == sorted(
+            [(None, "3"), (2, "9"), (big, "7"), (big + 1, "8")], key=repr)
+    nan = float("nan")
+    df = spark.createDataFrame([(nan, 1), (nan, 2), (0.0, 1), (-0.0, 1), (None, 5)], "k double, v int")
+    out = accumulate(df, ["k"], sum_as_text("v"), ["v"], "t", "string")
+    assert sorted((repr(r.k), r.t) for r in out.collect()) == [("0.0", "2"), ("None", "5"), ("nan", "3")]
+    one = spark.createDataFrame([("a", 1), ("a", None), ("a", 5)], "k string, v int")
+    assert rows(accumulate(one, ["k"], sum_as_text("v"), ["v"], "t", "string")) == [("a", "6")]
+
+
+def test_runs_where_workers_cannot_import_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    code = f"""
+import sys; sys.path.insert(0, {root!r})
+from tidewater.session import build_session
+import __spark_entry__ as e
+s = build_session("local[2]", shuffle_partitions=2)
+print("ROWS", e.queries()["win_accumulate"](s, {SF_SMALL!r}).count())
+"""
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    got = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ROWS " in got.stdout, got.stderr[-2000:]

@@ -22,7 +22,7 @@ def ev(spark):
 
 def test_plan_finds_hot_keys(ev):
     plan = scan.plan_chunks(ev, KEY, ORDER, hot_rows=HOT)
-    assert plan is not None and plan.n_chunks >= 2
+    assert plan is not None and plan.bounds.count() >= 2
     chunked = scan.with_chunks(ev, KEY, plan)
     assert chunked.select(scan.CHUNK).distinct().count() > 1
     assert scan.plan_chunks(ev, KEY, ORDER, hot_rows=10**9) is None
@@ -148,4 +148,83 @@ def test_sampled_detection_path(spark):
     d = state.running_topk(ev, [], ORDER, "value", 3, hot_rows=10**9)
     assert rows(c) == rows(d)
     whole = scan.plan_chunks(ev.withColumn(scan.ALL, F.lit(0)), [scan.ALL], ORDER, 1000)
-    assert whole.n_chunks >= 5
+    assert len(whole.bounds.first()[scan.BOUNDS]) >= 2
+    again = scan.plan_chunks(ev.withColumn(scan.ALL, F.lit(0)), [scan.ALL], ORDER)
+    assert again is not None         # a whole-stream scan is split at any size
+
+
+def test_null_keys_are_split_and_types_are_the_same(spark):
+    df = spark.range(0, 1000, 1, 4).select(
+        F.when(F.col("id") % 10 == 0, F.col("id") % 3).alias("k"), F.col("id").alias("t"),
+        F.when(F.col("id") % 5 != 0, (F.col("id") % 11).cast("decimal(18,2)")).alias("v"))
+    plan = scan.plan_chunks(df, ["k"], ["t"], hot_rows=100)
+    chunked = scan.with_chunks(df, ["k"], plan)
+    assert chunked.filter("k is null").select(scan.CHUNK).distinct().count() > 5
+    fields = {"s": ("sum", "v"), "m": ("max", "v"), "f": ("first", "v"), "n": ("count", "v")}
+    a = agg.rolling(df, ["k"], ["t"], fields, hot_rows=100)
+    b = agg.rolling(df, ["k"], ["t"], fields, hot_rows=0)
+    assert a.schema == b.schema
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.collect()))
+    c = windows.count_sliding(df, ["k"], ["t"], 5, 2, {"s": F.sum("v")}, hot_rows=100)
+    d = windows.count_sliding(df, ["k"], ["t"], 5, 2, {"s": F.sum("v")}, hot_rows=0)
+    assert c.schema == d.schema and sorted(map(repr, c.collect())) == sorted(map(repr, d.collect()))
+
+
+def test_quantile_keeps_null_groups_and_groups_of_nulls(spark):
+    rows_ = [(1, 1.0), (1, 2.0), (1, 5.0), (None, 1.0), (None, 3.0), (2, None), (2, None)]
+    df = spark.createDataFrame(rows_, "k int, v double")
+    for hot in (0, 1, 4, 10**9):
+        got = agg.exact_quantile(df, ["k"], "v", hot_rows=hot)
+        assert sorted(map(tuple, got.collect()), key=repr) == [(1, 2.0), (2, None), (None, 2.0)]
+
+
+def test_sessions_skip_rows_without_a_time(spark):
+    df = spark.createDataFrame([("a", 0), ("a", 4), ("a", None), (None, 1), (None, 100), ("b", None)], "k string, s int")
+    df = df.withColumn("ts", F.timestamp_seconds("s"))
+    out = [windows.session(df, ["k"], "ts", "5 seconds", {"n": F.count(F.lit(1))}, hot_rows=h) for h in (4, 0)]
+    assert out[0].schema == out[1].schema
+    got = [sorted((r.k or "", r.window_start, r.window_end, r.n) for r in o.collect()) for o in out]
+    assert got[0] == got[1] and [g[3] for g in got[0]] == [1, 1, 2]
+
+
+def test_extreme_row_skips_nulls_and_orders_by_text(spark):
+    df = spark.createDataFrame([("a", "x1", 5), ("a", "x2", None), ("a", "x3", 4), ("a", "x4", 5), ("b", "y", None)],
+                               "k string, o string, v int")
+    for hot in (4, 0):
+        hi = agg.extreme_row(df, ["k"], ["o"], "v", ["o", "v"], largest=True, hot_rows=hot)
+        lo = agg.extreme_row(df, ["k"], ["o"], "v", ["o", "v"], largest=False, hot_rows=hot)
+        assert sorted(map(tuple, hi.collect())) == [("a", "x1", 5), ("b", "y", None)]
+        assert sorted(map(tuple, lo.collect())) == [("a", "x3", 4), ("b", "y", None)]
+        roll = agg.extreme_row(df, ["k"], ["o"], "v", ["o", "v"], largest=False, rolling_=True, hot_rows=hot)
+        assert sorted((r.at_o, r.o, r.v) for r in roll.collect()) == [
+            ("x1", "x1", 5), ("x2", "x1", 5), ("x3", "x3", 4), ("x4", "x3", 4), ("y", "y", None)]
+
+
+def test_descending_text(spark):
+    from tidewater.functions.core import descending
+    words = ["", "a", "ab", "b", "aa", "é", "z", "ba", "漢"]
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r.w for r in df.orderBy(descending(df, "w")).collect()]
+    assert got == [r.w for r in df.orderBy(F.desc("w")).collect()]
+
+
+def test_user_reduce(ev):
+    longest = scan.Monoid(F.max, F.max, lambda c, l: F.greatest(c, l))
+    a = agg.reduce_with(ev, KEY, ORDER, {"m": (longest, "value"), "s": (scan.SUM, "value")}, rolling_=True, hot_rows=HOT)
+    b = agg.rolling(ev, KEY, ORDER, {"m": ("max", "value"), "s": ("sum", "value")}, hot_rows=0)
+    assert rows(a) == rows(b) and a.schema == b.schema
+    c = agg.reduce_with(ev, KEY, ORDER, {"m": (longest, "value")})
+    assert rows(c) == rows(ev.groupBy(*KEY).agg(F.max("value").alias("m")))
+
+
+def test_predicate_trigger_and_full_window(ev):
+    total = {"total": scan.running_sum("value")}
+    a = windows.global_when(ev, KEY, ORDER, F.col(windows.RN) % 5 == 0, total, hot_rows=HOT)
+    b = windows.global_every(ev, KEY, ORDER, 5, total, hot_rows=0)
+    assert rows(a.select(*KEY, "fire_at", "total")) == rows(b)
+    out = windows.full_window(ev, ["event_type"], "ts", "1 day", {"n": F.count(F.lit(1)), "hi": F.max("value")},
+                              {"mid": ("value", 0.5)}, hot_rows=HOT)
+    want = windows.tumbling(ev, ["event_type"], "ts", "1 day", {
+        "n": F.count(F.lit(1)), "hi": F.max("value"), "mid": F.percentile("value", 0.5)})
+    assert out.columns == want.columns and rows(out.withColumn("mid", F.round("mid", 9))) == rows(
+        want.withColumn("mid", F.round("mid", 9)))

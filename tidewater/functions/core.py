@@ -96,10 +96,20 @@ def tag(value: Column | str, label: str) -> Column:
 
 
 def descending(df: DataFrame, col: str) -> Column:
-    """A value that sorts in reverse order of ``col`` (numbers and times)."""
+    """A value that sorts in reverse order of ``col``, for any orderable scalar."""
     dtype = df.schema[col].dataType
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return -epoch_micros(df, col)
+    if isinstance(dtype, T.IntegralType):
+        return F.bitwise_not(col)                   # no overflow at the least value
+    if isinstance(dtype, T.BooleanType):
+        return ~F.col(col)
+    if isinstance(dtype, (T.StringType, T.BinaryType)):
+        # byte by byte in reverse, and a text that goes on before its prefix
+        raw = F.hex(F.col(col).cast("binary"))
+        digits = F.transform(F.split(raw, "(?!$)"), lambda c: -F.conv(c, 16, 10).cast("int"))
+        return F.when(F.col(col).isNotNull(), F.when(raw == "", F.array(F.lit(1)))
+                      .otherwise(F.concat(digits, F.array(F.lit(1)))))
     return -F.col(col)
 
 

@@ -1,17 +1,21 @@
 """User-defined incremental aggregates (accumulators) with map-side combine.
 
 An :class:`Accumulator` has the four parts of an incremental aggregate:
-``zero`` (create), ``add`` (one row), ``merge`` (two partial states) and
-``result``. :func:`accumulate` runs it in two steps:
-
-1. every task folds its rows into one state per key (``mapInPandas``), so
-   a hot key leaves each task as a single partial state;
+``zero`` (create), ``add`` (the rows of one key in one batch, as Arrow
+columns), ``merge`` (two partial states) and ``result``. :func:`accumulate`
+runs it in two steps:
+
+1. every task folds its rows into states per key (``mapInArrow``): a batch is
+   grouped by key with exact types, and ``add`` is called once per key and
+   batch. When a task holds ``FLUSH_KEYS`` keys it emits their partial states
+   and goes on with none, so its memory is bounded;
 2. the partial states are hash-partitioned by key, sorted by key inside each
    partition, and merged in one pass over consecutive states of a key;
    ``result`` then turns each state into the output value.
 
-A key's second step sees at most one partial state per input task, never
-its rows, and holds one state at a time. States travel as pickled bytes.
+A key's second step sees its partial states, never its rows, and holds one
+state at a time. States travel as pickled bytes. A null key is a key like any
+other, and so is NaN.
 """
 
 from __future__ import annotations
@@ -21,84 +25,117 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
+
+FLUSH_KEYS = 100_000
 
 
 @dataclass(frozen=True)
 class Accumulator:
     zero: Callable[[], Any]
-    add: Callable[[Any, dict], Any]
+    add: Callable[[Any, dict[str, pa.Array]], Any]
     merge: Callable[[Any, Any], Any]
     result: Callable[[Any], Any]
 
 
+def _same(v):
+    """Keys compare as Spark groups them: every NaN is one value, -0.0 is 0.0."""
+    if isinstance(v, float):
+        return "NaN" if v != v else v + 0.0
+    return v
+
+
+def _value(v):
+    return float("nan") if isinstance(v, str) and v == "NaN" else v
+
+
 def accumulate(df: DataFrame, key: Sequence[str], acc: Accumulator, inputs: Sequence[str],
-               out: str, out_type: T.DataType | str) -> DataFrame:
+               out: str, out_type: T.DataType | str, flush_keys: int = FLUSH_KEYS) -> DataFrame:
     """Apply ``acc`` per ``key`` over the rows' ``inputs`` columns; output:
     key columns and ``out``."""
     key, inputs = list(key), list(inputs)
     src = df.select(*dict.fromkeys([*key, *inputs]))
     key_fields = [src.schema[k] for k in key]
+    floats = [isinstance(f.dataType, (T.FloatType, T.DoubleType)) for f in key_fields]
     partial_schema = T.StructType([*key_fields, T.StructField("_state", T.BinaryType())])
-
-    def fold(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        states: dict[tuple, Any] = {}
-        for pdf in batches:
-            keys = zip(*[pdf[c].tolist() for c in key])
-            cols = [pdf[c].tolist() for c in inputs]
-            for k, *vals in zip(keys, *cols):
-                st = states.get(k)
-                states[k] = acc.add(acc.zero() if st is None else st, dict(zip(inputs, vals)))
-        if states:
-            rows = [(*k, pickle.dumps(s)) for k, s in states.items()]
-            yield pd.DataFrame(rows, columns=[*key, "_state"])
-
-    partial = src.mapInPandas(fold, partial_schema)
     otype = T._parse_datatype_string(out_type) if isinstance(out_type, str) else out_type
     out_schema = T.StructType([*key_fields, T.StructField(out, otype)])
+    last = to_arrow_type(otype)
 
-    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cur_key, cur_state, done = None, None, []
-        for pdf in batches:
-            keys = zip(*[pdf[c].tolist() for c in key])
-            for k, blob in zip(keys, pdf["_state"].tolist()):
-                s = pickle.loads(blob)
-                if k == cur_key:
-                    cur_state = acc.merge(cur_state, s)
+    def plain(keys: list[tuple], types: list[pa.DataType]) -> list[pa.Array]:
+        return [pa.array([_value(k[i]) if floats[i] else k[i] for k in keys], types[i])
+                for i in range(len(key))]
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        states: dict[tuple, Any] = {}
+        types: list[pa.DataType] = []
+
+        def emit():
+            blobs = pa.array([pickle.dumps(s) for s in states.values()], pa.binary())
+            return pa.RecordBatch.from_arrays([*plain(list(states), types), blobs], names=[*key, "_state"])
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            types = [b.schema.field(k).type for k in key]
+            t = pa.Table.from_batches([b]).append_column("_at", pa.array(range(b.num_rows), pa.int64()))
+            rows = t.group_by(key, use_threads=False).aggregate([("_at", "list")])
+            keys = zip(*[rows.column(k).to_pylist() for k in key])
+            columns = {c: b.column(b.schema.get_field_index(c)) for c in inputs}
+            for k, at in zip(keys, rows.column("_at_list").combine_chunks()):
+                k = tuple(map(_same, k))
+                part = {c: v.take(at.values) for c, v in columns.items()}
+                states[k] = acc.add(states[k] if k in states else acc.zero(), part)
+            if len(states) >= flush_keys:
+                yield emit()
+                states.clear()
+        if states:
+            yield emit()
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cur, state, types = None, None, []
+        for b in batches:
+            types = [b.schema.field(k).type for k in key]
+            keys = zip(*[b.column(i).to_pylist() for i in range(len(key))])
+            done, values = [], []
+            for k, blob in zip(keys, b.column(len(key)).to_pylist()):
+                k, s = tuple(map(_same, k)), pickle.loads(blob)
+                if k == cur:
+                    state = acc.merge(state, s)
                     continue
-                if cur_key is not None:
-                    done.append((*cur_key, acc.result(cur_state)))
-                cur_key, cur_state = k, s
+                if cur is not None:
+                    done.append(cur)
+                    values.append(acc.result(state))
+                cur, state = k, s
             if done:
-                yield pd.DataFrame(done, columns=[*key, out])
-                done = []
-        if cur_key is not None:
-            yield pd.DataFrame([(*cur_key, acc.result(cur_state))], columns=[*key, out])
+                yield pa.RecordBatch.from_arrays([*plain(done, types), pa.array(values, last)], names=[*key, out])
+        if cur is not None:
+            yield pa.RecordBatch.from_arrays([*plain([cur], types), pa.array([acc.result(state)], last)],
+                                             names=[*key, out])
 
-    merged = partial.repartition(*key).sortWithinPartitions(*key)
-    return merged.mapInPandas(finish, out_schema)
+    merged = src.mapInArrow(fold, partial_schema).repartition(*key).sortWithinPartitions(*key)
+    return merged.mapInArrow(finish, out_schema)
 
 
 # -- ready accumulators ---------------------------------------------------------
 
 def sum_as_text(column: str) -> Accumulator:
-    """The demo window aggregate: sums a numeric column, returns it as text."""
+    """The demo window aggregate: sums a numeric column, returns it as text (nulls add nothing)."""
     return Accumulator(zero=lambda: 0,
-                       add=lambda s, r: s + (r[column] if r[column] == r[column]
-                                             and r[column] is not None else 0),
+                       add=lambda s, rows: s + sum(rows[column].drop_null().to_pylist()),
                        merge=lambda a, b: a + b,
                        result=lambda s: str(s))
 
 
 def mean_of(column: str) -> Accumulator:
     """Average from a (sum, count) state: sum * 1.0 / count."""
-    def add(s, r):
-        v = r[column]
-        if v is None or v != v:
-            return s
-        return (s[0] + v, s[1] + 1)
+    def add(s, rows):
+        v = rows[column].drop_null()
+        return (s[0] + (pc.sum(v).as_py() or 0), s[1] + len(v))
     return Accumulator(zero=lambda: (0, 0), add=add,
                        merge=lambda a, b: (a[0] + b[0], a[1] + b[1]),
                        result=lambda s: (s[0] * 1.0 / s[1]) if s[1] else None)

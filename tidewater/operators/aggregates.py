@@ -134,20 +134,40 @@ def extreme_row(df: DataFrame, key: Sequence[str], order: Sequence[str], value:
     the earlier row (in ``order``) is kept."""
     row = F.struct(*[F.col(c) for c in columns])
     tie = order_struct(df, order, reverse=largest)
-    rank = F.struct(F.col(value).alias("x"), tie.alias("t"))
+    # a row without a value is never the extreme one; a key of such rows keeps its first
+    rank = F.when(F.col(value).isNotNull(), F.struct(F.col(value).alias("x"), tie.alias("t")))
     if not rolling_:
         pick = F.max_by(row, rank) if largest else F.min_by(row, rank)
+        pick = F.coalesce(pick, F.min_by(row, order_struct(df, order)))
         return df.groupBy(*key).agg(pick.alias("_row")).select(*key, *[
             F.col("_row").getField(c).alias(c) for c in columns if c not in key])
     base = df.select(*dict.fromkeys([*key, *order, *columns]))
-    out = scan.keyed_prefix(base, key, order,
-                            {"_row": scan.arg_extreme(row, rank, largest)}, hot_rows)
+    out = scan.keyed_prefix(base, key, order, {
+        "_best": scan.arg_extreme(row, rank, largest),
+        "_first": scan.first_value(row, order, ignore_nulls=False)}, hot_rows)
+    out = out.withColumn("_row", F.coalesce("_best", "_first"))
     # the current row's position comes first (at_<order>), then the picked row
     cur = [F.col(o).alias(f"at_{o}") for o in order]
     return out.select(*key, *cur, *[F.col("_row").getField(c).alias(c)
                                     for c in columns if c not in key])
 
 
+def reduce_with(df: DataFrame, key: Sequence[str], order: Sequence[str],
+                reducers: dict[str, tuple[scan.Monoid, str | Column]], rolling_: bool = False,
+                keep: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+    """A user's associative reduce: ``name: (monoid, column)``, a :class:`scan.Monoid`
+    with its aggregate over rows, its combine over partial results and its merge
+    of two of them. Final (one row per key) or rolling (after each row)."""
+    if not rolling_:
+        return df.groupBy(*key).agg(*[m.partial(_c(c)).alias(n) for n, (m, c) in reducers.items()])
+    cols = list(dict.fromkeys([*key, *order, *keep]))
+    refs = [c for _, c in reducers.values() if isinstance(c, str)]
+    base = df.select(*dict.fromkeys([*cols, *refs])) if len(refs) == len(reducers) else df
+    out = scan.keyed_prefix(base, key, order, {
+        f"_r_{n}": scan.Prefix(m, _c(c)) for n, (m, c) in reducers.items()}, hot_rows)
+    return out.select(*cols, *[F.col(f"_r_{n}").alias(n) for n in reducers])
+
+
 def reduce_sum_latest(df, key, order, value, latest=(), rolling_=False, hot_rows=None):
     """The demo reduce ``(id, latest ts, vc1 + vc2)``: sum of ``value`` and the
     latest value of every ``latest`` column. The first row of a key comes
@@ -182,30 +202,24 @@ def exact_quantile(df: DataFrame, group: Sequence[str], value: str, q: float = 0
     """Exact quantile per group with linear interpolation between the two
     ranks around ``q * (n - 1)`` (the median for ``q = 0.5``).
 
-    When the row counts prove that no group exceeds ``hot_rows`` rows, Spark's
-    exact ``percentile`` is used (it buffers a group's value counts, bounded
-    by the group size). Otherwise no group is gathered in one place: rows are
-    counted per (group, value) with map-side combine, cumulative counts in
-    value order come from the keyed prefix scan (hot groups are split into
-    chunks), and the one or two values whose rank range covers the target
-    ranks are picked by a second partial aggregation. Nulls are ignored.
+    No group is gathered in one place: rows are counted per (group, value)
+    with map-side combine, cumulative counts in value order come from the
+    keyed prefix scan (large groups are split into chunks), and the one or two
+    values whose rank range covers the target ranks are picked by a second
+    partial aggregation. Nulls are ignored; a group of nulls alone gives null,
+    and a null group is a group like any other.
     """
     group = list(group)
-    limit = hot_rows if hot_rows is not None else scan._conf_int(
-        df, scan.HOT_ROWS_CONF, scan.DEFAULT_HOT_ROWS)
-    if limit <= 0 or df.count() <= limit or (df.groupBy(*group).count()
-                                             .agg(F.max("count")).first()[0] or 0) <= limit:
-        return df.groupBy(*group).agg(F.percentile(value, q).alias(out))
     counts = (df.filter(F.col(value).isNotNull())
               .groupBy(*group, value).agg(F.count(F.lit(1)).alias("_c")))
     ranked = scan.keyed_prefix(counts, group, [value],
                                {"_cum": scan.running_sum("_c")}, hot_rows)
-    totals = counts.groupBy(*group).agg(F.sum("_c").alias("_n"))
+    totals = df.groupBy(*group).agg(F.count(value).alias("_n"))
     pos = F.lit(float(q)) * (F.col("_n") - 1)
     lo_r, hi_r = F.floor(pos), F.ceil(pos)
     first = F.col("_cum") - F.col("_c")
     covers = lambda r: (first <= r) & (r < F.col("_cum"))
-    picked = (ranked.join(totals, group)
+    picked = (scan.null_safe_join(totals, ranked, group)
               .groupBy(*group)
               .agg(F.max(F.when(covers(lo_r), F.col(value))).alias("_lo"),
                    F.max(F.when(covers(hi_r), F.col(value))).alias("_hi"),

@@ -25,18 +25,27 @@ def _window_start(ts: str, size: str) -> Column:
     return F.window(ts, size).start
 
 
+def _apart(left: DataFrame, right: DataFrame, key: Sequence[str],
+           right_ts: str) -> tuple[DataFrame, DataFrame, str]:
+    """Renames right columns that the left side has too (but for the key)."""
+    clash = [c for c in right.columns if c in left.columns and c not in key]
+    right = right.select(*[F.col(c).alias(f"right_{c}") if c in clash else F.col(c) for c in right.columns])
+    return left, right, f"right_{right_ts}" if right_ts in clash else right_ts
+
+
 def window_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str,
                 right_ts: str, size: str) -> DataFrame:
     """Inner join of rows with the same key in the same tumbling window:
     every left row pairs with every right row of its (key, window). Output:
-    key, window_start, window_end, then the remaining left and right columns
-    (names must not clash)."""
-    l = left.withColumn(WSTART, _window_start(left_ts, size))
+    key, window_start, window_end, then the remaining left and right columns;
+    a right column named like a left one gets the prefix ``right_``."""
+    w = F.window(left_ts, size)
+    left, right, right_ts = _apart(left, right, key, right_ts)
+    l = left.withColumn(WSTART, w.start).withColumn(WEND, w.end)
     r = right.withColumn(WSTART, _window_start(right_ts, size))
     joined = l.join(r, [*key, WSTART], "inner")
-    end = F.window(left_ts, size).end
-    rest = [c for c in joined.columns if c not in (*key, WSTART)]
-    return joined.select(*key, WSTART, end.alias(WEND), *rest)
+    rest = [c for c in joined.columns if c not in (*key, WSTART, WEND)]
+    return joined.select(*key, WSTART, WEND, *rest)
 
 
 CoSpec = tuple[str, "str | Column"]
@@ -111,22 +120,25 @@ def interval_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts
     (the bucket width defaults to the range length, so two or three copies),
     and the exact range is checked after the equi-join. Each pair is found
     once, and a hot key is split by time instead of being compared
-    row-by-row inside one sort-merge group.
+    row-by-row inside one sort-merge group. A right column named like a left
+    one gets the prefix ``right_``.
     """
+    left, right, right_ts = _apart(left, right, key, right_ts)
     width = int(max(1.0, bucket_s or (upper_s - lower_s)) * 1_000_000)
     lo, hi = int(lower_s * 1_000_000), int(upper_s * 1_000_000)
 
     lt_us = epoch_micros(left, left_ts)
     rt_us = epoch_micros(right, right_ts)
 
-    def bucket(us: Column) -> Column:
-        return F.floor(us / F.lit(width)).cast("bigint")
+    def bucket(us: Column) -> Column:               # floor division in integers
+        return ((us - F.pmod(us, F.lit(width))) / F.lit(width)).cast("bigint")
 
-    r = right.withColumn("_tw_b", bucket(rt_us))
-    l = left.withColumn("_tw_b", F.explode(F.sequence(bucket(lt_us + lo), bucket(lt_us + hi))))
+    r = right.withColumn("_tw_r", rt_us).withColumn("_tw_b", bucket(F.col("_tw_r")))
+    l = left.withColumn("_tw_l", lt_us).withColumn(
+        "_tw_b", F.explode(F.sequence(bucket(F.col("_tw_l") + lo), bucket(F.col("_tw_l") + hi))))
     joined = l.join(r, [*key, "_tw_b"], "inner")
-    delta = rt_us - lt_us
-    return joined.filter((delta >= lo) & (delta <= hi)).drop("_tw_b")
+    delta = F.col("_tw_r") - F.col("_tw_l")
+    return joined.filter((delta >= lo) & (delta <= hi)).drop("_tw_b", "_tw_l", "_tw_r")
 
 
 def connect_join(left: DataFrame, right: DataFrame, key: Sequence[str]) -> DataFrame:

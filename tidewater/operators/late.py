@@ -1,8 +1,8 @@
 """Late-row routing.
 
-A row is late when its event time is below the watermark at its arrival;
-the watermark before a row is ``max(event time of earlier arrivals) -
-delay``. Spark's streaming operators drop such rows and only count them, so
+A row is late when its event time is below the watermark at its arrival; the
+watermark before a row is ``max(event time of earlier arrivals) - delay - 1
+ms``, so a row ``delay`` and 1 ms behind is still on time. Spark's streaming operators drop such rows and only count them, so
 this is computed explicitly: in batch with the keyed prefix scan (for the
 whole stream, the single group is split into ordered chunks, so no task
 sees more than the chunk size), and in streams by ``streaming.late``.
@@ -21,6 +21,7 @@ from .split import split_by
 
 WATERMARK = "watermark"
 LATE = "is_late"
+MARGIN_US = 1_000       # a bounded watermark trails the largest time by the delay and one millisecond
 
 
 def flag_late(df: DataFrame, ts: str, arrival: Sequence[str], delay_seconds: float,
@@ -30,7 +31,7 @@ def flag_late(df: DataFrame, ts: str, arrival: Sequence[str], delay_seconds: flo
     ``key=()`` is one watermark for the whole input (the stream semantics);
     a key gives every key its own watermark.
     """
-    delay_us = int(delay_seconds * 1_000_000)
+    delay_us = int(delay_seconds * 1_000_000) + MARGIN_US
     tnum = epoch_micros(df, ts)
     out = scan.keyed_prefix(df, key, arrival,
                             {"_max": scan.running_max(tnum, inclusive=False)}, hot_rows)
@@ -61,7 +62,7 @@ def flag_late_pair(left: DataFrame, right: DataFrame, ts: str, arrival: Sequence
                 flag_late(right, ts, arrival, delay_seconds, hot_rows=hot_rows))
     if watermark != "min":
         raise ValueError("watermark must be 'own' or 'min'")
-    delay_us = int(delay_seconds * 1_000_000)
+    delay_us = int(delay_seconds * 1_000_000) + MARGIN_US
     tnum = epoch_micros(left, ts)
     both = (left.withColumn("_side", F.lit("L"))
             .unionByName(right.withColumn("_side", F.lit("R")), allowMissingColumns=True))

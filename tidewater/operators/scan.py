@@ -5,22 +5,23 @@ after each update. It is expressed with Spark window frames
 (``rowsBetween(unboundedPreceding, currentRow)``), which keep a whole key in
 one task. A key may hold a large share of all rows, so hot keys are split:
 
-1. no key can be hot when the whole input is below ``hot_rows`` rows (a
-   row count); otherwise a seeded sample finds the keys above ``hot_rows``.
-2. per hot key, the same sample of the order (all order columns, so rows
-   tied on the first one are still split) gives chunk boundaries, and a hot
-   key becomes ordered chunks of ~``hot_rows`` rows. The boundary table is
-   checkpointed to the shared folder so that a re-run stage assigns rows to
-   the same chunks.
-3. the running frame is evaluated per (key, chunk), in parallel;
-4. per (key, chunk) summaries (one row per chunk) are combined over the
+1. a seeded sample of the rows gives chunk boundaries: about
+   ``BOUNDS_PER_HOT`` of every ``hot_rows`` rows of a key, by all order
+   columns (so rows tied on the first one are still split). Keys that get
+   none are one chunk. A scan of the whole input as one stream takes
+   boundaries from every input task instead, so it is split at any size. No
+   pass counts or shuffles the input, and nothing is sorted but the
+   boundaries. The boundary table is checkpointed to the shared folder so
+   that a re-run stage assigns rows to the same chunks.
+2. the running frame is evaluated per (key, chunk), in parallel;
+3. per (key, chunk) summaries (one row per chunk) are combined over the
    earlier chunks to a carry-in and merged into every row.
 
-Results are identical to the unsplit scan for any associative aggregate
-(sum, count, min, max and max/min over structs, which gives first, last and
-arg-max). Both helper tables have one row per hot chunk, at most
-``rows / hot_rows`` plus the number of hot keys; they are broadcast only when
-that count is below ``tidewater.broadcast.maxRows``.
+Results - rows and types - are those of the unsplit scan for any associative
+aggregate (sum, count, min, max and max/min over structs, which gives first,
+last and arg-max). A null key is a key like any other. Both helper tables
+have one row per chunk of a split key; Spark chooses how to join them by
+their size.
 """
 
 from __future__ import annotations
@@ -36,9 +37,8 @@ from ..session import ensure_checkpoint_dir
 
 HOT_ROWS_CONF = "tidewater.scan.hotKeyRows"
 DEFAULT_HOT_ROWS = 4_000_000
-BROADCAST_ROWS_CONF = "tidewater.broadcast.maxRows"
-DEFAULT_BROADCAST_ROWS = 2_000_000
-MAX_CHUNKS = 10_000        # per key; a larger key gets proportionally larger chunks
+BOUNDS_PER_HOT = 4         # boundaries sampled from hot_rows rows, on average
+BOUNDS_PER_TASK = 2        # boundaries from each input task, scanning one whole stream
 
 CHUNK = "_tw_chunk"
 HOT = "_tw_hot"
@@ -117,7 +117,8 @@ def first_value(expr: Column | str, order: Sequence[str], ignore_nulls: bool = T
 
 def arg_extreme(row: Column, rank: Column, largest: bool = True) -> Prefix:
     """Row with the largest (or smallest) ``rank`` struct so far."""
-    return Prefix(MAX if largest else MIN, F.struct(rank.alias("r"), row.alias("v")), True, "v")
+    packed = F.when(rank.isNotNull(), F.struct(rank.alias("r"), row.alias("v")))
+    return Prefix(MAX if largest else MIN, packed, True, "v")
 
 
 def _c(expr: Column | str) -> Column:
@@ -128,9 +129,7 @@ def _c(expr: Column | str) -> Column:
 
 @dataclass
 class ChunkPlan:
-    bounds: DataFrame          # key columns + BOUNDS array<struct(order)>, hot keys only
-    n_chunks: int
-    broadcastable: bool
+    bounds: DataFrame          # key columns + BOUNDS array<struct(order)>, split keys only
     order: list[str]           # the order columns the boundaries are made of
 
 
@@ -139,63 +138,60 @@ def _conf_int(df: DataFrame, name: str, default: int) -> int:
     return int(value) if value not in (None, "") else default
 
 
-SAMPLES_PER_CHUNK = 256
 SAMPLE_SEED = 17
 
 
+def null_safe_join(left: DataFrame, right: DataFrame, on: Sequence[str],
+                   how: str = "left") -> DataFrame:
+    """Equi-join on same-named columns in which null equals null; keeps the left ones."""
+    names = {c: f"_tw_on_{i}" for i, c in enumerate(on)}
+    renamed = right.select(*[F.col(c).alias(names.get(c, c)) for c in right.columns])
+    cond = F.lit(True)
+    for c, other in names.items():
+        cond = cond & left[c].eqNullSafe(renamed[other])
+    return left.join(renamed, cond, how).drop(*names.values())
+
+
 def plan_chunks(df: DataFrame, key: Sequence[str], order: Sequence[str] | str,
                 hot_rows: int | None = None) -> ChunkPlan | None:
-    """Find keys above ``hot_rows`` rows and split them into ordered chunks.
-
-    Returns ``None`` when no key is hot (then the plain keyed window is exact
-    and no task holds more than a key's rows, each below ``hot_rows``).
-
-    One seeded Bernoulli sample (about ``SAMPLES_PER_CHUNK`` rows per
-    ``hot_rows`` input rows, as a range partitioner samples) serves both
-    steps: a key is hot when its sample count is above half of what a key of
-    exactly ``hot_rows`` rows would give (a key at the threshold yields
-    256 +- 16 samples), and, numbered in order per key, every
-    ``stride``-th sampled position is a boundary, so each hot key gets
-    chunks in proportion to its own size. No pass shuffles the full input.
-    With a sampling fraction of 1 (small thresholds) detection is exact.
-    Missing a barely hot key only costs speed (it stays one chunk).
+    """Boundaries that split large keys into ordered chunks.
+
+    Every row is a boundary of its key with chance ``BOUNDS_PER_HOT / hot_rows``,
+    so a key of ``hot_rows`` rows gets some four chunks and a larger one
+    proportionally more; with ``hot_rows`` <= ``BOUNDS_PER_HOT`` every row is
+    its own chunk. Returns ``None`` when no key got any (then the plain keyed
+    window is exact and no key is far above ``hot_rows`` rows). A scan of one
+    whole stream (key ``ALL``) always gets a plan, from BOUNDS_PER_TASK rows
+    of each input task.
     """
     hot_rows = hot_rows if hot_rows is not None else _conf_int(df, HOT_ROWS_CONF,
                                                                 DEFAULT_HOT_ROWS)
     if hot_rows <= 0:            # splitting switched off: keys are known to be balanced
         return None
-    if df.count() <= hot_rows:
-        return None
     key = list(key)
     order = [order] if isinstance(order, str) else list(order)
-    fraction = min(1.0, SAMPLES_PER_CHUNK / hot_rows)
     pos = F.struct(*[F.col(o) for o in order])
+    fraction = min(1.0, BOUNDS_PER_HOT / hot_rows)
     sample = (df.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
               .select(*key, pos.alias("_pos")))
-    per_key = Window.partitionBy(*key)
-    ranked = (sample.withColumn("_n", F.count(F.lit(1)).over(per_key))
-              .withColumn("_r", F.row_number().over(per_key.orderBy("_pos"))))
-    threshold = hot_rows if fraction >= 1.0 else SAMPLES_PER_CHUNK / 2
-    est_rows = F.col("_n") / F.lit(fraction)
-    chunk_rows = F.greatest(F.lit(hot_rows), F.ceil(est_rows / MAX_CHUNKS))
-    stride = F.greatest(F.lit(1), F.round(chunk_rows * F.lit(fraction)).cast("long"))
-    bounds = (ranked.filter(F.col("_n") > threshold)
-              .filter(F.col("_r") % stride == 0)
-              .groupBy(*key).agg(F.sort_array(F.collect_list("_pos")).alias(BOUNDS)))
+    if key == [ALL]:
+        part = F.pmod(F.xxhash64(*order), F.lit(BOUNDS_PER_TASK))
+        few = (df.groupBy(*key, F.spark_partition_id().alias("_task"), part.alias("_part"))
+               .agg(F.min_by(pos, F.xxhash64(*order, F.lit(SAMPLE_SEED))).alias("_pos"))
+               .select(*key, "_pos"))
+        sample = few if fraction < 1.0 else few.union(sample)
+    bounds = sample.groupBy(*key).agg(F.array_sort(F.collect_set("_pos")).alias(BOUNDS))
     # A re-run stage must see the same boundaries, so the (small) table is
     # written to the shared folder instead of being recomputed.
     ensure_checkpoint_dir(df.sparkSession)
     bounds = bounds.checkpoint(eager=True)
-    n_hot, n_bounds, widest = bounds.agg(F.count(F.lit(1)), F.sum(F.size(BOUNDS)),
-                                         F.max(F.size(BOUNDS))).first()
-    if not n_hot:
+    if key != [ALL] and not bounds.head(1):
         return None
-    max_bcast = _conf_int(df, BROADCAST_ROWS_CONF, DEFAULT_BROADCAST_ROWS)
-    return ChunkPlan(bounds, (widest or 0) + 1, (n_bounds or 0) + n_hot <= max_bcast, order)
+    return ChunkPlan(bounds, order)
 
 
 def with_chunks(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> DataFrame:
-    """Add CHUNK (0 for keys that are not hot) and HOT columns.
+    """Add CHUNK (0 for keys that are not split) and HOT columns.
 
     A row's chunk is the number of its key's boundaries below its position,
     found in two steps so that no row is compared with every boundary: a
@@ -213,17 +209,13 @@ def with_chunks(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> Da
     coarse = plan.bounds.select(
         *key, step.alias("_step"),
         F.transform(starts, lambda i: F.element_at(F.col(BOUNDS), i * step + 1)).alias("_coarse"))
-    fine = plan.bounds.select(*key, step.alias("_step"), F.posexplode(starts).alias("_pos_b", "_b")) \
-        .drop("_pos_b")
-    fine = fine.join(plan.bounds, key).select(
-        *key, F.col("_b").alias("_blk"),
-        F.slice(F.col(BOUNDS), F.col("_b") * F.col("_step") + 1, F.col("_step")).alias("_fine"))
-    if plan.broadcastable:
-        coarse, fine = F.broadcast(coarse), F.broadcast(fine)
+    fine = (plan.bounds.select(*key, BOUNDS, step.alias("_step"), F.explode(starts).alias("_blk"))
+            .select(*key, "_blk", F.slice(F.col(BOUNDS), F.col("_blk") * F.col("_step") + 1,
+                                          F.col("_step")).alias("_fine")))
     pos = F.struct(*[F.col(o) for o in plan.order])
-    with_blk = df.join(coarse, key, "left").withColumn(
+    with_blk = null_safe_join(df, coarse, key).withColumn(
         "_blk", F.size(F.filter(F.col("_coarse"), lambda b: b < pos)) - 1)
-    joined = with_blk.join(fine, [*key, "_blk"], "left")
+    joined = null_safe_join(with_blk, fine, [*key, "_blk"])
     below = F.col("_blk") * F.col("_step") + F.size(F.filter(F.col("_fine"), lambda b: b < pos))
     chunk = (F.when(F.col("_coarse").isNull() | (F.col("_blk") < 0), F.lit(0))
              .otherwise(below))
@@ -265,24 +257,27 @@ def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
         key = [ALL]
     if plan is _DETECT:
         plan = plan_chunks(src, key, order, hot_rows)
-    parts = [*key] if plan is None else [*key, CHUNK]
-    w = Window.partitionBy(*parts).orderBy(*order)
-    frames = {True: w.rowsBetween(Window.unboundedPreceding, Window.currentRow),
-              False: w.rowsBetween(Window.unboundedPreceding, -1)}
+    def frames(parts: list[str]):
+        w = Window.partitionBy(*parts).orderBy(*order)
+        return {True: w.rowsBetween(Window.unboundedPreceding, Window.currentRow),
+                False: w.rowsBetween(Window.unboundedPreceding, -1)}
 
     def finish(c: Column, spec: Prefix) -> Column:
         return c.getField(spec.field) if spec.field else c
 
+    whole = frames(key)
+    plain = src.select(*cols, *[
+        finish(spec.monoid.partial(spec.expr).over(whole[spec.inclusive]), spec).alias(name)
+        for name, spec in outputs.items()])
     if plan is None:
-        return src.select(*cols, *[
-            finish(spec.monoid.partial(spec.expr).over(frames[spec.inclusive]), spec).alias(name)
-            for name, spec in outputs.items()])
+        return plain
 
     # an input that already carries chunks (multi-pass operators assign them
     # once) is used as is
     chunked = src if CHUNK in src.columns else with_chunks(src, key, plan)
+    part = frames([*key, CHUNK])
     local = chunked.select(*dict.fromkeys([*cols, *key, CHUNK, HOT]), *[
-        spec.monoid.partial(spec.expr).over(frames[spec.inclusive]).alias(f"_l_{name}")
+        spec.monoid.partial(spec.expr).over(part[spec.inclusive]).alias(f"_l_{name}")
         for name, spec in outputs.items()])
     summary = (chunked.filter(F.col(HOT)).groupBy(*key, CHUNK)
                .agg(*[spec.monoid.partial(spec.expr).alias(f"_s_{name}")
@@ -291,12 +286,12 @@ def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
     carry = summary.select(*key, CHUNK, *[
         spec.monoid.combine(F.col(f"_s_{name}")).over(earlier).alias(f"_c_{name}")
         for name, spec in outputs.items()])
-    if plan.broadcastable:
-        carry = F.broadcast(carry)
-    merged = local.join(carry, [*key, CHUNK], "left")
+    merged = null_safe_join(local, carry, [*key, CHUNK])
+    # merging may widen a type (a sum of sums); the unsplit scan's types hold
+    types = {f.name: f.dataType for f in plain.schema.fields}
     return merged.select(*cols, *[
-        finish(spec.monoid.merge(F.col(f"_c_{name}"), F.col(f"_l_{name}")), spec).alias(name)
-        for name, spec in outputs.items()])
+        finish(spec.monoid.merge(F.col(f"_c_{name}"), F.col(f"_l_{name}")), spec)
+        .cast(types[name]).alias(name) for name, spec in outputs.items()])
 
 
 def with_chunks_once(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> DataFrame:

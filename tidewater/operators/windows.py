@@ -49,7 +49,8 @@ def session(df: DataFrame, key: Sequence[str], ts: str, gap: str,
             aggs: dict[str, Column], tiebreak: Sequence[str] = (),
             hot_rows: int | None = None) -> DataFrame:
     """Session windows closing after ``gap`` without rows; rows exactly one
-    gap apart share a session. ``window_end`` = last row + gap.
+    gap apart share a session. ``window_end`` = last row + gap. A row without
+    a time is in no session.
 
     Without hot keys this is Spark's session window (shuffle by key, sort,
     merge sessions). A hot key would put all its rows in one sort, so then
@@ -57,7 +58,7 @@ def session(df: DataFrame, key: Sequence[str], ts: str, gap: str,
     starts where the gap to the previous row exceeds ``gap``) and aggregated
     by (key, session number) with partial aggregation."""
     user_key = list(key)
-    df, key = scan.keyed(df, user_key)
+    df, key = scan.keyed(df.filter(F.col(ts).isNotNull()), user_key)
     order = [ts, *tiebreak]
     plan = scan.plan_chunks(df, key, order, hot_rows)
     if plan is None:
@@ -91,11 +92,23 @@ def window_all(df: DataFrame, ts: str, size: str, slide: str | None,
 
 
 def full_window(df: DataFrame, key: Sequence[str], ts: str, size: str,
-                aggs: dict[str, Column]) -> DataFrame:
-    """Full-window function: the aggregate sees every row of the window at
-    fire time (e.g. an exact ``median``). Same plan shape as ``tumbling``;
-    the aggregate decides how much it buffers."""
-    return tumbling(df, key, ts, size, aggs)
+                aggs: dict[str, Column], quantiles: dict[str, tuple[str, float]] | None = None,
+                hot_rows: int | None = None) -> DataFrame:
+    """Full-window function: any native aggregates over all rows of a (key,
+    tumbling window), and exact quantiles ``name: (column, q)``.
+
+    The aggregates are one hash aggregation with partial combine; each
+    quantile is ranked in parts (``aggregates.exact_quantile``), so no
+    window's values meet in one task. All of them come in one row per window."""
+    from .aggregates import exact_quantile
+    w = F.window(ts, size)
+    names = [*key, "window_start", "window_end"]
+    framed = df.select("*", w.start.alias("window_start"), w.end.alias("window_end"))
+    out = framed.groupBy(*names).agg(*_aliased(aggs or {"_n": F.count(F.lit(1))}))
+    for name, (col, q) in (quantiles or {}).items():
+        part = exact_quantile(framed.select(*names, col), names, col, q, hot_rows, name)
+        out = scan.null_safe_join(out, part, names)
+    return out.select(*names, *aggs, *(quantiles or {}))
 
 
 def window_quantile(df: DataFrame, key: Sequence[str], ts: str, size: str, value: str,
@@ -155,6 +168,18 @@ def count_sliding(df: DataFrame, key: Sequence[str], order: Sequence[str], size:
     return grouped.filter(F.col("_last") == F.col("fire_at")).select(*key, "fire_at", *aggs)
 
 
+def global_when(df: DataFrame, key: Sequence[str], order: Sequence[str], fires: Column,
+                fields: dict[str, scan.Prefix], hot_rows: int | None = None) -> DataFrame:
+    """Global window with a predicate trigger: after every row for which
+    ``fires`` holds, emit the aggregate over all the key's rows so far. ``fires``
+    may use the row's columns, ``_tw_rn`` (its position in the key) and the
+    fields' running values. Output: key, order, ``fire_at``, fields."""
+    outputs = {RN: scan.running_count(), **fields}
+    rows = scan.keyed_prefix(df, key, order, outputs, hot_rows)
+    return (rows.filter(fires)
+            .select(*dict.fromkeys([*key, *order]), F.col(RN).cast("bigint").alias("fire_at"), *fields))
+
+
 def global_every(df: DataFrame, key: Sequence[str], order: Sequence[str], every: int,
                  fields: dict[str, scan.Prefix], hot_rows: int | None = None) -> DataFrame:
     """Global window (one per key, never purged) with a count trigger: after

@@ -14,7 +14,7 @@ DEC = "cast(value as decimal(18,2))"
 
 
 def _mean6(total: str, n: str) -> str:
-    return (f"cast((cast({total} * 100 as bigint) * 20000 + {n}) // ({n} * 2) as double)"
+    return (f"cast((cast({total} * 100 as hugeint) * 20000 + {n}) // ({n} * 2) as double)"
             " / 1000000.0")
 
 
@@ -107,16 +107,34 @@ from ({_sliding_counts('event_type')})
 qualify rank <= 3"""
 
 
-def _late(event_type: str) -> str:
+def _late(side: int) -> str:
     return f"""
 with a as (
   select event_id, user_id, ts, (event_id // 100) * 100 + (event_id * 37) % 100 as arrival
-  from events where event_type = '{event_type}'),
+  from events where event_id % 2 = {side}),
 m as (
-  select *, max(ts) over (order by arrival {BEFORE}) - interval 1 hour as watermark from a)
+  select *, max(ts) over (order by arrival {BEFORE}) - interval 3600001 milliseconds as watermark from a)
 select event_id, user_id, ts, arrival, watermark from m where ts < watermark"""
 
 
+def _late_join(side: int) -> str:
+    return f"""
+with a as (
+  select event_id, user_id, ts, (event_id // 100) * 100 + (event_id * 37) % 100 as arrival from events),
+m as (
+  select *, max(case when event_id % 2 = 0 then ts end) over (order by arrival {BEFORE}) as l,
+         max(case when event_id % 2 = 1 then ts end) over (order by arrival {BEFORE}) as r from a),
+w as (
+  select *, case when l is not null and r is not null
+                 then least(l, r) - interval 3600001 milliseconds end as watermark from m)
+select event_id, user_id, ts, arrival, watermark from w where ts < watermark and event_id % 2 = {side}"""
+
+
+HOLES = """(select event_id, case when event_id % 11 <> 3 then ts end as ts,
+               case when event_id % 7 <> 0 then user_id end as user_id, event_type,
+               case when event_id % 5 <> 2 then value end as value from events)"""
+
+
 ORACLE: dict[str, str] = {
     "src_datagen": """
 select i as index, 'Number:' || cast(i as varchar) as value
@@ -256,16 +274,16 @@ select l.user_id, time_bucket(interval 1 day, l.ts) as window_start,
 from events l join events r
   on l.user_id = r.user_id
  and time_bucket(interval 1 day, l.ts) = time_bucket(interval 1 day, r.ts)
-where l.event_type = 'click' and r.event_type = 'purchase'""",
+where l.event_id % 2 = 0 and r.event_id % 2 = 1""",
     "join_cogroup": f"""
 with l as (
   select user_id, time_bucket(interval 1 day, ts) as window_start, count(*) as l_cnt,
          cast(sum({DEC}) as double) as l_total
-  from events where event_type = 'click' group by all),
+  from events where event_id % 2 = 0 group by all),
 r as (
   select user_id, time_bucket(interval 1 day, ts) as window_start, count(*) as r_cnt,
          cast(sum({DEC}) as double) as r_total
-  from events where event_type = 'purchase' group by all)
+  from events where event_id % 2 = 1 group by all)
 select coalesce(l.user_id, r.user_id) as user_id,
        coalesce(l.window_start, r.window_start) as window_start,
        coalesce(l.window_start, r.window_start) + interval 1 day as window_end,
@@ -276,12 +294,54 @@ select l.user_id, l.event_id as l_event_id, l.ts as l_ts, r.event_id as r_event_
 from events l join events r
   on l.user_id = r.user_id
  and r.ts between l.ts - interval 1 hour and l.ts + interval 1 hour
-where l.event_type = 'click' and r.event_type = 'purchase'""",
+where l.event_id % 2 = 0 and r.event_id % 2 = 1""",
     "join_connect": """
 select o_orderkey as orderkey, o_orderstatus, l_linenumber, l_quantity
 from orders join lineitem on o_orderkey = l_orderkey""",
-    "late_left": _late("click"),
-    "late_right": _late("purchase"),
+    "late_left": _late(0),
+    "late_right": _late(1),
+    "late_join_left": _late_join(0),
+    "late_join_right": _late_join(1),
+    "agg_minby_nulls": f"""
+select user_id, event_id, value from {HOLES}
+qualify row_number() over (partition by user_id order by value asc nulls last, event_id) = 1""",
+    "agg_sum_roll_nulls": f"""
+select user_id, event_id, cast(sum({DEC}) over w as double) as run_sum, count(value) over w as n,
+       cast(max({DEC}) over w as double) as hi
+from {HOLES} window w as (partition by user_id order by event_id {RUN})""",
+    "quantile_nulls": f"""
+select user_id, round(median(value), 4) as median_value from {HOLES} group by user_id""",
+    "win_session_nulls": f"""
+with h as (select * from {HOLES} where ts is not null),
+g as (select *, case when lag(ts) over w is null or ts > lag(ts) over w + interval 30 minute then 1 else 0 end as brk
+      from h window w as (partition by user_id order by ts, event_id)),
+s as (select *, sum(brk) over (partition by user_id order by ts, event_id {RUN}) as sid from g)
+select user_id, min(ts) as window_start, max(ts) + interval 30 minute as window_end, count(*) as cnt
+from s group by user_id, sid""",
+    "state_list_top2_nulls": f"""
+select user_id, event_id, t[1] as top1, t[2] as top2 from (
+  select user_id, event_id,
+         list_reverse_sort(list(value) filter (where value is not null)
+           over (partition by user_id order by event_id {RUN})) as t
+  from {HOLES})""",
+    "accumulate_nulls": f"""
+select user_id, cast(coalesce(sum(cast(round(value * 100) as bigint)), 0) as varchar) as total
+from {HOLES} group by user_id""",
+    "reduce_custom": f"""
+select user_id, ts, event_id, max(event_type) over ({KEYED} {RUN}) as top_type,
+       cast(sum({DEC}) over ({KEYED} {RUN}) as double) as total
+from events""",
+    "win_full_custom": """
+select event_type, time_bucket(interval 1 day, ts) as window_start,
+       time_bucket(interval 1 day, ts) + interval 1 day as window_end,
+       count(*) as cnt, max(value) as hi, round(median(value), 4) as mid
+from events group by all""",
+    "win_global_pred": f"""
+select user_id, ts, event_id, rn as fire_at, total from (
+  select user_id, ts, event_id, event_type, row_number() over ({KEYED}) as rn,
+         cast(sum({DEC}) over ({KEYED} {RUN}) as double) as total
+  from events)
+where event_type = 'purchase'""",
     "topn_window": _topn(True),
     "bottomn_window": _topn(False),
 }

@@ -56,10 +56,12 @@ def as_double(c: Column) -> Column:
 
 
 def mean6(total: Column, n: Column) -> Column:
-    """``total / n`` rounded half-up to 6 decimals, by integer arithmetic so
+    """``total / n`` rounded half-up to 6 decimals, in integers of 38 digits so
     every engine gives the same double (total is a non-negative decimal)."""
-    c = (total * 100).cast("bigint")
-    q = F.floor((c * 20000 + n) / (n * 2)).cast("bigint")
+    wide = "decimal(38,0)"
+    c = (total * 100).cast("decimal(30,0)").cast(wide)
+    num = (c * F.lit(20000).cast("decimal(6,0)") + n.cast("decimal(20,0)")).cast(wide)
+    q = F.call_function("div", num, (n * 2).cast(wide))
     return q.cast("double") / F.lit(1_000_000.0)
 
 
@@ -337,13 +339,16 @@ def win_full_process(spark, base):
 
 # -- joins ------------------------------------------------------------------------------
 
+def _halves(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Two inputs that together hold every event: even and odd event ids."""
+    even = F.pmod("event_id", F.lit(2)) == 0
+    return ev.filter(even), ev.filter(~even)
+
+
 def _join_sides(spark, base):
-    ev = events(spark, base)
-    left = ev.filter(F.col("event_type") == "click").select(
-        "user_id", F.col("event_id").alias("l_event_id"), F.col("ts").alias("l_ts"))
-    right = ev.filter(F.col("event_type") == "purchase").select(
-        "user_id", F.col("event_id").alias("r_event_id"), F.col("ts").alias("r_ts"))
-    return left, right
+    left, right = _halves(events(spark, base))
+    return (left.select("user_id", F.col("event_id").alias("l_event_id"), F.col("ts").alias("l_ts")),
+            right.select("user_id", F.col("event_id").alias("r_event_id"), F.col("ts").alias("r_ts")))
 
 
 def join_window(spark, base):
@@ -352,9 +357,7 @@ def join_window(spark, base):
 
 
 def join_cogroup(spark, base):
-    ev = _ev_dec(spark, base)
-    left = ev.filter(F.col("event_type") == "click")
-    right = ev.filter(F.col("event_type") == "purchase")
+    left, right = _halves(_ev_dec(spark, base))
     out = joins.window_cogroup(
         left, right, KEY, "ts", "ts", JOIN_WINDOW,
         {"l_cnt": ("count", "*"), "l_total": ("sum", "value")},
@@ -376,16 +379,87 @@ def join_connect(spark, base):
     return joins.connect_join(orders, items, ["orderkey"])
 
 
-def _late_side(event_type):
+LATE_COLS = ["event_id", "user_id", "ts", "arrival", late.WATERMARK]
+
+
+def _late_side(side):
+    """One input against its own watermark."""
     def q(spark, base):
-        ev = arrival(events(spark, base).filter(F.col("event_type") == event_type)
-                     .select("event_id", "user_id", "ts"))
+        ev = _halves(arrival(events(spark, base).select("event_id", "user_id", "ts")))[side]
         flagged = late.flag_late(ev, "ts", ["arrival"], LATE_DELAY_S)
-        return flagged.filter(F.col(late.LATE)).select("event_id", "user_id", "ts",
-                                                        "arrival", late.WATERMARK)
+        return flagged.filter(F.col(late.LATE)).select(*LATE_COLS)
+    return q
+
+
+def _late_join(side):
+    """The late outputs of a join: both inputs against the smaller of their watermarks."""
+    def q(spark, base):
+        left, right = _halves(arrival(events(spark, base).select("event_id", "user_id", "ts")))
+        flagged = late.flag_late_pair(left, right, "ts", ["arrival"], LATE_DELAY_S, watermark="min")
+        return flagged[side].filter(F.col(late.LATE)).select(*LATE_COLS)
     return q
 
 
+# -- the same operators with nulls in key, value and time --------------------------------
+
+def holes(spark, base) -> DataFrame:
+    """Events with null keys, values and times: every seventh, fifth and eleventh."""
+    ev = events(spark, base)
+    hole = lambda c, n, k: F.when(F.pmod("event_id", F.lit(n)) != k, F.col(c)).alias(c)
+    return ev.select("event_id", hole("ts", 11, 3), hole("user_id", 7, 0), "event_type", hole("value", 5, 2))
+
+
+def _minby_nulls(spark, base):
+    return agg.extreme_row(holes(spark, base), KEY, ["event_id"], "value", ["event_id", "value"], largest=False)
+
+
+def _sum_roll_nulls(spark, base):
+    ev = holes(spark, base).withColumn("value", cents())
+    out = agg.rolling(ev, KEY, ["event_id"], {"run_sum": ("sum", "value"), "n": ("count", "value"), "hi": ("max", "value")})
+    return out.withColumn("run_sum", as_double(F.col("run_sum"))).withColumn("hi", as_double(F.col("hi")))
+
+
+def _median_nulls(spark, base):
+    out = agg.exact_quantile(holes(spark, base), KEY, "value", 0.5, out="median_value")
+    return out.withColumn("median_value", F.round("median_value", 4))
+
+
+def _session_nulls(spark, base):
+    return windows.session(holes(spark, base), KEY, "ts", SESSION_GAP, {"cnt": F.count(F.lit(1))}, tiebreak=["event_id"])
+
+
+def _topk_nulls(spark, base):
+    out = state.running_topk(holes(spark, base), KEY, ["event_id"], "value", k=2)
+    return out.select(*KEY, "event_id", *[F.try_element_at("top", F.lit(i + 1)).alias(f"top{i + 1}") for i in range(2)])
+
+
+def _accumulate_nulls(spark, base):
+    ev = holes(spark, base).select("user_id", F.round(F.col("value") * 100).cast("bigint").alias("cents"))
+    return accumulate(ev, KEY, sum_as_text("cents"), ["cents"], "total", "string")
+
+
+def reduce_custom(spark, base):
+    """A user's reduce: the widest text of a type so far beside the sum, with its own monoid."""
+    longest = scan.Monoid(F.max, F.max, lambda c, l: F.greatest(c, l))
+    ev = _ev_dec(spark, base)
+    out = agg.reduce_with(ev, KEY, ORDER, {"top_type": (longest, "event_type"), "total": (scan.SUM, "value")},
+                          rolling_=True)
+    return out.withColumn("total", as_double(F.col("total")))
+
+
+def win_full_custom(spark, base):
+    out = windows.full_window(events(spark, base), ["event_type"], "ts", "1 day",
+                              {"cnt": F.count(F.lit(1)), "hi": F.max("value")}, {"mid": ("value", 0.5)})
+    return out.withColumn("mid", F.round("mid", 4))
+
+
+def win_global_pred(spark, base):
+    """Global window that fires at every purchase with the key's total so far."""
+    out = windows.global_when(_ev_dec(spark, base), KEY, ORDER, F.col("event_type") == "purchase",
+                              {"total": scan.running_sum("value")})
+    return out.withColumn("total", as_double(F.col("total")))
+
+
 # -- top-N ------------------------------------------------------------------------------
 
 def topn_window(spark, base):
@@ -448,8 +522,19 @@ QUERIES: dict[str, Query] = {
     "join_cogroup": join_cogroup,
     "join_interval": join_interval,
     "join_connect": join_connect,
-    "late_left": _late_side("click"),
-    "late_right": _late_side("purchase"),
+    "late_left": _late_side(0),
+    "late_right": _late_side(1),
+    "late_join_left": _late_join(0),
+    "late_join_right": _late_join(1),
+    "agg_minby_nulls": _minby_nulls,
+    "agg_sum_roll_nulls": _sum_roll_nulls,
+    "quantile_nulls": _median_nulls,
+    "win_session_nulls": _session_nulls,
+    "state_list_top2_nulls": _topk_nulls,
+    "accumulate_nulls": _accumulate_nulls,
+    "reduce_custom": reduce_custom,
+    "win_full_custom": win_full_custom,
+    "win_global_pred": win_global_pred,
     "topn_window": topn_window,
     "bottomn_window": bottomn_window,
 }

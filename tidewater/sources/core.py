@@ -29,7 +29,7 @@ def text_lines(spark: SparkSession, path: str, streaming: bool = False,
 
 
 def decode_records(records: DataFrame, topics: Sequence[str] | str | None = None,
-                   starting_offsets: dict[int, int] | str | None = None,
+                   starting_offsets: dict | str | None = None,
                    watermark: str | None = "3 seconds") -> DataFrame:
     """Decode a frame in the message-log schema (key, value, topic, partition,
     offset, timestamp) into ``value string`` rows.
@@ -37,8 +37,9 @@ def decode_records(records: DataFrame, topics: Sequence[str] | str | None = None
     ``starting_offsets`` is the start position, and committed group offsets
     play no part in it: ``"earliest"`` (or ``None``) keeps every record;
     ``"latest"`` keeps none of the records already in a batch frame (only
-    records that arrive later, i.e. on a stream); a dict maps partition ->
-    first offset to keep. The frame may be a batch or a stream from
+    records that arrive later, i.e. on a stream); a dict gives the first
+    offset to keep as ``{topic: {partition: offset}}`` (or ``{partition: offset}``
+    when one topic is read). The frame may be a batch or a stream from
     ``read[Stream].format("kafka")``.
     """
     out = records
@@ -50,10 +51,18 @@ def decode_records(records: DataFrame, topics: Sequence[str] | str | None = None
     elif isinstance(starting_offsets, str) and starting_offsets not in ("earliest", "latest"):
         raise ValueError("starting_offsets must be 'earliest', 'latest' or a dict")
     if isinstance(starting_offsets, dict) and starting_offsets:
-        keep = F.lit(False)
-        for part, first in starting_offsets.items():
-            keep = keep | ((F.col("partition") == part) & (F.col("offset") >= first))
-        known = F.col("partition").isin(list(starting_offsets))
+        # {topic: {partition: offset}}, or {partition: offset} when one topic is read
+        by_topic = {t: o for t, o in starting_offsets.items() if isinstance(o, dict)}
+        if len(by_topic) != len(starting_offsets):
+            one = topics if isinstance(topics, str) else (list(topics)[0] if topics and len(topics) == 1 else None)
+            if by_topic or one is None:
+                raise ValueError("offsets of several topics are {topic: {partition: offset}}")
+            by_topic = {one: starting_offsets}
+        keep, known = F.lit(False), F.lit(False)
+        for topic, parts in by_topic.items():
+            for part, first in parts.items():
+                at = (F.col("topic") == topic) & (F.col("partition") == int(part))
+                keep, known = keep | (at & (F.col("offset") >= first)), known | at
         out = out.filter(keep | ~known)
     out = out.select(F.col("value").cast("string").alias("value"),
                      F.col("timestamp").cast("timestamp").alias("timestamp"))

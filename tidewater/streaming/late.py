@@ -1,7 +1,7 @@
 """Late-row routing for streams (whole-stream watermark).
 
 Inside a micro-batch the watermark is fixed: it is the largest event time
-of all earlier micro-batches minus the delay. Rows below it are late. Spark
+of all earlier micro-batches minus the delay and one millisecond (a row delay and 1 ms behind is on time). Rows below it are late. Spark
 drops such rows in stateful operators and only counts them; this writer
 keeps them: every micro-batch is split into an on-time and a late output,
 and the running maximum is stored per batch id in a small table, so a
@@ -15,6 +15,7 @@ inputs' watermarks (none until every input has been seen).
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,8 +38,10 @@ class LateRouter:
             return {}
         try:
             rows = spark.read.parquet(f"{self.out}/_max/batch_id={batch_id - 1}").collect()
-        except Exception:  # noqa: BLE001 - nothing written before this batch
-            return {}
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return {}               # nothing was written before this batch
         return {r["side"]: r["max_us"] for r in rows if r["max_us"] is not None}
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -49,7 +52,7 @@ class LateRouter:
         if not seen_all:
             flagged = batch.withColumn("is_late", F.lit(False))
         else:
-            wm = min(prev[s] for s in self.sides) - self.delay_us
+            wm = min(prev[s] for s in self.sides) - self.delay_us - 1_000
             flagged = batch.withColumn("is_late", F.coalesce(tnum < F.lit(wm), F.lit(False)))
         flagged = flagged.persist()
         try:

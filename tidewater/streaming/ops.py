@@ -184,16 +184,17 @@ def window_topn(df: DataFrame, item: str, ts: str, size: str, slide: str, n: int
 
 def window_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str,
                 right_ts: str, size: str, delay: str) -> DataFrame:
-    """Stream-stream join on (key, tumbling window). Each side carries one
-    event-time column into the join: its window start (raw times are
-    dropped before the join). As in any stream-stream join, rows at or
-    before the current watermark are dropped, including at the first
-    micro-batch, whose watermark is the epoch."""
+    """Stream-stream join on (key, tumbling window). The watermark is on the
+    raw times; they become the window before the join (as its struct, so that
+    a window is kept until the watermark passes its end, and a row is late
+    only for a window that has closed). Output: key, window_start,
+    window_end, then the remaining columns without the raw times."""
     def side(df, ts):
-        src = event_time(df, ts)
-        src = src.withColumn("window_start", F.window(ts, size).start).drop(ts)
-        return src.withWatermark("window_start", delay)
-    return side(left, left_ts).join(side(right, right_ts), [*key, "window_start"], "inner")
+        return event_time(df, ts, delay).withColumn("tw_window", F.window(ts, size)).drop(ts)
+    joined = side(left, left_ts).join(side(right, right_ts), [*key, "tw_window"], "inner")
+    rest = [c for c in joined.columns if c not in (*key, "tw_window")]
+    return joined.select(*key, F.col("tw_window.start").alias("window_start"),
+                         F.col("tw_window.end").alias("window_end"), *rest)
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str,

@@ -112,13 +112,14 @@ class JumpAlert(StatefulProcessor):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        first = self.prev.get()[0] if self.prev.exists() else self.initial
+        first = self.prev.get()[0] if self.prev.exists() else None
         vals = pdf[self.value]
         prev = vals.shift(1).astype(object)
         prev.iloc[0] = first
-        prev = pd.to_numeric(prev)
+        # before the first row, and after a row without a value, the state is the initial one
+        prev = prev.where(prev.notna(), self.initial).infer_objects()
         self.prev.update((_py(vals.iloc[-1]),))
-        out = pdf.assign(prev=prev)
+        out = pdf.assign(prev=pd.to_numeric(prev))
         keep = (out[self.value] - out["prev"]).abs() > self.threshold
         yield out[keep][[*self.columns, "prev"]]
 
@@ -136,21 +137,22 @@ class RunningSum(StatefulProcessor):
         self.order, self.value, self.columns, self.every = list(order), value, list(columns), every
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.acc = handle.getValueState("acc", "s double, n long")
+        self.acc = handle.getValueState("acc", "s double, n long, r long")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         pdf = _ordered(rows, self.order)
         if pdf.empty:
             return
-        s0, n0 = self.acc.get() if self.acc.exists() else (0.0, 0)
+        s0, n0, r0 = self.acc.get() if self.acc.exists() else (0.0, 0, 0)
         x, valid, _ = _numeric(pdf[self.value])
         sums = s0 + np.cumsum(np.where(valid, x, 0).astype(np.float64))
         counts = n0 + np.cumsum(valid.astype(np.int64))
-        self.acc.update((float(sums[-1]), int(counts[-1])))
+        at = r0 + np.arange(1, len(pdf) + 1)        # the trigger counts rows, with or without a value
+        self.acc.update((float(sums[-1]), int(counts[-1]), int(at[-1])))
         out = pdf.assign(run_sum=sums, n=counts)
         out["mean"] = out["run_sum"] / out["n"].where(out["n"] > 0)
         if self.every > 1:
-            out = out[out["n"] % self.every == 0]
+            out = out[at % self.every == 0]
         yield out[[*self.columns, "run_sum", "n", "mean"]]
 
     def close(self) -> None:
@@ -336,8 +338,9 @@ class RollingFields(StatefulProcessor):
             if acc is None:
                 out = out.where(valid.cumsum() > 0)
         elif kind in ("max", "min"):
-            ext = s if acc is None else pd.concat([pd.Series([acc]), s], ignore_index=True)
-            run = ext.cummax() if kind == "max" else ext.cummin()
+            ext = s if acc is None else pd.concat([pd.Series([acc], dtype=s.dtype if s.dtype == object else None), s],
+                                                  ignore_index=True)
+            run = (ext.cummax() if kind == "max" else ext.cummin()).ffill()
             out = run if acc is None else run.iloc[1:].set_axis(s.index)
         else:
             raise ValueError(f"unknown rolling kind {kind!r}")
@@ -382,11 +385,16 @@ class ExtremeRow(StatefulProcessor):
             return
         best = tuple(self.best.get()) if self.best.exists() else None
         vi = self.row_cols.index(self.value)
-        x = pdf[self.value].to_numpy(dtype=np.float64, na_value=np.nan)
-        score = np.where(np.isnan(x), -np.inf, x if self.largest else -x)
-        start = -np.inf if best is None else (best[vi] if self.largest else -best[vi])
-        running = np.maximum.accumulate(np.concatenate([[start], score]))
-        better = score > running[:-1]
+        # ranks of the values (with the kept one) compare as the values do, in any type
+        vals = [None if best is None else best[vi], *(_py(v) for v in pdf[self.value].tolist())]
+        distinct = sorted({v for v in vals if v is not None}, reverse=not self.largest)
+        rank = {v: i + 1 for i, v in enumerate(distinct)}
+        score = np.array([rank.get(v, 0) for v in vals], dtype=np.int64)
+        running = np.maximum.accumulate(score)
+        better = score[1:] > running[:-1]
+        if best is None and not better[0]:
+            better[0] = True                        # a key of rows without a value keeps its first
+        x = score[1:]
         pick = np.maximum.accumulate(np.where(better, np.arange(len(x)), -1))
         rows_new = pdf[self.row_cols].reset_index(drop=True)
         chosen = rows_new.iloc[np.maximum(pick, 0)].reset_index(drop=True).astype(object)
@@ -427,15 +435,14 @@ class WindowTopN(StatefulProcessor):
 
     def handleInputRows(self, key, rows, timerValues: TimerValues):
         kept = list(self.best.get()) if self.best.exists() else []
-        frames = [pd.DataFrame(kept, columns=["c", "i"])] if kept else []
+        best = pd.DataFrame(kept, columns=["c", "i"]) if kept else None
         end_ms = None
-        for pdf in rows:
+        for pdf in rows:                            # one frame at a time: never more than n rows are kept
             if len(pdf):
-                frames.append(pd.DataFrame({"c": pdf["cnt"].to_numpy(),
-                                            "i": pdf[self.item].to_numpy(dtype=object)}))
+                part = pd.DataFrame({"c": pdf["cnt"].to_numpy(), "i": pdf[self.item].to_numpy(dtype=object)})
+                best = self._best(part if best is None else pd.concat([best, part], ignore_index=True))
                 end_ms = int(pdf[self.end_ms].iloc[0])
-        if frames:
-            best = self._best(pd.concat(frames, ignore_index=True))
+        if end_ms is not None:
             self.best.put([(int(c), i) for c, i in zip(best["c"], best["i"])])
         if end_ms is not None:
             self.handle.registerTimer(end_ms)

@@ -21,11 +21,12 @@ def checkpoint_for(spark: SparkSession, name: str) -> str:
 
 def run_available_now(df: DataFrame, name: str, mode: str = "append",
                       sink: str = "memory", path: str | None = None,
-                      checkpoint: str | None = None, timeout_s: int = 300,
+                      checkpoint: str | None = None, timeout_s: float | None = None,
                       options: dict[str, str] | None = None,
                       processing_time: bool = False) -> StreamingQuery:
     """Process everything available now, then stop. ``sink="memory"``
-    registers the result as table ``name``. ``processing_time=True`` (queries
+    registers the result as table ``name``. It runs as long as it needs, or at
+    most ``timeout_s``. ``processing_time=True`` (queries
     with processing-time state or TTL) turns off no-data micro-batches,
     which would otherwise keep such a query running after its input ends."""
     spark = df.sparkSession
@@ -42,7 +43,7 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
         q = writer.format("memory").start() if sink == "memory" else writer.format(sink).start(path)
     finally:
         spark.conf.set(key, before)
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
@@ -52,14 +53,14 @@ def run_available_now(df: DataFrame, name: str, mode: str = "append",
 
 
 def run_batches(df: DataFrame, name: str, fn: Callable[[DataFrame, int], None],
-                checkpoint: str | None = None, timeout_s: int = 300) -> StreamingQuery:
+                checkpoint: str | None = None, timeout_s: float | None = None) -> StreamingQuery:
     """``foreachBatch`` with availableNow; ``fn(batch, batch_id)`` must be
     idempotent per batch id (a retried batch is replayed with the same id)."""
     spark = df.sparkSession
     q = (df.writeStream.queryName(name)
          .option("checkpointLocation", checkpoint or checkpoint_for(spark, name))
          .trigger(availableNow=True).foreachBatch(fn).start())
-    q.awaitTermination(timeout_s)
+    q.awaitTermination(timeout_s) if timeout_s else q.awaitTermination()
     if q.isActive:
         q.stop()
         raise TimeoutError(f"stream {name} did not finish in {timeout_s}s")
