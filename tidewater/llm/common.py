@@ -70,9 +70,10 @@ class Scratch:
             path.getFileSystem(self.spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
     def release(self) -> None:
-        gc.collect()
-        self.spark._jvm.System.gc()
-        time.sleep(0.3)
+        for _ in range(2):
+            gc.collect()
+            self.spark._jvm.System.gc()
+            time.sleep(0.5)
 
 
 def components(edges: DataFrame, scratch: Scratch, name: str = "cc", src: str = "a",

@@ -13,7 +13,8 @@ interior symbols, which themselves are named once more (the window itself, if it
 is so uniform that too few are interior). Spark then finds the anchors that
 documents share: only their windows can repeat. These windows are taken as
 96-bit hashes, the smallest document of each is found, and every document's
-words in a window that a smaller one has are removed.
+words in a window that a smaller one has are removed. Of equal texts only the
+smallest document goes through this: all windows of the others are repeats.
 
 A window belongs to one row; null and empty texts have none. A null doc_id
 neither removes nor is removed. Rows that repeat a doc_id are one document to
@@ -36,6 +37,7 @@ from .common import Scratch, id_text, mixed, run_hashes, word_hashes
 WINDOW = 13
 ROUNDS, SPAN = 1, 3        # words run and pair, then three symbols: some seven words of a window
 ROWS = 256                  # texts in hand at once
+BROADCAST_ROWS = 2_000_000  # ids of copies (24 bytes each) that are sent to all tasks
 RUN = np.uint64(0xA24BAED4963EE407)
 SECOND = 0xD1342543DE82EF95
 
@@ -203,6 +205,19 @@ def covered(h: np.ndarray, repeated: np.ndarray, size: int = WINDOW) -> np.ndarr
     return np.cumsum(edge[:-1]) > 0
 
 
+def copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
+    """(doc_id, k1, k2) of rows whose whole text a smaller document has."""
+    marks = scratch.write(docs.filter("doc_id is not null").select("doc_id", "k1", "k2"), "marks")
+    first = marks.groupBy("k1", "k2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).filter("first < last")
+    return scratch.write(marks.join(first.select("k1", "k2", "first"), ["k1", "k2"]).filter("doc_id > first")
+                         .select("doc_id", "k1", "k2").distinct(), "copies")
+
+
+def marked(docs: DataFrame) -> DataFrame:
+    """128 bits of each text beside it."""
+    return docs.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64("text", F.lit(SECOND % (1 << 31)))})
+
+
 def repeats(docs: DataFrame, scratch: Scratch, size: int = WINDOW) -> DataFrame:
     """(doc_id, repeated array<long>): hashes of each document's windows that a smaller document has."""
     seen = scratch.write(anchor_rows(docs, size), "anchors")
@@ -210,19 +225,19 @@ def repeats(docs: DataFrame, scratch: Scratch, size: int = WINDOW) -> DataFrame:
                            .filter("a < b").select("anchor"), "shared")
     scratch.release()
     near = scratch.write(seen.join(shared, "anchor").groupBy("doc_id").agg(F.collect_set("anchor").alias("shared")), "near")
-    scratch.release()
     scratch.drop("anchors", "shared")
+    scratch.release()
     texts = docs.filter("doc_id is not null").join(near.hint("shuffle_hash"), "doc_id")
     found = scratch.write(window_rows(texts, size), "windows")
-    scratch.release()
     scratch.drop("near")
+    scratch.release()
     first = scratch.write(found.groupBy("h1", "h2").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
                           .filter("first < last").select("h1", "h2", "first"), "first")
     scratch.release()
     out = scratch.write(found.join(first, ["h1", "h2"]).filter("doc_id > first")
                         .groupBy("doc_id").agg(F.collect_set("h1").alias("repeated")), "repeated")
-    scratch.release()
     scratch.drop("windows", "first")
+    scratch.release()
     return out
 
 
@@ -244,25 +259,37 @@ def cleaned(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", siz
 
 def _strip(src: DataFrame, size: int, extra: list[str] = []) -> DataFrame:  # noqa: B006
     scratch = Scratch(src.sparkSession, "recompress")
-    found = repeats(src.select("doc_id", "text"), scratch, size)
+    src = marked(src)
+    again = copies(src, scratch)
+    # the ids of copies are few enough to go to the texts, or the texts go to them
+    small = again.count() <= BROADCAST_ROWS
+    again = F.broadcast(again) if small else again.hint("shuffle_hash")
+    keys = ["doc_id", "k1", "k2"]
+    found = repeats(src.select("text", *keys).join(again, keys, "left_anti").select("doc_id", "text"), scratch, size)
     # a row without id joins nothing
 
     @F.pandas_udf("n_words long, n_removed long, kept string")
-    def strip(text: pd.Series, repeated: pd.Series) -> pd.DataFrame:
+    def strip(text: pd.Series, repeated: pd.Series, copy: pd.Series) -> pd.DataFrame:
         n, gone, kept = [], [], []
-        for t, marks in zip(text, repeated):
+        for t, marks, whole in zip(text, repeated, copy):
             words = t.encode().split()
             n.append(len(words))
             out = None
-            if marks is not None and len(words) >= size:
+            if len(words) < size:
+                pass
+            elif whole:
+                words, out = [], np.ones(n[-1], bool)
+            elif marks is not None:
                 out = covered(word_hashes(words), np.asarray(marks, np.int64), size)
                 words = [w for w, x in zip(words, out.tolist()) if not x]
             gone.append(int(out.sum()) if out is not None else 0)
             kept.append(b" ".join(words).decode())
         return pd.DataFrame({"n_words": n, "n_removed": gone, "kept": kept})
 
-    both = src.join(found.hint("shuffle_hash"), "doc_id", "left")
-    return both.select("doc_id", *extra, strip("text", "repeated").alias("s")).select("doc_id", *extra, "s.*")
+    both = (src.join(found.hint("shuffle_hash"), "doc_id", "left")
+            .join(again.withColumn("copy", F.lit(True)), keys, "left"))
+    done = strip("text", "repeated", F.coalesce("copy", F.lit(False))).alias("s")
+    return both.select("doc_id", *extra, done).select("doc_id", *extra, "s.*")
 
 
 def digests(docs: DataFrame) -> DataFrame:
