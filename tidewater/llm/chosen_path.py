@@ -197,11 +197,11 @@ def candidates(sets: DataFrame, scratch: Scratch, threshold: float) -> DataFrame
     coords = sets.select("rep", "coords")
     now = scratch.write(leaves(sets, runs(threshold)), "leaves3")
     while True:
-        sizes = scratch.write(now.groupBy("leaf").agg(F.count("*").alias("n")).filter("n > 1"), f"sizes{level}")
+        sizes = scratch.write(now.groupBy("leaf").agg(F.count("*").alias("n")).filter("n > 1"), f"sizes{level}", narrow=True)
         most = sizes.agg(F.max("n")).first()[0] or 0
         few = (now.join(sizes.filter(F.col("n") <= FEW), "leaf").join(coords, "rep")
                .repartition("leaf").sortWithinPartitions("leaf"))
-        found.append(scratch.write(compare_few(few, least), f"few{level}"))
+        found.append(scratch.write(compare_few(few, least), f"few{level}", narrow=True))
         if most <= FEW:
             break
         last = most <= MANY or level >= MAX_DEPTH
@@ -304,10 +304,10 @@ def near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     members = prints.filter("doc_id is not null and key is not null").select("doc_id", "key")
     sets = scratch.write(prints.filter("doc_id is not null and key is not null").groupBy("key").agg(
         F.min("doc_id").alias("rep"), F.count("*").alias("m"), F.first("coords").alias("coords")), "sets")
-    maybe = scratch.write(components(candidates(sets, scratch, threshold), scratch, "maybe"), "groups")
+    maybe = scratch.write(components(candidates(sets, scratch, threshold), scratch, "maybe"), "groups", narrow=True)
     scratch.release()
     sized = scratch.write(maybe.join(maybe.groupBy("component").agg(F.count("*").alias("n")), "component").select(
-        F.col("node").alias("rep"), "component", "n"), "sized")
+        F.col("node").alias("rep"), "component", "n"), "sized", narrow=True)
     found = scratch.write(verify(id_text(docs, id_col, text_col), sized, sets, threshold, block), "found")
     scratch.release()
     links = found.groupBy("key").agg(F.sum("links").alias("links"))

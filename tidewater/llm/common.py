@@ -58,8 +58,11 @@ class Scratch:
         self.spark = spark
         self.base = shared_path(spark, "llm", f"{name}-{uuid.uuid4().hex}")
 
-    def write(self, df: DataFrame, name: str, codec: str = "zstd") -> DataFrame:
+    def write(self, df: DataFrame, name: str, codec: str = "zstd", narrow: bool = False) -> DataFrame:
+        """``narrow``: a table of a few numbers a row, written as a few files for each core."""
         path = f"{self.base}/{name}"
+        if narrow:
+            df = df.coalesce(4 * self.spark.sparkContext.defaultParallelism)
         df.write.option("compression", codec).parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
@@ -95,7 +98,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc", src: str =
         many = ends.groupBy("n").agg(F.sum("out").alias("out"), F.max("in").alias("in"))
         return not many.filter("out > 1 or (out = 1 and in = 1)").head(1)
 
-    now = scratch.write(canonical(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))), f"{name}0")
+    now = scratch.write(canonical(edges.select(F.col(src).alias("u"), F.col(dst).alias("v"))), f"{name}0", narrow=True)
     rnd = 0
     while not done(now):
         rnd += 1
@@ -107,7 +110,7 @@ def components(edges: DataFrame, scratch: Scratch, name: str = "cc", src: str =
         small = large.join(least, "u").select(F.explode(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v")
-        now = scratch.write(canonical(small), f"{name}{rnd}")
+        now = scratch.write(canonical(small), f"{name}{rnd}", narrow=True)
         scratch.drop(f"{name}{rnd - 1}")
     return now.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         now.select(F.col("v").alias("node")).distinct().withColumn("component", F.col("node")))
