@@ -23,7 +23,8 @@ def test_permutation_is_a_bijection(n):
 def test_tokens_are_the_library_s():
     tok = shards.Tokens(open(RANKS).read(), 50256)
     for t in ["", "a b", " a  b\n\n c\t", "it's we'll 'tis", "x" * 500, "Ünï çà 12 34!!", "漢字 mixed", "\x00 \x1f", "end  ", "\n", "a\r\n\r\nb",
-              "  !? 1a2b"]:
+              "  !? 1a2b", " x", "a ", " ", "a \tb", "a\t b", "a\n b", "a \n\n b", "a\u3000 b", "a \u3000b", "\n x", "a\n ", " 's 'll",
+              "don't \u00a0we\u00a0 've", "tab\t", "x \r\n y"]:
         assert tok.of(t) == [*tok.enc.encode_ordinary(t), 50256]
 
 
