@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import os
+
+os.environ.setdefault("OMP_NUM_THREADS", "1")    # workers: one thread a task
 import sys
 
 import pytest
