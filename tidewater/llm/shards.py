@@ -25,7 +25,6 @@ import base64
 import hashlib
 import json
 import uuid
-from itertools import chain
 from zlib import crc32
 
 import numpy as np
@@ -41,7 +40,6 @@ from .common import Scratch, id_text, mixed, strings
 LENGTH = 1_024
 SHARD_BYTES = 16_000_000
 ROUNDS = 6
-CACHE = 600_000
 ROWS = 256
 
 # Fixed value: the pattern that cuts text before the merges of the rank file.
@@ -82,64 +80,18 @@ class Permutation:
 
 
 class Tokens:
-    """Ids of texts by a rank file, with a bounded cache of words.
-
-    The pattern never joins signs over a space but the one before a word, so a
-    text without double spaces is its words, each with the space before it.
-    """
+    """Ids of texts by a rank file."""
 
     def __init__(self, ranks: str, end: int):
         import tiktoken
         pairs = (line.split() for line in ranks.splitlines() if line)
         self.enc = tiktoken.Encoding("ranks", pat_str=PATTERN, special_tokens={},
                                      mergeable_ranks={base64.b64decode(a): int(b) for a, b in pairs})
-        self.end, self.cache = end, {}
-        self.marks = {m: self.enc.encode_ordinary(m) for m in ",.;:!?"}
+        self.end = np.array([end], np.uint32)
 
-    def of(self, text: str) -> list[int]:
+    def of(self, text: str) -> np.ndarray:
         """The text's ids and the end token."""
-        return self.many([text])[0]
-
-    def _known(self, texts: list[str]) -> tuple[list, dict]:
-        """Words of each text (none of one with double spaces), and the ids of the distinct ones."""
-        words = [None if "  " in t else t.split(" ") for t in texts]
-        get, miss = self.cache.get, self._miss
-        distinct = set(chain.from_iterable(w[1:] for w in words if w))
-        return words, {w: get(w) or miss(w) for w in distinct}
-
-    def many(self, texts: list[str]) -> list[list[int]]:
-        words, known = self._known(texts)
-        out = []
-        for text, ws in zip(texts, words):
-            ids = self.enc.encode_ordinary(text if ws is None else ws[0])
-            for w in ws[1:] if ws else ():
-                ids += known[w]
-            ids.append(self.end)
-            out.append(ids)
-        return out
-
-    def count(self, texts: list[str]) -> int:
-        """Tokens of all texts, ends included."""
-        words, known = self._known(texts)
-        size = {w: len(ids) for w, ids in known.items()}
-        n = len(texts)
-        for text, ws in zip(texts, words):
-            n += len(self.enc.encode_ordinary(text if ws is None else ws[0]))
-            if ws:
-                n += sum(map(size.__getitem__, ws[1:]))
-        return n
-
-    def _miss(self, w: str) -> list[int]:
-        """The ids of a space and a word; a mark after a letter or digit is a token of its own."""
-        if w[-1:] in self.marks and w[-2:-1].isalnum():
-            base = w[:-1]
-            return (self.cache.get(base) or self._miss(base)) + self.marks[w[-1]]
-        got = self.enc.encode_ordinary(" " + w)
-        if len(w) < 32 and "\n" not in w:
-            if len(self.cache) > CACHE:
-                self.cache.clear()
-            self.cache[w] = got
-        return got
+        return np.concatenate([self.enc.encode_to_numpy(text, disallowed_special=()), self.end])
 
 
 def _files(uri: str):
@@ -167,13 +119,11 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
 
     def count(batches):
         tok, n, rows, mark = Tokens(sent.value, end), 0, 0, 0
-        for whole in batches:
-            for k in range(0, whole.num_rows, ROWS):
-                texts = list(strings(whole.slice(k, ROWS), "text"))
-                n += tok.count(texts)
-                rows += len(texts)
-                for text in texts:
-                    mark = crc32(str(len(text)).encode(), mark)
+        for b in batches:
+            for text in strings(b, "text"):
+                n += len(tok.of(text))
+                rows += 1
+                mark = crc32(str(len(text)).encode(), mark)
         yield pa.RecordBatch.from_arrays(
             [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([-(-n // length)], pa.int64()),
              pa.array([rows], pa.int64()), pa.array([mark], pa.int64())], names=["task", "n", "rows", "mark"])
@@ -196,12 +146,12 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
         tok, task = Tokens(sent.value, end), TaskContext.get().partitionId()
         first, (want, want_rows, want_mark) = plan.value[0][task], plan.value[1][task]
         made = rows = mark = 0
-        held, owners, at = [], [], []           # token lists not yet cut, their documents and starts
+        held, owners, at = [], [], []           # token arrays not yet cut, their documents and starts
         size = 0
 
         def cut(last: bool):
             nonlocal held, owners, at, size, made
-            flat = np.fromiter(chain.from_iterable(held), kind, size)
+            flat = np.concatenate(held).astype(kind)
             n = -(-size // length) if last else size // length
             begins, out = np.array(at), []
             for k in range(n):
@@ -213,8 +163,8 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
             if n < -(-size // length) or not last:
                 s = n * length
                 a = np.searchsorted(begins, s, "right") - 1 if size > s else len(owners)
-                rest = flat[s:].tolist()
-                held, owners = [rest] if rest else [], owners[a:]
+                rest = flat[s:].astype(np.uint32)
+                held, owners = [rest] if len(rest) else [], owners[a:]
                 at = [max(0, x - s) for x in at[a:]]
                 size = len(rest)
             for r, x in zip(out, slots.tolist()):
@@ -224,8 +174,8 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
         for whole in batches:
             for k in range(0, whole.num_rows, ROWS):
                 b = whole.slice(k, ROWS)
-                texts = list(strings(b, "text"))
-                for doc, text, ids in zip(b.column(0).to_pylist(), texts, tok.many(texts)):
+                for doc, text in zip(b.column(0).to_pylist(), strings(b, "text")):
+                    ids = tok.of(text)
                     held.append(ids)
                     owners.append(doc)
                     at.append(size)
