@@ -1,3 +1,4 @@
+import json
 from collections import Counter
 
 import numpy as np
@@ -36,12 +37,14 @@ def check(spark, rows, tmp_path, **options):
     got = list(shards.read(folder))
     assert [s for s, _ in got] == list(range(len(made))) == sorted(r.slot for r in made)
     by = {r.slot: r for r in made}
-    perm = shards.Permutation(len(got), options.get("key", "epoch-0"))
-    order = perm.index(np.arange(len(got))) if got else []
-    stream = [None] * len(got)
-    for (s, ids), k in zip(got, order):
+    places = json.loads((tmp_path / "out" / "meta.json").read_text())["places"]
+    perm = shards.Permutation(places, options.get("key", "epoch-0"))
+    assert [by[s].place for s, _ in got] == sorted(r.place for r in made)      # slots follow the permutation
+    stream = {}
+    for s, ids in got:
         assert len(ids) == length
-        stream[k] = ids[:by[s].n_tokens].tolist()
+        stream[int(perm.index(np.array([by[s].place]))[0])] = ids[:by[s].n_tokens].tolist()
+    stream = [stream[k] for k in sorted(stream)]
     docs, now = Counter(), []
     for i in (x for part in stream for x in part):
         now.append(i)

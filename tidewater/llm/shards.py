@@ -2,18 +2,20 @@
 
 Documents are tokenised and packed, in the order a task reads them, into
 sequences of LENGTH tokens (documents are closed by the end token; the last
-sequence of a task is padded with it). Every sequence has a global index: its
-place in its task after those of the tasks before. A keyed Feistel network over
-the next power of four, walked until it falls inside, permutes the indices, so
-the slot of a sequence in the training order needs no sort and no exchange.
-Slots are cut into ranges; each range is written by one task as one file of
-fixed-stride records, so any slot is found by arithmetic and reading can resume
-anywhere.
-
-The input is scanned twice (to count, then to write) and must come from stored
-files, whose scan gives the same rows in the same task each time; the second
-scan compares with the first and fails if it doesn't. A repeated task rewrites
-its file under another name and renames it when it is whole.
+sequence of a task is padded with it). A first pass only sums bytes: as a token
+has at least one, they bound a task's sequences, and every task gets a range of
+that many indices. A sequence's index goes through a keyed Feistel network over
+the next power of four, walked until it falls among the indices, so its place in
+the training order needs no sort and no second tokenising. Places are cut into
+ranges; each range is written by one task, in order, as one file of fixed-stride
+records. A sequence's slot is its rank among the places that are taken: the
+sequences of the files before, and its record in its own. Any slot is found by
+arithmetic on the files' counts, and reading can resume anywhere.
+
+The input must come from stored files, whose scan gives the same rows in the same
+task each time; the second scan compares with the first and fails if it doesn't.
+A repeated task rewrites its file under another name and renames it when it is
+whole.
 
 Null and empty texts are a document of the end token alone. Null ids and
 repeated rows are kept. An empty table gives no rows and no files.
@@ -38,7 +40,7 @@ from tidewater.session import shared_path
 from .common import Scratch, id_text, mixed, strings
 
 LENGTH = 1_024
-SHARD_BYTES = 16_000_000
+SHARD_BYTES = 32_000_000       # at most; some two fifths of the places are taken
 ROUNDS = 6
 ROWS = 256
 
@@ -106,7 +108,7 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
                 length: int = LENGTH, shard_bytes: int = SHARD_BYTES, end: int | None = None,
                 id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Writes the shards and returns their manifest, a row per sequence:
-    (slot, shard, byte_offset, n_tokens, crc, doc_ids)."""
+    (slot, shard, byte_offset, n_tokens, crc, doc_ids, place)."""
     spark = docs.sparkSession
     src = id_text(docs, id_col, text_col)
     with open(ranks_file) as f:
@@ -117,35 +119,25 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
     sent = spark.sparkContext.broadcast(ranks)      # a fixed vocabulary file
     stride = length * np.dtype(kind).itemsize
 
-    def count(batches):
-        tok, n, rows, mark = Tokens(sent.value, end), 0, 0, 0
-        for b in batches:
-            for text in strings(b, "text"):
-                n += len(tok.of(text))
-                rows += 1
-                mark = crc32(str(len(text)).encode(), mark)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([-(-n // length)], pa.int64()),
-             pa.array([rows], pa.int64()), pa.array([mark], pa.int64())], names=["task", "n", "rows", "mark"])
-
     # one row for each task of the scan, not for anything in the data
-    tasks = {r["task"]: (r["n"], r["rows"], r["mark"]) for r in
-             src.mapInArrow(count, "task int, n long, rows long, mark long").collect()}
-    before, total = {}, 0
+    tasks = {r["task"]: (-(-r["n"] // length), r["rows"], r["n"]) for r in
+             src.select(F.spark_partition_id().alias("task"), (F.octet_length("text") + 1).alias("n"))
+             .groupBy("task").agg(F.sum("n").alias("n"), F.count("*").alias("rows")).collect()}
+    before, places = {}, 0
     for t in sorted(tasks):
-        before[t] = total
-        total += tasks[t][0]
+        before[t] = places
+        places += tasks[t][0]
     per = max(1, shard_bytes // stride)
-    shards = -(-total // per)
-    perm = Permutation(total, key)
+    shards = -(-places // per)
+    perm = Permutation(places, key)
     fs, root = _files(folder)
     fs.create_dir(root, recursive=True)
     plan = spark.sparkContext.broadcast((before, tasks))
 
     def pack(batches):
         tok, task = Tokens(sent.value, end), TaskContext.get().partitionId()
-        first, (want, want_rows, want_mark) = plan.value[0][task], plan.value[1][task]
-        made = rows = mark = 0
+        first, (most, want_rows, want_bytes) = plan.value[0].get(task, 0), plan.value[1].get(task, (0, 0, 0))
+        made = rows = seen = 0
         held, owners, at = [], [], []           # token arrays not yet cut, their documents and starts
         size = 0
 
@@ -158,7 +150,9 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
                 s, e = k * length, min((k + 1) * length, size)
                 a, b = np.searchsorted(begins, s, "right") - 1, np.searchsorted(begins, e, "left")
                 out.append({"n_tokens": e - s, "tokens": flat[s:e].tobytes(), "doc_ids": owners[a:b]})
-            slots = perm.slot(np.arange(first + made, first + made + n)) if n else np.zeros(0, np.int64)
+            if made + n > most:
+                raise RuntimeError("the two scans of the input differ; materialise needs stored files")
+            spots = perm.slot(np.arange(first + made, first + made + n)) if n else np.zeros(0, np.int64)
             made += n
             if n < -(-size // length) or not last:
                 s = n * length
@@ -167,8 +161,8 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
                 held, owners = [rest] if len(rest) else [], owners[a:]
                 at = [max(0, x - s) for x in at[a:]]
                 size = len(rest)
-            for r, x in zip(out, slots.tolist()):
-                r.update(slot=x, shard=x // per)
+            for r, x in zip(out, spots.tolist()):
+                r.update(place=x, shard=x // per)
             return pa.RecordBatch.from_pylist(out, schema=kinds)
 
         for whole in batches:
@@ -181,20 +175,20 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
                     at.append(size)
                     size += len(ids)
                     rows += 1
-                    mark = crc32(str(len(text)).encode(), mark)
+                    seen += len(text.encode("utf-8", "replace")) + 1
                 if size >= length:
                     yield cut(False)
         if size:
             yield cut(True)
-        if (made, rows, mark) != (want, want_rows, want_mark):
+        if (rows, seen) != (want_rows, want_bytes):
             raise RuntimeError("the two scans of the input differ; materialise needs stored files")
 
-    kinds = pa.schema([("slot", pa.int64()), ("shard", pa.int32()), ("n_tokens", pa.int32()), ("tokens", pa.binary()),
+    kinds = pa.schema([("place", pa.int64()), ("shard", pa.int32()), ("n_tokens", pa.int32()), ("tokens", pa.binary()),
                        ("doc_ids", pa.list_(pa.int64()))])
 
     def write(batches):
         fs, root = _files(folder)
-        out, shard, slot, tmp = None, None, 0, None
+        out, shard, rank, tmp = None, None, 0, None
 
         def close():
             if out is not None:
@@ -202,35 +196,39 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
                 fs.move(tmp, f"{root}/shard-{shard:06d}.bin")
 
         for b in batches:
-            rows = b.to_pylist()
             got = []
-            for r in rows:
+            for r in b.to_pylist():
                 if r["shard"] != shard:
                     close()
-                    shard, slot = r["shard"], r["shard"] * per
+                    shard, rank = r["shard"], 0
                     tmp = f"{root}/.shard-{shard:06d}-{uuid.uuid4().hex}"
                     out = fs.open_output_stream(tmp)
-                if r["slot"] != slot:
-                    raise RuntimeError(f"slot {slot} is missing")
                 raw = r["tokens"] + np.full(length - r["n_tokens"], end, kind).tobytes()
                 out.write(raw)
-                got.append({"slot": slot, "shard": shard, "byte_offset": (slot - shard * per) * stride,
-                            "n_tokens": r["n_tokens"], "crc": crc32(raw), "doc_ids": r["doc_ids"]})
-                slot += 1
+                got.append({"place": r["place"], "shard": shard, "rank": rank, "n_tokens": r["n_tokens"],
+                            "crc": crc32(raw), "doc_ids": r["doc_ids"]})
+                rank += 1
             if got:
-                yield pa.RecordBatch.from_pylist(got, schema=manifest)
+                yield pa.RecordBatch.from_pylist(got, schema=lines)
         close()
 
-    manifest = pa.schema([("slot", pa.int64()), ("shard", pa.int32()), ("byte_offset", pa.int64()),
-                          ("n_tokens", pa.int32()), ("crc", pa.int64()), ("doc_ids", pa.list_(pa.int64()))])
-    sequences = src.mapInArrow(pack, "slot long, shard int, n_tokens int, tokens binary, doc_ids array<long>")
-    rows = (sequences.repartitionById(max(1, shards), "shard").sortWithinPartitions("shard", "slot")
-            .mapInArrow(write, "slot long, shard int, byte_offset long, n_tokens int, crc long, doc_ids array<long>"))
-    out = Scratch(spark, "shards").write(rows, "manifest")
+    lines = pa.schema([("place", pa.int64()), ("shard", pa.int32()), ("rank", pa.int64()), ("n_tokens", pa.int32()),
+                       ("crc", pa.int64()), ("doc_ids", pa.list_(pa.int64()))])
+    sequences = src.mapInArrow(pack, "place long, shard int, n_tokens int, tokens binary, doc_ids array<long>")
+    rows = (sequences.repartitionById(max(1, shards), "shard").sortWithinPartitions("shard", "place")
+            .mapInArrow(write, "place long, shard int, rank long, n_tokens int, crc long, doc_ids array<long>"))
+    made = Scratch(spark, "shards").write(rows, "manifest")
+    # one number for each file
+    counts = {r["shard"]: r["count"] for r in made.groupBy("shard").count().collect()}
+    sizes = [counts.get(k, 0) for k in range(shards)]
+    starts = np.concatenate([[0], np.cumsum(sizes)]).astype(int).tolist()
     with fs.open_output_stream(f"{root}/meta.json") as f:
-        f.write(json.dumps({"length": length, "kind": kind, "sequences": total, "per_shard": per, "key": key,
+        f.write(json.dumps({"length": length, "kind": kind, "sizes": sizes, "places": places, "key": key,
                             "end": end}).encode())
-    return out
+    offset = spark.createDataFrame([(k, starts[k]) for k in range(shards)], "shard int, start long")
+    return made.join(F.broadcast(offset), "shard").select(
+        (F.col("start") + F.col("rank")).alias("slot"), "shard", (F.col("rank") * stride).alias("byte_offset"),
+        "n_tokens", "crc", "doc_ids", "place")
 
 
 def read(folder: str, first: int = 0, count: int | None = None):
@@ -239,13 +237,15 @@ def read(folder: str, first: int = 0, count: int | None = None):
     with fs.open_input_stream(f"{root}/meta.json") as f:
         meta = json.loads(f.read())
     size = meta["length"] * np.dtype(meta["kind"]).itemsize
-    last = meta["sequences"] if count is None else min(meta["sequences"], first + count)
+    ends = np.cumsum(meta["sizes"]).astype(int)
+    last = int(ends[-1]) if len(ends) else 0
+    last = last if count is None else min(last, first + count)
     slot = first
     while slot < last:
-        shard, here = divmod(slot, meta["per_shard"])
-        stop = min(last, (shard + 1) * meta["per_shard"])
+        shard = int(np.searchsorted(ends, slot, "right"))
+        stop = min(last, int(ends[shard]))
         with fs.open_input_file(f"{root}/shard-{shard:06d}.bin") as f:
-            f.seek(here * size)
+            f.seek((slot - int(ends[shard]) + meta["sizes"][shard]) * size)
             while slot < stop:
                 yield slot, np.frombuffer(f.read(size), meta["kind"])
                 slot += 1
