@@ -89,13 +89,18 @@ def extreme_row(df: DataFrame, key: Sequence[str], order: Sequence[str], value:
     """Stream form of maxBy / minBy (rolling): key, ``at_<order>`` of the
     current row, then the chosen row's ``columns``."""
     row_cols = list(dict.fromkeys(columns))
+    # integers travel as decimals: a batch with a null would turn them into floats
+    whole = {c: df.schema[c].dataType for c in row_cols
+             if c not in (*key, *order) and isinstance(df.schema[c].dataType, T.IntegralType)}
+    df = df.withColumns({c: F.col(c).cast("decimal(20,0)") for c in whole}) if whole else df
     out = [*[k for k in key if k not in row_cols], *[f"at_{o}" for o in order], *row_cols]
     schema = ", ".join([*[f"`{k}` {_type(df, k)}" for k in key if k not in row_cols],
                         *[f"`at_{o}` {_type(df, o)}" for o in order],
                         *[f"`{c}` {_type(df, c)}" for c in row_cols]])
     state = ", ".join(f"`{c}` {_type(df, c)}" for c in row_cols)
     proc = P.ExtremeRow(order, value, row_cols, out, largest, state)
-    return keyed(df, key, proc, schema)
+    rows = keyed(df, key, proc, schema)
+    return rows.withColumns({c: F.col(c).cast(t) for c, t in whole.items()}) if whole else rows
 
 
 def value_counts(df: DataFrame, key: Sequence[str], order: Sequence[str],
