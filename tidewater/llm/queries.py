@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import bpe, caps, chosen_path, html, latent, lattice, quality, recompress, shards, toxicity
 from .common import table
+from .oracle import ORACLE
 
 #: Folder of the public tokenizer files (see the README).
 TOKENIZERS = os.environ.get("TIDEWATER_TOKENIZERS", "/opt/tokenizers")
@@ -71,4 +72,4 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_bpe": op10_bpe,
 }
 
-LLM_ORACLE: dict[str, str] = {}
+LLM_ORACLE: dict[str, str] = dict(ORACLE)
