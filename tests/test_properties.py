@@ -8,9 +8,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-import __spark_entry__ as entry
 from tidewater.operators import aggregates as agg
 from tidewater.operators import late, state, windows
+from tidewater.plans.queries import QUERIES
 
 from .conftest import SF_SMALL, rows
 
@@ -23,9 +23,9 @@ def _canon(df):
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_result_independent_of_shuffle_partitions(spark, name):
-    q = entry.queries()[name]
+    q = QUERIES[name]
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         spark.conf.set("spark.sql.shuffle.partitions", "1")

@@ -1,4 +1,5 @@
-"""Write PLANS.md: the physical plan of every registered query.
+"""Write PLANS.md: the physical plan of every registered engine query
+(the training-data queries run in several steps and have no single plan).
 
 Usage: python tools/plan_report.py [sf_dir] [out.md]
 """
@@ -12,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as entry  # noqa: E402
+from tidewater.plans.queries import QUERIES  # noqa: E402
 from tidewater.session import build_session  # noqa: E402
 
 
@@ -23,7 +24,7 @@ def main() -> None:
     parts = [f"# Physical plans\n\nGenerated by `tools/plan_report.py` on `{base}` "
              "(local[8], 16 shuffle partitions, AQE on; the final AQE plan may coalesce "
              "partitions or switch join strategies at run time).\n"]
-    for name, q in entry.queries().items():
+    for name, q in QUERIES.items():
         buf = io.StringIO()
         with contextlib.redirect_stdout(buf):
             q(spark, base).explain("simple")
