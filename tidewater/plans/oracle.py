@@ -142,6 +142,8 @@ from (select unnest(generate_series(0, (select count(*) - 1 from events))) as i)
     "parse_sensor": """
 select cast(user_id as varchar) as id, event_id as ts, cast(floor(value) as integer) as vc
 from events""",
+    "parse_pair": """
+select event_id, event_type as k, make_timestamp(event_id * 1500000) as at from events""",
     "map_project": "select event_id, cast(user_id as varchar) as id from events",
     "filter_eq": "select event_id, user_id, event_type, value from events where event_type = 'click'",
     "flatmap_words": f"select doc_id, unnest({_words('text')}) as word from documents",

@@ -17,7 +17,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.core import parse_sensor
+from ..functions.core import parse_sensor, split_pair
+from ..functions.time import event_time_from
 from ..operators import aggregates as agg
 from ..operators import joins, late, partition, rowops, scan, state, topn, windows
 from ..operators.accumulate import accumulate, sum_as_text
@@ -86,6 +87,15 @@ def parse_sensor_q(spark, base):
     return lines.select(parse_sensor("line").alias("s")).select("s.id", "s.ts", "s.vc")
 
 
+def parse_pair(spark, base):
+    """Lines "type millis" cut in two, the second part assigned as event time."""
+    lines = events(spark, base).select("event_id", F.concat_ws(
+        " ", "event_type", (F.col("event_id") * 1500).cast("string")).alias("line"))
+    out = lines.select("event_id", split_pair("line").alias("p"))
+    return out.select("event_id", F.col("p.k").alias("k"),
+                      event_time_from(F.col("p.v").cast("bigint"), "millis").cast("timestamp_ntz").alias("at"))
+
+
 def map_project(spark, base):
     return rowops.map_rows(events(spark, base), event_id=F.col("event_id"),
                            id=F.col("user_id").cast("string"))
@@ -474,6 +484,7 @@ def bottomn_window(spark, base):
 QUERIES: dict[str, Query] = {
     "src_datagen": src_datagen,
     "parse_sensor": parse_sensor_q,
+    "parse_pair": parse_pair,
     "map_project": map_project,
     "filter_eq": filter_eq,
     "flatmap_words": flatmap_words,
