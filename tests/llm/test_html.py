@@ -1,6 +1,7 @@
 import html as entities
 import random
 import re
+from zlib import crc32
 
 import numpy as np
 
@@ -26,6 +27,18 @@ def test_blocks():
     assert path == ("div", "post", "entry", "body", "p")
 
 
+def test_every_word_of_a_block_is_read():
+    edge = [f"w{k}" for k in range(20)]
+    seq = [(("p",), " ".join(edge + middle + edge), 0) for middle in (["Article", "prose"] * 100, ["cookie", "notice"] * 100)]
+    words = html.vectors(seq)[:, html.PATH_DIM:html.PATH_DIM + html.WORD_DIM]
+    for (_, text, _), got in zip(seq, words):
+        want = np.zeros(html.WORD_DIM)
+        for w in text.split():
+            want[crc32(w.lower().encode()) % html.WORD_DIM] += 1 / len(text.split())
+        assert np.allclose(got, want, atol=1e-6)
+    assert np.abs(words[0] - words[1]).max() > 0.2
+
+
 def test_gradients_by_differences():
     rng = np.random.default_rng(0)
     m = html.Labeller()

@@ -3,7 +3,7 @@
 A page becomes its sequence of leaf blocks: the texts between block-level tags,
 each with the path of open tags (and their class, id and role words) above it.
 A bidirectional LSTM in numpy reads a page's whole sequence - hashed tag-path
-vector, hashed-word vector and a few sizes for each block - and labels every
+vector, vector of all its hashed words and a few sizes for each block - and labels every
 block article or not with the context of the whole document. The main text is
 the labelled blocks in page order.
 
@@ -120,10 +120,8 @@ def vectors(seq) -> np.ndarray:
         if own is None:
             own = paths[path] = [crc32(w.encode()) % PATH_DIM for w in path if w not in ("html", "body")]
         x[k, own] = 1.0
-        words = text.split()
-        few = words[:12] + words[-4:]
-        for w in few:
-            x[k, PATH_DIM + crc32(w.lower().encode("utf-8", "replace")) % WORD_DIM] += 1.0 / len(few)
+        words = text.lower().encode("utf-8", "replace").split()
+        x[k, PATH_DIM:PATH_DIM + WORD_DIM] = np.bincount([crc32(w) % WORD_DIM for w in words], minlength=WORD_DIM) / len(words)
         x[k, -4] = np.log1p(len(text)) / 5
         x[k, -3] = min(linked / len(text), 1.0)
         x[k, -2] = (k + 1) / len(seq)
