@@ -27,6 +27,22 @@ def test_blocks():
     assert path == ("div", "post", "entry", "body", "p")
 
 
+def test_head_and_unseen_elements_without_end():
+    texts = lambda page: [t for _, t, _ in html.blocks(page)]
+    body = "<article><p>one</p><p>two</p></article>"
+    for start in ("<head><title>t</title><body>", "<head><title>t</title>", "<HEAD><meta charset=x><style>p{}</style><script>1</script>",
+                  "<head><title>t</title><noscript><p>no</p></noscript></head>", "<head><title>t</title><template><p>no</p></template><body>",
+                  "<body><svg><path d=''>", "<body><noscript>", "<body><template>", "<head><noscript>", "<body><svg/>",
+                  "<body><svg><path/><svg><text>no</text></svg>", "<template><template>no</template>no</template>"):
+        assert texts(f"<html>{start}{body}") == ["one", "two"], start
+        assert texts(f"<html>{start}{body}<svg><text>no</text></svg><noscript>no</noscript>") == ["one", "two"], start
+        assert "head" not in html.blocks(f"<html>{start}{body}")[0][0]
+    assert texts("<head><title>t</title>plain <b>text</b><p>more") == ["plain text", "more"]
+    assert texts("<svg><title>t</title><text>no</text></svg><head-line>one</head-line><title-bar>two</title-bar>") == ["one", "two"]
+    assert texts("<p>o<svg><path/></svg>n<svg>e<p>two") == ["one", "two"]
+    assert texts("<p>one<script>no") == texts("<p>one<textarea>no") == texts("<p>one<iframe>no") == ["one"]
+
+
 def test_every_word_of_a_block_is_read():
     edge = [f"w{k}" for k in range(20)]
     seq = [(("p",), " ".join(edge + middle + edge), 0) for middle in (["Article", "prose"] * 100, ["cookie", "notice"] * 100)]

@@ -12,7 +12,8 @@ The network is trained here: on a bounded sample of the pages themselves
 pages with that markup renamed, shuffled and extended (sidebars, notices,
 forms, comments), so that it also learns from place and wording. White space is
 one space inside a block; blocks are joined by one space; character references
-are decoded; scripts, styles, templates, comments and the head are no blocks.
+are decoded; scripts, styles, templates, comments and the head are no blocks. The
+head ends with its end tag or before the first text or element it can't hold.
 
 Null and empty html give the empty text. Repeated pages are extracted each;
 null ids and urls are kept. An empty table gives no rows.
@@ -36,14 +37,16 @@ EPOCHS, BATCH, RATE = 5, 16, 0.01
 MAX_TRAIN_BLOCKS = 120          # a longer page trains as pieces of so many blocks
 
 # fixed values of the HTML standard: elements
-RAW = "script|style|noscript|template|textarea|iframe|svg|head|title"
+RAW = "script|style|textarea|iframe|title"              # without an end tag they run to the end of the page
+UNSEEN = frozenset("noscript template svg".split())     # left out up to their end tag; without one only the tag itself
+HEAD = frozenset("base link meta noscript script style template title".split())     # any other element ends the head
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i kbd label mark q s samp small span strike strong "
                    "sub sup time tt u var wbr img".split())
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
                      "nav ol p pre section table ul figure details".split())
 
-PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")\b(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(?:.*?</(?P=raw)\s*>|.*\Z)"
+PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")(?![a-zA-Z0-9:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(?:.*?</(?P=raw)\s*>|.*\Z)"
                    r"|<![^>]*>|<\?[^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
                    re.S | re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
@@ -56,9 +59,25 @@ SAYS_NO = frozenset("nav header footer aside form button select menu sidebar ad
 SAYS_YES = frozenset("article main post entry story content body".split())
 
 
+def unseen(pieces: list) -> dict[int, int]:
+    """The pieces where UNSEEN elements with an end tag start and end."""
+    opened: dict[str, list[int]] = {t: [] for t in UNSEEN}
+    spans: dict[int, int] = {}
+    for k, m in enumerate(pieces):
+        tag = (m["tag"] or "").lower()
+        if tag in UNSEEN:
+            if not m["end"]:
+                if not m["attr"].endswith("/"):
+                    opened[tag].append(k)
+            elif opened[tag]:
+                spans[opened[tag].pop()] = k
+    return spans
+
+
 def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
     """(path, text, characters in links) of every leaf block with text, in page order."""
     out, stack, buf, at, linked = [], [], [], 0, 0
+    head = None                                             # where the head stands in the stack, while it is open
 
     def flush():
         nonlocal linked
@@ -70,23 +89,44 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             buf.clear()
         linked = 0
 
+    def end_head():
+        nonlocal head
+        flush()
+        del stack[head:]
+        head = None
+
     def text(s: str):
         nonlocal linked
         if s:
+            if head is not None and s.strip():
+                end_head()
             buf.append(s)
             if any(t == "a" for t, _ in stack):
                 linked += len(s)
 
-    for m in PIECE.finditer(page):
+    pieces = list(PIECE.finditer(page))
+    spans, after = unseen(pieces), -1
+    for piece, m in enumerate(pieces):
+        if piece <= after:
+            continue
         text(page[at:m.start()])
         at = m.end()
         tag = m["tag"]
         if tag is None:
             continue
         tag = tag.lower()
+        if head is not None and not m["end"] and tag not in HEAD:
+            end_head()
+        if tag in UNSEEN:
+            if piece in spans:
+                after = spans[piece]
+                at = pieces[after].end()
+            continue
         if tag not in INLINE:
             flush()
         if m["end"]:
+            if tag == "head":
+                head = None
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
                     del stack[k:]
@@ -105,6 +145,8 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
             if m["attr"]:
                 for a in NAMES.finditer(m["attr"]):
                     words += PART.findall((a[1] or a[2] or a[3] or "").lower())
+            if tag == "head":
+                head = len(stack)
             stack.append((tag, words))
     text(page[at:])
     flush()
