@@ -58,6 +58,22 @@ def test_odd_rows_and_families(spark):
     assert got(cp.near(docs)) == brute(rows)
 
 
+def test_repeated_ids_with_near_unlike_and_empty_texts(spark):
+    rng = random.Random(6)
+    base, other, third = (" ".join(words(rng, 60)) for _ in range(3))
+    rows = [(3, base), (7, ""), (7, "real text of seven words stands here"), (7, None), (7, " \t"),
+            (8, base + " one"), (8, other), (8, other + " two"), (8, other), (9, other + " two three"),
+            (4, third + " x"), (5, third), (5, third + " y"), (None, base)]
+    docs = spark.createDataFrame([(i, t, k) for k, (i, t) in enumerate(rows)], "doc_id long, text string, row int")
+    want = [(3, 3, 1), (7, 7, 0), (7, 7, 0), (7, 7, 0), (7, 7, 0), (8, 3, 1), (8, 8, 3), (8, 8, 3), (8, 8, 3), (9, 8, 3),
+            (4, 4, 2), (5, 4, 2), (5, 4, 2), (None, None, 0)]
+    assert got(cp.near(docs)) == sorted(want, key=repr)
+    kept = cp.representatives(docs)
+    assert kept.columns == docs.columns
+    stay = sorted(r.row for r in kept.collect())
+    assert stay in ([0, 1, 2, 3, 4, 6, 10, 13], [0, 1, 2, 3, 4, 8, 10, 13])
+
+
 def test_crowded_nodes_and_blocks(spark):
     rng = random.Random(4)
     rows = [(k, t) for k, t in enumerate(family(rng, 150, 80, 2))]

@@ -18,9 +18,9 @@ blocks), every two are intersected, and links are counted. Equal sets go through
 as one with their number, so copies are never paired with each other.
 
 Null and empty texts have no set and no links. Rows that repeat a doc_id are
-documents of their own (each is a link of the others if it is near), but one
-node of a class. A row with a null doc_id gets no links and a null class. An
-empty table gives no rows.
+documents of their own: each is a link of the others if it is near, and in the
+class of its own set, which need not be theirs. A row with a null doc_id gets no
+links and a null class. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (Scratch, components, groups, id_text, joined_labels, least_labels, mixed, run_hashes, spread,
+from .common import (WORD, Scratch, components, groups, id_text, joined_labels, least_labels, mixed, run_hashes, spread,
                      word_hashes)
 
 THRESHOLD = 0.8
@@ -78,17 +78,19 @@ def embed(s: np.ndarray) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, key, coords): key the same for equal sets, null without words."""
+    """(doc_id, mark, key, coords): mark a hash of the text, key the same for equal sets, null without words."""
     def run(batches):
         for b in batches:
             keys, coords = [], []
-            for t in b.column(1).cast(pa.binary()):
+            for t in b.column(2).cast(pa.binary()):
                 s = shingles(t.as_py())
                 keys.append(hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s) else None)
                 coords.append(embed(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.string()), pa.array(coords, pa.binary())],
-                                             names=["doc_id", "key", "coords"])
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, key string, coords binary")
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), b.column(1), pa.array(keys, pa.string()), pa.array(coords, pa.binary())],
+                names=["doc_id", "mark", "key", "coords"])
+    return (id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("mark"), "text")
+            .mapInArrow(run, "doc_id long, mark long, key string, coords binary"))
 
 
 def children(node: np.ndarray, coords: np.ndarray) -> np.ndarray:
@@ -263,7 +265,7 @@ def verify(docs: DataFrame, maybe: DataFrame, sets: DataFrame, threshold: float,
 
     ``maybe`` has (rep, component, n): each set's group of candidates and the group's size.
     """
-    own = sets.select("rep", "key", "m").join(maybe, "rep")
+    own = sets.select("rep", "key", "m", "doc_id", "mark").join(maybe, "rep")
 
     def run(batches):
         for (_, lo, hi), t in groups(batches, ["component", "lo", "hi"]):
@@ -272,7 +274,7 @@ def verify(docs: DataFrame, maybe: DataFrame, sets: DataFrame, threshold: float,
                 if key in rows:
                     continue
                 s = shingles(text)
-                if hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() == key:   # else another row of this id
+                if hashlib.blake2b(s.tobytes(), digest_size=16).hexdigest() == key:   # else another text with this mark
                     rows[key] = (rep, m, side, s)
             if len(rows) < 2:
                 continue
@@ -287,23 +289,24 @@ def verify(docs: DataFrame, maybe: DataFrame, sets: DataFrame, threshold: float,
                     [pa.array([keys[i] for i in at]), pa.array(linked @ m[at]), pa.array(rep[at]),
                      pa.array(least_labels(linked, rep[at]))], names=["key", "links", "a", "b"])
 
-    own = own.withColumnRenamed("rep", "doc_id")
     own = F.broadcast(own) if maybe.count() <= BROADCAST_ROWS else own.hint("shuffle_hash")
-    texts = docs.filter("doc_id is not null").join(own, "doc_id")
-    return (spread(texts.withColumnRenamed("doc_id", "rep"), "component", "rep", block)
+    texts = docs.filter("doc_id is not null").withColumn("mark", F.xxhash64("text")).join(own, ["doc_id", "mark"])
+    return (spread(texts, "component", "rep", block)
             .select("component", "lo", "hi", "side", "rep", "key", "m", F.col("text").cast("binary").alias("text"))
             .repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi")
             .mapInArrow(run, "key string, links long, a long, b long"))
 
 
-def near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
-         block: int = BLOCK) -> DataFrame:
-    """(doc_id, class_id, n_links) of every row; class_id is the smallest doc_id reachable by links."""
+def classified(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
+               block: int = BLOCK) -> DataFrame:
+    """(doc_id, mark, class, class_id, n_links) of every row: mark is a hash of its text, class names the
+    class of its set (null without one), class_id is the smallest doc_id of the class, or the row's own."""
     scratch = Scratch(docs.sparkSession, "chosen-path")
     prints = scratch.write(fingerprints(docs, id_col, text_col), "prints")
-    members = prints.filter("doc_id is not null and key is not null").select("doc_id", "key")
+    # each set has a number of its own: doc_id and mark only say where one of its texts is
     sets = scratch.write(prints.filter("doc_id is not null and key is not null").groupBy("key").agg(
-        F.min("doc_id").alias("rep"), F.count("*").alias("m"), F.first("coords").alias("coords")), "sets")
+        F.min(F.struct("doc_id", "mark")).alias("at"), F.count("*").alias("m"), F.first("coords").alias("coords")).select(
+        F.monotonically_increasing_id().alias("rep"), "key", "at.doc_id", "at.mark", "m", "coords"), "sets")
     maybe = scratch.write(components(candidates(sets, scratch, threshold), scratch, "maybe"), "groups", narrow=True)
     scratch.release()
     sized = scratch.write(maybe.join(maybe.groupBy("component").agg(F.count("*").alias("n")), "component").select(
@@ -311,25 +314,37 @@ def near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
     found = scratch.write(verify(id_text(docs, id_col, text_col), sized, sets, threshold, block), "found")
     scratch.release()
     links = found.groupBy("key").agg(F.sum("links").alias("links"))
-    per_set = sets.select("key", "rep", "m").join(links, "key", "left").select(
-        "key", (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n"))
-    same = members.join(sets.select("key", "rep"), "key").filter("doc_id <> rep").select(
-        F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    classes = components(found.filter("a <> b").select("a", "b").union(same), scratch, "classes")
-    return (prints.select("doc_id", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
-            .join(per_set, "key", "left").join(classes.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-            .select("doc_id", F.coalesce("component", "doc_id").alias("class_id"),
+    classes = components(found.filter("a <> b").select("a", "b"), scratch, "classes")
+    member = sets.select("rep", "doc_id").join(classes.withColumnRenamed("node", "rep"), "rep").select(
+        "rep", F.col("component").alias("class"), "doc_id")
+    member = member.select("rep", "class").join(member.groupBy("class").agg(F.min("doc_id").alias("least")), "class")
+    per_set = sets.select("key", "rep", "doc_id", "m").join(links, "key", "left").join(member, "rep", "left").select(
+        "key", F.coalesce("class", "rep").alias("class"), F.coalesce("least", "doc_id").alias("least"),
+        (F.coalesce("links", F.lit(0)) + F.col("m") - 1).alias("n"))
+    return (prints.select("doc_id", "mark", F.when(F.col("doc_id").isNotNull(), F.col("key")).alias("key"))
+            .join(per_set, "key", "left")
+            .select("doc_id", "mark", "class", F.coalesce("least", "doc_id").alias("class_id"),
                     F.coalesce("n", F.lit(0)).cast("long").alias("n_links")))
 
 
+def near(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
+         block: int = BLOCK) -> DataFrame:
+    """(doc_id, class_id, n_links) of every row; class_id is the smallest doc_id reachable by links."""
+    return classified(docs, threshold, id_col, text_col, block).select("doc_id", "class_id", "n_links")
+
+
 def representatives(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id",
                     text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all their columns, that stay: of each class the row of its smallest
-    doc_id (of several, the one with the least text), and every row without id."""
-    stay = (near(docs, threshold, id_col, text_col).filter("doc_id = class_id").select(F.col("doc_id").alias("stay_id"))
+    doc_id (of several, the one with the least text), and every row without id or without words."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    alone = F.col(id_col).cast("long").isNull() | ~text.rlike(WORD.pattern)
+    stay = (classified(docs, threshold, id_col, text_col).filter("class is not null and doc_id = class_id")
+            .select(F.col("doc_id").alias("stay_id"), F.col("mark").alias("stay_mark"), F.col("class").alias("stay_class"))
             .distinct())
     row = F.struct(*docs.columns)
-    one = (docs.select(F.col(id_col).cast("long").alias("stay_id"), row.alias("row"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("order"))
-           .join(stay.hint("shuffle_hash"), "stay_id").groupBy("stay_id").agg(F.min_by("row", "order").alias("row")))
-    return one.select("row.*").unionByName(docs.filter(F.col(id_col).cast("long").isNull()))
+    one = (docs.filter(~alone).select(F.col(id_col).cast("long").alias("stay_id"), F.xxhash64(text).alias("stay_mark"),
+                                      row.alias("row"), text.alias("order"))
+           .join(stay.hint("shuffle_hash"), ["stay_id", "stay_mark"])
+           .groupBy("stay_class").agg(F.min_by("row", "order").alias("row")))
+    return one.select("row.*").unionByName(docs.filter(alone))
