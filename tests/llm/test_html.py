@@ -113,6 +113,37 @@ def test_odd_rows(spark):
     assert got == sorted(want, key=repr)
 
 
+def neutral(page, k):
+    """The page with boilerplate before and after the article that no markup word names."""
+    first = f'<div class="byline"><p>By Ann Lee {k}</p></div><div class="toc"><p>Part one</p><p>Part two</p></div>'
+    last = '<div class="tags"><p>alpha</p><p>beta</p></div><div class="pagination"><p>Page 1 of 9</p></div>'
+    return page.replace("<article>", first + "<article>").replace("</article>", "</article>" + last)
+
+
+def test_neutral_boilerplate(spark):
+    path = html.blocks('<html class="post"><body class="main sidebar"><div class="byline"><p>x')[0][0]
+    assert path == ("div", "byline", "p") and html.said(path) == -1
+    rows = spark.read.parquet(f"{SF}/pages.parquet").orderBy("page_id").collect()
+    rng, data = random.Random(11), []
+    for k, r in enumerate(rows[:120]):
+        for seq, y in html.variants(html.blocks(neutral(r.html, k)), rng):
+            data.append((html.vectors(seq), np.array(y, np.float32)))
+    model = html.Labeller().fit(data)
+    right = 0
+    for k, r in enumerate(rows[120:]):
+        seq = html.blocks(neutral(r.html, k))
+        kept = model.label([html.vectors(seq)])[0]
+        right += " ".join(t for (_, t, _), y in zip(seq, kept) if y) == plain(r.html)
+    print("right pages", right, "of", len(rows) - 120)
+    assert right >= 0.97 * (len(rows) - 120)
+
+
+def test_pages_that_only_say_no():
+    page = html.blocks("<body><nav><p>menu</p></nav><p>text one</p><p>text two</p>")
+    seq, y = next(html.variants(page, random.Random(1)))
+    assert seq == page and y == [0, 1, 1]
+
+
 def test_few_odd_pages_train(spark):
     df = spark.createDataFrame([(1, "u", None), (1, "u", "<p>only text</p>")], "page_id long, url string, html string")
     assert sorted(r.text for r in html.main_texts(df).collect()) == ["", "only text"]

@@ -142,7 +142,9 @@ def blocks(page: str) -> list[tuple[tuple[str, ...], str, int]]:
                     if stack[k][0] not in INLINE:
                         break
             words = [tag]
-            if m["attr"]:
+            if tag in ("html", "body"):
+                words = []                                  # above every block: they say nothing of one
+            elif m["attr"]:
                 for a in NAMES.finditer(m["attr"]):
                     words += PART.findall((a[1] or a[2] or a[3] or "").lower())
             if tag == "head":
@@ -160,7 +162,7 @@ def vectors(seq) -> np.ndarray:
     for k, (path, text, linked) in enumerate(seq):
         own = paths.get(path)
         if own is None:
-            own = paths[path] = [crc32(w.encode()) % PATH_DIM for w in path if w not in ("html", "body")]
+            own = paths[path] = [crc32(w.encode()) % PATH_DIM for w in path]
         x[k, own] = 1.0
         words = text.lower().encode("utf-8", "replace").split()
         x[k, PATH_DIM:PATH_DIM + WORD_DIM] = np.bincount([crc32(w) % WORD_DIM for w in words], minlength=WORD_DIM) / len(words)
@@ -301,7 +303,9 @@ def variants(page: list, rng: random.Random):
     """Labelled training sequences of one page: as it is, and with its markup changed."""
     labels = [said(path) for path, _, _ in page]
     if 1 not in labels:
-        return
+        if 0 not in labels or -1 not in labels:
+            return
+        labels = [-v for v in labels]                       # no block says yes: those that don't say no are the article
     yield page, [max(v, 0) for v in labels]
     main = [b for b, v in zip(page, labels) if v == 1]
     rest = [b for b, v in zip(page, labels) if v != 1]
