@@ -7,7 +7,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, caps, chosen_path, html, latent, lattice, quality, recompress, shards, toxicity
+from . import (bpe, caps, chosen_path, html, latent, lattice, merkle, quality, recompress, repetition, runs, shards,
+               toxicity)
 from .common import table
 from .oracle import ORACLE
 
@@ -59,6 +60,18 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), vocabulary("word_bpe_49k.json"))
 
 
+def op11_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.rules(table(spark, sf_dir, "documents")).drop("n_repeats")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.digests(table(spark, sf_dir, "documents")).drop("source", "idx")
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digests(table(spark, sf_dir, "documents"))
+
+
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html": op1_html,
     "op2_chosen_path": op2_chosen_path,
@@ -70,6 +83,9 @@ LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_recompress": op8_recompress,
     "op9_quality": op9_quality,
     "op10_bpe": op10_bpe,
+    "op11_repetition": op11_repetition,
+    "op12_merkle": op12_merkle,
+    "op13_runs": op13_runs,
 }
 
 LLM_ORACLE: dict[str, str] = dict(ORACLE)
