@@ -50,6 +50,31 @@ def test_null_nan_and_large_keys(spark):
     assert rows(accumulate(one, ["k"], sum_as_text("v"), ["v"], "t", "string")) == [("a", "6")]
 
 
+def test_arrays_give_what_rows_give(spark):
+    """The same accumulator with and without its array form: types, nulls, groups over many batches and flushes."""
+    from dataclasses import replace
+    big = 2 ** 62
+    df = spark.range(0, 4000, 1, 5).select(
+        F.when(F.col("id") % 11 != 0, F.col("id") % 7).alias("k"), (F.col("id") % 3).cast("string").alias("g"),
+        F.when(F.col("id") % 5 != 0, F.lit(big) + F.col("id")).alias("i"),
+        F.when(F.col("id") % 4 != 0, (F.col("id") % 100).cast("decimal(10,2)")).alias("d"),
+        (F.col("id") % 8).cast("double").alias("f"))
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")
+    try:
+        for column in ("i", "d", "f"):
+            acc = sum_as_text(column)
+            for key in (["k", "g"], ["k"], []):
+                for flush in (10, 100_000):
+                    fast = accumulate(df, key, acc, [column], "t", "string", flush_keys=flush)
+                    slow = accumulate(df, key, replace(acc, arrays=None), [column], "t", "string", flush_keys=flush)
+                    assert fast.schema == slow.schema
+                    assert sorted(map(repr, fast.collect())) == sorted(map(repr, slow.collect())), (column, key, flush)
+        assert accumulate(df.limit(0), ["k"], sum_as_text("i"), ["i"], "t", "string").count() == 0
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
 def test_runs_where_workers_cannot_import_the_package(tmp_path):
     import os
     import subprocess

@@ -111,3 +111,32 @@ def test_split_routes_null_to_main(spark):
         [(None,), ("s3",)], key=lambda r: str(r[0]))
     total = sum(o.count() for o in out.values())
     assert total == df.count()
+
+
+def test_rich_map_releases_after_a_failure(spark):
+    opened, released, closed = (spark.sparkContext.accumulator(0) for _ in range(3))
+
+    def run(bad):
+        def body(pdf, ctx):
+            if bad:
+                raise ValueError("bad row")
+            return pdf
+        return rowops.rich_map(spark.range(0, 4, 1, 2), body, "id long", open_fn=lambda c: opened.add(1),
+                               close_fn=lambda c: closed.add(1), release_fn=lambda c: released.add(1))
+
+    assert run(False).count() == 4
+    assert (opened.value, closed.value, released.value) == (2, 2, 2)
+    try:
+        run(True).count()
+    except Exception as e:
+        assert "bad row" in str(e)
+    else:
+        raise AssertionError("the function's error must reach the caller")
+    assert closed.value == 2
+
+
+def test_generate_from_a_table(spark):
+    from tidewater.sources.core import generate_from, number_label
+    df = spark.createDataFrame([(3, "a"), (None, "b")], "i long, x string")
+    assert sorted(map(tuple, generate_from(df, "i", number_label, ["x"]).collect()), key=repr) == [
+        (3, "Number:3", "a"), (None, None, "b")]

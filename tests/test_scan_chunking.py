@@ -147,10 +147,54 @@ def test_sampled_detection_path(spark):
     c = state.running_topk(ev, [], ORDER, "value", 3, hot_rows=1000)
     d = state.running_topk(ev, [], ORDER, "value", 3, hot_rows=10**9)
     assert rows(c) == rows(d)
-    whole = scan.plan_chunks(ev.withColumn(scan.ALL, F.lit(0)), [scan.ALL], ORDER, 1000)
-    assert len(whole.bounds.first()[scan.BOUNDS]) >= 2
-    again = scan.plan_chunks(ev.withColumn(scan.ALL, F.lit(0)), [scan.ALL], ORDER)
-    assert again is not None         # a whole-stream scan is split at any size
+    whole = scan.plan_chunks(ev.withColumn(scan.ALL, F.lit(0)), [scan.ALL], ORDER)
+    assert whole is not None         # a whole-stream scan is split at any size
+    chunked = scan.with_chunks(ev.withColumn(scan.ALL, F.lit(0)), [scan.ALL], whole)
+    assert chunked.select(scan.CHUNK).distinct().count() > 2
+
+
+def test_whole_stream_scan_by_ranges(spark, ev, monkeypatch):
+    """The tree of carries: more levels than one, chunks without rows, types and rows as unsplit."""
+    from tidewater.operators import late
+    outputs = {"s": scan.running_sum("value"), "n": scan.running_count(), "b": scan.running_count(inclusive=False),
+               "m": scan.running_max("value", inclusive=False), "p": scan.last_value("event_type", ORDER, inclusive=False)}
+    few = ev.select("event_id", "ts", "event_type", F.col("value").cast("decimal(18,2)").alias("value"))
+    want = scan.keyed_prefix(few, [], ORDER, outputs, hot_rows=0)
+    for fan, parts in ((1024, "4"), (2, "7"), (3, "40")):
+        monkeypatch.setattr(scan, "CARRY_FAN", fan)
+        spark.conf.set("spark.sql.shuffle.partitions", parts)
+        try:
+            got = scan.keyed_prefix(few, [], ORDER, outputs)
+            assert got.schema == want.schema and rows(got) == rows(want)
+            tiny = scan.keyed_prefix(few.limit(3), [], ORDER, outputs)
+            assert sorted(r.n for r in tiny.collect()) == [1, 2, 3]
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert scan.keyed_prefix(few.limit(0), [], ORDER, outputs).count() == 0
+    flagged = late.flag_late(ev.withColumn("arrival", F.col("event_id")), "ts", ["arrival"], 3600)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    assert "NestedLoop" not in plan and "SinglePartition" not in plan
+
+
+@pytest.mark.parametrize("k", [1, 2, 4])
+def test_topk_in_chunks(spark, k):
+    df = spark.range(0, 900, 1, 3).select(
+        F.when(F.col("id") % 13 != 0, F.col("id") % 2).alias("k"), F.col("id").alias("t"),
+        F.when(F.col("id") % 7 != 0, F.pmod(F.col("id") * 7919, F.lit(101)).cast("double")).alias("v"))
+    want = state.running_topk(df, ["k"], ["t"], "v", k, hot_rows=0)
+    seen, brute = {}, []
+    for r in sorted(df.collect(), key=lambda r: r.t):
+        seen.setdefault(r.k, []).extend([] if r.v is None else [r.v])
+        brute.append((r.k, r.t, r.v, sorted(seen[r.k], reverse=True)[:k]))
+    for hot in (0, 8, 100):
+        got = state.running_topk(df, ["k"], ["t"], "v", k, hot_rows=hot)
+        assert got.schema == want.schema
+        assert sorted((r.k, r.t, r.v, list(r.top)) for r in got.collect() if r.k is not None) == sorted(
+            b for b in brute if b[0] is not None)
+        assert sorted((r.t, list(r.top)) for r in got.collect() if r.k is None) == sorted(
+            (b[1], b[3]) for b in brute if b[0] is None)
+    split = state.running_topk(df, ["k"], ["t"], "v", k, hot_rows=100)._jdf.queryExecution().executedPlan().toString()
+    assert split.count("Range (") <= 2                  # the input is read twice, whatever k is
 
 
 def test_null_keys_are_split_and_types_are_the_same(spark):
@@ -228,3 +272,21 @@ def test_predicate_trigger_and_full_window(ev):
         "n": F.count(F.lit(1)), "hi": F.max("value"), "mid": F.percentile("value", 0.5)})
     assert out.columns == want.columns and rows(out.withColumn("mid", F.round("mid", 9))) == rows(
         want.withColumn("mid", F.round("mid", 9)))
+
+
+def test_map_state_snapshots(spark):
+    df = spark.range(0, 300, 1, 3).select((F.col("id") % 2).alias("k"), F.col("id").alias("t"),
+                                          F.when(F.col("id") % 7 != 0, F.pmod(F.col("id") * 31, F.lit(5)).cast("string")).alias("v"))
+    seen, want = {}, []
+    for r in sorted(df.collect(), key=lambda r: r.t):
+        m = seen.setdefault(r.k, {})
+        if r.v is not None and r.v != "4":
+            m[r.v] = m.get(r.v, 0) + 1
+        want.append((r.k, r.t, r.v, dict(m)))
+    for hot in (0, 8, 60):
+        got = state.value_maps_rolling(df, ["k"], ["t"], "v", ["0", "1", "2", "3", "none", None], hot_rows=hot)
+        assert sorted(((r.k, r.t, r.v, r.counts) for r in got.collect()), key=lambda r: r[1]) == want
+    none = state.value_maps_rolling(df, ["k"], ["t"], "v", [])
+    assert none.schema["counts"].dataType == got.schema["counts"].dataType and none.first().counts == {}
+    with pytest.raises(ValueError):
+        state.value_maps_rolling(df, ["k"], ["t"], "v", list(range(state.MAP_VALUES + 1)))

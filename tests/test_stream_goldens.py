@@ -9,10 +9,11 @@ import tempfile
 
 from pyspark.sql import functions as F
 
-from tidewater.streaming import ops
+from tidewater.streaming import ops, user
 from tidewater.streaming.run import run_available_now
 
 from .conftest import JOIN_LEFT, JOIN_RIGHT, URLS
+from .test_windows_joins import both_lists
 
 BASE = 1_500_000_000
 
@@ -77,9 +78,9 @@ def test_f6_stream_cogroup_with_closing_row(spark):
             .select("k", "t", _at("t").alias("lt")))
     right = (_stream_of(spark, rows_r, "seq int, k string, t2 bigint, p string", "cr")
              .select("k", "t2", "p", _at("t2").alias("rt")))
-    out = _run(ops.window_cogroup(left, right, ["k"], "lt", "rt", "5 seconds", "0 seconds",
-                                  {"left": ("list", "t")},
-                                  {"right": ("list", F.struct("t2", "p"))}), "g_f6")
+    out = _run(user.window_cogroup_process(
+        left, right, ["k"], "lt", "rt", "5 seconds", "0 seconds", ["t"], ["t2", "p"], both_lists,
+        "left array<bigint>, right array<struct<t2:bigint,p:string>>"), "g_f6")
     got = {(r.k, int(r.window_start.timestamp()) - BASE):
            (r.left, [tuple(x) for x in r.right] if r.right else None)
            for r in out.filter(F.col("k") != "zz").collect()}

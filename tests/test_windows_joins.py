@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from tidewater.operators import joins, topn, windows
+from tidewater.operators import grouped, joins, topn, windows
 from tidewater.operators import scan
 
 from .conftest import join_left, join_right, rows, urls
@@ -20,13 +20,19 @@ def test_window_join_pairs(spark):
     assert rows(got) == [("a", 12), ("b", 4), ("e", 1)]
 
 
+def both_lists(key, left, right):
+    """Both sides of a (key, window) as lists; null for a side without rows."""
+    l = [r["t"] for r in grouped.rows_of(left, ["t"])]
+    r = [(x["t2"], x["p"]) for x in grouped.rows_of(right, ["t2", "p"])]
+    yield {"left": l or None, "right": [{"t2": a, "p": b} for a, b in r] or None}
+
+
 def test_window_cogroup_lists(spark):
     l = join_left(spark)
     r = join_right(spark)
-    out = joins.window_cogroup(
-        l, r, ["k"], "lt", "rt", "5 seconds",
-        {"left": ("list", "t")},
-        {"right": ("list", F.struct("t2", "p"))})
+    out = joins.window_cogroup_process(
+        l, r, ["k"], "lt", "rt", "5 seconds", ["t"], ["t2", "p"], both_lists,
+        "left array<bigint>, right array<struct<t2:bigint,p:string>>")
     got = {(x.k, int(x.window_start.timestamp()) if hasattr(x.window_start, "timestamp")
             else x.window_start): (x.left, [tuple(s) for s in x.right] if x.right else None)
            for x in out.withColumn("window_start", _secs("window_start")).collect()}

@@ -16,6 +16,10 @@ runs it in two steps:
 A key's second step sees its partial states, never its rows, and holds one
 state at a time. States travel as pickled bytes. A null key is a key like any
 other, and so is NaN.
+
+An accumulator may also say how it works on arrays (:class:`Arrays`): then
+``add``, ``merge`` and ``result`` each take all groups of a batch at once, states
+are Arrow columns, and no Python runs per group.
 """
 
 from __future__ import annotations
@@ -25,14 +29,31 @@ from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from typing import Any
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
-from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.pandas.types import to_arrow_schema, to_arrow_type
+
+from . import grouped
 
 FLUSH_KEYS = 100_000
 
+Columns = dict[str, pa.Array]
+
+
+@dataclass(frozen=True)
+class Arrays:
+    """An accumulator over arrays. ``ids`` gives every row (or state) its group, 0 .. n - 1, each
+    of which occurs; ``add`` and ``merge`` give the states of the n groups, as columns of ``state``
+    (its names and Arrow types, from the input columns' types)."""
+
+    state: Callable[[pa.Schema], pa.Schema]
+    add: Callable[[Columns, np.ndarray, int], Columns]
+    merge: Callable[[Columns, np.ndarray, int], Columns]
+    result: Callable[[Columns], pa.Array]
+
 
 @dataclass(frozen=True)
 class Accumulator:
@@ -40,6 +61,7 @@ class Accumulator:
     add: Callable[[Any, dict[str, pa.Array]], Any]
     merge: Callable[[Any, Any], Any]
     result: Callable[[Any], Any]
+    arrays: Arrays | None = None
 
 
 def _same(v):
@@ -59,6 +81,8 @@ def accumulate(df: DataFrame, key: Sequence[str], acc: Accumulator, inputs: Sequ
     key columns and ``out``."""
     key, inputs = list(key), list(inputs)
     src = df.select(*dict.fromkeys([*key, *inputs]))
+    if acc.arrays:
+        return _accumulate_arrays(src, key, acc.arrays, inputs, out, out_type, flush_keys)
     key_fields = [src.schema[k] for k in key]
     floats = [isinstance(f.dataType, (T.FloatType, T.DoubleType)) for f in key_fields]
     partial_schema = T.StructType([*key_fields, T.StructField("_state", T.BinaryType())])
@@ -121,14 +145,124 @@ def accumulate(df: DataFrame, key: Sequence[str], acc: Accumulator, inputs: Sequ
     return merged.mapInArrow(finish, out_schema)
 
 
+# -- accumulators over arrays ---------------------------------------------------
+
+def group_ids(columns: Sequence[pa.Array], rows: int) -> tuple[np.ndarray, np.ndarray]:
+    """Each row's group by equal values of all columns, and the first row of every group."""
+    ids = np.zeros(rows, np.int64)
+    first = np.zeros(min(rows, 1), np.int64)
+    for c in columns:
+        if isinstance(c, pa.ChunkedArray):
+            c = c.combine_chunks()
+        codes = c.dictionary_encode(null_encoding="encode").indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        _, first, ids = np.unique(ids * (int(codes.max(initial=0)) + 1) + codes, return_index=True, return_inverse=True)
+    return ids, first
+
+
+def group_sums(values: pa.Array, ids: np.ndarray, n: int) -> pa.Array:
+    """The sum of each group's values (nulls add nothing)."""
+    sums = pa.table({"i": ids, "v": values}).group_by("i", use_threads=False).aggregate([("v", "sum")])
+    out = sums.column("v_sum").combine_chunks().take(pa.array(np.argsort(sums.column("i").to_numpy())))
+    return pc.fill_null(out, pa.scalar(0).cast(out.type))
+
+
+def _accumulate_arrays(src: DataFrame, key: list[str], acc: Arrays, inputs: list[str], out: str,
+                       out_type: T.DataType | str, flush_keys: int) -> DataFrame:
+    src = grouped.key_columns(src, key)
+    otype = T._parse_datatype_string(out_type) if isinstance(out_type, str) else out_type
+    key_fields = [src.schema[k] for k in key]
+    state = acc.state(to_arrow_schema(T.StructType([src.schema[c] for c in inputs])))
+    names = {c: f"_s_{c}" for c in state.names}
+    from pyspark.sql.pandas.types import from_arrow_type
+    partial_type = T.StructType([*key_fields, *[T.StructField(names[f.name], from_arrow_type(f.type)) for f in state]])
+    whole_type = T.StructType([*key_fields, T.StructField(out, otype)])
+
+    def column(t, name):
+        c = t.column(t.schema.get_field_index(name))
+        return c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c
+
+    def states(t) -> Columns:
+        return {c: column(t, n) for c, n in names.items()}
+
+    def packed(keys: list[pa.Array], made: Columns) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*keys, *[made[c].cast(state.field(c).type) for c in names]], names=[*key, *names.values()])
+
+    def merged(t) -> pa.RecordBatch:
+        ids, first = group_ids([column(t, k) for k in key], t.num_rows)
+        return packed([column(t, k).take(pa.array(first)) for k in key], acc.merge(states(t), ids, len(first)))
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for b in batches:
+            if not b.num_rows:
+                continue
+            ids, first = group_ids([column(b, k) for k in key], b.num_rows)
+            made = acc.add({c: column(b, c) for c in inputs}, ids, len(first))
+            held.append(packed([column(b, k).take(pa.array(first)) for k in key], made))
+            if sum(h.num_rows for h in held) >= flush_keys:
+                held = [merged(pa.Table.from_batches(held))]
+                if held[0].num_rows >= flush_keys // 2:         # merging no longer pays: out they go
+                    yield held.pop()
+        if held:
+            yield merged(pa.Table.from_batches(held))
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def done(t: pa.RecordBatch) -> pa.RecordBatch:
+            value = acc.result(states(t))
+            return pa.RecordBatch.from_arrays([*[column(t, k) for k in key], value.cast(to_arrow_type(otype))], names=[*key, out])
+
+        carry: pa.RecordBatch | None = None                     # the last key's state: it may go on in the next batch
+        for b in batches:
+            if not b.num_rows:
+                continue
+            # sorted by key: after merging, the batch's last key is found by its last row
+            t = b if carry is None else pa.Table.from_batches([carry, b]).combine_chunks().to_batches()[0]
+            cuts = grouped._cuts(t, key)
+            ids = np.repeat(np.arange(len(cuts) - 1), np.diff(cuts))
+            firsts = pa.array(cuts[:-1], pa.int64())
+            t = packed([column(t, k).take(firsts) for k in key], acc.merge(states(t), ids, len(cuts) - 1))
+            carry = t.slice(t.num_rows - 1)
+            if t.num_rows > 1:
+                yield done(t.slice(0, t.num_rows - 1))
+        if carry is not None:
+            yield done(carry)
+
+    placed = src.mapInArrow(fold, partial_type)
+    placed = placed.repartition(*key) if key else placed.repartition(1)
+    return placed.sortWithinPartitions(*key).mapInArrow(finish, whole_type)
+
+
 # -- ready accumulators ---------------------------------------------------------
 
+def _sum_state(column: str) -> Callable[[pa.Schema], pa.Schema]:
+    def state(inputs: pa.Schema) -> pa.Schema:
+        t = inputs.field(column).type
+        return pa.schema([("s", pa.decimal128(38, 0) if pa.types.is_integer(t) else
+                           pa.decimal128(38, t.scale) if pa.types.is_decimal(t) else pa.float64())])
+    return state
+
+
+def _wide(v: pa.Array) -> pa.Array:
+    """Values whose sums stay exact."""
+    if pa.types.is_integer(v.type):
+        return v.cast(pa.int64()).cast(pa.decimal128(38, 0))
+    return v.cast(pa.decimal128(38, v.type.scale)) if pa.types.is_decimal(v.type) else v.cast(pa.float64())
+
+
+def _as_text(v: pa.Array) -> pa.Array:
+    return pa.array([str(x) for x in v.to_pylist()]) if pa.types.is_floating(v.type) else v.cast(pa.string())
+
+
 def sum_as_text(column: str) -> Accumulator:
     """The demo window aggregate: sums a numeric column, returns it as text (nulls add nothing)."""
     return Accumulator(zero=lambda: 0,
                        add=lambda s, rows: s + sum(rows[column].drop_null().to_pylist()),
                        merge=lambda a, b: a + b,
-                       result=lambda s: str(s))
+                       result=lambda s: str(s),
+                       arrays=Arrays(state=_sum_state(column),
+                                     add=lambda c, ids, n: {"s": group_sums(_wide(c[column]), ids, n)},
+                                     merge=lambda c, ids, n: {"s": group_sums(c["s"], ids, n)},
+                                     result=lambda c: _as_text(c["s"])))
 
 
 def mean_of(column: str) -> Accumulator:

@@ -10,12 +10,15 @@ per (key, window).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros
+from . import grouped
 
 WSTART = "window_start"
 WEND = "window_end"
@@ -62,8 +65,6 @@ def _side_agg(kind: str, col: Column, present: Column) -> Column:
         agg = F.max(col)
     elif kind == "avg":
         agg = F.avg(col)
-    elif kind == "list":
-        agg = F.sort_array(F.collect_list(col))
     else:
         raise ValueError(f"unknown coGroup aggregate {kind!r}")
     return F.when(present > 0, agg)
@@ -97,10 +98,11 @@ def window_cogroup(left: DataFrame, right: DataFrame, key: Sequence[str], left_t
     without rows in that window gives nulls (full outer semantics).
 
     Each side's function is an aggregate spec ``name: (kind, column)`` with
-    kind count (column ``"*"`` counts rows), sum, min, max, avg or list
-    (sorted values). The two inputs are tagged and unioned and a single
-    aggregation per (key, window) computes both sides, with partial
-    aggregation before its one shuffle; the same plan runs on streams.
+    kind count (column ``"*"`` counts rows), sum, min, max or avg. The two
+    inputs are tagged and unioned and a single aggregation per (key, window)
+    computes both sides, with partial aggregation before its one shuffle; the
+    same plan runs on streams. For any other function of both sides' rows
+    see :func:`window_cogroup_process`.
     """
     u, exprs = cogroup_union(left, right, key, left_ts, right_ts, left_aggs, right_aggs)
     w = F.window("_ts", size)
@@ -109,6 +111,73 @@ def window_cogroup(left: DataFrame, right: DataFrame, key: Sequence[str], left_t
                       *left_aggs, *right_aggs)
 
 
+CoFunction = Callable[[tuple, grouped.Pieces, grouped.Pieces], Iterable[grouped.Row]]
+
+
+def _two_sides(fn: CoFunction, columns: list[dict[str, str]], side: str):
+    """Gives ``fn`` the pieces of a group, sorted by side, as two iterators under the sides' own names."""
+    def run(key: tuple, pieces: grouped.Pieces) -> Iterator[grouped.Row]:
+        waiting: list[pa.RecordBatch] = []              # the right side's first piece, found behind the left side
+        rest = iter(pieces)
+
+        def named(p: pa.RecordBatch, k: int) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([p.column(p.schema.get_field_index(c)) for c in columns[k].values()],
+                                              names=list(columns[k]))
+
+        def left() -> grouped.Pieces:
+            while not waiting:
+                p = next(rest, None)
+                if p is None:
+                    return
+                tags = p.column(p.schema.get_field_index(side))
+                n = pc.sum(pc.equal(tags, 0)).as_py() or 0
+                if n < p.num_rows:
+                    waiting.append(p.slice(n))
+                if n:
+                    yield named(p.slice(0, n), 0)
+
+        first = left()
+
+        def right() -> grouped.Pieces:
+            for _ in first:                             # left rows not taken yet are passed over
+                pass
+            while waiting:
+                yield named(waiting.pop(), 1)
+            for p in rest:
+                yield named(p, 1)
+
+        yield from fn(key, first, right())
+    return run
+
+
+def window_cogroup_process(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str, right_ts: str,
+                           size: str, left_order: Sequence[str], right_order: Sequence[str], fn: CoFunction,
+                           schema) -> DataFrame:
+    """Window coGroup with a user function: ``fn((*key, window_start, window_end), left_pieces,
+    right_pieces)`` once for every (key, window) that has rows on either side.
+
+    Both sides go through one shuffle, tagged and sorted by (key, window, side, order), and the
+    function takes them as two iterators over Arrow batches of the sides' own columns, the left one
+    first: rows of the left side it hasn't taken when it asks for the right one are passed over. So a
+    group of any size is streamed, and only what the function keeps is held. Output: key,
+    window_start, window_end, then ``schema``.
+    """
+    key = list(key)
+    columns = [{c: f"tw{k}_{i}" for i, c in enumerate(df.columns)} for k, df in enumerate((left, right))]
+
+    def side(df: DataFrame, ts: str, order: Sequence[str], tag: int) -> DataFrame:
+        w = F.window(ts, size)
+        place = F.struct(*[F.col(o) for o in order]) if order else F.lit(None).cast("struct<x:int>")
+        return (df.withColumn("_tw_w", w)
+                .select(*key, F.col("_tw_w").start.alias(WSTART), F.col("_tw_w").end.alias(WEND), F.lit(tag).alias("_tw_side"),
+                        place.alias(f"_tw_place{tag}"), *[F.col(c).alias(n) for c, n in columns[tag].items()]))
+
+    both = side(left, left_ts, left_order, 0).unionByName(side(right, right_ts, right_order, 1), allowMissingColumns=True)
+    group = [*key, WSTART, WEND]
+    return grouped.process_groups(both, group, ["_tw_side", "_tw_place0", "_tw_place1"],
+                                  _two_sides(fn, columns, "_tw_side"), schema)
+
+
 def interval_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str,
                   right_ts: str, lower_s: float, upper_s: float,
                   bucket_s: float | None = None) -> DataFrame:

@@ -41,12 +41,15 @@ def word_count(df: DataFrame, text: str, sep: str = " ") -> DataFrame:
 def rich_map(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame],
              schema: T.StructType | str,
              open_fn: Callable[[dict], None] | None = None,
-             close_fn: Callable[[dict], None] | None = None) -> DataFrame:
+             close_fn: Callable[[dict], None] | None = None,
+             release_fn: Callable[[dict], None] | None = None) -> DataFrame:
     """Batch-wise map with a per-task lifecycle.
 
     ``open_fn(ctx)`` runs once per task before the first batch, ``close_fn``
     once after the last one (only on normal completion, as a failed task is
-    retried from scratch). ``ctx`` carries ``partition_id`` (the subtask
+    retried from scratch). ``release_fn`` runs at the task's end in any case,
+    after a failure of ``open_fn`` or ``fn`` too: it gives back what
+    ``open_fn`` took. ``ctx`` carries ``partition_id`` (the subtask
     index), ``task_name``, ``attempt`` and ``stage_id`` from the task context,
     plus anything ``open_fn`` stores.
     ``fn`` gets Arrow-backed pandas batches.
@@ -60,12 +63,16 @@ def rich_map(df: DataFrame, fn: Callable[[pd.DataFrame, dict], pd.DataFrame],
                "attempt": tc.attemptNumber() if tc else 0,
                "stage_id": tc.stageId() if tc else 0}
         ctx["task_name"] = f"stage {ctx['stage_id']} subtask {ctx['partition_id']}"
-        if open_fn:
-            open_fn(ctx)
-        for pdf in batches:
-            yield fn(pdf, ctx)
-        if close_fn:
-            close_fn(ctx)
+        try:
+            if open_fn:
+                open_fn(ctx)
+            for pdf in batches:
+                yield fn(pdf, ctx)
+            if close_fn:
+                close_fn(ctx)
+        finally:
+            if release_fn:
+                release_fn(ctx)
 
     return df.mapInPandas(run, schema)
 

@@ -8,15 +8,19 @@ one task. A key may hold a large share of all rows, so hot keys are split:
 1. a seeded sample of the rows gives chunk boundaries: about
    ``BOUNDS_PER_HOT`` of every ``hot_rows`` rows of a key, by all order
    columns (so rows tied on the first one are still split). Keys that get
-   none are one chunk. A scan of the whole input as one stream takes
-   boundaries from every input task instead, so it is split at any size. No
-   pass counts or shuffles the input, and nothing is sorted but the
-   boundaries. The boundary table is checkpointed to the shared folder so
-   that a re-run stage assigns rows to the same chunks.
+   none are one chunk. No pass counts or shuffles the input, and nothing is
+   sorted but the boundaries. The boundary table is checkpointed to the
+   shared folder so that a re-run stage assigns rows to the same chunks.
 2. the running frame is evaluated per (key, chunk), in parallel;
 3. per (key, chunk) summaries (one row per chunk) are combined over the
    earlier chunks to a carry-in and merged into every row.
 
+A scan of the whole input as one stream has no key to shuffle by. Its rows
+are range-partitioned by the order columns and written once to the shared
+folder, each with its range partition as its chunk (``ranges``); no boundary
+is looked up. The chunks' summaries are combined in groups of ``CARRY_FAN``,
+the groups' in groups again, so no task holds all of them.
+
 Results - rows and types - are those of the unsplit scan for any associative
 aggregate (sum, count, min, max and max/min over structs, which gives first,
 last and arg-max). A null key is a key like any other. Both helper tables
@@ -26,19 +30,19 @@ their size.
 
 from __future__ import annotations
 
-import math
+import uuid
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, shared_path
 
 HOT_ROWS_CONF = "tidewater.scan.hotKeyRows"
 DEFAULT_HOT_ROWS = 4_000_000
 BOUNDS_PER_HOT = 4         # boundaries sampled from hot_rows rows, on average
-BOUNDS_PER_TASK = 2        # boundaries from each input task, scanning one whole stream
+CARRY_FAN = 1024           # chunk summaries combined in one group, scanning one whole stream
 
 CHUNK = "_tw_chunk"
 HOT = "_tw_hot"
@@ -62,7 +66,8 @@ def _add(carry: Column, local: Column) -> Column:
 
 
 SUM = Monoid(F.sum, F.sum, _add)
-COUNT = Monoid(F.count, F.sum, _add)
+# a count is never null, split or not
+COUNT = Monoid(F.count, F.sum, lambda c, l: F.coalesce(c + l, l, c))
 MAX = Monoid(F.max, F.max, lambda c, l: F.greatest(c, l))
 MIN = Monoid(F.min, F.min, lambda c, l: F.least(c, l))
 
@@ -129,7 +134,7 @@ def _c(expr: Column | str) -> Column:
 
 @dataclass
 class ChunkPlan:
-    bounds: DataFrame          # key columns + BOUNDS array<struct(order)>, split keys only
+    bounds: DataFrame | None   # key columns + BOUNDS array<struct(order)>, split keys only; None: one whole stream
     order: list[str]           # the order columns the boundaries are made of
 
 
@@ -161,8 +166,7 @@ def plan_chunks(df: DataFrame, key: Sequence[str], order: Sequence[str] | str,
     proportionally more; with ``hot_rows`` <= ``BOUNDS_PER_HOT`` every row is
     its own chunk. Returns ``None`` when no key got any (then the plain keyed
     window is exact and no key is far above ``hot_rows`` rows). A scan of one
-    whole stream (key ``ALL``) always gets a plan, from BOUNDS_PER_TASK rows
-    of each input task.
+    whole stream (key ``ALL``) always gets a plan, without boundaries.
     """
     hot_rows = hot_rows if hot_rows is not None else _conf_int(df, HOT_ROWS_CONF,
                                                                 DEFAULT_HOT_ROWS)
@@ -170,26 +174,40 @@ def plan_chunks(df: DataFrame, key: Sequence[str], order: Sequence[str] | str,
         return None
     key = list(key)
     order = [order] if isinstance(order, str) else list(order)
+    if key == [ALL]:
+        return ChunkPlan(None, order)
     pos = F.struct(*[F.col(o) for o in order])
     fraction = min(1.0, BOUNDS_PER_HOT / hot_rows)
     sample = (df.sample(withReplacement=False, fraction=fraction, seed=SAMPLE_SEED)
               .select(*key, pos.alias("_pos")))
-    if key == [ALL]:
-        part = F.pmod(F.xxhash64(*order), F.lit(BOUNDS_PER_TASK))
-        few = (df.groupBy(*key, F.spark_partition_id().alias("_task"), part.alias("_part"))
-               .agg(F.min_by(pos, F.xxhash64(*order, F.lit(SAMPLE_SEED))).alias("_pos"))
-               .select(*key, "_pos"))
-        sample = few if fraction < 1.0 else few.union(sample)
     bounds = sample.groupBy(*key).agg(F.array_sort(F.collect_set("_pos")).alias(BOUNDS))
     # A re-run stage must see the same boundaries, so the (small) table is
     # written to the shared folder instead of being recomputed.
     ensure_checkpoint_dir(df.sparkSession)
     bounds = bounds.checkpoint(eager=True)
-    if key != [ALL] and not bounds.head(1):
+    if not bounds.head(1):
         return None
     return ChunkPlan(bounds, order)
 
 
+def ranges(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """The rows with CHUNK, their range partition by the order columns, and HOT.
+
+    Written to the shared folder: the ranges are sampled, so only stored rows are
+    in the same range whenever they are read. Rows tied on all order columns share one.
+    """
+    n = _chunks(df)
+    path = shared_path(df.sparkSession, "scan", uuid.uuid4().hex)
+    out = df.repartitionByRange(n, *order).withColumn(CHUNK, F.spark_partition_id()).withColumn(HOT, F.lit(True))
+    out.write.parquet(path)
+    return df.sparkSession.read.schema(out.schema).parquet(path)
+
+
+def _chunks(df: DataFrame) -> int:
+    """Range partitions of a whole-stream scan."""
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def with_chunks(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> DataFrame:
     """Add CHUNK (0 for keys that are not split) and HOT columns.
 
@@ -201,6 +219,8 @@ def with_chunks(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> Da
     """
     if plan is None:
         return df.withColumn(CHUNK, F.lit(0)).withColumn(HOT, F.lit(False))
+    if plan.bounds is None:
+        return ranges(df, plan.order)
     key = list(key)
     n = F.size(F.col(BOUNDS))
     step = F.greatest(F.ceil(F.sqrt(n)).cast("int"), F.lit(1))
@@ -282,10 +302,10 @@ def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
     summary = (chunked.filter(F.col(HOT)).groupBy(*key, CHUNK)
                .agg(*[spec.monoid.partial(spec.expr).alias(f"_s_{name}")
                       for name, spec in outputs.items()]))
-    earlier = Window.partitionBy(*key).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carry = summary.select(*key, CHUNK, *[
-        spec.monoid.combine(F.col(f"_s_{name}")).over(earlier).alias(f"_c_{name}")
-        for name, spec in outputs.items()])
+    if plan.bounds is None:
+        carry = _carry_tree(summary, outputs, _chunks(df))
+    else:
+        carry = _carries(summary, key, CHUNK, outputs)
     merged = null_safe_join(local, carry, [*key, CHUNK])
     # merging may widen a type (a sum of sums); the unsplit scan's types hold
     types = {f.name: f.dataType for f in plain.schema.fields}
@@ -294,6 +314,29 @@ def keyed_prefix(df: DataFrame, key: Sequence[str], order: Sequence[str],
         .cast(types[name]).alias(name) for name, spec in outputs.items()])
 
 
+def _carries(summary: DataFrame, parts: Sequence[str], chunk: str, outputs: dict[str, Prefix]) -> DataFrame:
+    """What the earlier chunks of the same ``parts`` add up to, for each chunk."""
+    earlier = Window.partitionBy(*parts).orderBy(chunk).rowsBetween(Window.unboundedPreceding, -1)
+    return summary.select(*dict.fromkeys([*parts, chunk]), *[
+        spec.monoid.combine(F.col(f"_s_{name}")).over(earlier).alias(f"_c_{name}")
+        for name, spec in outputs.items()])
+
+
+def _carry_tree(summary: DataFrame, outputs: dict[str, Prefix], chunks: int, chunk: str = CHUNK) -> DataFrame:
+    """:func:`_carries` of one whole stream, in groups of CARRY_FAN chunks; groups are chunks of groups."""
+    group = f"{chunk}_g"
+    grouped = summary.withColumn(group, F.floor(F.col(chunk) / CARRY_FAN).cast("int"))
+    inside = _carries(grouped, [ALL, group], chunk, outputs)
+    if chunks <= CARRY_FAN:
+        return inside.drop(group)
+    sums = grouped.groupBy(ALL, group).agg(*[
+        spec.monoid.combine(F.col(f"_s_{name}")).alias(f"_s_{name}") for name, spec in outputs.items()])
+    above = _carry_tree(sums, outputs, -(-chunks // CARRY_FAN), group)
+    above = above.select(ALL, group, *[F.col(f"_c_{name}").alias(f"_a_{name}") for name in outputs])
+    return inside.join(above, [ALL, group]).select(ALL, chunk, *[
+        spec.monoid.merge(F.col(f"_a_{name}"), F.col(f"_c_{name}")).alias(f"_c_{name}") for name, spec in outputs.items()])
+
+
 def with_chunks_once(df: DataFrame, key: Sequence[str], plan: ChunkPlan | None) -> DataFrame:
     """Assign chunks up front for several passes of :func:`keyed_prefix`
     over the same rows (drop CHUNK and HOT from the final result)."""

@@ -49,30 +49,47 @@ def running_topk(df: DataFrame, key: Sequence[str], order: Sequence[str], value:
     The j-th largest value of a prefix is the running maximum of
     ``min(v, (j-1)-th largest before the row)``: for j = 1 the running max,
     for j > 1 the latest of the top j rows paired with the (j-1)-th largest
-    before it. So the list is j chained running-max passes of the keyed
-    prefix scan (native window frames, hot keys split into chunks with an
-    exact carry-in), with no per-row Python.
+    before it. So a row's list is j window frames over one exchange and one
+    sort, with no per-row Python. Where keys are split, that gives the list
+    inside each chunk; a chunk's last list is its summary, the summaries'
+    values go through the same frames to give each chunk the list of all
+    earlier ones, and a row's list is the best k of both: the input is
+    scanned twice whatever k is.
     """
     cols = list(dict.fromkeys([*key, *order, value, *keep]))
     cur, key = scan.keyed(df.select(*cols), key)
     plan = scan.plan_chunks(cur, key, order, hot_rows)
-    cur = scan.with_chunks_once(cur, key, plan)
+    if plan is None:
+        return _levels(cur, key, order, value, k).select(*cols, _listed(k).alias(out))
+    parts = [*key, scan.CHUNK]
+    local = _levels(scan.with_chunks(cur, key, plan), parts, order, value, k)
+    # a level only grows along a chunk, so its largest value is that of the chunk's last row
+    last = (local.filter(F.col(scan.HOT)).groupBy(*parts)
+            .agg(*[F.max(f"_t{j}").alias(f"_t{j}") for j in range(1, k + 1)]))
+    values = last.select(*parts, F.posexplode(F.array(*[F.col(f"_t{j}") for j in range(1, k + 1)])).alias("_at", "_v"))
+    upto = _levels(values, key, [scan.CHUNK, "_at"], "_v", k).groupBy(*parts).agg(
+        *[F.max(f"_t{j}").alias(f"_t{j}") for j in range(1, k + 1)])
+    carry = upto.select(*parts, F.lag(_listed(k)).over(Window.partitionBy(*key).orderBy(scan.CHUNK)).alias("_carry"))
+    both = F.concat(_listed(k), F.coalesce("_carry", F.array().cast(f"array<{df.schema[value].dataType.simpleString()}>")))
+    joined = scan.null_safe_join(local, carry, parts)
+    return joined.select(*cols, F.slice(F.sort_array(both, asc=False), 1, k).alias(out))
+
+
+def _levels(df: DataFrame, parts: Sequence[str], order: Sequence[str], value: str, k: int) -> DataFrame:
+    """Adds ``_t1`` .. ``_tk``: the j-th largest ``value`` of each row's prefix inside ``parts``."""
+    w = Window.partitionBy(*parts).orderBy(*order)
+    upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
     v = F.col(value)
-    prev_level = None
     for j in range(1, k + 1):
-        cand = v if prev_level is None else F.when(
-            v.isNotNull() & F.col(prev_level).isNotNull(), F.least(v, F.col(prev_level)))
-        outputs = {f"_t{j}": scan.running_max(cand)}
-        if j < k:
-            outputs[f"_p{j}"] = scan.running_max(cand, inclusive=False)
-        cur = scan.keyed_prefix(cur.withColumn(f"_c{j}", cand), key, order, {
-            name: scan.Prefix(p.monoid, F.col(f"_c{j}"), p.inclusive)
-            for name, p in outputs.items()}, hot_rows, plan=plan).drop(f"_c{j}")
-        if prev_level is not None:
-            cur = cur.drop(prev_level)
-        prev_level = f"_p{j}" if j < k else None
-    levels = F.array(*[F.col(f"_t{j}") for j in range(1, k + 1)])
-    return cur.select(*cols, F.filter(levels, lambda x: x.isNotNull()).alias(out))
+        level = v if j == 1 else F.when(v.isNotNull() & F.col("_p").isNotNull(), F.least(v, F.col("_p")))
+        df = df.withColumn("_c", level)
+        df = df.withColumns({f"_t{j}": F.max("_c").over(upto), "_p": F.max("_c").over(before)})
+    return df.drop("_c", "_p")
+
+
+def _listed(k: int) -> Column:
+    return F.filter(F.array(*[F.col(f"_t{j}") for j in range(1, k + 1)]), lambda x: x.isNotNull())
 
 
 def topk_final(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str,
@@ -86,6 +103,30 @@ def topk_final(df: DataFrame, key: Sequence[str], order: Sequence[str], value: s
             .select(*key, F.col("rank").cast("bigint").alias("rank"), value))
 
 
+# -- map state: all entries after each row ------------------------------------------
+
+MAP_VALUES = 1000
+
+
+def value_maps_rolling(df: DataFrame, key: Sequence[str], order: Sequence[str], value: str, values: Sequence,
+                       hot_rows: int | None = None, out: str = "counts") -> DataFrame:
+    """After each row: the whole map of its key, value -> how often so far, for the listed ``values``
+    (at most MAP_VALUES: a row carries its map). A value that is not listed, or null, is counted under
+    no entry, and a value not yet seen has none. One running count a value, all in one scan, so hot keys
+    are split like in any other. For values that are not known use ``streaming.user.value_maps`` or
+    ``grouped.fold_rows``."""
+    if len(values) > MAP_VALUES:
+        raise ValueError(f"{len(values)} values: a row would carry a map of up to that many entries")
+    cols = list(dict.fromkeys([*key, *order, value]))
+    names = {f"_n{i}": v for i, v in enumerate(v for v in values if v is not None)}
+    rows = scan.keyed_prefix(df.select(*cols), key, order, {
+        n: scan.running_count(F.when(F.col(value) == F.lit(v), F.lit(1))) for n, v in names.items()}, hot_rows)
+    vt = df.schema[value].dataType
+    entries = F.array(*[F.struct(F.lit(v).cast(vt).alias("key"), F.col(n).alias("value")) for n, v in names.items()])
+    seen = F.map_from_entries(F.filter(entries, lambda e: e["value"] > 0))
+    return rows.select(*cols, (seen if names else F.create_map().cast(f"map<{vt.simpleString()},bigint>")).alias(out))
+
+
 # -- value state with time-to-live ---------------------------------------------
 
 def ttl_value(df: DataFrame, key: Sequence[str], order: Sequence[str], ts: str,

@@ -10,13 +10,13 @@ prefix scan and then use the same hash aggregation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.time import epoch_micros
-from . import scan
+from . import grouped, scan
 
 W = "_tw_window"
 
@@ -65,21 +65,33 @@ def session(df: DataFrame, key: Sequence[str], ts: str, gap: str,
         w = F.session_window(ts, gap)
         out = df.groupBy(*user_key, w.alias(W)).agg(*_aliased(aggs))
         return _flatten(out, user_key, list(aggs))
-    gap_us = int(df.sparkSession.sql(
+    numbered_ = session_numbers(df, key, ts, gap, order, plan=plan)
+    out = (numbered_.groupBy(*key, "_sid")
+           .agg(F.min(ts).alias("window_start"),
+                (F.max(ts) + F.expr(f"INTERVAL {gap}")).alias("window_end"), *_aliased(aggs)))
+    return out.select(*user_key, "window_start", "window_end", *aggs)
+
+
+def gap_micros(df: DataFrame, gap: str) -> int:
+    return int(df.sparkSession.sql(
         f"SELECT CAST(unix_micros(TIMESTAMP'1970-01-01 00:00:00 UTC' + INTERVAL {gap}) AS BIGINT)"
     ).first()[0])
+
+
+def session_numbers(df: DataFrame, key: Sequence[str], ts: str, gap: str, order: Sequence[str],
+                    hot_rows: int | None = None, plan: scan.ChunkPlan | None = None) -> DataFrame:
+    """Adds ``_sid``, the number of the row's session in its key: one starts where the time
+    since the previous row exceeds ``gap``. ``df`` has no row without a time."""
+    gap_us = gap_micros(df, gap)
     t = epoch_micros(df, ts)
+    plan = plan or scan.plan_chunks(df, key, order, hot_rows)
     df = scan.with_chunks_once(df, key, plan)
     prev = scan.keyed_prefix(df, key, order, {
         "_prev": scan.last_value(t, order, inclusive=False, ignore_nulls=False)},
         plan=plan)
     start = (F.col("_prev").isNull() | (t - F.col("_prev") > F.lit(gap_us))).cast("int")
-    numbered_ = scan.keyed_prefix(prev.withColumn("_start", start), key, order,
-                                  {"_sid": scan.running_sum("_start")}, plan=plan)
-    out = (numbered_.groupBy(*key, "_sid")
-           .agg(F.min(ts).alias("window_start"),
-                (F.max(ts) + F.expr(f"INTERVAL {gap}")).alias("window_end"), *_aliased(aggs)))
-    return out.select(*user_key, "window_start", "window_end", *aggs)
+    return scan.keyed_prefix(prev.withColumn("_start", start), key, order,
+                             {"_sid": scan.running_sum("_start")}, plan=plan)
 
 
 def window_all(df: DataFrame, ts: str, size: str, slide: str | None,
@@ -123,6 +135,34 @@ def window_quantile(df: DataFrame, key: Sequence[str], ts: str, size: str, value
     return exact_quantile(framed, [*key, "window_start", "window_end"], value, q, hot_rows, out)
 
 
+def process_window(df: DataFrame, key: Sequence[str], ts: str, size: str, order: Sequence[str],
+                   fn: Callable[[tuple, grouped.Pieces], Iterable[grouped.Row]], schema,
+                   slide: str | None = None) -> DataFrame:
+    """Full-window user function: ``fn((*key, window_start, window_end), pieces)`` over the rows of
+    every (key, window) in ``order``, as Arrow pieces it takes one after another; no window is held.
+    It yields any number of rows of ``schema``. A row without a time is in no window. Output: key,
+    window_start, window_end, then ``schema``."""
+    w = F.window(ts, size, slide or size)
+    framed = df.withColumn(W, w).select("*", F.col(W).start.alias("window_start"),
+                                        F.col(W).end.alias("window_end")).drop(W)
+    return grouped.process_groups(framed, [*key, "window_start", "window_end"], order, fn, schema)
+
+
+def session_accumulate(df: DataFrame, key: Sequence[str], ts: str, gap: str, acc, inputs: Sequence[str],
+                       out: str, out_type, tiebreak: Sequence[str] = (), hot_rows: int | None = None) -> DataFrame:
+    """A user accumulator (``accumulate.Accumulator``) over session windows: key, window_start,
+    window_end, ``out``. Partial states of one session are merged, wherever its rows were. The
+    stream form is ``streaming.user.session_accumulate``."""
+    from .accumulate import accumulate
+    user_key = list(key)
+    rows, key = scan.keyed(df.filter(F.col(ts).isNotNull()), user_key)
+    numbered_ = session_numbers(rows, key, ts, gap, [ts, *tiebreak], hot_rows)
+    totals = accumulate(numbered_, [*key, "_sid"], acc, inputs, out, out_type)
+    spans = numbered_.groupBy(*key, "_sid").agg(
+        F.min(ts).alias("window_start"), (F.max(ts) + F.expr(f"INTERVAL {gap}")).alias("window_end"))
+    return scan.null_safe_join(spans, totals, [*key, "_sid"]).select(*user_key, "window_start", "window_end", out)
+
+
 # -- count windows ---------------------------------------------------------------
 
 RN = "_tw_rn"

@@ -135,10 +135,19 @@ HOLES = """(select event_id, case when event_id % 11 <> 3 then ts end as ts,
                case when event_id % 5 <> 2 then value end as value from events)"""
 
 
+_ORDERED = f"""
+with recursive e as (
+  select user_id, ts, event_id, event_type, cast(round(value * 100) as bigint) as cents, row_number() over ({KEYED}) as rn
+  from events),
+r as (
+  select * from e where rn = 1
+  union all
+  select e.user_id, e.ts, e.event_id, e.event_type, (2 * r.cents + e.cents) % 1000003 as cents, e.rn
+  from r join e on e.user_id = r.user_id and e.rn = r.rn + 1)"""
+
+
 ORACLE: dict[str, str] = {
-    "src_datagen": """
-select i as index, 'Number:' || cast(i as varchar) as value
-from (select unnest(generate_series(0, (select count(*) - 1 from events))) as i)""",
+    "src_datagen": "select event_id as index, 'Number:' || cast(event_id as varchar) as value, event_type from events",
     "parse_sensor": """
 select cast(user_id as varchar) as id, event_id as ts, cast(floor(value) as integer) as vc
 from events""",
@@ -150,7 +159,7 @@ select event_id, event_type as k, make_timestamp(event_id * 1500000) as at from
     "wordcount": f"""
 select word, count(*) as cnt from (select unnest({_words('text')}) as word from documents)
 group by word""",
-    "rich_map_inc": "select event_id, cast(user_id as integer) + 1 as inc from events",
+    "rich_map_inc": "select event_id, cast(user_id as integer) + 1 as inc, 1 as opened from events",
     "connect_comap": """
 select '来源于数字流:' || cast(user_id as varchar) as value from events
 union all
@@ -344,6 +353,48 @@ select user_id, ts, event_id, rn as fire_at, total from (
          cast(sum({DEC}) over ({KEYED} {RUN}) as double) as total
   from events)
 where event_type = 'purchase'""",
+    "reduce_ordered": f"""
+{_ORDERED}
+select user_id, event_type, cents from r qualify row_number() over (partition by user_id order by rn desc) = 1""",
+    "reduce_ordered_roll": f"""
+{_ORDERED}
+select user_id, ts as at_ts, event_id as at_event_id, event_type, cents from r""",
+    "win_process_trimmed": """
+with e as (
+  select event_type, time_bucket(interval 1 day, ts) as window_start, cast(round(value * 100) as bigint) as cents, event_id
+  from events),
+n as (
+  select *, row_number() over (partition by event_type, window_start order by cents, event_id) as rn,
+         count(*) over (partition by event_type, window_start) as cnt from e)
+select event_type, window_start, window_start + interval 1 day as window_end, count(*) filter (where k) as n,
+       cast(coalesce(sum(cents) filter (where k), 0) as bigint) as total_cents,
+       cast(1000 * sum(cents) filter (where k) // count(*) filter (where k) as bigint) as mean_milli
+from (select *, rn > 2 and rn <= cnt - 2 as k from n) group by event_type, window_start""",
+    "join_cogroup_process": """
+with g as (
+  select user_id, time_bucket(interval 1 day, ts) as window_start,
+         list(event_id order by ts, event_id) filter (where event_id % 2 = 0) as l,
+         list(event_id order by event_id) filter (where event_id % 2 = 1) as r
+  from events group by all)
+select user_id, window_start, window_start + interval 1 day as window_end,
+       coalesce(len(l), 0) as l_cnt, coalesce(len(r), 0) as r_cnt,
+       list_reduce(list_concat([7::bigint], coalesce(l, []), coalesce(r, [])), lambda s, x: (31 * s + x) % 1000003) as chain
+from g""",
+    "win_session_accumulate": f"""
+with g as (
+  select *, case when lag(ts) over w is null or ts > lag(ts) over w + interval 30 minute then 1 else 0 end as brk
+  from events window w as (partition by user_id order by ts, event_id)),
+s as (select *, sum(brk) over ({KEYED} {RUN}) as sid from g)
+select user_id, min(ts) as window_start, max(ts) + interval 30 minute as window_end,
+       cast(sum(cast(round(value * 100) as bigint)) as varchar) as total
+from s group by user_id, sid""",
+    "state_map_snapshots": f"""
+with t as (select distinct event_type as t from events),
+c as (
+  select user_id, ts, event_id, t, count(*) filter (where event_type = t) over (partition by user_id, t order by ts, event_id {RUN}) as n
+  from events, t)
+select user_id, ts, event_id, string_agg(t || '=' || n, ',' order by t) as entries
+from c where n > 0 group by user_id, ts, event_id""",
     "topn_window": _topn(True),
     "bottomn_window": _topn(False),
 }

@@ -20,10 +20,10 @@ from pyspark.sql import functions as F
 from ..functions.core import parse_sensor, split_pair
 from ..functions.time import event_time_from
 from ..operators import aggregates as agg
-from ..operators import joins, late, partition, rowops, scan, state, topn, windows
+from ..operators import grouped, joins, late, partition, rowops, scan, state, topn, windows
 from ..operators.accumulate import accumulate, sum_as_text
 from ..operators.split import split_by
-from ..sources.core import generate, number_label, table
+from ..sources.core import generate_from, number_label, table
 
 KEY = ["user_id"]
 ORDER = ["ts", "event_id"]
@@ -38,7 +38,6 @@ JOIN_BOUND_S = 1 * HOUR
 LATE_DELAY_S = 1 * HOUR
 TTL_S = 6 * HOUR
 PARTITIONS = 4            # copies made by the broadcast partitioner
-ROWS_PER_TASK = 5_000_000  # generator rows per subtask
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -75,9 +74,8 @@ def arrival(df: DataFrame) -> DataFrame:
 # -- sources, row functions ---------------------------------------------------------
 
 def src_datagen(spark, base):
-    n = events(spark, base).count()
-    # the range is split evenly over the subtasks; their number grows with n
-    return generate(spark, n, number_label, num_partitions=max(2, -(-n // ROWS_PER_TASK)))
+    """The generator's rows, one for each event, beside the event's type."""
+    return generate_from(events(spark, base), "event_id", number_label, keep=["event_type"])
 
 
 def parse_sensor_q(spark, base):
@@ -115,15 +113,20 @@ def wordcount(spark, base):
 
 
 def rich_map_inc(spark, base):
+    """``parseInt(line) + 1`` with the lifecycle in the rows: what ``open`` stored, and that it ran once."""
     lines = events(spark, base).select("event_id", F.col("user_id").cast("string").alias("line"))
 
+    def opened(ctx):
+        ctx["opened"] = ctx.get("opened", 0) + 1
+        ctx["step"] = 1
+
     def body(pdf, ctx):
         import pandas as pd
-        inc = pd.to_numeric(pdf["line"]).astype("int64") + 1
+        inc = pd.to_numeric(pdf["line"]).astype("int64") + ctx["step"]
         wrapped = ((inc + 2**31) % 2**32) - 2**31
-        return pd.DataFrame({"event_id": pdf["event_id"], "inc": wrapped.astype("int32")})
+        return pd.DataFrame({"event_id": pdf["event_id"], "inc": wrapped.astype("int32"), "opened": ctx["opened"]})
 
-    return rowops.rich_map(lines, body, "event_id long, inc int")
+    return rowops.rich_map(lines, body, "event_id long, inc int, opened int", open_fn=opened)
 
 
 def connect_comap(spark, base):
@@ -351,7 +354,7 @@ def win_full_process(spark, base):
 
 def _halves(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two inputs that together hold every event: even and odd event ids."""
-    even = F.pmod("event_id", F.lit(2)) == 0
+    even = F.coalesce(F.pmod("event_id", F.lit(2)) == 0, F.lit(False))
     return ev.filter(even), ev.filter(~even)
 
 
@@ -470,6 +473,75 @@ def win_global_pred(spark, base):
     return out.withColumn("total", as_double(F.col("total")))
 
 
+# -- user functions over ordered rows ------------------------------------------------------
+
+MODULUS = 1_000_003
+
+
+def _cents(spark, base) -> DataFrame:
+    return events(spark, base).withColumn("cents", F.round(F.col("value") * 100).cast("bigint"))
+
+
+def _reduce_ordered(rolling_):
+    """A reduce that is not associative: ``(2 a + b) mod m``, the type of the later row."""
+    def q(spark, base):
+        return grouped.reduce_ordered(
+            _cents(spark, base), KEY, ORDER, ["event_type", "cents"],
+            lambda a, b: {"event_type": b["event_type"], "cents": (2 * a["cents"] + b["cents"]) % MODULUS}, rolling_)
+    return q
+
+
+def trimmed(cut: int):
+    """Full-window function: count and sum of the cents, in order, without the first and last ``cut`` rows."""
+    def fn(key, pieces):
+        from collections import deque
+        late_ones, total, n = deque(), 0, 0
+        for k, row in enumerate(grouped.rows_of(pieces, ["cents"])):
+            if k < cut:
+                continue
+            late_ones.append(row["cents"])
+            if len(late_ones) > cut:
+                total, n = total + late_ones.popleft(), n + 1
+        yield {"n": n, "total_cents": total, "mean_milli": 1000 * total // n if n else None}
+    return fn
+
+
+def win_process_trimmed(spark, base):
+    return windows.process_window(_cents(spark, base), ["event_type"], "ts", "1 day", ["cents", "event_id"], trimmed(2),
+                                  "n long, total_cents long, mean_milli long")
+
+
+def chained(key, left, right):
+    """coGroup function: both sides' ids chained in order, the right one from where the left one ended."""
+    state, counts = 7, []
+    for side in (left, right):
+        n = 0
+        for row in grouped.rows_of(side, ["event_id"]):
+            state, n = (31 * state + row["event_id"]) % MODULUS, n + 1
+        counts.append(n)
+    yield {"l_cnt": counts[0], "r_cnt": counts[1], "chain": state}
+
+
+def join_cogroup_process(spark, base):
+    left, right = _halves(events(spark, base).select("user_id", "ts", "event_id"))
+    return joins.window_cogroup_process(left, right, KEY, "ts", "ts", JOIN_WINDOW, ORDER, ["event_id"], chained,
+                                        "l_cnt long, r_cnt long, chain long")
+
+
+def win_session_accumulate(spark, base):
+    return windows.session_accumulate(_cents(spark, base), KEY, "ts", SESSION_GAP, sum_as_text("cents"), ["cents"],
+                                      "total", "string", tiebreak=["event_id"])
+
+
+def state_map_snapshots(spark, base):
+    """All entries of the map state after each row, as text ``type=count`` by type."""
+    ev = events(spark, base)
+    types = [r[0] for r in ev.select("event_type").distinct().orderBy("event_type").limit(state.MAP_VALUES + 1).collect()]
+    out = state.value_maps_rolling(ev, KEY, ORDER, "event_type", types)
+    entries = F.transform(F.array_sort(F.map_entries("counts")), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return out.select(*KEY, *ORDER, F.array_join(entries, ",").alias("entries"))
+
+
 # -- top-N ------------------------------------------------------------------------------
 
 def topn_window(spark, base):
@@ -546,6 +618,12 @@ QUERIES: dict[str, Query] = {
     "reduce_custom": reduce_custom,
     "win_full_custom": win_full_custom,
     "win_global_pred": win_global_pred,
+    "reduce_ordered": _reduce_ordered(False),
+    "reduce_ordered_roll": _reduce_ordered(True),
+    "win_process_trimmed": win_process_trimmed,
+    "join_cogroup_process": join_cogroup_process,
+    "win_session_accumulate": win_session_accumulate,
+    "state_map_snapshots": state_map_snapshots,
     "topn_window": topn_window,
     "bottomn_window": bottomn_window,
 }

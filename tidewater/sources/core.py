@@ -82,6 +82,12 @@ def generate(spark: SparkSession, n: int, fn, num_partitions: int = 2,
     return ids.select(F.col("id").alias("index"), fn(F.col("id")).alias("value"))
 
 
+def generate_from(df: DataFrame, index: str, fn, keep: list[str] | None = None) -> DataFrame:
+    """The generator's function over the rows of a table, batch or stream: ``fn(index Column) ->
+    Column`` for every row's ``index``, beside the columns ``keep``."""
+    return df.select(F.col(index).alias("index"), fn(F.col(index)).alias("value"), *(keep or []))
+
+
 def generate_stream(spark: SparkSession, fn, rows_per_batch: int = 1000,
                     num_partitions: int = 2, rows_per_second: int | None = None) -> DataFrame:
     """Unbounded generator: a fixed number of rows per micro-batch, or (with
