@@ -106,6 +106,10 @@ def accumulate(df: DataFrame, key: Sequence[str], acc: Accumulator, inputs: Sequ
             if not b.num_rows:
                 continue
             types = [b.schema.field(k).type for k in key]
+            if not key:
+                whole = {c: b.column(b.schema.get_field_index(c)) for c in inputs}
+                states[()] = acc.add(states[()] if states else acc.zero(), whole)
+                continue
             t = pa.Table.from_batches([b]).append_column("_at", pa.array(range(b.num_rows), pa.int64()))
             rows = t.group_by(key, use_threads=False).aggregate([("_at", "list")])
             keys = zip(*[rows.column(k).to_pylist() for k in key])
@@ -124,7 +128,7 @@ def accumulate(df: DataFrame, key: Sequence[str], acc: Accumulator, inputs: Sequ
         cur, state, types = None, None, []
         for b in batches:
             types = [b.schema.field(k).type for k in key]
-            keys = zip(*[b.column(i).to_pylist() for i in range(len(key))])
+            keys = zip(*[b.column(i).to_pylist() for i in range(len(key))]) if key else [()] * b.num_rows
             done, values = [], []
             for k, blob in zip(keys, b.column(len(key)).to_pylist()):
                 k, s = tuple(map(_same, k)), pickle.loads(blob)
@@ -141,8 +145,12 @@ def accumulate(df: DataFrame, key: Sequence[str], acc: Accumulator, inputs: Sequ
             yield pa.RecordBatch.from_arrays([*plain([cur], types), pa.array([acc.result(state)], last)],
                                              names=[*key, out])
 
-    merged = src.mapInArrow(fold, partial_schema).repartition(*key).sortWithinPartitions(*key)
-    return merged.mapInArrow(finish, out_schema)
+    return _by_key(src.mapInArrow(fold, partial_schema), key).mapInArrow(finish, out_schema)
+
+
+def _by_key(states: DataFrame, key: list[str]) -> DataFrame:
+    """Partial states of a key together; without a key all of them, one or a few of each task."""
+    return states.repartition(*key).sortWithinPartitions(*key) if key else states.repartition(1)
 
 
 # -- accumulators over arrays ---------------------------------------------------
@@ -227,9 +235,7 @@ def _accumulate_arrays(src: DataFrame, key: list[str], acc: Arrays, inputs: list
         if carry is not None:
             yield done(carry)
 
-    placed = src.mapInArrow(fold, partial_type)
-    placed = placed.repartition(*key) if key else placed.repartition(1)
-    return placed.sortWithinPartitions(*key).mapInArrow(finish, whole_type)
+    return _by_key(src.mapInArrow(fold, partial_type), key).mapInArrow(finish, whole_type)
 
 
 # -- ready accumulators ---------------------------------------------------------

@@ -93,10 +93,13 @@ def struct_type(schema: T.StructType | str) -> T.StructType:
 
 
 def process_groups(df: DataFrame, key: Sequence[str], order: Sequence[str | Column],
-                   fn: Callable[[tuple, Pieces], Iterable[Row]], schema: T.StructType | str) -> DataFrame:
+                   fn: Callable[[tuple, Pieces], Iterable[Row]], schema: T.StructType | str,
+                   columns: Sequence[str] | None = None) -> DataFrame:
     """``fn(key, pieces)`` for every group of ``key``; it yields rows of ``schema``.
 
-    ``pieces`` are Arrow batches of all columns of ``df``. Output: key columns, then ``schema``.
+    ``pieces`` are Arrow batches of ``columns`` (default: all of ``df``) and the key. Output: key
+    columns, then ``schema``. The shuffle has the session's number of partitions: they aren't put
+    together by size, as the function's work is not known by it.
     """
     key = list(key)
     df = key_columns(df, key)
@@ -123,8 +126,12 @@ def process_groups(df: DataFrame, key: Sequence[str], order: Sequence[str | Colu
         if held and held[0]:
             yield emit()
 
-    placed = df.repartition(*key) if key else df.repartition(1)
-    return placed.sortWithinPartitions(*key, *order).mapInArrow(run, whole)
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    placed = df.repartition(n, *key) if key else df.repartition(1)
+    placed = placed.sortWithinPartitions(*key, *order) if key or order else placed
+    if columns is not None:
+        placed = placed.select(*dict.fromkeys([*key, *columns]))
+    return placed.mapInArrow(run, whole)
 
 
 def fold_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], columns: Sequence[str],
@@ -142,7 +149,7 @@ def fold_rows(df: DataFrame, key: Sequence[str], order: Sequence[str], columns:
             yield from out
 
     src = df.select(*dict.fromkeys([*key, *order, *columns]))
-    return process_groups(src, key, order, fn, schema)
+    return process_groups(src, key, order, fn, schema, columns)
 
 
 def reduce_step(fn: Callable[[Row, Row], Row]) -> Callable[[Row | None, Row], tuple[Row, list[Row]]]:

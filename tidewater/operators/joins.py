@@ -175,7 +175,8 @@ def window_cogroup_process(left: DataFrame, right: DataFrame, key: Sequence[str]
     both = side(left, left_ts, left_order, 0).unionByName(side(right, right_ts, right_order, 1), allowMissingColumns=True)
     group = [*key, WSTART, WEND]
     return grouped.process_groups(both, group, ["_tw_side", "_tw_place0", "_tw_place1"],
-                                  _two_sides(fn, columns, "_tw_side"), schema)
+                                  _two_sides(fn, columns, "_tw_side"), schema,
+                                  ["_tw_side", *columns[0].values(), *columns[1].values()])
 
 
 def interval_join(left: DataFrame, right: DataFrame, key: Sequence[str], left_ts: str,

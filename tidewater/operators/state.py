@@ -124,7 +124,7 @@ def value_maps_rolling(df: DataFrame, key: Sequence[str], order: Sequence[str],
     vt = df.schema[value].dataType
     entries = F.array(*[F.struct(F.lit(v).cast(vt).alias("key"), F.col(n).alias("value")) for n, v in names.items()])
     seen = F.map_from_entries(F.filter(entries, lambda e: e["value"] > 0))
-    return rows.select(*cols, (seen if names else F.create_map().cast(f"map<{vt.simpleString()},bigint>")).alias(out))
+    return rows.select(*cols, (seen if names else F.create_map()).cast(f"map<{vt.simpleString()},bigint>").alias(out))
 
 
 # -- value state with time-to-live ---------------------------------------------
