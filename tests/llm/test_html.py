@@ -1,9 +1,11 @@
 import html as entities
 import random
 import re
+import time
 from zlib import crc32
 
 import numpy as np
+import pytest
 
 from tidewater.llm import html, queries
 
@@ -152,3 +154,26 @@ def test_few_odd_pages_train(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "page_id long, url string, html string")
     assert html.main_texts(df).count() == 0
+
+
+@pytest.mark.parametrize("page,want", [
+    ("<article><p title=it's>One</p><p>Two don't</p><p>Three</p></article>", ["One", "Two don't", "Three"]),
+    ("<p a='x>y' b=\"p>q\" c=d'e>One</p><p>Two</p>", ["One", "Two"]),
+    ("<p>One</p><p 'odd'>Two</p><p =x>Three</p>", ["One", "Two", "Three"]),
+    ("<p>if a < b and c</p>", ["if a < b and c"]),
+    ("<p>if a <b then</p><p>Two</p>", ["if a Two"]),            # <b then< is a tag up to the next >
+    ("<p>One</p><p title='open>Two</p>", ["One"]),               # a value that never ends takes the rest
+    ("<p>One</p></ bogus><p>Two</p><p>Three", ["One", "Two", "Three"]),
+    ("<p>One<script a='>'>x</script  >Two</p><!-- a > b --><p>Three</p><!-- open", ["OneTwo", "Three"]),
+    ("<p>One<br/>Two</p><img src=a.png/><p>Three</p><a", ["OneTwo", "Three"]),
+])
+def test_tags_by_the_rules(page, want):
+    got = [t for _, t, _ in html.blocks(page)]
+    assert "".join("".join(got).split()) == "".join("".join(want).split()), got
+
+
+@pytest.mark.parametrize("part", ["<a '", "<a b=\"", "<div ", "<!", "</ ", "<", "<!-", "<a b='x' '", "<script>"])
+def test_a_megabyte_of_unclosed_pieces_is_fast(part):
+    start = time.time()
+    html.blocks("<p>text</p>" + part * (1_000_000 // len(part)))
+    assert time.time() - start < 4

@@ -46,8 +46,13 @@ INLINE = frozenset("a abbr b bdi bdo big cite code data dfn em font i kbd label
 CLOSES_P = frozenset("address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main "
                      "nav ol p pre section table ul figure details".split())
 
-PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")(?![a-zA-Z0-9:-])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>(?:.*?</(?P=raw)\s*>|.*\Z)"
-                   r"|<![^>]*>|<\?[^>]*>|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*)(?P<attr>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>",
+# attributes by the rules of HTML: a quote opens a value only right after the equals sign; elsewhere it is a letter.
+# Every part takes what it can and never gives back, and a piece that the page's end cuts off ends there, so a page is
+# read once, whatever it is.
+ATTRS = (r"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>\"'][^\s>]*+)?+)?+)*+")
+PIECE = re.compile(r"<!--.*?(?:-->|\Z)|<(?P<raw>" + RAW + r")(?=[\s/>]|\Z)" + ATTRS + r"(?:>|\Z)(?:.*?</(?P=raw)(?=[\s/>])[^>]*+(?:>|\Z)|.*\Z)"
+                   r"|<![^>]*+(?:>|\Z)|<\?[^>]*+(?:>|\Z)|</(?![a-zA-Z])[^>]*+(?:>|\Z)"
+                   r"|<(?P<end>/?)(?P<tag>[a-zA-Z][^\s/>]*+)(?P<attr>" + ATTRS + r")(?:>|\Z)",
                    re.S | re.I)
 NAMES = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 PART = re.compile(r"[a-z]+")
