@@ -214,8 +214,10 @@ def copies(docs: DataFrame, scratch: Scratch) -> DataFrame:
 
 
 def marked(docs: DataFrame) -> DataFrame:
-    """128 bits of each text beside it."""
-    return docs.withColumns({"k1": F.xxhash64("text"), "k2": F.xxhash64("text", F.lit(SECOND % (1 << 31)))})
+    """128 bits of the sha256 of each text beside it, as two longs."""
+    half = lambda k: F.conv(F.substring("_sha", k, 16), 16, -10).cast("long")
+    return docs.withColumn("_sha", F.sha2(F.col("text").cast("binary"), 256)).withColumns(
+        {"k1": half(1), "k2": half(17)}).drop("_sha")
 
 
 def repeats(docs: DataFrame, scratch: Scratch, size: int = WINDOW) -> DataFrame:
