@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import pickle
 import re
 import time
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
 from pandas.util import hash_array
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -46,6 +50,33 @@ def strings(batch: pa.RecordBatch, name: str) -> Iterator[str]:
         yield x.as_py()
 
 
+class Shipped:
+    """A broadcast object of one of our classes, for executors without a copy of the package.
+
+    ``Broadcast`` pickles classes by reference; here the object goes as bytes that hold its class.
+    """
+
+    def __init__(self, spark: SparkSession, value: Any):
+        self.sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def load(self) -> Any:
+        """The object, in a task: load it once."""
+        return pickle.loads(self.sent.value)
+
+
+def lean(run: Callable) -> Callable:
+    """A task function that gives its memory back at the end: Python workers outlive their tasks."""
+    def wrapped(batches):
+        yield from run(batches)
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):       # another C library: nothing to trim
+            pass
+    return wrapped
+
+
 class Scratch:
     """Tables written under ``spark.checkpoint.dir`` to cut lineage: any executor can reread them.
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Scratch, held_out, id_text, remainder
+from .common import Scratch, Shipped, held_out, id_text, remainder
 
 FOLDS = 10
 ALPHA = 0.1                     # of the base model
@@ -238,15 +238,15 @@ def blocks(docs: DataFrame) -> DataFrame:
 def learn(words: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Pieces:
     """Rounds of expectation-maximisation over a table (word binary, c), each training word once."""
     for _ in range(rounds):
-        sent = words.sparkSession.sparkContext.broadcast(pieces)    # bounded by the vocabulary
+        sent = Shipped(words.sparkSession, pieces)          # bounded by the vocabulary
         size = len(pieces.log)
 
         def run(batches):
-            counts = np.zeros(size)
+            mine, counts = sent.load(), np.zeros(size)
             for b in batches:
                 texts = [w.as_py().decode("utf-8", "replace") for w in b.column(0)]
                 for at in by_length(texts):
-                    expected(sent.value, [texts[i] for i in at], np.ones(len(at)), counts)
+                    expected(mine, [texts[i] for i in at], np.ones(len(at)), counts)
             has = np.flatnonzero(counts)
             yield pa.RecordBatch.from_arrays([pa.array(has.astype(np.int32)), pa.array(counts[has])],
                                              names=["piece", "n"])
@@ -279,14 +279,15 @@ def scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
     discount = min(max(once / (once + 2 * twice), 0.05), 0.95) if once else 0.5
     scratch.release()
     pieces = learn(words, read_pieces(model_file), rounds if types else 0)
-    sent = spark.sparkContext.broadcast(pieces)
+    sent = Shipped(spark, pieces)
 
     def likelihood(batches):
+        mine = sent.load()
         for b in batches:
             texts = [w.as_py().decode("utf-8", "replace") for w in b.column(0)]
             out = np.zeros(len(texts))
             for at in by_length(texts):
-                out[at] = forward(lattice(sent.value, [texts[i] for i in at])[0])[:, -1]
+                out[at] = forward(lattice(mine, [texts[i] for i in at])[0])[:, -1]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out / np.log(10))],
                                              names=["word", "c", "lp"])
 
