@@ -33,8 +33,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import (WORD, Scratch, components, groups, id_text, joined_labels, least_labels, mixed, run_hashes, spread,
-                     word_hashes)
+from .common import (WORD, Scratch, components, groups, id_text, joined_labels, lean, least_labels, mixed, run_hashes,
+                     spread, word_hashes)
 
 THRESHOLD = 0.8
 SHINGLE = 5
@@ -42,7 +42,8 @@ COORDINATES = 128
 CHILDREN, DEPTH, MAX_DEPTH = 2, 3, 9
 TARGET = 0.9999
 FEW = 64                # sets of a node that are compared at once
-BLOCK = 256             # sets of one block of a larger node or group
+BLOCK = 256             # texts of one block of a larger group
+NODE_BLOCK = 1_024      # embeddings of one block of a larger node
 MANY = 4_096            # sets of a node that is split further unless they are alike
 BROADCAST_ROWS = 200_000    # groups of up to so many sets (some 100 bytes each) go to the texts, not the texts to them
 SLACK = 0.14            # embeddings may fall short of the threshold by four standard deviations
@@ -90,7 +91,7 @@ def fingerprints(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 [b.column(0), b.column(1), pa.array(keys, pa.string()), pa.array(coords, pa.binary())],
                 names=["doc_id", "mark", "key", "coords"])
     return (id_text(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("mark"), "text")
-            .mapInArrow(run, "doc_id long, mark long, key string, coords binary"))
+            .mapInArrow(lean(run), "doc_id long, mark long, key string, coords binary"))
 
 
 def children(node: np.ndarray, coords: np.ndarray) -> np.ndarray:
@@ -109,12 +110,12 @@ def _matrix(column) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, COORDINATES)
 
 
-def leaves(sets: DataFrame, repeat: int) -> DataFrame:
-    """(leaf, rep) of all runs: each set's nodes after DEPTH levels."""
+def leaves(sets: DataFrame, which: range) -> DataFrame:
+    """(leaf, rep, known) of some runs: each set's nodes after DEPTH levels."""
     def run(batches):
         for b in batches:
             c = _matrix(b.column(1))
-            for r in range(repeat):
+            for r in which:
                 node = np.full((len(c), 1), mixed(np.array([r + 1], np.uint64))[0])
                 for _ in range(DEPTH):
                     node = np.concatenate([children(node[:, k], c) for k in range(node.shape[1])], axis=1)
@@ -122,9 +123,10 @@ def leaves(sets: DataFrame, repeat: int) -> DataFrame:
                 node = np.sort(node.view(np.int64), axis=1)
                 new = np.ones(node.shape, bool)
                 new[:, 1:] = node[:, 1:] != node[:, :-1]
-                rep = np.repeat(b.column(0).to_numpy(), node.shape[1]).reshape(node.shape)
-                yield pa.RecordBatch.from_arrays([pa.array(node[new]), pa.array(rep[new])], names=["leaf", "rep"])
-    return sets.select("rep", "coords").mapInArrow(run, "leaf long, rep long")
+                rep, known = (np.repeat(b.column(k).to_numpy(), node.shape[1]).reshape(node.shape) for k in (0, 2))
+                yield pa.RecordBatch.from_arrays([pa.array(node[new]), pa.array(rep[new]), pa.array(known[new])],
+                                                 names=["leaf", "rep", "known"])
+    return sets.select("rep", "coords", "known").mapInArrow(lean(run), "leaf long, rep long, known long")
 
 
 def compare_few(rows: DataFrame, least: float) -> DataFrame:
@@ -174,7 +176,7 @@ def compare_blocks(rows: DataFrame, least: float) -> DataFrame:
             label = least_labels(linked, rep)
             at = rep != label
             yield pa.RecordBatch.from_arrays([pa.array(rep[at]), pa.array(label[at])], names=["a", "b"])
-    return (spread(rows, "leaf", "rep", BLOCK).repartition("leaf", "lo", "hi").sortWithinPartitions("leaf", "lo", "hi")
+    return (spread(rows, "leaf", "rep", NODE_BLOCK).repartition("leaf", "lo", "hi").sortWithinPartitions("leaf", "lo", "hi")
             .select("leaf", "lo", "hi", "side", "rep", "coords").mapInArrow(run, "a long, b long"))
 
 
@@ -193,29 +195,45 @@ def alike(rows: DataFrame) -> DataFrame:
 
 
 def candidates(sets: DataFrame, scratch: Scratch, threshold: float) -> DataFrame:
-    """Links (a, b) enough to hold together all sets whose embeddings are near."""
+    """Links (a, b) enough to hold together all sets whose embeddings are near.
+
+    The first run's links already hold most groups together. The other runs then leave out
+    every node whose sets are all in one group, so a large group of near copies, which no
+    coordinate parts, is compared once and not in every node of every run.
+    """
+    alone = sets.select("rep", "coords", F.col("rep").alias("known"))
+    first = _run(alone, range(1), scratch, threshold, "a")
+    groups_ = components(first, scratch, "first").withColumnRenamed("node", "rep")
+    known = sets.select("rep", "coords").join(groups_, "rep", "left").select(
+        "rep", "coords", F.coalesce("component", "rep").alias("known"))
+    return first.union(_run(known, range(1, runs(threshold)), scratch, threshold, "b"))
+
+
+def _run(sets: DataFrame, which: range, scratch: Scratch, threshold: float, name: str) -> DataFrame:
+    """Links of some runs over sets (rep, coords, known: the group that already holds the set)."""
     least = threshold - SLACK
     found, level = [], DEPTH
     coords = sets.select("rep", "coords")
-    now = scratch.write(leaves(sets, runs(threshold)), "leaves3")
+    now = scratch.write(leaves(sets, which), f"{name}leaves3")
     while True:
-        sizes = scratch.write(now.groupBy("leaf").agg(F.count("*").alias("n")).filter("n > 1"), f"sizes{level}", narrow=True)
+        sizes = scratch.write(now.groupBy("leaf").agg(F.count("*").alias("n"), F.min("known").alias("k"), F.max("known").alias("l"))
+                              .filter("n > 1 and k < l").select("leaf", "n"), f"{name}sizes{level}", narrow=True)
         most = sizes.agg(F.max("n")).first()[0] or 0
         few = (now.join(sizes.filter(F.col("n") <= FEW), "leaf").join(coords, "rep")
                .repartition("leaf").sortWithinPartitions("leaf"))
-        found.append(scratch.write(compare_few(few, least), f"few{level}", narrow=True))
+        found.append(scratch.write(compare_few(few, least), f"{name}few{level}", narrow=True))
         if most <= FEW:
             break
         last = most <= MANY or level >= MAX_DEPTH
         some = now.join(sizes.filter((F.col("n") > FEW) & (F.lit(last) | (F.col("n") <= MANY))), "leaf").join(coords, "rep")
-        found.append(scratch.write(compare_blocks(some, least), f"blocks{level}"))
+        found.append(scratch.write(compare_blocks(some, least), f"{name}blocks{level}"))
         if last:
             break
         many = scratch.write(now.join(sizes.filter(F.col("n") > MANY), "leaf").join(coords, "rep")
-                             .select("leaf", "rep", "coords", "n"), f"many{level}")
-        mean = scratch.write(alike(many), f"alike{level}")
+                             .select("leaf", "rep", "coords", "n", "known"), f"{name}many{level}")
+        mean = scratch.write(alike(many), f"{name}alike{level}")
         found.append(scratch.write(compare_blocks(
-            many.join(mean.filter(F.col("mean") >= least), "leaf", "left_semi"), least), f"dense{level}"))
+            many.join(mean.filter(F.col("mean") >= least), "leaf", "left_semi"), least), f"{name}dense{level}"))
 
         def split(batches):
             for b in batches:
@@ -225,12 +243,12 @@ def candidates(sets: DataFrame, scratch: Scratch, threshold: float) -> DataFrame
                     for _ in range(DEPTH):
                         node = np.concatenate([children(node[:, k], c) for k in range(node.shape[1])], axis=1)
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(node.view(np.int64).ravel()), pa.array(np.repeat(b.column(1).to_numpy(), node.shape[1]))],
-                        names=["leaf", "rep"])
+                        [pa.array(node.view(np.int64).ravel()), *[pa.array(np.repeat(b.column(k).to_numpy(), node.shape[1]))
+                                                                  for k in (1, 3)]], names=["leaf", "rep", "known"])
 
-        loose = many.join(mean.filter(F.col("mean") < least), "leaf", "left_semi").select("leaf", "rep", "coords")
+        loose = many.join(mean.filter(F.col("mean") < least), "leaf", "left_semi").select("leaf", "rep", "coords", "known")
         level += DEPTH
-        now = scratch.write(loose.mapInArrow(split, "leaf long, rep long").distinct(), f"leaves{level}")
+        now = scratch.write(loose.mapInArrow(split, "leaf long, rep long, known long").distinct(), f"{name}leaves{level}")
     out = found[0]
     for f in found[1:]:
         out = out.union(f)
@@ -294,7 +312,7 @@ def verify(docs: DataFrame, maybe: DataFrame, sets: DataFrame, threshold: float,
     return (spread(texts, "component", "rep", block)
             .select("component", "lo", "hi", "side", "rep", "key", "m", F.col("text").cast("binary").alias("text"))
             .repartition("component", "lo", "hi").sortWithinPartitions("component", "lo", "hi")
-            .mapInArrow(run, "key string, links long, a long, b long"))
+            .mapInArrow(lean(run), "key string, links long, a long, b long"))
 
 
 def classified(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text",
