@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, id_text, strings
+from .common import WORD, id_text, lean, strings
 
 LEAF_CHARS = 32_768
 EDGE = 2_048        # offsets are shipped for tokens this near to a leaf's ends
@@ -273,8 +273,8 @@ def encode(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_col: s
     leaves = (src.filter(long).withColumn("mark", F.sha2("text", 256)).mapInArrow(cut, leaf_schema)
               .repartition("doc_id", "mark", "n").mapInArrow(leaf, leaf_schema + ", tokens binary"))
     merged = (leaves.repartition("doc_id", "mark").sortWithinPartitions("doc_id", "mark", "n")
-              .mapInArrow(merge, ids_schema))
-    return src.filter(~long).mapInArrow(short, ids_schema).unionByName(merged)
+              .mapInArrow(lean(merge), ids_schema))
+    return src.filter(~long).mapInArrow(lean(short), ids_schema).unionByName(merged)
 
 
 def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
@@ -309,7 +309,7 @@ def decode(encoded: DataFrame, vocabulary: str) -> DataFrame:
                                                  names=[*columns, "decoded"])
 
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema.fields)
-    return encoded.mapInArrow(run, f"{fields}, decoded string")
+    return encoded.mapInArrow(lean(run), f"{fields}, decoded string")
 
 
 def digests(docs: DataFrame, vocabulary: str, with_ids: bool = False) -> DataFrame:

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import WORD, Scratch, held_out, id_text, strings
+from .common import WORD, Scratch, held_out, id_text, lean, strings
 from .labelled import FOLDS, training_labels, training_labels_all
 
 CALIBRATION_ROWS = 10_000   # of each class, for the logistic fit
@@ -70,7 +70,7 @@ def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             x = [statistics(t) for t in strings(b, "text")]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(x, pa.list_(pa.float64()))],
                                              names=["doc_id", "x"])
-    return id_text(docs, id_col, text_col).mapInArrow(run, "doc_id long, x array<double>")
+    return id_text(docs, id_col, text_col).mapInArrow(lean(run), "doc_id long, x array<double>")
 
 
 def _moments(rows: DataFrame) -> dict[int, tuple[float, np.ndarray, np.ndarray]]:

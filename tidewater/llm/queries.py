@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (bpe, caps, chosen_path, html, latent, lattice, merkle, quality, recompress, repetition, runs, shards,
@@ -12,8 +13,8 @@ from . import (bpe, caps, chosen_path, html, latent, lattice, merkle, quality, r
 from .common import table
 from .oracle import ORACLE
 
-#: Folder of the public tokenizer files (see the README).
-TOKENIZERS = os.environ.get("TIDEWATER_TOKENIZERS", "/opt/tokenizers")
+#: Folder of the public tokenizer files, those of the installed package unless another is named.
+TOKENIZERS = os.environ.get("TIDEWATER_TOKENIZERS") or os.path.dirname(public_tokenizers.path("word_bpe_49k.json"))
 
 
 def vocabulary(name: str) -> str:
