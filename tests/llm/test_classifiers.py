@@ -82,3 +82,45 @@ def test_labels_outside_training_are_not_used(spark):
         a = {r.doc_id: r.score for r in op.scores(docs, labels, c).collect()}
         b = {r.doc_id: r.score for r in op.scores(docs, flipped, c).collect()}
         assert max(abs(a[k] - b[k]) for k in a) < 1e-9
+
+
+def test_quality_against_plain_densities():
+    """The score is the logistic of the compressed difference of two shrunk normal log densities."""
+    rng = np.random.default_rng(4)
+    d = 5
+    xs = {0: rng.normal(0, 1, (400, d)), 1: rng.normal(0.7, 1, (300, d)) @ rng.normal(0, 1, (d, d))}
+    model = quality.Discriminant({c: (float(len(x)), x.sum(0), x.T @ x) for c, x in xs.items()})
+    pooled = sum(len(x) * np.cov(x.T, bias=True) for x in xs.values()) / 700
+
+    def log_density(x, c):
+        s = (1 - quality.SHRINK_POOLED) * np.cov(xs[c].T, bias=True) + quality.SHRINK_POOLED * pooled
+        s = (1 - quality.SHRINK_DIAGONAL) * s + quality.SHRINK_DIAGONAL * np.diag(np.diag(s)) + quality.TAU * np.eye(d)
+        gap = x - xs[c].mean(0)
+        return -0.5 * (gap @ np.linalg.solve(s, gap) + np.linalg.slogdet(s)[1])
+
+    at = np.vstack([xs[0][:30], xs[1][:30], 100 * xs[1][:3]])
+    diff = np.array([log_density(x, 1) - log_density(x, 0) for x in at])
+    z = model.slope * np.sign(diff) * np.log1p(np.abs(diff)) + model.offset
+    assert np.allclose(model.score(at), 1 / (1 + np.exp(-np.clip(z, -30, 30))), atol=1e-9)
+
+
+def test_toxicity_against_all_pairs():
+    """The logit is the weights' sum and the inner product of every pair of a text's terms."""
+    rng = np.random.default_rng(5)
+    rows = [np.unique(rng.integers(0, 60, 12)) for _ in range(600)]
+    y = np.array([float(7 in r and 9 in r or 11 in r) for r in rows])
+    m = toxicity.Machine(float(y.mean())).fit(rows, y, np.ones(len(rows)))
+    for r in rows[:100]:
+        own = [k for k in m.index[r] if k >= 0]
+        want = m.w0 + sum(m.w[k] for k in own) + sum(float(m.v[a] @ m.v[b]) for i, a in enumerate(own) for b in own[:i])
+        assert abs(m.logit(r) - want) < 1e-9
+
+
+def test_passing_keeps_whole_rows(spark):
+    """Every column of every row that scores enough, whatever it is called; the same decisions as the scores."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").selectExpr("*", "n_chars as x", "lang as score", "array(doc_id) as row")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    out = quality.passing(docs, labels)
+    assert out.schema == docs.schema
+    kept = {r.doc_id for r in quality.scores(docs, labels).filter("predicted = 1").collect()}
+    assert 0 < len(kept) < 1000 and {r.doc_id: r for r in out.collect()} == {r.doc_id: r for r in docs.collect() if r.doc_id in kept}

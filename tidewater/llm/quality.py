@@ -16,7 +16,6 @@ other (0.5 if there are no labels). Repeated rows are scored each.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -178,12 +177,13 @@ def passing(docs: DataFrame, labels: DataFrame, column: str = "quality", thresho
     x = scratch.write(features(src), "features")
     model = fit(x, labels, column, folds)
 
-    @F.pandas_udf("double")
-    def score(texts: pd.Series) -> pd.Series:
-        at = np.array([statistics(t or "") for t in texts]).reshape(-1, len(STATS))
-        return pd.Series(model.score(at))
+    def run(batches):
+        for b in batches:
+            text = b.column(b.schema.get_field_index(text_col)).cast(pa.string())
+            at = np.array([statistics(t.as_py() or "") for t in text]).reshape(-1, len(STATS))
+            yield b.filter(pa.array(model.score(at) >= threshold))
 
-    return docs.filter(score(F.col(text_col).cast("string")) >= threshold)
+    return docs.mapInArrow(lean(run), docs.schema)
 
 
 def scores(docs: DataFrame, labels: DataFrame, column: str = "quality", threshold: float = 0.3,
