@@ -125,13 +125,30 @@ def test_score_by_its_formula(spark):
         assert abs(got[i] - want) < 1e-9
 
 
+def test_lattice_score_is_the_vocabularys_marginal(spark):
+    """Every cut of every word by the vocabulary's own scores, whatever the corpus taught the model."""
+    rows = [(1, "Ab ab cd"), (2, "ab x"), (3, "漢 ab\x00cd ✂"), (10, "new"), *((k, "ab zz") for k in range(20, 30))]
+    train = [(i, t) for i, t in rows if crc32(str(i).encode()) % 10]
+    got = lattice.scores(spark.createDataFrame(rows, "doc_id long, text string"), MODEL).collect()
+    end = len(train) / sum(len(t.split()) + 1 for _, t in train)
+    pieces = lattice.read_pieces(MODEL)
+    import sentencepiece
+    sp = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    names = [sp.id_to_piece(k) for k in range(sp.get_piece_size())]
+    for r in got:
+        want = math.log10(end)
+        for w in dict(rows)[r.doc_id].lower().split(" "):
+            want += by_hand(pieces, names, w)[0] / math.log(10) + math.log10(1 - end)
+        assert abs(r.lattice_score - want) < 1e-6
+
+
 def test_odd_rows(spark):
     rows = [(1, None), (2, ""), (3, "One two\tTHREE"), (3, "One two\tTHREE"), (None, "one four"), (10, "ÉÀ ß\x00\x1f x"),
             (11, "w" * 5000), (12, "many " * 20000), (13, "\x0b\x0c one")]
     docs = spark.createDataFrame([(i, t, "z", 3) for i, t in rows], "doc_id long, text string, word string, n int")
     got = lattice.scores(docs, MODEL).collect()
     agree(got, rows)
-    assert all(math.isfinite(r.score) for r in got)
+    assert all(math.isfinite(r.score) and math.isfinite(r.lattice_score) for r in got)
 
 
 def test_empty_and_untrained(spark):

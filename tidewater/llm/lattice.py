@@ -15,6 +15,8 @@ count less a discount, and the discounts of all words are shared out by spelling
 with d from the numbers of words seen once and twice, and the end as often as in
 training. ``score`` is the log10 probability of the whole text under this model,
 which sums to 1 over all texts. Without training rows it is the vocabulary's.
+``lattice_score`` is the marginal by the vocabulary's own scores alone: the sum over
+all cuts of every word, nothing learnt but how often a text ends.
 
 Every word's count and lattice probability is computed once for the corpus:
 tasks write a dictionary of distinct words for each block of documents, the
@@ -78,7 +80,7 @@ class Pieces:
         # words end where a piece with the start mark follows, so that spellings sum to 1
         self.first = weight / weight.sum()
         with np.errstate(divide="ignore"):
-            self.log = np.log(self.first)
+            self.log = self.first_log = np.log(self.first)
 
     def reestimate(self, counts: np.ndarray) -> None:
         with np.errstate(divide="ignore"):
@@ -124,6 +126,17 @@ def lattice(pieces: Pieces, words: list[str]):
     return lp, ids
 
 
+def by_vocabulary(pieces: Pieces, ids: np.ndarray) -> np.ndarray:
+    """A lattice's log weights by the vocabulary's own scores, from its piece ids."""
+    lp = np.where(ids >= 0, pieces.first_log[np.maximum(ids, 0)], -np.inf)
+    bare = ids < -1
+    if bare.any():
+        odd, where = np.unique(ids[bare], return_inverse=True)
+        lp[bare] = np.array([pieces.first_log[pieces.byte[list(chr(-2 - int(c)).encode("utf-8", "replace"))]].sum()
+                             for c in odd])[where]
+    return lp
+
+
 def _sum(x: np.ndarray) -> np.ndarray:
     top = x.max(axis=1)
     safe = np.where(np.isfinite(top), top, 0)
@@ -261,7 +274,7 @@ def learn(words: DataFrame, pieces: Pieces, rounds: int = ROUNDS) -> Pieces:
 
 def scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: str = "text", folds: int = FOLDS,
            rounds: int = ROUNDS) -> DataFrame:
-    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
+    """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, lattice_score) of every row."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "lattice")
     src = id_text(docs, id_col, text_col).select(
@@ -285,45 +298,47 @@ def scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
         mine = sent.load()
         for b in batches:
             texts = [w.as_py().decode("utf-8", "replace") for w in b.column(0)]
-            out = np.zeros(len(texts))
+            out, own = np.zeros(len(texts)), np.zeros(len(texts))
             for at in by_length(texts):
-                out[at] = forward(lattice(mine, [texts[i] for i in at])[0])[:, -1]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out / np.log(10))],
-                                             names=["word", "c", "lp"])
+                lp, ids = lattice(mine, [texts[i] for i in at])
+                out[at] = forward(lp)[:, -1]
+                own[at] = forward(by_vocabulary(mine, ids))[:, -1]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out / np.log(10)), pa.array(own / np.log(10))],
+                                             names=["word", "c", "lp", "own"])
 
-    scored = words.select("word", "c").mapInArrow(likelihood, "word binary, c long, lp double")
+    scored = words.select("word", "c").mapInArrow(likelihood, "word binary, c long, lp double, own double")
     numbers = (rows.filter("kind = 0").select("block", "word", "local").join(scored, "word")
-               .select("block", F.lit(0).alias("kind"), "local", F.col("c").alias("n"), "lp",
+               .select("block", F.lit(0).alias("kind"), "local", F.col("c").alias("n"), "lp", "own",
                        F.lit(None).cast("long").alias("doc_id"), F.lit(None).cast("boolean").alias("held_out"),
                        F.lit(None).cast("binary").alias("bag")))
     both = (numbers.unionByName(bags.select(
-        "block", "kind", F.lit(0).alias("local"), "n", F.lit(0.0).alias("lp"), "doc_id", "held_out", "bag"))
+        "block", "kind", F.lit(0).alias("local"), "n", F.lit(0.0).alias("lp"), F.lit(0.0).alias("own"),
+        "doc_id", "held_out", "bag"))
         .repartition("block").sortWithinPartitions("block", "kind"))
     low = float(np.log10(ALPHA / (tokens + ALPHA * (distinct + 1))))
     scale = tokens + ALPHA * (distinct + 1)
     end_base = float(np.log10((ends + ALPHA) / scale))
     end_score = float(np.log10(ends / tokens)) if ends else float(np.log10(UNTRAINED_END))
+    going_on = float(np.log10(1 - 10 ** end_score)) if end_score else 0.0
 
     def score(batches):
-        block, count, logp = None, np.zeros(0), np.zeros(0)
+        block, count, logp, ownp = None, *np.zeros((3, 0))
         for b in batches:
             names = b.column(0).to_pylist()
             kinds = b.column(1).to_numpy()
-            local, n, lp = (b.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4))
-            docs_, outs, bags_ = b.column(5).to_pylist(), b.column(6).to_pylist(), b.column(7).to_pylist()
+            local, n, lp, by_own = (b.column(k).to_numpy(zero_copy_only=False) for k in (2, 3, 4, 5))
+            docs_, outs, bags_ = (b.column(k).to_pylist() for k in (6, 7, 8))
             got = []
             edges = [i for i in range(len(names)) if i == 0 or names[i] != names[i - 1]] + [len(names)]
             for s, e in zip(edges, edges[1:]):
                 if names[s] != block:
-                    block, count, logp = names[s], np.zeros(0), np.zeros(0)
+                    block, count, logp, ownp = names[s], *np.zeros((3, 0))
                 words_ = np.arange(s, e)[kinds[s:e] == 0]
                 if len(words_):
                     top = int(local[words_].max()) + 1
                     if top > len(count):
-                        count = np.concatenate([count, np.zeros(top - len(count))])
-                        logp = np.concatenate([logp, np.zeros(top - len(logp))])
-                    count[local[words_]] = n[words_]
-                    logp[local[words_]] = lp[words_]
+                        count, logp, ownp = (np.concatenate([x, np.zeros(top - len(x))]) for x in (count, logp, ownp))
+                    count[local[words_]], logp[local[words_]], ownp[local[words_]] = n[words_], lp[words_], by_own[words_]
                 for i in np.arange(s, e)[kinds[s:e] == 1]:
                     x = np.frombuffer(zlib.decompress(bags_[i]), "<u4").astype(np.int64)
                     own, tf = np.cumsum(x[:len(x) // 2]), x[len(x) // 2:]
@@ -336,15 +351,16 @@ def scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
                         top = np.maximum(arc, spelt)
                         word = top + np.log10(10 ** (arc - top) + 10 ** (spelt - top))
                     else:
-                        word = logp[own] + np.log10(1 - 10 ** end_score if end_score else 1.0)
+                        word = logp[own] + going_on
                     got.append({"doc_id": docs_[i], "held_out": outs[i], "n_tokens": int(n[i]) + 1,
                                 "n_known": int(tf[c > 0].sum()) + (ends > 0), "train_tokens": tokens,
                                 "base_score": float((tf * base).sum() + end_base),
-                                "score": float((tf * word).sum() + end_score)})
+                                "score": float((tf * word).sum() + end_score),
+                                "lattice_score": float((tf * (ownp[own] + going_on)).sum() + end_score)})
             yield pa.RecordBatch.from_pylist(got, schema=result)
 
     result = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()),
                         ("n_known", pa.int64()), ("train_tokens", pa.int64()), ("base_score", pa.float64()),
-                        ("score", pa.float64())])
+                        ("score", pa.float64()), ("lattice_score", pa.float64())])
     return both.mapInArrow(score, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
-                                  "base_score double, score double")
+                                  "base_score double, score double, lattice_score double")
