@@ -177,3 +177,20 @@ def test_a_megabyte_of_unclosed_pieces_is_fast(part):
     start = time.time()
     html.blocks("<p>text</p>" + part * (1_000_000 // len(part)))
     assert time.time() - start < 4
+
+
+def test_training_pages_have_the_least_hashes(spark, monkeypatch):
+    """The bound on the hash leaves the sample as it is; null pages and pages of one id take no place in it."""
+    from pyspark.sql import functions as F
+    pages = spark.range(3000).selectExpr("id as page_id", "if(id % 3 = 0, null, concat('<article><p>', id, '</p></article>')) as html")
+    pages = pages.union(spark.range(2000).selectExpr("5L", "concat('<article><p>z', id, '</p></article>')"))
+    seen = []
+    monkeypatch.setattr(html, "blocks", lambda page: seen.append(page) or [])
+    monkeypatch.setattr(html, "variants", lambda seq, rng: [])
+    rows = sorted((r.h, r.html) for r in pages.filter("html is not null").select(
+        F.xxhash64(F.col("page_id").cast("string")).alias("h"), "html").collect())
+    firsts = [t for k, (h, t) in enumerate(rows) if not k or rows[k - 1][0] != h]
+    for sample in (1, 10, 200, 4000):
+        seen.clear()
+        html.train(pages, sample=sample)
+        assert seen == firsts[:sample]

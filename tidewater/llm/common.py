@@ -44,6 +44,11 @@ def held_out(column: str, mod: int):
     return F.coalesce(remainder(column, mod) == 0, F.lit(False))
 
 
+def hash_bound(share: float) -> int | None:
+    """A 64-bit hash is below this with the chance ``share``; None where all are."""
+    return -(1 << 63) + int(share * 2.0 ** 64) if share < 1 else None
+
+
 def strings(batch: pa.RecordBatch, name: str) -> Iterator[str]:
     """The texts of a column one at a time, so that only one is a Python string at once."""
     for x in batch.column(batch.schema.get_field_index(name)):

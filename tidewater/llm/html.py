@@ -31,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .common import hash_bound
+
 PAGES = 400                     # pages in the training sample
 PATH_DIM, WORD_DIM, HIDDEN = 48, 32, 16
 EPOCHS, BATCH, RATE = 5, 16, 0.01
@@ -346,10 +348,23 @@ def variants(page: list, rng: random.Random):
 
 
 def train(pages: DataFrame, html_col: str = "html", id_col: str = "page_id", sample: int = PAGES) -> Labeller:
-    """From the ``sample`` pages with the smallest hashes of their ids."""
+    """From the ``sample`` pages with the smallest hashes of their ids; of an id's pages the least one.
+
+    The hashes are bounded first, so that some ``2 * sample`` pages leave all tasks together,
+    not ``sample`` pages each of them. Where too few have a html the bound is raised.
+    """
     src = pages.select(F.xxhash64(F.col(id_col).cast("string")).alias("h"),
                        F.col(html_col).cast("string").alias("html"))
-    rows = src.filter("html is not null").orderBy("h", "html").limit(sample).toPandas()
+    ids = src.agg(F.approx_count_distinct("h")).first()[0]
+    share = (2 * sample + 64) / max(ids, 1)
+    while True:
+        bound = hash_bound(share)
+        some = src if bound is None else src.filter(F.col("h") < bound)
+        rows = (some.filter("html is not null").groupBy("h").agg(F.min("html").alias("html"))
+                .orderBy("h").limit(sample).toPandas())
+        if bound is None or len(rows) >= sample:
+            break
+        share *= 8
     rng, data = random.Random(11), []
     for page in rows["html"]:
         for seq, y in variants(blocks(page), rng):
