@@ -3,7 +3,7 @@ from zlib import crc32
 import numpy as np
 import pytest
 
-from tidewater.llm import quality, queries, toxicity
+from tidewater.llm import labelled, quality, queries, toxicity
 
 SF = "/root/testdata/sf0.1"
 
@@ -55,6 +55,32 @@ def test_empty_table(spark, op, column):
     assert op.scores(docs, spark.createDataFrame([], f"doc_id long, {column} int")).count() == 0
 
 
+def test_sample_has_the_least_hashes_of_each_class(spark):
+    """The bound on the hash leaves the sample as it is, for every size of sample and of class."""
+    from pyspark.sql import functions as F
+    labels = spark.range(20_000).selectExpr("id as doc_id", "cast(id % 20 = 0 as int) as y", "'x' as h")
+    all_ = [(r.doc_id, r.y, r.k) for r in labels.withColumn("k", F.xxhash64("doc_id")).collect()]
+    for most in (1, 7, 400, 4000, 30_000):
+        got = labelled.training_labels(labels, "y", most)
+        assert got.columns == ["doc_id", "y"]
+        want = [sorted((k, i) for i, y, k in all_ if y == c and not held(i))[:most] for c in (0, 1)]
+        assert sorted((r.y, r.doc_id) for r in got.collect()) == sorted((c, i) for c in (0, 1) for _, i in want[c])
+
+
+@pytest.mark.parametrize("op,column", [(quality, "quality"), (toxicity, "toxic")])
+def test_an_id_repeated_very_often_trains_once(spark, op, column):
+    """Copies of one labelled row change neither the sample of toxicity nor what the calibration holds."""
+    docs = spark.createDataFrame([(i, f"good plain words number {i}" if i % 2 else f"awful !!! words {i}") for i in range(60)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], f"doc_id long, {column} int")
+    copies = docs.union(docs.filter("doc_id = 7").crossJoin(spark.range(3000)).select("doc_id", "text"))
+    a = {r.doc_id: r.score for r in op.scores(docs, labels, column).collect()}
+    got = op.scores(copies, labels, column).collect()
+    assert len(got) == 3060 and all(0 <= r.score <= 1 for r in got)
+    if op is toxicity:
+        assert all(abs(a[r.doc_id] - r.score) < 1e-9 for r in got)
+
+
 def test_pairs_beyond_additive_weights():
     """An insult and a mention of a group are toxic together only."""
     rng = np.random.default_rng(2)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remainder
+from .common import hash_bound, remainder
 
 FOLDS = 5
 
@@ -22,10 +22,20 @@ def training_labels_all(labels: DataFrame, column: str, folds: int = FOLDS) -> D
 
 
 def training_labels(labels: DataFrame, column: str, per_class: int, folds: int = FOLDS) -> DataFrame:
-    """At most ``per_class`` training rows of each class, chosen by a hash of the id."""
-    y = training_labels_all(labels, column, folds)
-    pick = [y.filter(F.col("y") == c).orderBy(F.xxhash64("doc_id"), "doc_id").limit(per_class) for c in (0, 1)]
-    return pick[0].union(pick[1])
+    """At most ``per_class`` training rows of each class: those with the least hashes of the id.
+
+    The hashes are bounded by the class's size first, so that some ``2 * per_class`` rows
+    leave all tasks together, not ``per_class`` rows each of them.
+    """
+    y = training_labels_all(labels, column, folds).withColumn("h", F.xxhash64("doc_id"))
+    counts, pick = class_counts(labels, column, folds), []
+    for c in (0, 1):
+        one = y.filter(F.col("y") == c)
+        bound = hash_bound((2 * per_class + 64) / max(counts.get(c, 0), 1))
+        if bound is not None:
+            one = one.filter(F.col("h") < bound)
+        pick.append(one.orderBy("h", "doc_id").limit(per_class))
+    return pick[0].union(pick[1]).drop("h")
 
 
 def class_counts(labels: DataFrame, column: str, folds: int = FOLDS) -> dict[int, int]:

@@ -161,7 +161,9 @@ def fit(x: DataFrame, labels: DataFrame, column: str = "quality", folds: int = F
     model = Discriminant(_moments(x.join(y, "doc_id")))
     if model.ready:
         sample = training_labels(labels, column, CALIBRATION_ROWS, folds)     # at most 2 * CALIBRATION_ROWS rows
-        rows = x.join(F.broadcast(sample), "doc_id").select("y", "x").toPandas()
+        # rows that repeat an id are calibrated on once
+        rows = x.join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+            F.first("y").alias("y"), F.min("x").alias("x")).select("y", "x").toPandas()
         got = rows["y"].to_numpy()
         many = {c: max((got == c).sum(), 1) for c in (0, 1)}
         weight = np.where(got == 1, model.share / many[1], (1 - model.share) / many[0]) * len(got)

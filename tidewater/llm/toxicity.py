@@ -118,7 +118,10 @@ def fit(docs: DataFrame, labels: DataFrame, column: str = "toxic", sample: int =
     if not counts.get(1) or not counts.get(0):
         return 1.0 if counts.get(1) else 0.0 if counts.get(0) else 0.5
     picked = training_labels(labels, column, sample, folds)         # at most 2 * sample rows
-    rows = term_rows(id_text(docs).join(F.broadcast(picked), "doc_id")).toPandas()
+    # rows that repeat an id train once, by the least of their texts
+    once = id_text(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.first("y").alias("y"))
+    rows = term_rows(once).toPandas()
     y = rows["y"].to_numpy()
     if not (y == 1).any() or not (y == 0).any():
         return counts[1] / (counts[0] + counts[1])
