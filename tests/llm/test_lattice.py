@@ -73,14 +73,28 @@ def by_hand(pieces, names, word):
 def test_forward_and_expectations_are_sums_over_all_cuts():
     pieces, names = small()
     for word in ["a", "ab", "abab", "babaab", "aéb", "漢a", "zzz"]:
-        lp, _ = lattice.lattice(pieces, [word, word])
         want, counts = by_hand(pieces, names, word)
-        assert np.allclose(lattice.forward(lp)[:, -1], want)
+        assert np.allclose(lattice.marginals(pieces, [word, word], [pieces.log, pieces.first_log]), want)
         got = np.zeros(len(pieces.log))
         lattice.expected(pieces, [word], np.array([2.0]), got)
         assert np.allclose(got, [2 * counts.get(i, 0.0) for i in range(len(got))], atol=1e-9)
 
 
+def test_long_words_by_stretches(monkeypatch):
+    """The same sums and expectations however few places are held at once."""
+    pieces = lattice.read_pieces(MODEL)
+    pieces.first_log = np.roll(pieces.log, 7)
+    word = "understanding漢é\x00" * 9 + "zzz"
+    whole, want = lattice.marginals(pieces, [word, word[::-1]], [pieces.log, pieces.first_log]), np.zeros(len(pieces.log))
+    lattice.expected(pieces, [word, word[::-1]], np.array([2.0, 0.5]), want)
+    for places in (pieces.longest, 17, 40, len(word), len(word) + 1):
+        monkeypatch.setattr(lattice, "STRETCH", places)
+        assert np.allclose(lattice.marginals(pieces, [word, word[::-1]], [pieces.log, pieces.first_log]), whole, rtol=1e-12)
+        got = np.zeros(len(want))
+        lattice.expected(pieces, [word, word[::-1]], np.array([2.0, 0.5]), got)
+        assert np.allclose(got, want, rtol=1e-9)
+
+
 def test_probabilities_sum_to_one():
     pieces = lattice.read_pieces(MODEL)
     assert abs(np.exp(pieces.log).sum() - 1) < 1e-9
@@ -120,7 +134,7 @@ def test_score_by_its_formula(spark):
     for i, t in rows:
         want = math.log10(len(train) / n)
         for w in t.lower().split():
-            spelt = math.exp(lattice.forward(lattice.lattice(pieces, [w])[0])[0, -1])
+            spelt = math.exp(lattice.marginals(pieces, [w], [pieces.log])[0, 0])
             want += math.log10((max(c[w] - d, 0) + d * len(c) * spelt) / n)
         assert abs(got[i] - want) < 1e-9
 

@@ -32,6 +32,8 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,8 @@ PRIOR = 1_000.0                 # pieces that the vocabulary's own weights count
 BLOCK_WORDS, BLOCK_BYTES = 600_000, 48_000_000
 BASE = np.uint64(0x9E3779B97F4A7C15)
 START = "▁"                # the vocabulary's mark of a word's start
+SLOTS = np.uint64((1 << 17) - 1)    # low bits of a piece's hash that are looked up first
+STRETCH = 4096                  # places of a long word whose arcs are held at once (more than a piece has)
 
 
 class Pieces:
@@ -72,11 +76,13 @@ class Pieces:
         self.byte[missing] = len(names)
         weight[len(names)] = 1e-12
         self.longest = max(by)
-        self.keys, self.ids = {}, {}
+        self.keys, self.ids, self.maybe = {}, {}, {}
         for n, pairs in by.items():
             pairs.sort()
             self.keys[n] = np.array([h for h, _ in pairs], np.uint64)
             self.ids[n] = np.array([i for _, i in pairs], np.int64)
+            self.maybe[n] = np.zeros(int(SLOTS) + 1, bool)
+            self.maybe[n][self.keys[n] & SLOTS] = True
         # words end where a piece with the start mark follows, so that spellings sum to 1
         self.first = weight / weight.sum()
         with np.errstate(divide="ignore"):
@@ -97,44 +103,62 @@ def hashes(codes: np.ndarray, n: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def lattice(pieces: Pieces, words: list[str]):
-    """For words of one length: log weights (word, end, length) and piece ids (-1 none, -2 - code: bytes)."""
+@dataclass
+class Arcs:
+    """The arcs of words of one length, each at a word, from a place to a later one: pieces, and characters without one."""
+
+    word: np.ndarray
+    start: np.ndarray
+    length: np.ndarray
+    piece: np.ndarray
+    bare_word: np.ndarray
+    bare_start: np.ndarray
+    bare_code: np.ndarray
+
+    def before(self, end: int) -> Arcs:
+        """Those that start before a place."""
+        own, bare = self.start < end, self.bare_start < end
+        return Arcs(self.word[own], self.start[own], self.length[own], self.piece[own],
+                    self.bare_word[bare], self.bare_start[bare], self.bare_code[bare])
+
+
+def codes_of(words: list[str]) -> np.ndarray:
+    """(word, place): code points of words of one length, with their start marks."""
     text = "".join(START + w for w in words).encode("utf-32-le", "replace")
-    codes = np.frombuffer(text, "<u4").astype(np.uint64).reshape(len(words), -1)
-    n, size = codes.shape
-    wide = min(pieces.longest, size)
-    lp = np.full((n, size + 1, wide), -np.inf)
-    ids = np.full((n, size + 1, wide), -1, np.int64)
-    part, raw = codes + np.uint64(1), None
-    for k in range(1, wide + 1):
+    return np.frombuffer(text, "<u4").reshape(len(words), -1)
+
+
+def arcs(pieces: Pieces, codes: np.ndarray) -> Arcs:
+    """Every piece in some codes (word, place)."""
+    got, raw = [], None
+    part = codes.astype(np.uint64) + np.uint64(1)
+    single = np.zeros(codes.shape, bool)
+    for k in range(1, min(pieces.longest, codes.shape[1]) + 1):
         raw = part if raw is None else raw[:, :-1] * BASE + part[:, k - 1:]     # as in hashes()
         if k not in pieces.keys:
             continue
         h, keys = raw ^ (raw >> np.uint64(29)), pieces.keys[k]
+        word, start = np.nonzero(pieces.maybe[k][h & SLOTS])        # few others pass
+        h = h[word, start]
         at = np.minimum(np.searchsorted(keys, h), len(keys) - 1)
-        word, place = np.nonzero(keys[at] == h)
-        own = pieces.ids[k][at[word, place]]
-        lp[word, place + k, k - 1] = pieces.log[own]
-        ids[word, place + k, k - 1] = own
-    bare = ids[:, 1:, 0] < 0
-    if bare.any():
-        odd = np.unique(codes[bare])
-        value = np.array([pieces.log[pieces.byte[list(chr(int(c)).encode("utf-8", "replace"))]].sum() for c in odd])
-        where = np.searchsorted(odd, codes[bare])
-        lp[:, 1:, 0][bare] = value[where]
-        ids[:, 1:, 0][bare] = -2 - codes[bare].astype(np.int64)
-    return lp, ids
-
-
-def by_vocabulary(pieces: Pieces, ids: np.ndarray) -> np.ndarray:
-    """A lattice's log weights by the vocabulary's own scores, from its piece ids."""
-    lp = np.where(ids >= 0, pieces.first_log[np.maximum(ids, 0)], -np.inf)
-    bare = ids < -1
-    if bare.any():
-        odd, where = np.unique(ids[bare], return_inverse=True)
-        lp[bare] = np.array([pieces.first_log[pieces.byte[list(chr(-2 - int(c)).encode("utf-8", "replace"))]].sum()
-                             for c in odd])[where]
-    return lp
+        same = keys[at] == h
+        word, start, own = word[same], start[same], pieces.ids[k][at[same]]
+        if k == 1:
+            single[word, start] = True
+        got.append((word, start, np.full(len(word), k), own))
+    bare = np.nonzero(~single)
+    return Arcs(*map(np.concatenate, zip(*got)), *bare, codes[bare])
+
+
+def spelt_out(pieces: Pieces, code: int) -> np.ndarray:
+    """The bytes' pieces of a character."""
+    return pieces.byte[list(chr(code).encode("utf-8", "replace"))]
+
+
+def bare_weights(pieces: Pieces, found: Arcs, log: np.ndarray) -> np.ndarray:
+    """Log weights of the characters without a piece."""
+    odd, where = np.unique(found.bare_code, return_inverse=True)
+    return np.array([log[spelt_out(pieces, int(c))].sum() for c in odd])[where] if len(odd) else np.zeros(0)
 
 
 def _sum(x: np.ndarray) -> np.ndarray:
@@ -144,40 +168,80 @@ def _sum(x: np.ndarray) -> np.ndarray:
         return np.log(np.exp(x - safe[:, None]).sum(axis=1)) + safe
 
 
-def forward(lp: np.ndarray) -> np.ndarray:
-    """(word, place): log of the summed weight of all ways to cut the word up to a place."""
-    n, places, wide = lp.shape
-    a = np.full((n, places + wide - 1), -np.inf)
-    a[:, wide - 1] = 0                                      # a[:, wide - 1 + j] is place j
-    for j in range(1, places):
-        # lengths 1..wide reach back to places j-1 .. j-wide
-        a[:, wide - 1 + j] = _sum(lp[:, j, :] + a[:, j - 1:wide - 1 + j][:, ::-1])
-    return a[:, wide - 1:]
+def _forward(pieces: Pieces, codes: np.ndarray, logs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, Arcs]]:
+    """By stretch of places: (weights and word, place), the log of the summed weight of all ways to a place; and its arcs.
+
+    Before its places a stretch holds the last ones of the stretch before, so a word of any length needs
+    the arcs of one stretch at a time. Rows are the words by the first weights, then by the second, ...
+    """
+    n, size = codes.shape
+    wide = min(pieces.longest, size)
+    a = np.full((len(logs) * n, wide), -np.inf)
+    a[:, -1] = 0                                            # place 0
+    for s in range(0, size, STRETCH):
+        e = min(s + STRETCH, size)
+        o = max(s + 1 - wide, 0)                            # no arc to a place after s starts before o
+        found = arcs(pieces, codes[:, o:e])
+        lp = np.full((len(logs) * n, e - o + 1, wide), -np.inf)
+        for k, log in enumerate(logs):
+            lp[k * n + found.word, found.start + found.length, found.length - 1] = log[found.piece]
+            lp[k * n + found.bare_word, found.bare_start + 1, 0] = bare_weights(pieces, found, log)
+        a = np.concatenate([a[:, -wide:], np.empty((len(a), e - s))], axis=1)
+        for j in range(e - s):
+            # lengths 1..wide reach back to the wide places before
+            a[:, wide + j] = _sum(lp[:, s + 1 + j - o, :] + a[:, j:wide + j][:, ::-1])
+        yield a, found
+
+
+def forward(pieces: Pieces, codes: np.ndarray, log: np.ndarray) -> tuple[np.ndarray, Arcs]:
+    """(word, place): log of the summed weight of all ways to cut the words up to a place, 0 to the last.
+
+    With the arcs of the last stretch: those of the whole words, if they are one stretch.
+    """
+    wide = min(pieces.longest, codes.shape[1])
+    out = [np.zeros((len(codes), 1))]
+    for a, found in _forward(pieces, codes, [log]):
+        out.append(a[:, wide:])
+    return np.concatenate(out, axis=1), found
+
+
+def marginals(pieces: Pieces, words: list[str], logs: list[np.ndarray]) -> np.ndarray:
+    """(weights, word): log of the summed weight of all cuts of words of one length."""
+    for a, _ in _forward(pieces, codes_of(words), logs):
+        last = a[:, -1]
+    return last.reshape(len(logs), -1)
 
 
 def expected(pieces: Pieces, words: list[str], weight: np.ndarray, counts: np.ndarray) -> None:
-    """Adds each piece's expected number in the words (times their weights) to counts."""
-    lp, ids = lattice(pieces, words)
-    a = forward(lp)
-    n, places, wide = lp.shape
-    b = np.full((n, places + wide), -np.inf)
-    b[:, places - 1] = 0
-    for j in range(places - 2, -1, -1):
-        # a piece of length k from place j ends at place j + k
-        take = min(wide, places - 1 - j)
-        step = np.stack([lp[:, j + k, k - 1] for k in range(1, take + 1)], axis=1)
-        b[:, j] = _sum(step + b[:, j + 1:j + 1 + take])
+    """Adds each piece's expected number in words of one length (times their weights) to counts."""
+    codes = codes_of(words)
+    n, size = codes.shape
+    wide = min(pieces.longest, size)
+    a, found = forward(pieces, codes, pieces.log)
     total = a[:, -1]
-    for k in range(1, wide + 1):
-        post = np.exp(a[:, :places - k] + lp[:, k:, k - 1] + b[:, k:places] - total[:, None]) * weight[:, None]
-        own = ids[:, k:, k - 1]
-        real = own >= 0
-        counts += np.bincount(own[real], post[real], len(counts))
-        if k == 1:
-            for c in np.unique(own[own < -1]):
-                seen = post[own == c].sum()
-                for x in chr(-2 - int(c)).encode("utf-8", "replace"):
-                    counts[pieces.byte[x]] += seen
+    after = np.full((n, wide), -np.inf)                     # the places from the end of a stretch on
+    after[:, 0] = 0
+    for s in reversed(range(0, size, STRETCH)):
+        e = min(s + STRETCH, size)
+        if size > STRETCH:
+            found = arcs(pieces, codes[:, s:e + wide - 1]).before(e - s)
+        bare = bare_weights(pieces, found, pieces.log)
+        lp = np.full((n, e - s, wide), -np.inf)             # by start
+        lp[found.word, found.start, found.length - 1] = pieces.log[found.piece]
+        lp[found.bare_word, found.bare_start, 0] = bare
+        b = np.concatenate([np.empty((n, e - s)), after], axis=1)
+        for j in reversed(range(e - s)):
+            b[:, j] = _sum(lp[:, j, :] + b[:, j + 1:j + 1 + wide])
+        after = b[:, :wide].copy()
+
+        def share(word, start, length, log):
+            return np.exp(a[word, s + start] + log + b[word, start + length] - total[word]) * weight[word]
+
+        counts += np.bincount(found.piece, share(found.word, found.start, found.length, pieces.log[found.piece]), len(counts))
+        odd, where = np.unique(found.bare_code, return_inverse=True)
+        seen = np.bincount(where, share(found.bare_word, found.bare_start, 1, bare), len(odd))
+        for c, x in zip(odd, seen):
+            np.add.at(counts, spelt_out(pieces, int(c)), x)
 
 
 def by_length(words: list[str], most: int = 200_000):
@@ -300,9 +364,7 @@ def scores(docs: DataFrame, model_file: str, id_col: str = "doc_id", text_col: s
             texts = [w.as_py().decode("utf-8", "replace") for w in b.column(0)]
             out, own = np.zeros(len(texts)), np.zeros(len(texts))
             for at in by_length(texts):
-                lp, ids = lattice(mine, [texts[i] for i in at])
-                out[at] = forward(lp)[:, -1]
-                own[at] = forward(by_vocabulary(mine, ids))[:, -1]
+                out[at], own[at] = marginals(mine, [texts[i] for i in at], [mine.log, mine.first_log])
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(out / np.log(10)), pa.array(own / np.log(10))],
                                              names=["word", "c", "lp", "own"])
 
