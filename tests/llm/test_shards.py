@@ -66,6 +66,11 @@ def test_round_trip(spark, tmp_path):
     assert all((a == b).all() for (_, a), (_, b) in zip(later, got[37:62]))
 
 
+def test_starts_of_many_shards_are_shuffled(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(shards, "BROADCAST_SHARDS", 3)
+    check(spark, [(k, f"word{k} " * (k % 9), 0) for k in range(60)], tmp_path, length=16, shard_bytes=64)
+
+
 def test_sequence_ends_with_a_document(spark, tmp_path):
     check(spark, [(k, "a", 0) for k in range(64)], tmp_path, length=8, shard_bytes=64)
 

@@ -43,6 +43,7 @@ LENGTH = 1_024
 SHARD_BYTES = 32_000_000       # at most; some two fifths of the places are taken
 ROUNDS = 6
 ROWS = 256
+BROADCAST_SHARDS = 200_000      # the files' starts are broadcast up to this many, shuffled beyond
 
 # Fixed value: the pattern that cuts text before the merges of the rank file.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -226,7 +227,8 @@ def materialise(docs: DataFrame, ranks_file: str, folder: str | None = None, key
         f.write(json.dumps({"length": length, "kind": kind, "sizes": sizes, "places": places, "key": key,
                             "end": end}).encode())
     offset = spark.createDataFrame([(k, starts[k]) for k in range(shards)], "shard int, start long")
-    return made.join(F.broadcast(offset), "shard").select(
+    offset = F.broadcast(offset) if shards <= BROADCAST_SHARDS else offset.hint("shuffle_hash")
+    return made.join(offset, "shard").select(
         (F.col("start") + F.col("rank")).alias("slot"), "shard", (F.col("rank") * stride).alias("byte_offset"),
         "n_tokens", "crc", "doc_ids", "place")
 
