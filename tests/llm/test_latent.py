@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from tidewater.llm import latent, queries
 
 SF = "/root/testdata/sf0.01"
@@ -121,3 +124,67 @@ def test_empty_tables(spark):
     assert latent.report(none, items).count() == 0
     docs = spark.createDataFrame([(1, "some words of an item here")], "doc_id long, text string")
     assert [r.contaminated for r in latent.report(docs, items.limit(0)).collect()] == [False]
+
+
+def test_products_are_those_of_all_passages(monkeypatch):
+    rng = np.random.default_rng(4)
+    texts = [rng.integers(0, 50, n).astype("<u2") for n in (0, 1, 5, 8, 9, 16, 17, 24, 33, 0, 400, 3)]
+    lift = rng.random(len(texts)).astype(np.float32) + 0.5
+    rows = np.vstack([rng.normal(size=(latent.TERMS, 6)), np.zeros((1, 6))]).astype(np.float32)
+    want = np.zeros((latent.TERMS, 6))
+    for ids, w in zip(texts, lift):
+        for k in range(0, max(len(ids) - 8, 1), 8) if len(ids) else ():
+            np.add.at(want, ids[k:k + 16], w ** 2 * rows[ids[k:k + 16]].sum(axis=0))
+    cut = [latent.blocks(ids) for ids in texts]
+    own = np.repeat(np.arange(len(cut)), [len(x) for x in cut])
+    for size in (1, 2, 5, 1 << 16):
+        monkeypatch.setattr(latent, "FIT_BLOCKS", size)
+        got = np.zeros((latent.TERMS, 6))
+        latent.add_products(np.concatenate(cut), own, lift[own] ** 2, rows, got)
+        assert np.allclose(got, want, atol=1e-3)
+
+
+def test_candidates_are_those_of_each_text_alone(monkeypatch):
+    items, docs, _ = rows_with_leaks(None)
+    rng = np.random.default_rng(5)
+    idf = rng.random(latent.TERMS) + 0.5
+    bench = latent.Benchmark([(i, t, None) for i, t in items], idf, rng.normal(size=(latent.TERMS, 8)).astype(np.float32))
+    texts = [latent.buckets(latent.tokens(t)) for _, t in [*docs, (0, ""), (0, "one"), *items, (0, " ".join(t for _, t in docs))]]
+    want = []
+    for k, ids in enumerate(texts):
+        if len(ids):
+            v, held = (latent.passage_sums(ids, x) for x in (bench.scaled, bench.rare))
+            cosine = v @ bench.vectors.T / np.linalg.norm(v, axis=1)[:, None]
+            want += [(k, i, p * latent.STRIDE) for p, i in zip(*np.nonzero(held >= bench.need))
+                     if cosine[p, bench.first[i]:bench.first[i + 1]].max() >= latent.COSINE]
+    assert len(want) > 50
+    for size in (1, 7, 1_024):
+        monkeypatch.setattr(latent, "COMPARED", size)
+        assert list(bench.candidates(texts)) == want
+
+
+def reach(monkeypatch, run, phrase):
+    """How much of a phrase's TF-IDF vector the directions fitted in ``run`` hold."""
+    seen, search = [], latent.search
+    with monkeypatch.context() as m:
+        m.setattr(latent, "search", lambda rows, bench: seen.append(bench) or search(rows, bench))
+        run()
+    directions = seen[0].scaled[:-1] / seen[0].idf[:, None]
+    v = np.bincount(latent.buckets(latent.tokens(phrase)), minlength=latent.TERMS) * seen[0].idf
+    return np.linalg.norm(v @ directions) / np.linalg.norm(v)
+
+
+def noise(rng, n):
+    return " ".join(f"w{rng.randrange(300)}" for _ in range(n))
+
+
+PHRASE = " ".join(f"phrase{k}" for k in range(14))
+
+
+def test_directions_are_fitted_on_every_document(spark, monkeypatch):
+    rng = random.Random(6)
+    ids = [r.id for r in spark.range(4_000).orderBy(F.xxhash64("id")).collect()]
+    docs = [(i, noise(rng, 20)) for i in ids[:-60]] + [(i, f"{PHRASE} {noise(rng, 6)}") for i in ids[-60:]]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    b = spark.createDataFrame([(1, "an item of some other words")], "item_id long, text string")
+    assert reach(monkeypatch, lambda: latent.decontaminate(d, b), PHRASE) > 0.95

@@ -4,11 +4,11 @@ Documents and benchmark items are cut into overlapping passages of WINDOW words,
 each a TF-IDF vector over hashed terms (document frequencies over the whole
 corpus). A randomised SVD, its products with the passage matrix computed by
 Spark tasks over the rows, gives RANK latent directions; it is fitted on every
-benchmark passage and a bounded sample of the corpus (FIT_DOCUMENTS). Every
-passage of every document is then projected and compared by cosine with all
-benchmark passages, in blocks. A passage that is near one and holds some of the
-item's rare words is checked in the text around it: the longest common
-subsequence with the item, the share of the item's rare words,
+passage of the benchmark and of the corpus. Texts are hashed once, into a table
+that all later steps read. Every passage of every document is then projected and
+compared by cosine with all benchmark passages, in blocks. A passage that is near
+one and holds some of the item's rare words is checked in the text around it: the
+longest common subsequence with the item, the share of the item's rare words,
 and the answer (a column of the benchmark, or the item's last sentence). Long
 subsequences are leaks; shorter ones are, as paraphrases, if the answer stands
 there too.
@@ -22,6 +22,9 @@ rows, an empty benchmark leaves every document clean.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
+from itertools import groupby
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -34,10 +37,10 @@ TERM_BITS = 15
 TERMS = 1 << TERM_BITS
 WINDOW, STRIDE = 16, 8
 RANK, OVERSAMPLE, POWER = 64, 16, 2
-FIT_DOCUMENTS, FIT_PASSAGES = 2_000, 8          # documents in the sample, passages of each
 COSINE = 0.5
 SHARED_RARE = 3                                 # rare words of the item in a candidate passage
-BLOCK_WORDS = 1_024 * STRIDE                    # words whose passages are compared at once
+COMPARED = 1_024                                # passages compared at once
+FIT_BLOCKS = 1 << 16                            # blocks of STRIDE words in one product of the fit
 FULL, PART, RARE = 0.7, 0.5, 0.5                # of the item's words in order; with the answer; of its rare words
 MAX_BENCHMARK_BYTES = 200_000                   # broadcast up to this size; a larger benchmark goes in parts
 # ASCII punctuation parts words; other letters and signs belong to them
@@ -53,116 +56,163 @@ def buckets(words: list[bytes]) -> np.ndarray:
     return (word_hashes(words) >> np.uint64(64 - TERM_BITS)).astype(np.int32)
 
 
-def starts(n: int) -> np.ndarray:
-    """Where a text's passages start; the last one may be shorter than the others."""
-    return np.arange(0, max(n - STRIDE, 1), STRIDE) if n else np.zeros(0, np.int64)
+def blocks(ids: np.ndarray) -> np.ndarray:
+    """A text's hashed terms in rows of STRIDE, the last one filled up with TERMS."""
+    out = np.full(-(-len(ids) // STRIDE) * STRIDE, TERMS, np.uint16)
+    out[:len(ids)] = ids
+    return out.reshape(-1, STRIDE)
+
+
+def row_sums(at: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """``rows[at].sum(axis=1)``, some at a time, so that sums stay in the cache."""
+    step = 1_024
+    out = np.empty((len(at), rows.shape[1]), rows.dtype)
+    held = np.empty((min(len(at), step), rows.shape[1]), rows.dtype)
+    for k in range(0, len(at), step):
+        columns, total = at[k:k + step].T, out[k:k + step]
+        np.take(rows, columns[0], axis=0, out=total, mode="clip")
+        for c in columns[1:]:
+            total += np.take(rows, c, axis=0, out=held[:len(total)], mode="clip")
+    return out
 
 
 def passage_sums(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sum of each passage's rows, from sums of STRIDE words (``rows`` ends with a row of zeros)."""
-    n = -(-len(ids) // STRIDE)
-    padded = np.full(n * STRIDE, len(rows) - 1, np.int64)
-    padded[:len(ids)] = ids
-    part = rows[padded].reshape(n, STRIDE, rows.shape[1]).sum(axis=1, dtype=rows.dtype)
-    return part[:-1] + part[1:] if n > 1 else part
+    """Sum of each passage's rows, from sums of STRIDE words (``rows`` ends with a row of zeros).
 
+    Passages are two blocks long and start at each block but the last; a text of one block is one.
+    """
+    part = row_sums(blocks(ids), rows)
+    return part[:-1] + part[1:] if len(part) > 1 else part
 
-def document_frequencies(docs: DataFrame) -> tuple[np.ndarray, int]:
-    """Documents with each term, and all documents with any; summed in tasks, then by Spark."""
+
+def hashed(texts: DataFrame) -> DataFrame:
+    """(doc_id, mark: a hash of the text, text, terms: its hashed terms, two bytes each) of every row."""
     def run(batches):
-        count, n = np.zeros(TERMS, np.int64), 0
         for b in batches:
-            for text in strings(b, "text"):
-                words = tokens(text)
-                if words:
-                    count[np.unique(buckets(words))] += 1
-                    n += 1
-        has = np.flatnonzero(count)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(np.append(has, -1).astype(np.int32)), pa.array(np.append(count[has], n))], names=["term", "n"])
-    got = docs.select("text").mapInArrow(run, "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
-    out, n = np.zeros(TERMS, np.int64), 0
-    for t, c in zip(got["term"], got["n"]):         # at most TERMS + 1 rows
-        if t < 0:
-            n = int(c)
-        else:
-            out[t] = c
-    return out, n
+            terms = pa.array([buckets(tokens(t)).astype("<u2").tobytes() for t in strings(b, "text")], pa.binary())
+            yield pa.RecordBatch.from_arrays([*b.columns, terms], names=["doc_id", "mark", "text", "terms"])
+    return texts.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(
+        lean(run), "doc_id long, mark long, text string, terms binary")
+
 
+def term_ids(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
+    """The hashed terms of each text."""
+    for x in batch.column(batch.schema.get_field_index("terms")):
+        yield np.frombuffer(x.as_buffer(), "<u2")
 
-def passages(rows: DataFrame, most: int | None) -> DataFrame:
-    """(weight, terms array<int>): a text's passages, or ``most`` of them spread over it."""
+
+def few(rows: DataFrame) -> DataFrame:
+    """As few partitions as keep all cores busy: each sends up to TERMS rows on."""
+    return rows.coalesce(2 * rows.sparkSession.sparkContext.defaultParallelism)
+
+
+def document_frequencies(texts: DataFrame) -> tuple[np.ndarray, int, int]:
+    """Texts with each term, all texts with any, and their passages; summed in tasks, then by Spark."""
     def run(batches):
+        count, n, passages = np.zeros(TERMS, np.int64), 0, 0
         for b in batches:
-            out = []
-            for text, w in zip(strings(b, "text"), b.column(b.schema.get_field_index("weight")).to_pylist()):
-                ids = buckets(tokens(text))
-                at = starts(len(ids))
-                if most and len(at) > most:
-                    at = at[np.linspace(0, len(at) - 1, most).astype(int)]
-                out += [{"weight": w, "terms": ids[s:s + WINDOW].tolist()} for s in at]
-            if out:
-                yield pa.RecordBatch.from_pylist(out, schema=kinds)
-    kinds = pa.schema([("weight", pa.float64()), ("terms", pa.list_(pa.int32()))])
-    return rows.select("text", "weight").mapInArrow(run, "weight double, terms array<int>")
-
-
-def basis(rows: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
-    """The leading right singular vectors (TERMS x rank) of the weighted TF-IDF rows."""
-    sc, width = rows.sparkSession.sparkContext, rank + OVERSAMPLE
-    weights = sc.broadcast(idf.astype(np.float32))
+            for ids in term_ids(b):
+                if len(ids):
+                    own = np.sort(ids, kind="stable")
+                    count[own[np.append(True, own[1:] != own[:-1])]] += 1
+                    n += 1
+                    passages += max(-(-len(ids) // STRIDE) - 1, 1)
+        has = np.flatnonzero(count)
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(has, [-1, -2]).astype(np.int32)),
+                                          pa.array(np.append(count[has], [n, passages]))], names=["term", "n"])
+    got = few(texts.select("terms")).mapInArrow(lean(run), "term int, n long").groupBy("term").agg(F.sum("n").alias("n")).toPandas()
+    out = np.zeros(TERMS + 2, np.int64)                 # the two sums stand last
+    out[got["term"].to_numpy()] = got["n"].to_numpy()   # at most TERMS + 2 rows
+    return out[:TERMS], int(out[-1]), int(out[-2])
+
+
+def run_sums(at: np.ndarray, count: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Sums of ``rows[at]`` over runs of ``count`` each (``rows`` ends with a row of zeros), by groups of STRIDE."""
+    groups = -(-count // STRIDE)
+    start = np.cumsum(groups) - groups
+    full = np.full((groups.sum() + 1) * STRIDE, len(rows) - 1)      # one group more: the next row of zeros
+    full[np.arange(len(at)) + np.repeat(start * STRIDE - (np.cumsum(count) - count), count)] = at
+    got = row_sums(full.reshape(-1, STRIDE), rows)
+    out, many = got[start], groups > 1
+    if many.any():
+        out[many] = run_sums(np.flatnonzero(np.repeat(many, groups)), groups[many], got)
+    return out
+
+
+def add_products(ids: np.ndarray, own: np.ndarray, weight: np.ndarray, rows: np.ndarray, total: np.ndarray) -> None:
+    """Adds A' A rows to ``total`` (by term), A holding the passages' term counts times their texts' weights.
+
+    ``ids`` are the blocks of whole texts, ``own`` the text and ``weight`` the squared weight of each.
+    A passage is two blocks of a text, so each block takes part in the passages before and after it.
+    """
+    for k in range(0, len(ids), FIT_BLOCKS):
+        # one more block on each side, for the passages across the edges
+        lo, hi = max(k - 1, 0), min(k + FIT_BLOCKS + 1, len(ids))
+        x = row_sums(ids[lo:hi], rows)
+        same = own[lo + 1:hi] == own[lo:hi - 1]
+        y = x[:-1] + x[1:]
+        y[~same] = 0
+        z = np.zeros((len(x) + 1, x.shape[1]), x.dtype)     # its last row stays zero
+        z[:-2] += y
+        z[1:-1] += y
+        alone = ~(np.append(same, False) | np.append(False, same))
+        z[:-1][alone] = x[alone]
+        z[:-1] *= weight[lo:hi, None]
+        flat = ids[k:k + FIT_BLOCKS].ravel()
+        order = np.argsort(flat, kind="stable")
+        order = order[:np.count_nonzero(flat != TERMS)]     # without what fills up
+        in_order = flat[order]
+        first = np.flatnonzero(np.append(True, in_order[1:] != in_order[:-1]))
+        count = np.diff(np.append(first, len(order)))
+        total[in_order[first]] += run_sums(order // STRIDE + (k - lo), count, z)
+
+
+def basis(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
+    """The leading right singular vectors (TERMS x rank) of the TF-IDF passages of all texts (weight, terms)."""
+    sc, width = texts.sparkSession.sparkContext, rank + OVERSAMPLE
 
     def times(q: np.ndarray) -> np.ndarray:
-        """A' A q: each task over its rows, then summed by term."""
-        sent = sc.broadcast(q.astype(np.float32))
+        """A' A q: each task over its texts, then summed by term."""
+        sent = sc.broadcast(np.vstack([q * idf[:, None], np.zeros((1, width))]).astype(np.float32))
 
         def part(batches):
-            total, any_ = None, False
+            total = np.zeros((TERMS, width))
             for b in batches:
-                ids = b.column(1).flatten().to_numpy()
-                if not len(ids):
-                    continue
-                sizes = np.diff(b.column(1).offsets.to_numpy())
-                sizes = sizes[sizes > 0]
-                row = np.repeat(np.arange(len(sizes)), sizes)
-                w = weights.value[ids] * b.column(0).to_numpy()[row].astype(np.float32)
-                edges = np.concatenate([[0], np.cumsum(sizes)[:-1]])
-                ax = np.add.reduceat(sent.value[ids] * w[:, None], edges, axis=0)
-                order = np.argsort(ids, kind="stable")
-                names, first = np.unique(ids[order], return_index=True)
-                add = np.add.reduceat((ax[row] * w[:, None])[order], first, axis=0)
-                if total is None:
-                    total = np.zeros((TERMS, width), np.float32)
-                total[names] += add
-                any_ = True
-            if any_:
-                has = np.flatnonzero(np.abs(total).sum(axis=1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(has.astype(np.int32)), pa.array(list(total[has]), pa.list_(pa.float32()))], names=["term", "v"])
+                cut = [blocks(ids) for ids in term_ids(b)]
+                sizes = [len(x) for x in cut]
+                if sum(sizes):
+                    own = np.repeat(np.arange(len(cut)), sizes)
+                    weight = b.column(b.schema.get_field_index("weight")).to_numpy().astype(np.float32) ** 2
+                    add_products(np.concatenate(cut), own, weight[own], sent.value, total)
+            has = np.flatnonzero(np.abs(total).sum(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(has.astype(np.int32)), pa.array([x.tobytes() for x in total[has].astype("<f4")], pa.binary())], names=["term", "v"])
 
         def whole(batches):
-            sums: dict[int, np.ndarray] = {}
+            total = np.zeros((TERMS, width))
             for b in batches:
-                for t, v in zip(b.column(0).to_pylist(), b.column(1)):
-                    x = v.values.to_numpy()
-                    sums[t] = sums[t] + x if t in sums else x.copy()
-            if sums:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(sums), pa.int32()), pa.array(list(sums.values()), pa.list_(pa.float32()))], names=["term", "v"])
-
-        got = (rows.mapInArrow(part, "term int, v array<float>").repartition("term")
-               .mapInArrow(whole, "term int, v array<float>").toArrow())       # at most TERMS x width numbers
+                if not b.num_rows:
+                    continue
+                names, back = np.unique(b.column(0).to_numpy(), return_inverse=True)
+                order = np.argsort(back, kind="stable")
+                v = np.array([np.frombuffer(x.as_buffer(), "<f4") for x in b.column(1)])
+                total[names] += np.add.reduceat(v[order], np.searchsorted(back[order], np.arange(len(names))), axis=0)
+            has = np.flatnonzero(np.abs(total).sum(axis=1))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(has.astype(np.int32)), pa.array([x.tobytes() for x in total[has].astype("<f4")], pa.binary())], names=["term", "v"])
+
+        got = (few(texts).mapInArrow(lean(part), "term int, v binary").repartition("term")
+               .mapInArrow(lean(whole), "term int, v binary").toArrow())       # at most TERMS x width numbers
         sent.destroy()
         out = np.zeros((TERMS, width))
         if got.num_rows:
-            out[got.column("term").to_numpy()] = np.array(got.column("v").combine_chunks().flatten()).reshape(-1, width)
-        return out
+            out[got.column("term").to_numpy()] = np.array([np.frombuffer(x, "<f4") for x in got.column("v").to_pylist()])
+        return out * idf[:, None]
 
     q = np.linalg.qr(np.random.default_rng(17).normal(size=(TERMS, width)))[0]
     for _ in range(POWER + 1):
         y = times(q)
         q, r = np.linalg.qr(y)
-    weights.destroy()
     # rotate to the leading directions of the last product
     u, _, _ = np.linalg.svd(r)
     return (q @ u[:, :rank]).astype(np.float32)
@@ -215,28 +265,40 @@ class Benchmark:
             self.rare[buckets(list(rare)), k] = 1
         self.need = np.minimum(SHARED_RARE, np.maximum(1, self.rare.sum(axis=0, dtype=np.int64) // 3)).astype(np.uint8)
 
-    def candidates(self, ids: np.ndarray):
-        """(item index, passage start) pairs whose cosine is high enough, whole text, in blocks."""
-        for k in range(0, len(ids), BLOCK_WORDS):
-            # blocks share a stride, so that no passage is cut
-            part = ids[k:k + BLOCK_WORDS + STRIDE]
-            v = passage_sums(part, self.scaled)
+    def candidates(self, texts: list[np.ndarray]) -> Iterator[tuple[int, int, int]]:
+        """(text, item index, passage start) whose cosine is high enough, in order of texts and places."""
+        if not self.items or not texts:
+            return
+        cut = [blocks(ids) for ids in texts]
+        sizes = np.array([len(x) for x in cut])
+        ids = np.concatenate([*cut, np.full((1, STRIDE), TERMS, np.uint16)])       # the last block sums to zero
+        own, first = np.repeat(np.arange(len(cut)), sizes), np.cumsum(sizes) - sizes
+        # a passage starts at each block but a text's last one, unless it is the only one
+        two = np.append(own[1:] == own[:-1], np.zeros(min(len(own), 1), bool))
+        begin = np.flatnonzero(two | (sizes[own] == 1))
+        for k in range(0, len(begin), COMPARED):
+            at = begin[k:k + COMPARED]
+            part = np.concatenate([ids[at[0]:at[-1] + 2], ids[-1:]])
+            one = at - at[0]
+            other = np.where(two[at], one + 1, len(part) - 1)
+            v = row_sums(part, self.scaled)
+            v = v[one] + v[other]
             v /= np.maximum(np.linalg.norm(v, axis=1), 1e-9)[:, None]
             cosine = v @ self.vectors.T
             # passages of one language are all near each other here: enough rare words must be in them, too
-            p, i = np.nonzero(passage_sums(part, self.rare) >= self.need)
-            for p, i in zip(p.tolist(), i.tolist()):
+            held = row_sums(part, self.rare)
+            for x in np.flatnonzero(held[one] + held[other] >= self.need).tolist():
+                p, i = divmod(x, len(self.items))
                 if cosine[p, self.first[i]:self.first[i + 1]].max() >= COSINE:
-                    yield i, k + p * STRIDE
+                    t = int(own[at[p]])
+                    yield t, i, int(at[p] - first[t]) * STRIDE
 
-    def leaks(self, text: str) -> list[tuple]:
-        """(item_id, lcs share, answer share, first word, last word) of the items in a text, best place of each."""
+    def leaks(self, text: str, found: Iterable[tuple[int, int, int]]) -> list[tuple]:
+        """(item_id, lcs share, answer share, first word, last word) of a text's candidates that hold, best place of each item."""
         words = tokens(text)
-        if not words or not self.items:
-            return []
         best: dict[int, tuple] = {}
         tried: dict[int, int] = {}
-        for i, s in self.candidates(buckets(words)):
+        for _, i, s in found:
             item_id, item, answer, rare = self.items[i]
             if i in best and best[i][1] >= 1.0:
                 continue
@@ -292,22 +354,19 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = -(-int(size) // part_bytes) or 1
     scratch = Scratch(docs.sparkSession, "latent")
-    df, n = document_frequencies(src)
+    texts = scratch.write(hashed(src), "texts")
+    df, n, passages = document_frequencies(texts)
     idf = np.log((n + 1) / (df + 1)) + 0.1
-    picked = (src.filter("doc_id is not null").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id")
-              .limit(FIT_DOCUMENTS).distinct())
-    sample = src.join(F.broadcast(picked), "doc_id").select("text", F.lit(1.0).alias("weight"))
-    count = items.filter("text is not null").count()
-    # the benchmark weighs as much as the sample, so that its directions are among the leading ones
-    lift = float(np.sqrt(max(1.0, FIT_DOCUMENTS * FIT_PASSAGES / max(count, 1) / 4)))
-    fit = passages(items.filter("text is not null").select("text", F.lit(lift).alias("weight")), None).unionByName(
-        passages(sample, FIT_PASSAGES))
-    directions = basis(scratch.write(fit.repartition(4), "fit"), idf)
+    bench = scratch.write(hashed(id_text(items, "item_id")), "items")
+    # the benchmark weighs as much as the corpus, so that its directions are among the leading ones
+    lift = float(np.sqrt(max(1.0, passages / max(document_frequencies(bench)[2], 1))))
+    directions = basis(texts.select(F.lit(1.0).alias("weight"), "terms").unionByName(
+        bench.select(F.lit(lift).alias("weight"), "terms")), idf)
     found = leaks = None
     for k in range(parts):
         some = items if parts == 1 else items.filter(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == k)
         # at most about part_bytes at once; a larger benchmark takes a pass for each part
-        one = search(src, Benchmark([tuple(r) for r in some.collect()], idf, directions))
+        one = search(texts, Benchmark([tuple(r) for r in some.collect()], idf, directions))
         if parts > 1:
             one = scratch.write(one if k == 0 else one.filter(F.size("items") > 0), f"part{k}")
             # equal rows hold the same items: once for each part
@@ -339,8 +398,8 @@ def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
 ITEMS = "array<struct<item_id: bigint, lcs: double, answer: double, first_word: int, last_word: int>>"
 
 
-def search(src: DataFrame, bench: Benchmark) -> DataFrame:
-    sent = Shipped(src.sparkSession, bench)
+def search(texts: DataFrame, bench: Benchmark) -> DataFrame:
+    sent = Shipped(texts.sparkSession, bench)
     kind = pa.list_(pa.struct([("item_id", pa.int64()), ("lcs", pa.float64()), ("answer", pa.float64()),
                                ("first_word", pa.int32()), ("last_word", pa.int32())]))
     names = ("item_id", "lcs", "answer", "first_word", "last_word")
@@ -348,11 +407,12 @@ def search(src: DataFrame, bench: Benchmark) -> DataFrame:
     def run(batches):
         mine = sent.load()
         for b in batches:
-            got = [[dict(zip(names, x)) for x in mine.leaks(t)] for t in strings(b, "text")]
+            got: list[list[dict]] = [[] for _ in range(b.num_rows)]
+            for k, found in groupby(mine.candidates(list(term_ids(b))), itemgetter(0)):
+                got[k] = [dict(zip(names, x)) for x in mine.leaks(b.column(2)[k].as_py(), found)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(got, kind)],
                                              names=["doc_id", "mark", "items"])
-    return (src.select("doc_id", F.xxhash64("text").alias("mark"), "text")
-            .mapInArrow(lean(run), f"doc_id long, mark long, items {ITEMS}"))
+    return texts.select("doc_id", "mark", "text", "terms").mapInArrow(lean(run), f"doc_id long, mark long, items {ITEMS}")
 
 
 def report(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
