@@ -1,8 +1,11 @@
+import random
+
 import corpus_pipeline as cp
 from tidewater.llm import quality
 from tidewater.llm.common import Scratch
 
 from .test_chosen_path import brute as near_classes
+from .test_latent import PHRASE, noise, reach
 from .test_recompress import brute as repeated
 
 SF = "/root/testdata/sf0.01"
@@ -64,3 +67,11 @@ def test_empty_documents(spark):
 
 def test_run(spark):
     assert cp.run(spark, "/root/testdata/sf0.001").count() > 0
+
+
+def test_decontamination_is_fitted_on_every_passage(spark, monkeypatch, tmp_path):
+    rng = random.Random(7)
+    spark.createDataFrame([(1, "an item of some other words")], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = [(k, f"{noise(rng, 96)} {PHRASE} {noise(rng, 1_500)}") for k in range(30)] + [(k, noise(rng, 20)) for k in range(30, 330)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert reach(monkeypatch, lambda: cp.decontamination(spark, docs, str(tmp_path)), PHRASE) > 0.95

@@ -85,12 +85,18 @@ def passage_sums(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
     return part[:-1] + part[1:] if len(part) > 1 else part
 
 
+def sliced(batch: pa.RecordBatch, rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces: the JVM holds one at a time, outside its heap."""
+    for k in range(0, batch.num_rows, rows):
+        yield batch.slice(k, rows)
+
+
 def hashed(texts: DataFrame) -> DataFrame:
     """(doc_id, mark: a hash of the text, text, terms: its hashed terms, two bytes each) of every row."""
     def run(batches):
         for b in batches:
             terms = pa.array([buckets(tokens(t)).astype("<u2").tobytes() for t in strings(b, "text")], pa.binary())
-            yield pa.RecordBatch.from_arrays([*b.columns, terms], names=["doc_id", "mark", "text", "terms"])
+            yield from sliced(pa.RecordBatch.from_arrays([*b.columns, terms], names=["doc_id", "mark", "text", "terms"]))
     return texts.select("doc_id", F.xxhash64("text").alias("mark"), "text").mapInArrow(
         lean(run), "doc_id long, mark long, text string, terms binary")
 
@@ -171,6 +177,11 @@ def basis(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
     """The leading right singular vectors (TERMS x rank) of the TF-IDF passages of all texts (weight, terms)."""
     sc, width = texts.sparkSession.sparkContext, rank + OVERSAMPLE
 
+    def by_term(total: np.ndarray) -> Iterator[pa.RecordBatch]:
+        has = np.flatnonzero(np.abs(total).sum(axis=1))
+        yield from sliced(pa.RecordBatch.from_arrays(
+            [pa.array(has.astype(np.int32)), pa.array([x.tobytes() for x in total[has].astype("<f4")], pa.binary())], names=["term", "v"]))
+
     def times(q: np.ndarray) -> np.ndarray:
         """A' A q: each task over its texts, then summed by term."""
         sent = sc.broadcast(np.vstack([q * idf[:, None], np.zeros((1, width))]).astype(np.float32))
@@ -184,9 +195,7 @@ def basis(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
                     own = np.repeat(np.arange(len(cut)), sizes)
                     weight = b.column(b.schema.get_field_index("weight")).to_numpy().astype(np.float32) ** 2
                     add_products(np.concatenate(cut), own, weight[own], sent.value, total)
-            has = np.flatnonzero(np.abs(total).sum(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(has.astype(np.int32)), pa.array([x.tobytes() for x in total[has].astype("<f4")], pa.binary())], names=["term", "v"])
+            yield from by_term(total)
 
         def whole(batches):
             total = np.zeros((TERMS, width))
@@ -197,9 +206,7 @@ def basis(texts: DataFrame, idf: np.ndarray, rank: int = RANK) -> np.ndarray:
                 order = np.argsort(back, kind="stable")
                 v = np.array([np.frombuffer(x.as_buffer(), "<f4") for x in b.column(1)])
                 total[names] += np.add.reduceat(v[order], np.searchsorted(back[order], np.arange(len(names))), axis=0)
-            has = np.flatnonzero(np.abs(total).sum(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(has.astype(np.int32)), pa.array([x.tobytes() for x in total[has].astype("<f4")], pa.binary())], names=["term", "v"])
+            yield from by_term(total)
 
         got = (few(texts).mapInArrow(lean(part), "term int, v binary").repartition("term")
                .mapInArrow(lean(whole), "term int, v binary").toArrow())       # at most TERMS x width numbers
