@@ -163,6 +163,7 @@ def add_products(ids: np.ndarray, own: np.ndarray, weight: np.ndarray, rows: np.
         z[1:-1] += y
         alone = ~(np.append(same, False) | np.append(False, same))
         z[:-1][alone] = x[alone]
+        del x, y
         z[:-1] *= weight[lo:hi, None]
         flat = ids[k:k + FIT_BLOCKS].ravel()
         order = np.argsort(flat, kind="stable")
